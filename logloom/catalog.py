@@ -56,3 +56,439 @@ def q_audit_report(spark, sf_dir):
     """Full refresh: the 47-column report over every stored event."""
     return audit_report(R.r_events(spark, sf_dir), report_dims(spark, sf_dir),
                         batch_id=BATCH_ID, tenant_name=TENANT_NAME)
+
+
+# --------------------------------------------------------------------------
+# Single joins and conditional columns of the report
+# --------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from logloom.functions import text as X  # noqa: E402
+from logloom.plans import report as P  # noqa: E402
+
+
+def _ev_and_dims(spark, sf_dir, last_run=None):
+    ev = P.flat_events(R.r_events(spark, sf_dir, since_ms=last_run), last_run)
+    return ev, P.prepare_dims(report_dims(spark, sf_dir))
+
+
+def _single_join(step, cols):
+    def q(spark, sf_dir):
+        ev, d = _ev_and_dims(spark, sf_dir)
+        return step(ev, d).select(*[F.col(c).alias(a) for c, a in cols])
+    return q
+
+
+def _ev_sql(select: str, joins: str = "", *roles: str) -> str:
+    return O.with_roles(f"SELECT {select} FROM r_events e {joins}", "r_events", *roles)
+
+
+QUERIES_SINGLE = {
+    "join_actor": (
+        P.join_actor,
+        [("id", "AUDIT_ID"), ("userId", "USER_ID"),
+         ("u_userName", "USER_NAME"), ("u_displayName", "DISPLAY_NAME")],
+        _ev_sql("e.id AS AUDIT_ID, e.userId AS USER_ID, u.userName AS USER_NAME, u.displayName AS DISPLAY_NAME",
+                "LEFT JOIN r_users u ON e.userId = u.id", "r_users"),
+    ),
+    "join_object_user": (
+        P.join_object_user,
+        [("id", "AUDIT_ID"), ("objectId", "OBJECT_ID"),
+         ("u2_userName", "OBJECT_USER_NAME")],
+        _ev_sql("e.id AS AUDIT_ID, e.objectId AS OBJECT_ID, u2.userName AS OBJECT_USER_NAME",
+                "LEFT JOIN r_users u2 ON e.objectId = u2.id", "r_users"),
+    ),
+    "join_workspace": (
+        P.join_workspace,
+        [("id", "AUDIT_ID"), ("aa_workspaceId", "WORKSPACE_ID"),
+         ("w_name", "WORKSPACE_NAME")],
+        _ev_sql("e.id AS AUDIT_ID, e.aa_workspaceId AS WORKSPACE_ID, w.name AS WORKSPACE_NAME",
+                "LEFT JOIN r_workspaces w ON e.aa_workspaceId = w.id", "r_workspaces"),
+    ),
+    "join_model": (
+        P.join_model,
+        [("id", "AUDIT_ID"), ("aa_modelId", "ATTRIBUTE_MODEL_ID"),
+         ("m_name", "ATTRIBUTE_MODEL_NAME")],
+        _ev_sql("e.id AS AUDIT_ID, e.aa_modelId AS ATTRIBUTE_MODEL_ID, m.name AS ATTRIBUTE_MODEL_NAME",
+                "LEFT JOIN r_models m ON e.aa_modelId = m.id", "r_models"),
+    ),
+    "join_object_model": (
+        P.join_object_model,
+        [("id", "AUDIT_ID"), ("objectId", "OBJECT_ID"),
+         ("m2_name", "OBJECT_MODEL_NAME")],
+        _ev_sql("e.id AS AUDIT_ID, e.objectId AS OBJECT_ID, m2.name AS OBJECT_MODEL_NAME",
+                "LEFT JOIN r_models m2 ON e.objectId = m2.id", "r_models"),
+    ),
+    "join_integration": (
+        P.join_integration,
+        [("id", "AUDIT_ID"), ("objectId", "OBJECT_ID"),
+         ("cw_name", "INTEGRATION_NAME"), ("cw_modelId", "INTEGRATION_MODEL_ID")],
+        _ev_sql("e.id AS AUDIT_ID, e.objectId AS OBJECT_ID, cw.name AS INTEGRATION_NAME, "
+                "cw.modelId AS INTEGRATION_MODEL_ID",
+                "LEFT JOIN r_cloudworks cw ON e.objectId = cw.integrationId", "r_cloudworks"),
+    ),
+    "join_activity_code": (
+        P.join_activity_code,
+        [("id", "AUDIT_ID"), ("eventTypeId", "EVENT_ID"),
+         ("ac_message", "EVENT_MESSAGE"), ("ac_assoc", "ASSOCIATED_OBJECT_ID"),
+         ("ac_notes", "NOTES")],
+        _ev_sql("e.id AS AUDIT_ID, e.eventTypeId AS EVENT_ID, ac.event_message AS EVENT_MESSAGE, "
+                "ac.associated_object_id AS ASSOCIATED_OBJECT_ID, ac.notes AS NOTES",
+                "LEFT JOIN r_act_codes ac ON e.eventTypeId = ac.event_code", "r_act_codes"),
+    ),
+    "join_action": (
+        P.join_action,
+        [("id", "AUDIT_ID"), ("aa_actionId", "ACTION_ID"),
+         ("objectId", "OBJECT_ID"), ("a_name", "ACTION_TABLE_NAME")],
+        _ev_sql("e.id AS AUDIT_ID, e.aa_actionId AS ACTION_ID, e.objectId AS OBJECT_ID, "
+                "a.name AS ACTION_TABLE_NAME",
+                "LEFT JOIN r_actions a ON e.aa_actionId = a.id AND e.objectId = a.model_id", "r_actions"),
+    ),
+}
+
+for _name, (_step, _cols, _sql) in QUERIES_SINGLE.items():
+    register(_name, _sql)(_single_join(_step, _cols))
+
+
+@register("integration_models", O.with_roles(
+    "SELECT cw.integrationId, cw.name, cw.modelId, m3.name AS model_name "
+    "FROM r_cloudworks cw JOIN r_models m3 ON cw.modelId = m3.id", "r_cloudworks", "r_models"))
+def q_integration_models(spark, sf_dir):
+    """Integrations joined to the model they load (inner)."""
+    cw = R.r_cloudworks(spark, sf_dir).select("integrationId", "name", "modelId")
+    return P.integration_model_names(cw, R.r_models(spark, sf_dir), how="inner")
+
+
+@register("model_ref_case", _ev_sql(
+    "e.id AS AUDIT_ID, "
+    "CASE WHEN e.aa_modelId IS NOT NULL THEN e.aa_modelId "
+    "     WHEN e.objectId = cw.integrationId THEN cw.modelId END AS MODEL_ID, "
+    "CASE WHEN e.aa_modelId IS NOT NULL THEN m.name "
+    "     WHEN e.objectId = cw.integrationId THEN m3.name END AS MODEL_NAME",
+    "LEFT JOIN r_models m ON e.aa_modelId = m.id "
+    "LEFT JOIN r_cloudworks cw ON e.objectId = cw.integrationId "
+    "LEFT JOIN r_models m3 ON cw.modelId = m3.id", "r_models", "r_cloudworks"))
+def q_model_ref_case(spark, sf_dir):
+    """Model id and name from the attribute, else from the integration."""
+    ev, d = _ev_and_dims(spark, sf_dir)
+    j = P.join_integration(P.join_model(ev, d), d)
+    return j.select(F.col("id").alias("AUDIT_ID"), P.model_id_col().alias("MODEL_ID"),
+                    P.model_name_col(d).alias("MODEL_NAME"))
+
+
+@register("object_case", _ev_sql(
+    "e.id AS AUDIT_ID, "
+    "CASE WHEN e.objectId = m2.id THEN 'Model' "
+    "     WHEN e.objectId = cw.integrationId THEN 'CloudWorks Integration' "
+    "     WHEN e.objectId = u2.id THEN 'User' END AS OBJECT_TYPE, "
+    "CASE WHEN e.objectId = m2.id THEN m2.name "
+    "     WHEN e.objectId = cw.integrationId THEN cw.name "
+    "     WHEN e.objectId = u2.id THEN u2.userName END AS OBJECT_NAME",
+    "LEFT JOIN r_users u2 ON e.objectId = u2.id "
+    "LEFT JOIN r_models m2 ON e.objectId = m2.id "
+    "LEFT JOIN r_cloudworks cw ON e.objectId = cw.integrationId", "r_users", "r_models", "r_cloudworks"))
+def q_object_case(spark, sf_dir):
+    """Object type and name, Model > Integration > User."""
+    ev, d = _ev_and_dims(spark, sf_dir)
+    j = P.join_integration(P.join_object_model(P.join_object_user(ev, d), d), d)
+    return j.select(F.col("id").alias("AUDIT_ID"), P.object_type_col().alias("OBJECT_TYPE"),
+                    P.object_name_col().alias("OBJECT_NAME"))
+
+
+@register("action_name_case", _ev_sql(
+    "e.id AS AUDIT_ID, e.aa_actionId AS ACTION_ID, "
+    "CASE WHEN e.aa_actionId IS NOT DISTINCT FROM '-1' THEN 'Unsaved Action' "
+    "     WHEN a.name IS NULL AND e.aa_actionId IS NOT NULL THEN '<Object has been Deleted>' "
+    "     ELSE a.name END AS ACTION_NAME",
+    "LEFT JOIN r_actions a ON e.aa_actionId = a.id AND e.objectId = a.model_id", "r_actions"))
+def q_action_name_case(spark, sf_dir):
+    """C05 with F12 (null-safe equality) and F11 (null tests)."""
+    ev, d = _ev_and_dims(spark, sf_dir)
+    return P.join_action(ev, d).select(F.col("id").alias("AUDIT_ID"), F.col("aa_actionId").alias("ACTION_ID"),
+                                       P.action_name_col().alias("ACTION_NAME"))
+
+
+@register("load_id", _ev_sql(
+    "e.id AS AUDIT_ID, "
+    "cast(coalesce(e.eventDate // 1000, 0) AS varchar) || printf('%09d', coalesce(e.idx, 0)) AS LOAD_ID, "
+    "strftime(make_timestamp((e.eventDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS EVENT_DATE, "
+    "strftime(make_timestamp((e.createdDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS CREATED_DATE"))
+def q_load_id(spark, sf_dir):
+    """R08 with X01-X05: seconds text + 9-digit index; epoch text of both dates."""
+    ev = R.r_events(spark, sf_dir)
+    return ev.select(F.col("id").alias("AUDIT_ID"), X.load_id("eventDate", "index").alias("LOAD_ID"),
+                     X.epoch_text("eventDate").alias("EVENT_DATE"),
+                     X.epoch_text("createdDate").alias("CREATED_DATE"))
+
+
+# --------------------------------------------------------------------------
+# Incremental filter, counts, watermark
+# --------------------------------------------------------------------------
+
+from logloom.plans import incremental as INC  # noqa: E402
+
+
+@register("incremental_filter", O.report_sql(BATCH_ID, TENANT_NAME, where=f"e.eventDate > {LAST_RUN}"))
+def q_incremental_filter(spark, sf_dir):
+    """the report over events after the saved watermark only.
+
+    The bound is also applied to the raw ``ts`` column so it reaches the
+    Parquet scan as a pushed filter.
+    """
+    return audit_report(R.r_events(spark, sf_dir, since_ms=LAST_RUN), report_dims(spark, sf_dir),
+                        batch_id=BATCH_ID, tenant_name=TENANT_NAME, last_run=LAST_RUN)
+
+
+@register("incremental_count", _ev_sql(
+    "count(*) AS audit_records", f"WHERE e.eventDate > {LAST_RUN}"))
+def q_incremental_count(spark, sf_dir):
+    """Events the next report will carry (counted before any join)."""
+    return INC.incremental_count(R.r_events(spark, sf_dir, since_ms=LAST_RUN), LAST_RUN)
+
+
+@register("next_watermark", _ev_sql(
+    f"coalesce(max(e.eventDate), {LAST_RUN}) AS next_watermark, "
+    f"coalesce(max(e.eventDate), {LAST_RUN}) % 1000 <> 0 AS has_millis, "
+    "count(*) AS audit_records", f"WHERE e.eventDate > {LAST_RUN}"))
+def q_next_watermark(spark, sf_dir):
+    """The new watermark (max event time, unchanged if nothing new)."""
+    return INC.next_watermark(R.r_events(spark, sf_dir, since_ms=LAST_RUN), LAST_RUN)
+
+
+_COUNT_TABLES = ["r_users", "r_workspaces", "r_models", "r_cloudworks", "r_actions", "r_files",
+                 "r_act_codes", "r_events"]
+
+
+@register("table_counts", O.with_roles(" UNION ALL ".join(
+    f"SELECT '{t[2:]}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNT_TABLES), *_COUNT_TABLES))
+def q_table_counts(spark, sf_dir):
+    """``count(*)`` of every stored table."""
+    tables = {
+        "users": R.r_users(spark, sf_dir), "workspaces": R.r_workspaces(spark, sf_dir),
+        "models": R.r_models(spark, sf_dir), "cloudworks": R.r_cloudworks(spark, sf_dir),
+        "actions": R.r_actions(spark, sf_dir), "files": R.r_files(spark, sf_dir),
+        "act_codes": R.r_act_codes(spark), "events": R.r_events(spark, sf_dir),
+    }
+    return INC.table_counts(tables)
+
+
+# --------------------------------------------------------------------------
+# Dimensions, scope, lookups, worklist
+# --------------------------------------------------------------------------
+
+from logloom.operators import dimensions as D  # noqa: E402
+from logloom.operators import lookups as LK  # noqa: E402
+
+
+@register("dim_users", O.with_roles("SELECT id, userName, displayName FROM r_users", "r_users"))
+def q_dim_users(spark, sf_dir):
+    """P04 + R04: the users list, one row per id."""
+    return D.dim_users(R.r_users(spark, sf_dir))
+
+
+@register("dim_models", O.with_roles(
+    "SELECT id, name, activeState, currentWorkspaceId, currentWorkspaceName FROM r_models", "r_models"))
+def q_dim_models(spark, sf_dir):
+    """The models list without its ``categoryValues`` array."""
+    return D.dim_models(R.r_models(spark, sf_dir))
+
+
+@register("dim_actions", O.with_roles("SELECT id, name, workspace_id, model_id FROM r_actions", "r_actions"))
+def q_dim_actions(spark, sf_dir):
+    """Imports, exports, actions and processes as one actions table."""
+    assets = R.r_assets(spark, sf_dir)
+    return D.dim_assets(assets.where(F.col("kind") != "files"))
+
+
+@register("model_catalog", O.with_roles(
+    "SELECT currentWorkspaceId AS ws_id, currentWorkspaceName AS ws_name, id AS model_id, "
+    "name AS model_name FROM r_models", "r_models"))
+def q_model_catalog(spark, sf_dir):
+    """Every stored (workspace, model) pair with names."""
+    return D.model_catalog(R.r_models(spark, sf_dir))
+
+
+@register("active_models", O.with_roles(
+    "SELECT id, name, activeState FROM r_models WHERE activeState IS DISTINCT FROM 'ARCHIVED'", "r_models"))
+def q_active_models(spark, sf_dir):
+    """models not archived; a null state is kept (D-10)."""
+    return D.active_models(R.r_models(spark, sf_dir)).select("id", "name", "activeState")
+
+
+SCOPE_TARGET_MODEL = "M7"
+_COMBOS_SQL = ("combos AS (SELECT DISTINCT workspaceId AS WorkspaceId, modelId AS ModelId "
+               "FROM r_cloudworks)")
+
+
+@register("scope_skip", O.with_roles(
+    "SELECT m.id, m.currentWorkspaceId FROM r_models m WHERE NOT EXISTS (SELECT 1 FROM combos c "
+    "WHERE c.WorkspaceId = m.currentWorkspaceId AND c.ModelId = m.id)",
+    "r_models", "r_cloudworks", extra=[_COMBOS_SQL]))
+def q_scope_skip(spark, sf_dir):
+    """drop listed (workspace, model) pairs; the list is every integration's pair."""
+    combos = R.r_cloudworks(spark, sf_dir).select(
+        F.col("workspaceId").alias("WorkspaceId"), F.col("modelId").alias("ModelId"))
+    return D.scope_skip(R.r_models(spark, sf_dir), combos).select("id", "currentWorkspaceId")
+
+
+@register("scope_select", O.with_roles(
+    "SELECT m.id, m.currentWorkspaceId FROM r_models m WHERE EXISTS (SELECT 1 FROM combos c "
+    "WHERE c.WorkspaceId = m.currentWorkspaceId AND c.ModelId = m.id) OR m.id = "
+    f"'{SCOPE_TARGET_MODEL}'",
+    "r_models", "r_cloudworks", extra=[_COMBOS_SQL]))
+def q_scope_select(spark, sf_dir):
+    """keep listed pairs plus the target model in any workspace."""
+    combos = R.r_cloudworks(spark, sf_dir).select(
+        F.col("workspaceId").alias("WorkspaceId"), F.col("modelId").alias("ModelId"))
+    return D.scope_select(R.r_models(spark, sf_dir), combos, SCOPE_TARGET_MODEL).select(
+        "id", "currentWorkspaceId")
+
+
+_REFS_SQL = """
+refs AS (
+  SELECT c_name AS ref FROM customer
+  UNION ALL SELECT md5(c_name) FROM customer
+  UNION ALL SELECT upper(md5(c_name)) FROM customer
+  UNION ALL SELECT substr(md5(c_name), 1, 31) FROM customer
+  UNION ALL SELECT md5(c_name) || chr(10) FROM customer
+)"""
+
+
+@register("classify_refs", "WITH " + _REFS_SQL.strip() + """
+SELECT ref,
+       NOT regexp_matches(ref, '^[A-Z0-9]{32}\\n?$') AS is_model_name,
+       NOT regexp_matches(ref, '^[a-z0-9]{32}\\n?$') AS is_workspace_name
+FROM refs""")
+def q_classify_refs(spark, sf_dir):
+    """is a configured reference a name or an id? (D-14: named ``is_*_name``)."""
+    c = R.table(spark, sf_dir, "customer").select("c_name")
+    h = F.md5("c_name")
+    refs = c.select(F.explode(F.array(
+        F.col("c_name"), h, F.upper(h), F.substring(h, 1, 31), F.concat(h, F.lit("\n")),
+    )).alias("ref"))
+    return refs.select("ref", X.is_model_name("ref").alias("is_model_name"),
+                       X.is_workspace_name("ref").alias("is_workspace_name"))
+
+
+@register("history_table_names", O.with_roles(
+    "SELECT currentWorkspaceId AS ws_id, id AS model_id, "
+    "lower(regexp_replace('MH_' || currentWorkspaceName || '_' || name, '[^a-zA-Z0-9_]+', '_', 'g')) "
+    "AS table_name FROM r_models", "r_models"))
+def q_history_table_names(spark, sf_dir):
+    """One history table name per model, computed as a column."""
+    m = R.r_models(spark, sf_dir)
+    return m.select(F.col("currentWorkspaceId").alias("ws_id"), F.col("id").alias("model_id"),
+                    X.history_table_name("currentWorkspaceName", "name").alias("table_name"))
+
+
+_ID_REQUESTS_SQL = """
+requests AS (
+  SELECT 'workspace' AS kind, NULL::varchar AS workspace_id, NULL::varchar AS model_id, r_name AS name FROM region
+  UNION ALL SELECT 'workspace', NULL, NULL, n_name FROM nation
+  UNION ALL SELECT 'model', 'W' || cast(n_regionkey AS varchar), NULL, n_name FROM nation
+  UNION ALL SELECT 'model', 'W' || cast((n_regionkey + 1) % 5 AS varchar), NULL, n_name FROM nation
+  UNION ALL SELECT 'action', workspace_id, model_id, name FROM r_actions
+  UNION ALL SELECT 'action', a.workspace_id, 'M' || cast((p.p_partkey + 1) % 25 AS varchar), p.p_name
+    FROM part p JOIN r_actions a ON a.name = p.p_name AND a.model_id = 'M' || cast(p.p_partkey % 25 AS varchar)
+                               AND a.id = cast(p.p_partkey // 25 AS varchar)
+  UNION ALL SELECT 'file', workspace_id, model_id, name FROM r_files
+)"""
+
+
+@register("resolve_ids", O.with_roles("""
+SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1') AS resolved_id
+FROM requests q LEFT JOIN (SELECT name, min(id) AS found FROM r_workspaces GROUP BY name) f
+  ON q.name = f.name WHERE q.kind = 'workspace'
+UNION ALL
+SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1')
+FROM requests q LEFT JOIN (SELECT currentWorkspaceId AS ws, name, min(id) AS found FROM r_models GROUP BY 1, 2) f
+  ON q.workspace_id = f.ws AND q.name = f.name WHERE q.kind = 'model'
+UNION ALL
+SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1')
+FROM requests q LEFT JOIN (SELECT workspace_id, model_id, name, min(id) AS found FROM r_actions GROUP BY 1, 2, 3) f
+  ON q.workspace_id = f.workspace_id AND q.model_id = f.model_id AND q.name = f.name WHERE q.kind = 'action'
+UNION ALL
+SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1')
+FROM requests q LEFT JOIN (SELECT workspace_id, model_id, name, min(id) AS found FROM r_files GROUP BY 1, 2, 3) f
+  ON q.workspace_id = f.workspace_id AND q.model_id = f.model_id AND q.name = f.name WHERE q.kind = 'file'
+""", "r_workspaces", "r_models", "r_actions", "r_files", extra=[_ID_REQUESTS_SQL]))
+def q_resolve_ids(spark, sf_dir):
+    """Names to ids, first match (smallest id), ``-1`` when absent."""
+    region, nation = R.table(spark, sf_dir, "region"), R.table(spark, sf_dir, "nation")
+    part = R.table(spark, sf_dir, "part")
+    actions, files = R.r_actions(spark, sf_dir), R.r_files(spark, sf_dir)
+    none = F.lit(None).cast("string")
+
+    def req(df, kind, ws, model, name):
+        return df.select(F.lit(kind).alias("kind"), ws.alias("workspace_id"), model.alias("model_id"),
+                         name.alias("name"))
+    ws_of = lambda c: F.concat(F.lit("W"), F.col(c).cast("string"))
+    requests = (req(region, "workspace", none, none, F.col("r_name"))
+                .unionByName(req(nation, "workspace", none, none, F.col("n_name")))
+                .unionByName(req(nation, "model", ws_of("n_regionkey"), none, F.col("n_name")))
+                .unionByName(req(nation, "model", F.concat(F.lit("W"), ((F.col("n_regionkey") + 1) % 5).cast("string")),
+                                 none, F.col("n_name")))
+                .unionByName(req(actions, "action", F.col("workspace_id"), F.col("model_id"), F.col("name")))
+                .unionByName(req(part, "action", F.concat(F.lit("W"), (F.col("p_partkey") % 25 % 5).cast("string")),
+                                 F.concat(F.lit("M"), ((F.col("p_partkey") + 1) % 25).cast("string")),
+                                 F.col("p_name")))
+                .unionByName(req(files, "file", F.col("workspace_id"), F.col("model_id"), F.col("name"))))
+    return LK.resolve_ids(requests, R.r_workspaces(spark, sf_dir), R.r_models(spark, sf_dir), actions, files)
+
+
+_NAME_REQUESTS_SQL = """
+name_requests AS (
+  SELECT DISTINCT 'workspace' AS kind, NULL::varchar AS workspace_id, NULL::varchar AS model_id, aa_workspaceId AS id
+    FROM r_events WHERE aa_workspaceId IS NOT NULL
+  UNION SELECT DISTINCT 'model', NULL, NULL, aa_modelId FROM r_events WHERE aa_modelId IS NOT NULL
+  UNION SELECT DISTINCT 'action', aa_workspaceId, objectId, aa_actionId FROM r_events WHERE aa_actionId IS NOT NULL
+)"""
+
+
+@register("resolve_names", O.with_roles("""
+SELECT q.kind, q.workspace_id, q.model_id, q.id, coalesce(f.found, '-1') AS resolved_name
+FROM name_requests q LEFT JOIN (SELECT id, min(name) AS found FROM r_workspaces GROUP BY id) f
+  ON q.id = f.id WHERE q.kind = 'workspace'
+UNION ALL
+SELECT q.kind, q.workspace_id, q.model_id, q.id, coalesce(f.found, '-1')
+FROM name_requests q LEFT JOIN (SELECT id, min(name) AS found FROM r_models GROUP BY id) f
+  ON q.id = f.id WHERE q.kind = 'model'
+UNION ALL
+SELECT q.kind, q.workspace_id, q.model_id, q.id, coalesce(f.found, '-1')
+FROM name_requests q LEFT JOIN (SELECT workspace_id, model_id, id, min(name) AS found FROM r_actions GROUP BY 1, 2, 3) f
+  ON q.workspace_id = f.workspace_id AND q.model_id = f.model_id AND q.id = f.id WHERE q.kind = 'action'
+""", "r_events", "r_workspaces", "r_models", "r_actions", extra=[_NAME_REQUESTS_SQL]))
+def q_resolve_names(spark, sf_dir):
+    """Ids referenced by events back to names, ``-1`` when absent."""
+    ev = P.flat_events(R.r_events(spark, sf_dir))
+    none = F.lit(None).cast("string")
+    requests = (
+        ev.where(F.col("aa_workspaceId").isNotNull()).select(
+            F.lit("workspace").alias("kind"), none.alias("workspace_id"), none.alias("model_id"),
+            F.col("aa_workspaceId").alias("id"))
+        .unionByName(ev.where(F.col("aa_modelId").isNotNull()).select(
+            F.lit("model").alias("kind"), none.alias("workspace_id"), none.alias("model_id"),
+            F.col("aa_modelId").alias("id")))
+        .unionByName(ev.where(F.col("aa_actionId").isNotNull()).select(
+            F.lit("action").alias("kind"), F.col("aa_workspaceId").alias("workspace_id"),
+            F.col("objectId").alias("model_id"), F.col("aa_actionId").alias("id")))
+        .distinct()
+    )
+    return LK.resolve_names(requests, R.r_workspaces(spark, sf_dir), R.r_models(spark, sf_dir),
+                            R.r_actions(spark, sf_dir))
+
+
+@register("crawl_worklist", O.with_roles("""
+SELECT m.currentWorkspaceId AS workspace_id, m.id AS model_id, k.kind,
+       coalesce(g.n, 0) AS n_received
+FROM r_models m
+CROSS JOIN (VALUES ('imports'), ('exports'), ('actions'), ('processes'), ('files')) AS k(kind)
+LEFT JOIN (SELECT workspace_id, model_id, kind, count(*) AS n FROM r_assets GROUP BY 1, 2, 3) g
+  ON g.workspace_id = m.currentWorkspaceId AND g.model_id = m.id AND g.kind = k.kind
+WHERE m.activeState IS DISTINCT FROM 'ARCHIVED'
+""", "r_models", "r_assets"))
+def q_crawl_worklist(spark, sf_dir):
+    """Every active (workspace, model) x asset kind, with records received."""
+    models = D.active_models(R.r_models(spark, sf_dir))
+    return D.crawl_worklist(models, R.r_assets(spark, sf_dir))

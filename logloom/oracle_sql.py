@@ -91,7 +91,7 @@ ROLES["r_cloudworks"] = """
 r_cloudworks AS (
   SELECT 'C' || cast(s_suppkey AS varchar) AS integrationId, s_name AS name,
          'M' || cast(s_nationkey AS varchar) AS modelId,
-         'W' || cast(s_nationkey % 5 AS varchar) AS workspaceId
+         'W' || cast(s_suppkey % 5 AS varchar) AS workspaceId
   FROM supplier
 )"""
 
@@ -111,6 +111,21 @@ r_files AS (
   FROM part
 )"""
 
+ROLES["r_assets"] = """
+r_assets AS (
+  SELECT cast(p_partkey // 25 AS varchar) AS id, p_name AS name,
+         'W' || cast(p_partkey % 25 % 5 AS varchar) AS workspace_id,
+         'M' || cast(p_partkey % 25 AS varchar) AS model_id,
+         CASE p_partkey % 4 WHEN 0 THEN 'imports' WHEN 1 THEN 'exports'
+                            WHEN 2 THEN 'actions' ELSE 'processes' END AS kind
+  FROM part
+  UNION ALL
+  SELECT 'F' || cast(p_partkey AS varchar), p_brand,
+         'W' || cast(p_partkey % 25 % 5 AS varchar),
+         'M' || cast(p_partkey % 25 AS varchar), 'files'
+  FROM part
+)"""
+
 ROLES["r_act_codes"] = """
 r_act_codes AS (
   SELECT * FROM (VALUES

@@ -64,14 +64,23 @@ def _flat_events(events: DataFrame) -> DataFrame:
     )
 
 
-def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_name: str,
-                 last_run: int | None = None, strict: bool = False,
-                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """47-column audit report."""
-    ev = _flat_events(events)
-    if last_run is not None:
-        ev = ev.where(incremental_condition(last_run, strict))
+@dataclass
+class PreparedDims:
+    """Dimensions made unique on their keys, prefixed, and size-checked."""
+    u: DataFrame
+    u2: DataFrame
+    w: DataFrame
+    m: DataFrame
+    m2: DataFrame
+    cw: DataFrame
+    ac: DataFrame
+    a: DataFrame
+    cw_model_name: Column
+    strict: bool
 
+
+def prepare_dims(dims: Dimensions, strict: bool = False,
+                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> PreparedDims:
     def dim(df: DataFrame, keys: list[str], prefix: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
         raw = df.select(*keys, *[c for c in cols if c not in keys])
         out = raw if strict else unique_on(raw, keys, keep_null_keys=False)
@@ -89,18 +98,14 @@ def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_n
     cw_src = cw_raw
     if not strict:
         cw_src = unique_on(cw_src, ["integrationId"], keep_null_keys=False)
-        models_u = unique_on(dims.models.select("id", "name"), ["id"], keep_null_keys=False)
-        cw_src = cw_src.join(
-            models_u.select(F.col("id").alias("__mid"), F.col("name").alias("model_name")),
-            F.col("modelId") == F.col("__mid"), "left",
-        ).drop("__mid")
+        cw_src = integration_model_names(cw_src, dims.models, how="left")
     cw = (prefixed(cw_src, "cw_"), cw_raw)
     if strict:
         # D-5 strict: one constant for every integration event, the first model
-        # name found by integration order (the uncorrelated scalar subquery).
-        first = (dims.cloudworks.join(dims.models, dims.cloudworks["modelId"] == dims.models["id"])
-                 .agg(F.min_by(dims.models["name"], dims.cloudworks["integrationId"]).alias("n"))
-                 .first())
+        # name found by integration order (the uncorrelated scalar subquery);
+        # a single value, so it is fetched once and bound as a literal.
+        first = (integration_model_names(cw_raw, dims.models, how="inner")
+                 .agg(F.min_by("model_name", "integrationId").alias("n")).first())
         cw_model_name = F.lit(first["n"] if first else None).cast("string")
     else:
         cw_model_name = F.col("cw_model_name")
@@ -118,38 +123,138 @@ def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_n
     a = dim(dims.actions, ["id", "model_id"], "a_", ["name"])
     # One job checks every dimension's size bound; under it, broadcast.
     u, u2, w, m, m2, cw, a = bounded_broadcast_all([u, u2, w, m, m2, cw, a], broadcast_max_rows)
+    return PreparedDims(u, u2, w, m, m2, cw, ac, a, cw_model_name, strict)
 
-    # Joins on the same key sit together (u2, m2, cw all on objectId).
-    j = ev.join(u, F.col("userId") == F.col("u_id"), "left")
-    j = j.join(u2, F.col("objectId") == F.col("u2_id"), "left")
-    j = j.join(m2, F.col("objectId") == F.col("m2_id"), "left")
-    j = j.join(cw, F.col("objectId") == F.col("cw_integrationId"), "left")
-    if strict:
-        # D-7 strict: key by concatenation (can collide: '1'||'12' = '11'||'2').
+
+def integration_model_names(cloudworks: DataFrame, models: DataFrame, how: str = "inner") -> DataFrame:
+    """Integrations with the name of the model they load.
+
+    ``inner`` is the source's subquery join; the report uses ``left`` so an
+    integration whose model is unknown keeps its row (its name is null).
+    """
+    mod = unique_on(models.select("id", "name"), ["id"], keep_null_keys=False)
+    mod = mod.select(F.col("id").alias("__mid"), F.col("name").alias("model_name"))
+    return cloudworks.join(F.broadcast(mod) if how == "inner" else mod,
+                           F.col("modelId") == F.col("__mid"), how).drop("__mid")
+
+
+# --- enrichment steps: each adds one dimension's columns to the flat events ---
+
+def join_actor(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Acting user (``userId = u.id``)."""
+    return ev.join(d.u, F.col("userId") == F.col("u_id"), "left")
+
+
+def join_object_user(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Object user (``objectId = u2.id``)."""
+    return ev.join(d.u2, F.col("objectId") == F.col("u2_id"), "left")
+
+
+def join_object_model(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Object model (``objectId = m2.id``)."""
+    return ev.join(d.m2, F.col("objectId") == F.col("m2_id"), "left")
+
+
+def join_integration(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Integration (``objectId = cw.integrationId``)."""
+    return ev.join(d.cw, F.col("objectId") == F.col("cw_integrationId"), "left")
+
+
+def join_action(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Action by (action id, model id).
+
+    Default: two-column equality.  ``strict`` (D-7) keys by concatenation as
+    the source does, which can collide ('1'||'12' = '11'||'2').
+    """
+    if d.strict:
         cond = F.concat("aa_actionId", "objectId") == F.concat("a_id", "a_model_id")
     else:
         cond = (F.col("aa_actionId") == F.col("a_id")) & (F.col("objectId") == F.col("a_model_id"))
-    j = j.join(a, cond, "left")
-    j = j.join(w, F.col("aa_workspaceId") == F.col("w_id"), "left")
-    j = j.join(m, F.col("aa_modelId") == F.col("m_id"), "left")
-    j = j.join(ac, F.col("eventTypeId") == F.col("ac_code"), "left")
-
-    is_model_obj = F.col("objectId") == F.col("m2_id")
-    is_cw_obj = F.col("objectId") == F.col("cw_integrationId")
-    is_user_obj = F.col("objectId") == F.col("u2_id")
-    has_attr_model = F.col("aa_modelId").isNotNull()
-
-    model_id = F.when(has_attr_model, F.col("aa_modelId")).when(is_cw_obj, F.col("cw_modelId"))
-    model_name = F.when(has_attr_model, F.col("m_name")).when(is_cw_obj, cw_model_name)
-    object_type = (F.when(is_model_obj, F.lit(schemas.OBJECT_TYPE_MODEL))
-                   .when(is_cw_obj, F.lit(schemas.OBJECT_TYPE_INTEGRATION))
-                   .when(is_user_obj, F.lit(schemas.OBJECT_TYPE_USER)))
-    object_name = (F.when(is_model_obj, F.col("m2_name"))
-                   .when(is_cw_obj, F.col("cw_name"))
-                   .when(is_user_obj, F.col("u2_userName")))
-    action_name = (F.when(F.col("aa_actionId").eqNullSafe(schemas.ACTION_UNSAVED_ID), F.lit(schemas.ACTION_UNSAVED))
-                   .when(F.col("a_name").isNull() & F.col("aa_actionId").isNotNull(), F.lit(schemas.ACTION_DELETED))
-                   .otherwise(F.col("a_name")))
+    return ev.join(d.a, cond, "left")
+
+
+def join_workspace(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Workspace (``additionalAttributes.workspaceId = w.id``)."""
+    return ev.join(d.w, F.col("aa_workspaceId") == F.col("w_id"), "left")
+
+
+def join_model(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Attribute model (``additionalAttributes.modelId = m.id``)."""
+    return ev.join(d.m, F.col("aa_modelId") == F.col("m_id"), "left")
+
+
+def join_activity_code(ev: DataFrame, d: PreparedDims) -> DataFrame:
+    """Activity code (``eventTypeId = ac.Event Code``), always broadcast."""
+    return ev.join(d.ac, F.col("eventTypeId") == F.col("ac_code"), "left")
+
+
+# --- conditional columns (C01-C05) ---
+
+def _is_model_obj() -> Column:
+    return F.col("objectId") == F.col("m2_id")
+
+
+def _is_cw_obj() -> Column:
+    return F.col("objectId") == F.col("cw_integrationId")
+
+
+def _is_user_obj() -> Column:
+    return F.col("objectId") == F.col("u2_id")
+
+
+def model_id_col() -> Column:
+    """Attribute model id, else the integration's model id, else null."""
+    return F.when(F.col("aa_modelId").isNotNull(), F.col("aa_modelId")).when(_is_cw_obj(), F.col("cw_modelId"))
+
+
+def model_name_col(d: PreparedDims) -> Column:
+    """Attribute model's name (even when unmatched), else the integration's model name."""
+    return F.when(F.col("aa_modelId").isNotNull(), F.col("m_name")).when(_is_cw_obj(), d.cw_model_name)
+
+
+def object_type_col() -> Column:
+    """Model > CloudWorks Integration > User > null (order matters)."""
+    return (F.when(_is_model_obj(), F.lit(schemas.OBJECT_TYPE_MODEL))
+            .when(_is_cw_obj(), F.lit(schemas.OBJECT_TYPE_INTEGRATION))
+            .when(_is_user_obj(), F.lit(schemas.OBJECT_TYPE_USER)))
+
+
+def object_name_col() -> Column:
+    """Model name > integration name > user name > null."""
+    return (F.when(_is_model_obj(), F.col("m2_name"))
+            .when(_is_cw_obj(), F.col("cw_name"))
+            .when(_is_user_obj(), F.col("u2_userName")))
+
+
+def action_name_col() -> Column:
+    """Id -1 -> Unsaved Action; no name but an id -> deleted; else the name."""
+    return (F.when(F.col("aa_actionId").eqNullSafe(schemas.ACTION_UNSAVED_ID), F.lit(schemas.ACTION_UNSAVED))
+            .when(F.col("a_name").isNull() & F.col("aa_actionId").isNotNull(), F.lit(schemas.ACTION_DELETED))
+            .otherwise(F.col("a_name")))
+
+
+def flat_events(events: DataFrame, last_run: int | None = None, strict: bool = False) -> DataFrame:
+    ev = _flat_events(events)
+    if last_run is not None:
+        ev = ev.where(incremental_condition(last_run, strict))
+    return ev
+
+
+def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_name: str,
+                 last_run: int | None = None, strict: bool = False,
+                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """47-column audit report."""
+    d = prepare_dims(dims, strict, broadcast_max_rows)
+    j = flat_events(events, last_run, strict)
+    # Joins on the same key sit together (u2, m2, cw all on objectId).
+    for step in (join_actor, join_object_user, join_object_model, join_integration,
+                 join_action, join_workspace, join_model, join_activity_code):
+        j = step(j, d)
+    model_id = model_id_col()
+    model_name = model_name_col(d)
+    object_type = object_type_col()
+    object_name = object_name_col()
+    action_name = action_name_col()
 
     out = j.select(
         load_id("eventDate", "index").alias("LOAD_ID"),

@@ -165,7 +165,7 @@ def r_cloudworks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("C"), _txt("s_suppkey")).alias("integrationId"),
         F.col("s_name").alias("name"),
         F.concat(F.lit("M"), _txt("s_nationkey")).alias("modelId"),
-        F.concat(F.lit("W"), _txt(F.col("s_nationkey") % 5)).alias("workspaceId"),
+        F.concat(F.lit("W"), _txt(F.col("s_suppkey") % 5)).alias("workspaceId"),
         F.struct(
             F.lit("sched").alias("name"),
             F.array(F.lit("MON"), F.lit("FRI")).alias("daysOfWeek"),
@@ -209,3 +209,21 @@ ACT_CODE_ROWS = [
 
 def r_act_codes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ACT_CODE_ROWS, schemas.ACT_CODES)
+
+
+def r_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed asset records with the page's kind: actions by kind, then files."""
+    p = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    kinds = schemas.ASSET_KINDS
+    kind = (F.when(key % 4 == 0, F.lit(kinds[0])).when(key % 4 == 1, F.lit(kinds[1]))
+            .when(key % 4 == 2, F.lit(kinds[2])).otherwise(F.lit(kinds[3])))
+    actions = p.select(
+        _txt(F.expr("p_partkey div 25")).alias("id"),
+        F.col("p_name").alias("name"),
+        F.concat(F.lit("W"), _txt(key % 25 % 5)).alias("workspace_id"),
+        F.concat(F.lit("M"), _txt(key % 25)).alias("model_id"),
+        kind.alias("kind"),
+    )
+    files = r_files(spark, sf_dir).withColumn("kind", F.lit(kinds[4]))
+    return actions.unionByName(files)

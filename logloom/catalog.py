@@ -492,3 +492,75 @@ def q_crawl_worklist(spark, sf_dir):
     """Every active (workspace, model) x asset kind, with records received."""
     models = D.active_models(R.r_models(spark, sf_dir))
     return D.crawl_worklist(models, R.r_assets(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Row identity, chunked export, sample, page, refresh log
+# --------------------------------------------------------------------------
+
+from logloom.operators import identity as ID  # noqa: E402
+from logloom.plans import export as EX  # noqa: E402
+
+# Chunk size of the registered export: 15,000 would give a single chunk at
+# sf0.01, so the registered queries use 1,500 (the default stays 15,000).
+EXPORT_CHUNK = 1500
+EXPORT_PAGE = 2
+_EXPORT_ORDER = ["__event_ms", "AUDIT_ID"]
+
+
+@register("batch_row_index", _ev_sql(
+    "e.id, e.eventDate, row_number() OVER (ORDER BY e.eventDate, e.id) - 1 AS batch_index"))
+def q_batch_row_index(spark, sf_dir):
+    """0-based arrival index of a batch, in (eventDate, id) order, without a one-task window."""
+    ev = R.r_events(spark, sf_dir).select("id", "eventDate")
+    return ID.row_index(ev, ["eventDate", "id"], out_col="batch_index")
+
+
+def _numbered_report(spark, sf_dir):
+    rep = audit_report(R.r_events(spark, sf_dir), report_dims(spark, sf_dir),
+                       batch_id=BATCH_ID, tenant_name=TENANT_NAME, order_key=True)
+    return EX.number_for_export(rep, _EXPORT_ORDER, chunk_size=EXPORT_CHUNK, acronym="AUDIT",
+                                drop_cols=["__event_ms"])
+
+
+_NUMBERED_SQL = ("numbered AS (SELECT *, row_number() OVER (ORDER BY __event_ms, AUDIT_ID) - 1 AS __rn "
+                 "FROM rep)")
+
+
+@register("export_chunks", O.with_roles(
+    f"SELECT __rn // {EXPORT_CHUNK} AS chunk, __rn + 1 AS AUDIT_CT, * EXCLUDE (__event_ms, __rn) FROM numbered",
+    *O.REPORT_ROLES, extra=[O.report_cte(BATCH_ID, TENANT_NAME, order_key=True), _NUMBERED_SQL]))
+def q_export_chunks(spark, sf_dir):
+    """Every report row with its chunk and export counter, in one pass."""
+    return _numbered_report(spark, sf_dir).drop("__rn")
+
+
+@register("page_of_report", O.with_roles(
+    "SELECT * EXCLUDE (__event_ms) FROM rep ORDER BY __event_ms, AUDIT_ID "
+    f"LIMIT {EXPORT_CHUNK} OFFSET {EXPORT_CHUNK * EXPORT_PAGE}",
+    *O.REPORT_ROLES, extra=[O.report_cte(BATCH_ID, TENANT_NAME, order_key=True)]))
+def q_page_of_report(spark, sf_dir):
+    """One page of the ordered report (``LIMIT n OFFSET k``) from the numbered rows."""
+    page = EX.page_of(_numbered_report(spark, sf_dir), EXPORT_PAGE)
+    return page.drop("chunk", "AUDIT_CT", "__rn")
+
+
+@register("export_sample", O.with_roles(
+    "SELECT row_number() OVER (ORDER BY id) AS USR_CT, id, userName, displayName FROM r_users "
+    "ORDER BY id LIMIT 2000", "r_users"))
+def q_export_sample(spark, sf_dir):
+    """The users list's sample file -- first 2,000 rows with ``USR_CT``."""
+    users = D.dim_users(R.r_users(spark, sf_dir))
+    return EX.sample(users, ["id"], acronym="USR")
+
+
+@register("refresh_log", _ev_sql(
+    f"cast({BATCH_ID} AS bigint) AS BATCH_ID, "
+    f"strftime(timezone('US/Eastern', to_timestamp({BATCH_ID})), '%d-%m-%Y %H:%M:%S') || ' ' || "
+    f"CASE WHEN epoch(timezone('US/Eastern', to_timestamp({BATCH_ID}))) - {BATCH_ID} = -14400 "
+    "THEN 'EDT' ELSE 'EST' END AS TIME_STAMP, "
+    "count(*) AS AUDIT_RECORDS_LOADED", f"WHERE e.eventDate > {LAST_RUN}"))
+def q_refresh_log(spark, sf_dir):
+    """The run-log row appended after each refresh."""
+    counted = INC.incremental_count(R.r_events(spark, sf_dir, since_ms=LAST_RUN), LAST_RUN)
+    return EX.refresh_log_row(spark, BATCH_ID, counted)

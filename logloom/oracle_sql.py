@@ -215,8 +215,21 @@ REPORT_ROLES = ("r_events", "r_users", "r_workspaces", "r_models", "r_cloudworks
                 "r_act_codes", "r_actions")
 
 
-def report_sql(batch_id: int, tenant_name: str, where: str = "") -> str:
+def report_sql(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False) -> str:
     body = REPORT_SELECT.format(batch_id=int(batch_id), tenant_name=tenant_name.replace("'", "''"))
+    if order_key:
+        body = body.replace("  e.checksum AS CHECKSUM\n", "  e.checksum AS CHECKSUM,\n  e.eventDate AS __event_ms\n")
     if where:
         body = body + "WHERE " + where + "\n"
     return with_roles(body, *REPORT_ROLES)
+
+
+def report_cte(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False,
+               name: str = "rep") -> str:
+    """The report as a CTE (``<name> AS (...)``) for queries built on top of it."""
+    body = REPORT_SELECT.format(batch_id=int(batch_id), tenant_name=tenant_name.replace("'", "''"))
+    if order_key:
+        body = body.replace("  e.checksum AS CHECKSUM\n", "  e.checksum AS CHECKSUM,\n  e.eventDate AS __event_ms\n")
+    if where:
+        body = body + "WHERE " + where + "\n"
+    return f"{name} AS ({body})"

@@ -242,8 +242,13 @@ def flat_events(events: DataFrame, last_run: int | None = None, strict: bool = F
 
 def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_name: str,
                  last_run: int | None = None, strict: bool = False,
-                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """47-column audit report."""
+                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                 order_key: bool = False) -> DataFrame:
+    """47-column audit report.
+
+    ``order_key`` appends ``__event_ms`` (the event's epoch ms), the export's
+    sort key together with ``AUDIT_ID``.
+    """
     d = prepare_dims(dims, strict, broadcast_max_rows)
     j = flat_events(events, last_run, strict)
     # Joins on the same key sit together (u2, m2, cw all on objectId).
@@ -304,5 +309,6 @@ def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_n
         F.col("aa_objectId").alias("ADDITIONAL_ATTRIBUTES_OBJECT_ID"),
         F.col("aa_active").alias("ADDITIONAL_ATTRIBUTES_ACTIVE"),
         F.col("checksum").alias("CHECKSUM"),
+        *([F.col("eventDate").alias("__event_ms")] if order_key else []),
     )
     return out

@@ -564,3 +564,173 @@ def q_refresh_log(spark, sf_dir):
     """The run-log row appended after each refresh."""
     counted = INC.incremental_count(R.r_events(spark, sf_dir, since_ms=LAST_RUN), LAST_RUN)
     return EX.refresh_log_row(spark, BATCH_ID, counted)
+
+
+# --------------------------------------------------------------------------
+# Paged JSON: scan, explode, flatten, template, reconciliation
+# --------------------------------------------------------------------------
+
+from logloom import schemas as SC  # noqa: E402
+from logloom.operators import flatten as FL  # noqa: E402
+from logloom.session import shared_dir  # noqa: E402
+from logloom.sources import pages as PG  # noqa: E402
+
+USER_PAGE_SIZE = 500
+ASSET_PAGE_SIZE = 100
+
+
+def _land_event_pages(spark, sf_dir) -> str:
+    out = shared_dir(spark, "landing-events")
+    ev = R.r_events(spark, sf_dir).drop("index")
+    PG.land_pages(ev, out, "response", SC.AUDIT_BATCH_SIZE, ["eventDate", "id"], envelope="events")
+    return out
+
+
+@register("event_pages_scan", _ev_sql(O.TEMPLATE_SELECT))
+def q_event_pages_scan(spark, sf_dir):
+    """Events landed as 10,000-event pages, read back in one scan, flattened."""
+    events = PG.read_event_pages(spark, _land_event_pages(spark, sf_dir))
+    flat = FL.flatten_struct(events.drop("page", "pos"))
+    return FL.align_template(flat, SC.TEMPLATE)
+
+
+@register("flatten_struct", _ev_sql(O.TEMPLATE_SELECT + ", e.idx AS \"index\""))
+def q_flatten_struct(spark, sf_dir):
+    """Nested ``additionalAttributes`` to dotted top-level columns."""
+    return FL.flatten_struct(R.r_events(spark, sf_dir))
+
+
+_ALIGN_KEEP = ["id", "eventTypeId", "userId", "eventDate", "additionalAttributes.modelId",
+               "additionalAttributes.actionId"]
+
+
+@register("align_template", _ev_sql(
+    ", ".join(
+        [f"e.{c}" if c in ("id", "eventTypeId", "userId", "eventDate") else
+         (f'e.aa_{c.split(".")[1]} AS "{c}"' if c in _ALIGN_KEEP else
+          (f'NULL::boolean AS "{c}"' if c == "success" else
+           (f'NULL::bigint AS "{c}"' if c in ("createdDate",) else f'NULL::varchar AS "{c}"')))
+         for c in SC.TEMPLATE_COLUMNS]
+        + ["e.aa_objectId || '/' || e.eventTypeId AS \"additionalAttributes.x\""])))
+def q_align_template(spark, sf_dir):
+    """A partial batch with an unknown field aligned to the 37-column template."""
+    flat = FL.flatten_struct(R.r_events(spark, sf_dir))
+    partial = flat.select(*[F.col(f"`{c}`") for c in _ALIGN_KEEP],
+                          F.concat(F.col("`additionalAttributes.objectId`"), F.lit("/"),
+                                   F.col("eventTypeId")).alias("additionalAttributes.x"))
+    return FL.align_template(partial, SC.TEMPLATE)
+
+
+def _land_asset_pages(spark, sf_dir) -> str:
+    out = shared_dir(spark, "landing-assets")
+    PG.land_pages(R.r_assets(spark, sf_dir), out, "items", ASSET_PAGE_SIZE, ["id", "name"],
+                  envelope="meta", group_cols=["workspace_id", "model_id", "kind"])
+    return out
+
+
+@register("metadata_pages_scan", O.with_roles(
+    "SELECT id, name, workspace_id, model_id, kind FROM r_assets", "r_assets"))
+def q_metadata_pages_scan(spark, sf_dir):
+    """Asset pages landed per (workspace, model, kind) folder, read in one scan;
+    the page's folder supplies the constant columns."""
+    path = _land_asset_pages(spark, sf_dir)
+    schema = PG.page_schema("items", SC.NAMED_ASSET, "meta", context=["workspace_id", "model_id", "kind"])
+    pages = PG.read_pages(spark, path, schema)
+    rows = PG.explode_records(pages, "items", keep=["workspace_id", "model_id", "kind"])
+    return rows.select("id", "name", "workspace_id", "model_id", "kind")
+
+
+@register("page_reconciliation", O.with_roles(f"""
+SELECT 'events' AS entity, count(*) AS records_received, count(*) AS records_announced,
+       cast(ceil(count(*) / {SC.AUDIT_BATCH_SIZE}) AS bigint) AS pages_received
+FROM r_events
+UNION ALL
+SELECT 'users', count(*), count(*), cast(ceil(count(*) / {USER_PAGE_SIZE}) AS bigint) FROM r_users
+""", "r_events", "r_users"))
+def q_page_reconciliation(spark, sf_dir):
+    """Per entity, records received vs the total the pages announce, and pages read."""
+    ev_pages = PG.read_pages(spark, _land_event_pages(spark, sf_dir),
+                             PG.page_schema("response", SC.EVENT, "events"))
+    users_dir = shared_dir(spark, "landing-users")
+    PG.land_pages(R.r_users(spark, sf_dir), users_dir, "Resources", USER_PAGE_SIZE, ["id"], envelope="scim")
+    user_pages = PG.read_pages(spark, users_dir, PG.page_schema("Resources", SC.USER, "scim"))
+    return INC.page_reconciliation({"events": (ev_pages, "response", "events"),
+                                    "users": (user_pages, "Resources", "scim")})
+
+
+# --------------------------------------------------------------------------
+# Nested task results and named items
+# --------------------------------------------------------------------------
+
+from logloom.operators import tasks as TK  # noqa: E402
+
+TASK_SIZE = 50
+ITEMS_PER_DOC = 100
+_REJECTED = "Row rejected"
+
+
+def _land_task_docs(spark, sf_dir) -> str:
+    """Task-result documents built from events with Spark: one task per
+    (workspace, model, 50 consecutive events); each event with an action id
+    is a nested result, failed when the event did not succeed."""
+    ev = P.flat_events(R.r_events(spark, sf_dir)).where(F.col("aa_actionId").isNotNull())
+    missing = F.struct(F.lit(SC.MISSING_ITEM_MESSAGE).alias("localMessageText"),
+                       F.array("eventTypeId", "id").alias("values"))
+    rejected = F.struct(F.lit(_REJECTED).alias("localMessageText"), F.array("id").alias("values"))
+    details = F.filter(F.array(F.when(F.col("aa_modelRoleName").isNotNull(), missing),
+                               F.when(F.col("aa_roleId").isNotNull(), rejected)),
+                       lambda x: x.isNotNull())
+    result = F.struct(F.col("aa_actionId").alias("objectId"), (~F.col("success")).alias("failureDumpAvailable"),
+                      details.alias("details"))
+    task_id = F.concat(F.lit("T"), F.call_function("div", F.col("index"), F.lit(TASK_SIZE)).cast("string"))
+    grouped = (ev.select(task_id.alias("taskId"), F.col("aa_workspaceId").alias("workspaceId"),
+                         F.col("objectId").alias("modelId"), F.struct(F.col("index"), result).alias("it"))
+               .groupBy("taskId", "workspaceId", "modelId")
+               .agg(F.sort_array(F.collect_list("it")).alias("its")))
+    doc = F.struct("taskId", "workspaceId", "modelId", F.struct(
+        F.lit("COMPLETE").alias("taskState"),
+        F.struct(F.transform("its", lambda x: x["col2"]).alias("nestedResults")).alias("result")).alias("task"))
+    out = shared_dir(spark, "landing-tasks")
+    grouped.select(F.to_json(doc).alias("value")).write.mode("overwrite").text(out)
+    return out
+
+
+@register("task_failures", O.with_roles(f"""
+SELECT 'T' || cast(e.idx // {TASK_SIZE} AS varchar) AS taskId, e.aa_workspaceId AS workspaceId,
+       e.objectId AS modelId, e.aa_actionId AS objectId, coalesce(a.name, '-1') AS action_name,
+       d.message, CASE WHEN d.message = '{SC.MISSING_ITEM_MESSAGE}' THEN d.vals END AS missing_values
+FROM r_events e
+LEFT JOIN r_actions a ON a.workspace_id = e.aa_workspaceId AND a.model_id = e.objectId AND a.id = e.aa_actionId
+CROSS JOIN LATERAL (
+  SELECT '{SC.MISSING_ITEM_MESSAGE}' AS message, e.eventTypeId || ',' || e.id AS vals WHERE e.aa_modelRoleName IS NOT NULL
+  UNION ALL SELECT '{_REJECTED}', e.id WHERE e.aa_roleId IS NOT NULL
+  UNION ALL SELECT NULL, NULL WHERE e.aa_modelRoleName IS NULL AND e.aa_roleId IS NULL
+) d
+WHERE e.aa_actionId IS NOT NULL AND NOT e.success
+""", "r_events", "r_actions"))
+def q_task_failures(spark, sf_dir):
+    """Failed nested results of landed task documents, per detail, with action names."""
+    tasks = PG.read_pages(spark, _land_task_docs(spark, sf_dir), SC.TASK_PAGE)
+    return TK.task_failures(tasks, R.r_actions(spark, sf_dir))
+
+
+@register("lookup_named_items", f"""
+SELECT 'D' || cast(p_partkey // {ITEMS_PER_DOC} AS varchar) AS docId, p_brand AS name,
+       arg_max('I' || cast(p_partkey AS varchar), p_partkey) AS id,
+       arg_max('MOD' || cast(p_size AS varchar), p_partkey) AS moduleId
+FROM part GROUP BY 1, 2""")
+def q_lookup_named_items(spark, sf_dir):
+    """Line-item style documents; per document and name, the last match wins."""
+    p = R.table(spark, sf_dir, "part")
+    item = F.struct(F.col("p_partkey"), F.struct(
+        F.concat(F.lit("I"), F.col("p_partkey").cast("string")).alias("id"),
+        F.col("p_brand").alias("name"),
+        F.concat(F.lit("MOD"), F.col("p_size").cast("string")).alias("moduleId")).alias("item"))
+    docs = (p.select(F.concat(F.lit("D"), F.call_function("div", F.col("p_partkey"), F.lit(ITEMS_PER_DOC))
+                              .cast("string")).alias("docId"), item.alias("it"))
+            .groupBy("docId").agg(F.sort_array(F.collect_list("it")).alias("its"))
+            .select("docId", F.transform("its", lambda x: x["item"]).alias("items")))
+    out = shared_dir(spark, "landing-items")
+    docs.select(F.to_json(F.struct("docId", "items")).alias("value")).write.mode("overwrite").text(out)
+    landed = spark.read.schema(SC.NAMED_ITEMS_PAGE).json(out)
+    return TK.lookup_named_items(landed, "items")

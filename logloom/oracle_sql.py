@@ -233,3 +233,14 @@ def report_cte(batch_id: int, tenant_name: str, where: str = "", order_key: bool
     if where:
         body = body + "WHERE " + where + "\n"
     return f"{name} AS ({body})"
+
+
+# Flat 37-column template of an event, from the r_events role (dotted names).
+_BASE = ["id", "eventTypeId", "userId", "tenantId", "objectId", "message", "success", "errorNumber",
+         "ipAddress", "userAgent", "sessionId", "hostName", "serviceVersion", "eventDate",
+         "eventTimeZone", "createdDate", "createdTimeZone", "checksum", "objectTypeId", "objectTenantId"]
+_ATTRS = ["workspaceId", "actionId", "name", "type", "auth_id", "modelAccessLevel", "modelId",
+          "modelRoleName", "modelRoleId", "active", "actionName", "nux_visible", "roleId", "roleName",
+          "objectTypeId", "objectTenantId", "objectId"]
+TEMPLATE_SELECT = ", ".join([f"e.{c}" for c in _BASE]
+                            + [f'e.aa_{a} AS "additionalAttributes.{a}"' for a in _ATTRS])

@@ -46,3 +46,22 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
             F.lit(name).alias("table_name"), "row_count")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+def page_reconciliation(sources: dict) -> DataFrame:
+    """Records received, records announced, and pages read, per entity.
+
+    ``sources`` maps entity -> (pages DataFrame, record path, envelope).  One
+    aggregate per entity over its pages: ``size`` of each page's record array
+    is summed, so the records are never exploded just to be counted.
+    """
+    out = None
+    for entity, (pages, record_path, envelope) in sources.items():
+        announced = F.col("totalResults") if envelope == "scim" else F.col("meta.paging.totalSize")
+        agg = pages.agg(
+            F.sum(F.size(record_path)).cast("bigint").alias("records_received"),
+            F.max(announced).cast("bigint").alias("records_announced"),
+            F.count_distinct("page").cast("bigint").alias("pages_received"),
+        ).select(F.lit(entity).alias("entity"), "records_received", "records_announced", "pages_received")
+        out = agg if out is None else out.unionByName(agg)
+    return out

@@ -734,3 +734,145 @@ def q_lookup_named_items(spark, sf_dir):
     docs.select(F.to_json(F.struct("docId", "items")).alias("value")).write.mode("overwrite").text(out)
     landed = spark.read.schema(SC.NAMED_ITEMS_PAGE).json(out)
     return TK.lookup_named_items(landed, "items")
+
+
+# --------------------------------------------------------------------------
+# Reference CSV, history TSV chunks, merge, sources
+# --------------------------------------------------------------------------
+
+from logloom.plans import history as HI  # noqa: E402
+from logloom.sources import codes as CO  # noqa: E402
+from logloom.sources import history as HS  # noqa: E402
+
+HISTORY_CHUNK_ROWS = 5000
+# Source-style history header: spaces, '/' and parentheses to be cleaned.
+HISTORY_HEADER = ["Date/Time", "User Name", "Line Item (Module)", "Dimension 1", "New Value"]
+HISTORY_SPLIT = "1996-01-01"
+HISTORY_OVERLAP = "1995-01-01"
+
+
+@register("activity_codes_scan", """
+SELECT 'C-' || cast(c_custkey AS varchar) AS "Event Code", c_name AS "Event Message",
+       CASE c_custkey % 4 WHEN 0 THEN '--' WHEN 1 THEN NULL ELSE 'The associated model ID.' END
+         AS "Associated Object ID",
+       CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 2 THEN NULL ELSE c_mktsegment END AS "Notes"
+FROM customer""")
+def q_activity_codes_scan(spark, sf_dir):
+    """S03/D-13: a header CSV with ragged 3-field rows and ``N/A`` nulls."""
+    c = R.table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    code = F.concat(F.lit("C-"), key.cast("string"))
+    line = (F.when(key % 4 == 0, F.concat_ws(",", code, F.col("c_name"), F.lit("--")))
+            .when(key % 4 == 1, F.concat_ws(",", code, F.col("c_name"), F.lit("N/A"), F.col("c_mktsegment")))
+            .when(key % 4 == 2, F.concat_ws(",", code, F.col("c_name"), F.lit("The associated model ID."),
+                                            F.lit("N/A")))
+            .otherwise(F.concat_ws(",", code, F.col("c_name"), F.lit("The associated model ID."),
+                                   F.col("c_mktsegment"))))
+    out = shared_dir(spark, "landing-codes")
+    CO.land_csv_lines(c.select(line.alias("value")), out, ",".join(SC.ACT_CODE_COLUMNS))
+    return CO.read_activity_codes(spark, out)
+
+
+def _history_rows(spark, sf_dir):
+    li = R.table(spark, sf_dir, "lineitem")
+    cols = [
+        F.date_format("l_shipdate", "yyyy-MM-dd"),
+        F.concat(F.lit("user"), F.col("l_suppkey").cast("string")),
+        F.concat(F.lit("LI"), F.col("l_linenumber").cast("string"), F.lit(" (M"),
+                 (F.col("l_partkey") % 25).cast("string"), F.lit(")")),
+        F.concat(F.lit("O"), F.col("l_orderkey").cast("string")),
+        F.col("l_quantity").cast("bigint").cast("string"),
+    ]
+    return R.spread(spark, li).select(*[c.alias(n) for c, n in zip(cols, HISTORY_HEADER)],
+                                      F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_shipdate"))
+
+
+_HISTORY_SQL = """
+SELECT strftime(l_shipdate, '%Y-%m-%d') AS Date_Time, 'user' || cast(l_suppkey AS varchar) AS User_Name,
+       'LI' || cast(l_linenumber AS varchar) || ' (M' || cast(l_partkey % 25 AS varchar) || ')' AS Line_Item_Module,
+       'O' || cast(l_orderkey AS varchar) AS Dimension_1, cast(cast(l_quantity AS bigint) AS varchar) AS New_Value
+FROM lineitem"""
+
+
+@register("history_scan", _HISTORY_SQL)
+def q_history_scan(spark, sf_dir):
+    """TSV chunks (header in chunk 0 only) read in one scan, names sanitized."""
+    rows = _history_rows(spark, sf_dir)
+    out = shared_dir(spark, "landing-history")
+    HS.land_history_chunks(rows.select(*[F.col(f"`{c}`") for c in HISTORY_HEADER]),
+                           out, HISTORY_CHUNK_ROWS, [f"`{HISTORY_HEADER[3]}`", f"`{HISTORY_HEADER[2]}`"])
+    return HS.read_history_chunks(spark, out)
+
+
+@register("history_merge", "SELECT DISTINCT * FROM (" + _HISTORY_SQL + ")")
+def q_history_merge(spark, sf_dir):
+    """Stored history (older export) merged with the latest, overlapping export;
+    whole-row duplicates removed; written to a new folder, then read."""
+    rows = _history_rows(spark, sf_dir)
+    stored = rows.where(F.col("l_shipdate") < F.lit(HISTORY_SPLIT).cast("timestamp_ntz"))
+    latest = rows.where(F.col("l_shipdate") >= F.lit(HISTORY_OVERLAP).cast("timestamp_ntz"))
+    keep = [F.col(f"`{c}`") for c in HISTORY_HEADER]
+    stored_dir, latest_dir = shared_dir(spark, "history-stored"), shared_dir(spark, "landing-history")
+    HS.land_history_chunks(stored.select(*keep), stored_dir, HISTORY_CHUNK_ROWS,
+                           [f"`{HISTORY_HEADER[3]}`", f"`{HISTORY_HEADER[2]}`"])
+    HS.land_history_chunks(latest.select(*keep), latest_dir, HISTORY_CHUNK_ROWS,
+                           [f"`{HISTORY_HEADER[3]}`", f"`{HISTORY_HEADER[2]}`"])
+    merged = HI.merge_history(HS.read_history_chunks(spark, stored_dir), HS.read_history_chunks(spark, latest_dir))
+    return HI.write_merged(merged, shared_dir(spark, "history-merged"))
+
+
+HISTORY_SOURCE_NAME = "Brand#13"
+
+
+@register("history_sources", O.with_roles(
+    f"SELECT workspace_id, model_id, kind, id FROM r_assets WHERE kind IN ('exports', 'files') "
+    f"AND name = '{HISTORY_SOURCE_NAME}'", "r_assets"))
+def q_history_sources(spark, sf_dir):
+    """exports/files carrying a given name (the history export's lookup)."""
+    return HI.history_sources(R.r_assets(spark, sf_dir), HISTORY_SOURCE_NAME)
+
+
+# --------------------------------------------------------------------------
+# Parameterized SQL text and stored tables
+# --------------------------------------------------------------------------
+
+from logloom.plans import report_sql as RS  # noqa: E402
+from logloom.sources import tables as TB  # noqa: E402
+
+
+@register("report_parameters", O.report_sql(BATCH_ID, TENANT_NAME, where=f"e.eventDate > {LAST_RUN}"))
+def q_report_parameters(spark, sf_dir):
+    """The report as SQL text with named parameters bound by Spark."""
+    d = report_dims(spark, sf_dir)
+    RS.register_views(R.r_events(spark, sf_dir, since_ms=LAST_RUN), {
+        "users": d.users, "workspaces": d.workspaces, "models": d.models.drop("categoryValues"),
+        "cloudworks": d.cloudworks.drop("schedule"), "act_codes": d.act_codes, "actions": d.actions})
+    return RS.audit_report_sql(spark, batch_id=BATCH_ID, tenant_name=TENANT_NAME, last_run=LAST_RUN)
+
+
+@register("table_replace", O.with_roles("SELECT id, name, workspace_id, model_id FROM r_actions", "r_actions"))
+def q_table_replace(spark, sf_dir):
+    """A table replaced twice (overwrite) keeps only the last write."""
+    path = shared_dir(spark, "table-actions")
+    TB.write_table(R.r_files(spark, sf_dir), path=path, mode="overwrite")
+    TB.write_table(D.dim_assets(R.r_actions(spark, sf_dir)), path=path, mode="overwrite")
+    return TB.read_table(spark, "actions", path=path)
+
+
+@register("table_append", O.with_roles(
+    "SELECT id, name, workspace_id, model_id FROM r_actions UNION ALL "
+    "SELECT id, name, workspace_id, model_id FROM r_files", "r_actions", "r_files"))
+def q_table_append(spark, sf_dir):
+    """Asset batches appended to one table (rows kept as they come)."""
+    path = shared_dir(spark, "table-assets")
+    TB.write_table(R.r_actions(spark, sf_dir), path=path, mode="append")
+    TB.write_table(R.r_files(spark, sf_dir), path=path, mode="append")
+    return TB.read_table(spark, "assets", path=path)
+
+
+@register("table_scan", O.with_roles("SELECT * FROM r_users", "r_users"))
+def q_table_scan(spark, sf_dir):
+    """``SELECT * FROM users`` over the stored table."""
+    path = shared_dir(spark, "table-users")
+    TB.write_table(R.r_users(spark, sf_dir), path=path)
+    return TB.read_table(spark, "users", path=path)

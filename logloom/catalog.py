@@ -876,3 +876,68 @@ def q_table_scan(spark, sf_dir):
     path = shared_dir(spark, "table-users")
     TB.write_table(R.r_users(spark, sf_dir), path=path)
     return TB.read_table(spark, "users", path=path)
+
+
+# --------------------------------------------------------------------------
+# Structured Streaming: incremental ingest with dedup, per-batch report (ST1-ST3)
+# --------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from logloom.streaming import ingest as ST  # noqa: E402
+
+# Two pulls over the event table: the first up to RUN1_END, the second from
+# RUN2_START (one day earlier) -- every event arrives once or twice, and the
+# overlap must come out once.
+STREAM_RUN1_END = "2024-01-16 00:00:00"
+STREAM_RUN2_START = "2024-01-15 00:00:00"
+
+
+def _land_two_pulls(spark, sf_dir):
+    root = shared_dir(spark, "landing-stream")
+    ev = R.r_events(spark, sf_dir).drop("index")
+    ts = F.timestamp_millis("eventDate")
+    run1 = ev.where(ts < F.lit(STREAM_RUN1_END).cast("timestamp"))
+    run2 = ev.where(ts >= F.lit(STREAM_RUN2_START).cast("timestamp"))
+    return root, [(f"{root}/run=1", run1), (f"{root}/run=2", run2)]
+
+
+def _pull(path, df):
+    PG.land_pages(df, path, "response", SC.AUDIT_BATCH_SIZE, ["eventDate", "id"], envelope="events")
+
+
+@register("stream_ingest", _ev_sql(O.TEMPLATE_SELECT))
+def q_stream_ingest(spark, sf_dir):
+    """ST1/ST2: two availableNow runs over overlapping pulls; each event stored once."""
+    root, pulls = _land_two_pulls(spark, sf_dir)
+    sink, ckpt = shared_dir(spark, "events-table"), shared_dir(spark, "ckpt-ingest")
+    for path, df in pulls:
+        _pull(path, df)
+        ST.ingest_available(spark, root, sink, ckpt, context=["run"])
+    stored = spark.read.parquet(sink).drop("event_ts", "run", "page")
+    return FL.align_template(FL.flatten_struct(stored), SC.TEMPLATE)
+
+
+_STREAM_REPORT_SQL = O.with_roles(
+    f"SELECT * EXCLUDE (__event_ms, BATCH_ID, LOAD_ID, b), {BATCH_ID} + b AS BATCH_ID, "
+    "cast(__event_ms // 1000 AS varchar) || printf('%09d', "
+    "row_number() OVER (PARTITION BY b ORDER BY __event_ms, AUDIT_ID) - 1) AS LOAD_ID "
+    "FROM (SELECT *, CASE WHEN __event_ms < epoch_ms(TIMESTAMP '" + STREAM_RUN1_END + "') "
+    "THEN 0 ELSE 1 END::bigint AS b FROM rep)",
+    *O.REPORT_ROLES, extra=[O.report_cte(BATCH_ID, TENANT_NAME, order_key=True)])
+
+
+@register("stream_report", _STREAM_REPORT_SQL)
+def q_stream_report(spark, sf_dir):
+    """ST3: the report computed per micro-batch over two overlapping pulls
+    (BATCH_ID = the run's stamp, LOAD_ID index numbered inside the batch)."""
+    root, pulls = _land_two_pulls(spark, sf_dir)
+    out, ckpt = shared_dir(spark, "report-batches"), shared_dir(spark, "ckpt-report")
+    dims = report_dims(spark, sf_dir)
+
+    for run_no, (path, df) in enumerate(pulls):
+        def enrich(batch, _micro_batch, stamp=BATCH_ID + run_no):
+            return audit_report(batch, dims, batch_id=stamp, tenant_name=TENANT_NAME)
+        _pull(path, df)
+        ST.report_each_batch(spark, root, out, ckpt, enrich, context=["run"])
+    return spark.read.parquet(out).drop("micro_batch")

@@ -742,6 +742,7 @@ def q_lookup_named_items(spark, sf_dir):
 
 from logloom.plans import history as HI  # noqa: E402
 from logloom.sources import codes as CO  # noqa: E402
+from logloom.sources import tables as TB  # noqa: E402
 from logloom.sources import history as HS  # noqa: E402
 
 HISTORY_CHUNK_ROWS = 5000
@@ -806,18 +807,18 @@ def q_history_scan(spark, sf_dir):
 
 @register("history_merge", "SELECT DISTINCT * FROM (" + _HISTORY_SQL + ")")
 def q_history_merge(spark, sf_dir):
-    """Stored history (older export) merged with the latest, overlapping export;
-    whole-row duplicates removed; written to a new folder, then read."""
+    """The stored history table merged with the latest, overlapping export
+    (TSV chunks); whole-row duplicates removed; written to a new folder, then read."""
     rows = _history_rows(spark, sf_dir)
-    stored = rows.where(F.col("l_shipdate") < F.lit(HISTORY_SPLIT).cast("timestamp_ntz"))
-    latest = rows.where(F.col("l_shipdate") >= F.lit(HISTORY_OVERLAP).cast("timestamp_ntz"))
     keep = [F.col(f"`{c}`") for c in HISTORY_HEADER]
+    stored = rows.where(F.col("l_shipdate") < F.lit(HISTORY_SPLIT).cast("timestamp_ntz")).select(*keep)
+    latest = rows.where(F.col("l_shipdate") >= F.lit(HISTORY_OVERLAP).cast("timestamp_ntz")).select(*keep)
     stored_dir, latest_dir = shared_dir(spark, "history-stored"), shared_dir(spark, "landing-history")
-    HS.land_history_chunks(stored.select(*keep), stored_dir, HISTORY_CHUNK_ROWS,
-                           [f"`{HISTORY_HEADER[3]}`", f"`{HISTORY_HEADER[2]}`"])
-    HS.land_history_chunks(latest.select(*keep), latest_dir, HISTORY_CHUNK_ROWS,
+    TB.write_table(stored.toDF(*X.sanitize_column_names(HISTORY_HEADER)), path=stored_dir)
+    HS.land_history_chunks(latest, latest_dir, HISTORY_CHUNK_ROWS,
                            [f"`{HISTORY_HEADER[3]}`", f"`{HISTORY_HEADER[2]}`"])
-    merged = HI.merge_history(HS.read_history_chunks(spark, stored_dir), HS.read_history_chunks(spark, latest_dir))
+    merged = HI.merge_history(TB.read_table(spark, "history", path=stored_dir),
+                              HS.read_history_chunks(spark, latest_dir))
     return HI.write_merged(merged, shared_dir(spark, "history-merged"))
 
 

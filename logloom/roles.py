@@ -25,12 +25,13 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Round-robin an under-split scan over the cluster's cores.
 
     The driver's tables are single-row-group files, which Spark cannot split,
-    so the whole table would land in one task.  Only when a scan has fewer
-    partitions than the default parallelism is it redistributed; a real
-    landed table (many files) is left alone and keeps its scan parallelism.
+    so the whole table would land in one task.  Only when a scan reads fewer
+    files than the default parallelism is it redistributed (the file list is
+    driver metadata, no job runs); a real landed table (many files) is left
+    alone and keeps its scan parallelism.
     """
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
 

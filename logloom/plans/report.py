@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from logloom import schemas
 from logloom.functions.text import epoch_text, load_id
 from logloom.operators.dimensions import unique_on
-from logloom.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast_all, prefixed
+from logloom.operators.joins import (DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast,
+                                     bounded_broadcast_all, prefixed)
 
 
 @dataclass
@@ -110,19 +111,18 @@ def prepare_dims(dims: Dimensions, strict: bool = False,
     else:
         cw_model_name = F.col("cw_model_name")
 
-    # Activity codes: a fixed reference list, small by construction.
-    ac_src = dims.act_codes.select(*[F.col(f"`{c}`") for c in schemas.ACT_CODE_COLUMNS])
-    if not strict:
-        ac_src = unique_on(ac_src, ["Event Code"], keep_null_keys=False)
-    ac = F.broadcast(ac_src.select(
+    # Activity codes: a reference list (138 rows in the source system).
+    ac_raw = dims.act_codes.select(*[F.col(f"`{c}`") for c in schemas.ACT_CODE_COLUMNS])
+    ac_src = ac_raw if strict else unique_on(ac_raw, ["Event Code"], keep_null_keys=False)
+    ac = (ac_src.select(
         F.col("`Event Code`").alias("ac_code"),
         F.col("`Event Message`").alias("ac_message"),
         F.col("`Associated Object ID`").alias("ac_assoc"),
         F.col("Notes").alias("ac_notes"),
-    ))
+    ), ac_raw)
     a = dim(dims.actions, ["id", "model_id"], "a_", ["name"])
     # One job checks every dimension's size bound; under it, broadcast.
-    u, u2, w, m, m2, cw, a = bounded_broadcast_all([u, u2, w, m, m2, cw, a], broadcast_max_rows)
+    u, u2, w, m, m2, cw, ac, a = bounded_broadcast_all([u, u2, w, m, m2, cw, ac, a], broadcast_max_rows)
     return PreparedDims(u, u2, w, m, m2, cw, ac, a, cw_model_name, strict)
 
 
@@ -132,10 +132,12 @@ def integration_model_names(cloudworks: DataFrame, models: DataFrame, how: str =
     ``inner`` is the source's subquery join; the report uses ``left`` so an
     integration whose model is unknown keeps its row (its name is null).
     """
-    mod = unique_on(models.select("id", "name"), ["id"], keep_null_keys=False)
+    raw = models.select("id", "name")
+    mod = unique_on(raw, ["id"], keep_null_keys=False)
     mod = mod.select(F.col("id").alias("__mid"), F.col("name").alias("model_name"))
-    return cloudworks.join(F.broadcast(mod) if how == "inner" else mod,
-                           F.col("modelId") == F.col("__mid"), how).drop("__mid")
+    if how == "inner":
+        mod = bounded_broadcast(mod, bound_source=raw)
+    return cloudworks.join(mod, F.col("modelId") == F.col("__mid"), how).drop("__mid")
 
 
 # --- enrichment steps: each adds one dimension's columns to the flat events ---
@@ -184,7 +186,7 @@ def join_model(ev: DataFrame, d: PreparedDims) -> DataFrame:
 
 
 def join_activity_code(ev: DataFrame, d: PreparedDims) -> DataFrame:
-    """Activity code (``eventTypeId = ac.Event Code``), always broadcast."""
+    """Activity code (``eventTypeId = ac.Event Code``)."""
     return ev.join(d.ac, F.col("eventTypeId") == F.col("ac_code"), "left")
 
 

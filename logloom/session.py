@@ -37,6 +37,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("LOGLOOM_DRIVER_MEMORY", "8g"),
+        # Checkpoints written by row numbering are removed once unreferenced.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     })
     conf.update(extra or {})
     for k, v in conf.items():

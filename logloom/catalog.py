@@ -942,3 +942,29 @@ def q_stream_report(spark, sf_dir):
         _pull(path, df)
         ST.report_each_batch(spark, root, out, ckpt, enrich, context=["run"])
     return spark.read.parquet(out).drop("micro_batch")
+
+
+# --------------------------------------------------------------------------
+# End-to-end refresh: landed pages -> tables -> report -> chunked CSV export
+# --------------------------------------------------------------------------
+
+from logloom.plans import refresh as RF  # noqa: E402
+
+_REFRESH_SQL = O.with_roles(
+    O.REPORT_SELECT.format(batch_id=BATCH_ID, tenant_name=TENANT_NAME).replace("FROM r_events e", "FROM r_events_n e"),
+    *O.REPORT_ROLES,
+    extra=["r_events_n AS (SELECT * REPLACE (row_number() OVER (ORDER BY eventDate, id) - 1 AS idx) FROM r_events)"])
+
+
+@register("refresh_report", _REFRESH_SQL)
+def q_refresh_report(spark, sf_dir):
+    """Entries 1-3 in one run: every entity landed as pages, ingested, shaped,
+    joined, and exported as CSV chunks; the export is read back."""
+    root = shared_dir(spark, "refresh")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    R.land_all(spark, sf_dir, landing)
+    RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(
+        tenant_name=TENANT_NAME, batch_id=BATCH_ID, chunk_size=EXPORT_CHUNK))
+    out = HS.read_history_chunks(spark, f"{warehouse}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
+    return out.withColumn("BATCH_ID", F.col("BATCH_ID").cast("bigint")) \
+              .withColumn("SUCCESS", F.col("SUCCESS").cast("int")).select(*SC.REPORT_COLUMNS)

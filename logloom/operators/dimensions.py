@@ -29,11 +29,12 @@ def unique_on(df: DataFrame, keys: list[str], prefer: list[str] | None = None,
     non_null = F.lit(True)
     for k in keys:
         non_null = non_null & F.col(f"`{k}`").isNotNull()
-    keyed = df.where(non_null).groupBy(*keys).agg(F.max(packed).alias("__row"))
-    keyed = keyed.select(*keys, *[F.col(f"__row.`{c}`").alias(c) for c in rest])
+    keyed = df.where(non_null).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max(packed).alias("__row"))
+    keyed = keyed.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"__row.`{c}`").alias(c) for c in rest])
+    ordered = [F.col(f"`{c}`") for c in df.columns]
     if not keep_null_keys:
-        return keyed.select(df.columns)
-    return keyed.unionByName(df.where(~non_null)).select(df.columns)
+        return keyed.select(*ordered)
+    return keyed.unionByName(df.where(~non_null)).select(*ordered)
 
 
 def drop_if_present(df: DataFrame, *cols: str) -> DataFrame:
@@ -55,11 +56,11 @@ def dim_models(models: DataFrame, unique: bool = True) -> DataFrame:
 
 
 def dim_integrations(cloudworks: DataFrame, unique: bool = True) -> DataFrame:
-    """Integrations without ``schedule.daysOfWeek`` (P05), one row per integration."""
-    out = cloudworks
-    if "schedule" in out.columns and "daysOfWeek" in out.schema["schedule"].dataType.names:
-        out = out.withColumn("schedule", F.col("schedule").dropFields("daysOfWeek"))
-    out = drop_if_present(out, "schedule.daysOfWeek")
+    """Integrations flattened to dotted columns (``latestRun.*``, ``schedule.*``, P02)
+    without the ``schedule.daysOfWeek`` list (P05), one row per integration."""
+    from logloom.operators.flatten import flatten_struct
+
+    out = drop_if_present(flatten_struct(cloudworks), "schedule.daysOfWeek")
     return unique_on(out, ["integrationId"]) if unique else out
 
 

@@ -228,3 +228,27 @@ def r_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     files = r_files(spark, sf_dir).withColumn("kind", F.lit(kinds[4]))
     return actions.unionByName(files)
+
+
+def land_all(spark: SparkSession, sf_dir: str, landing: str, run: int = 1,
+             events: DataFrame | None = None) -> None:
+    """Land every entity of the role views as API-style pages (test input for
+    the end-to-end refresh): the same layout a puller of the source writes."""
+    from logloom.sources import codes as CO
+    from logloom.sources import pages as PG
+
+    ev = events if events is not None else r_events(spark, sf_dir).drop("index")
+    PG.land_pages(ev, f"{landing}/events/run={run}", "response", schemas.AUDIT_BATCH_SIZE,
+                  ["eventDate", "id"], envelope="events")
+    PG.land_pages(r_users(spark, sf_dir), f"{landing}/users", "Resources", 500, ["id"], envelope="scim")
+    PG.land_pages(r_workspaces(spark, sf_dir), f"{landing}/workspaces", "workspaces", 100, ["id"])
+    PG.land_pages(r_models(spark, sf_dir), f"{landing}/models", "models", 100, ["id"])
+    PG.land_pages(r_cloudworks(spark, sf_dir), f"{landing}/integrations", "integrations", 100,
+                  ["integrationId"])
+    assets = r_assets(spark, sf_dir)
+    for kind in schemas.ASSET_KINDS:
+        PG.land_pages(assets.where(F.col("kind") == kind), f"{landing}/assets", kind, 100, ["id", "name"],
+                      group_cols=["workspace_id", "model_id", "kind"], mode="append")
+    codes = r_act_codes(spark).select(F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("N/A"))
+                                                         for c in schemas.ACT_CODE_COLUMNS]).alias("value"))
+    CO.land_csv_lines(codes, f"{landing}/act_codes", ",".join(schemas.ACT_CODE_COLUMNS))

@@ -30,18 +30,22 @@ def land_history_chunks(rows: DataFrame, out_dir: str, chunk_rows: int, order_co
      .select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(out_dir))
 
 
-def read_history_header(spark: SparkSession, path: str) -> list[str]:
+def read_history_header(spark: SparkSession, path: str, sep: str = "\t") -> list[str]:
     first = spark.read.text(f"{path.rstrip('/')}/chunk=0").first()
-    return first["value"].split("\t") if first else []
+    return first["value"].split(sep) if first else []
 
 
-def read_history_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """S04 + P07: all chunks as one DataFrame with sanitized column names."""
-    names = sanitize_column_names(read_history_header(spark, path))
+def read_history_chunks(spark: SparkSession, path: str, sep: str = "\t", sanitize: bool = True) -> DataFrame:
+    """S04 + P07: all chunks as one DataFrame with sanitized column names.
+
+    Also reads the chunked CSV exports (``sep=','``, ``sanitize=False``).
+    """
+    names = read_history_header(spark, path, sep)
+    names = sanitize_column_names(names) if sanitize else names
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField("chunk", T.LongType())])
-    reader = spark.read.schema(schema).option("sep", "\t")
-    first = reader.option("header", True).csv(path).where(F.col("chunk") == 0)
-    rest = spark.read.schema(schema).option("sep", "\t").option("header", False).csv(path) \
+    first = spark.read.schema(schema).option("sep", sep).option("header", True).csv(path) \
+        .where(F.col("chunk") == 0)
+    rest = spark.read.schema(schema).option("sep", sep).option("header", False).csv(path) \
         .where(F.col("chunk") != 0)
     return first.unionByName(rest).drop("chunk")

@@ -41,7 +41,7 @@ def _paging_struct(envelope: str, page: Column, size: int, total: Column, n_in_p
 
 def land_pages(records: DataFrame, out_dir: str, record_path: str, page_size: int,
                order_cols: list[str], envelope: str = "meta", group_cols: list[str] | None = None,
-               url: str = "https://source.invalid/api") -> None:
+               url: str = "https://source.invalid/api", mode: str = "overwrite") -> None:
     """Write ``records`` as API-style pages under ``out_dir``.
 
     Rows are numbered once in ``group_cols + order_cols`` order
@@ -80,7 +80,7 @@ def land_pages(records: DataFrame, out_dir: str, record_path: str, page_size: in
     docs = pages.select(*group_cols, "page", F.to_json(body).alias("value"))
     n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (docs.repartition(n, *group_cols, "page")
-     .write.mode("overwrite").partitionBy(*group_cols, "page").text(out_dir))
+     .write.mode(mode).partitionBy(*group_cols, "page").text(out_dir))
 
 
 def page_schema(record_path: str, record: T.StructType, envelope: str = "meta",

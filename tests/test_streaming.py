@@ -20,3 +20,12 @@ def test_repeated_event_kept_once_across_runs_st2(spark, tmp_dir):
     # A third run with nothing new adds nothing.
     ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
     assert spark.read.parquet(sink).count() == 10
+
+
+def test_strict_keeps_repeated_events_d3(spark, tmp_dir):
+    base = 1_700_000_000_000
+    evs = events_df(spark, [event(1, base), event(1, base), event(2, base + 1)]).drop("index")
+    landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    PG.land_pages(evs, f"{landing}/run=1", "response", 2, ["eventDate", "id"], envelope="events")
+    ST.ingest_available(spark, landing, sink, ckpt, dedupe=False, context=["run"])
+    assert spark.read.parquet(sink).count() == 3

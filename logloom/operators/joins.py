@@ -39,16 +39,17 @@ def bounded_broadcast_all(dims: list[tuple[DataFrame, DataFrame | None]],
                           max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> list[DataFrame]:
     """``bounded_broadcast`` for several dimensions with one Spark job.
 
-    Each entry is ``(dim, bound_source)``.  The row counts (each capped at
-    ``max_rows + 1`` by a limit) are computed together, so the size checks of
-    a many-join report cost one job rather than one per dimension.
+    Each entry is ``(dim, bound_source)``.  The row counts are computed in
+    one aggregate over the union of the (column-pruned) sources, so the size
+    checks of a many-join report cost one job rather than one per dimension;
+    counting a dimension's source is no more work than building it.
     """
     if max_rows is None or not dims:
         return [d for d, _ in dims]
     probes = []
     for i, (dim, src) in enumerate(dims):
         probe = src if src is not None else dim
-        probes.append(probe.select(F.lit(i).alias("__dim")).limit(max_rows + 1))
+        probes.append(probe.select(F.lit(i).alias("__dim")))
     union = probes[0]
     for p in probes[1:]:
         union = union.unionAll(p)

@@ -17,8 +17,18 @@ from pyspark.sql import functions as F
 from logloom import schemas
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The tables are read-only, so the resolved DataFrame
+    (schema and file listing, no data) is kept per session and path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -915,7 +915,7 @@ def q_stream_ingest(spark, sf_dir):
     for path, df in pulls:
         _pull(path, df)
         ST.ingest_available(spark, root, sink, ckpt, context=["run"])
-    stored = spark.read.parquet(sink).drop("event_ts", "run", "page")
+    stored = spark.read.parquet(sink).drop(*ST.PARTITIONS)
     return FL.align_template(FL.flatten_struct(stored), SC.TEMPLATE)
 
 
@@ -933,14 +933,14 @@ def q_stream_report(spark, sf_dir):
     """ST3: the report computed per micro-batch over two overlapping pulls
     (BATCH_ID = the run's stamp, LOAD_ID index numbered inside the batch)."""
     root, pulls = _land_two_pulls(spark, sf_dir)
-    out, ckpt = shared_dir(spark, "report-batches"), shared_dir(spark, "ckpt-report")
+    table, out = shared_dir(spark, "events-table"), shared_dir(spark, "report-batches")
+    ckpt = shared_dir(spark, "ckpt-report")
     dims = report_dims(spark, sf_dir)
-
     for run_no, (path, df) in enumerate(pulls):
         def enrich(batch, _micro_batch, stamp=BATCH_ID + run_no):
             return audit_report(batch, dims, batch_id=stamp, tenant_name=TENANT_NAME)
         _pull(path, df)
-        ST.report_each_batch(spark, root, out, ckpt, enrich, context=["run"])
+        ST.report_each_batch(spark, root, table, out, ckpt, enrich, context=["run"])
     return spark.read.parquet(out).drop("micro_batch")
 
 

@@ -13,7 +13,7 @@ Landing folder (written by whatever pulls the source API)::
 
 Warehouse folder (shared storage)::
 
-    events/          Parquet, appended by the streaming ingest (deduplicated)
+    events/          Parquet by event_day/ingest_batch, appended by the streaming ingest (deduplicated)
     users/ workspaces/ models/ actions/ files/ cloudworks/ act_codes/   replaced each run
     exports/<file>/chunk=<n>/   one CSV per chunk
     refresh_log/     one row appended per run
@@ -26,6 +26,7 @@ the one-row watermark and counts.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,8 +139,12 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     events_path = _p(warehouse, "events")
     # Entry 1: ingest whatever pages arrived since the last committed batch.
     ST.ingest_available(spark, _p(landing, "events"), events_path, _p(warehouse, "_checkpoints", "events"),
-                        dedupe=not settings.strict, delay=settings.dedupe_delay, context=["run"])
-    events = spark.read.parquet(events_path).drop("event_ts", "run", "page")
+                        dedupe=None if settings.strict else "exact", delay=settings.dedupe_delay,
+                        context=["run"])
+    events = spark.read.parquet(events_path)
+    # Partition pruning: only day folders on or after the watermark's day are listed and read.
+    first_day = _dt.datetime.fromtimestamp(last_run / 1000, _dt.timezone.utc).date()
+    events = events.where(F.col("event_day") >= F.lit(first_day)).drop(*ST.PARTITIONS)
     new = events.where(incremental_condition(last_run, settings.strict))
     mark = INC.next_watermark(new, last_run).first()
     summary = {"last_run": last_run, "next_watermark": int(mark["next_watermark"]),

@@ -22,6 +22,21 @@ def test_repeated_event_kept_once_across_runs_st2(spark, tmp_dir):
     assert spark.read.parquet(sink).count() == 10
 
 
+def test_old_repeats_are_dropped_and_old_new_events_kept(spark, tmp_dir):
+    """Exact de-duplication: nothing is lost for being older than a watermark."""
+    base = 1_700_000_000_000
+    day = 86_400_000
+    landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    run1 = events_df(spark, [event(1, base), event(2, base + 30 * day)]).drop("index")
+    PG.land_pages(run1, f"{landing}/run=1", "response", 10, ["eventDate", "id"], envelope="events")
+    ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
+    # 30 days later the source returns event 1 again and a never-seen event 3 from day 0.
+    run2 = events_df(spark, [event(1, base), event(3, base + 5)]).drop("index")
+    PG.land_pages(run2, f"{landing}/run=2", "response", 10, ["eventDate", "id"], envelope="events")
+    ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
+    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == ["1", "2", "3"]
+
+
 def test_strict_keeps_repeated_events_d3(spark, tmp_dir):
     base = 1_700_000_000_000
     evs = events_df(spark, [event(1, base), event(1, base), event(2, base + 1)]).drop("index")

@@ -13,7 +13,9 @@ from logloom.session import get_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="logloom-test-ckpt-")
-    s = get_session("local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    warehouse = tempfile.mkdtemp(prefix="logloom-test-warehouse-")
+    s = get_session("local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt,
+                                                            "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

@@ -517,10 +517,8 @@ def q_batch_row_index(spark, sf_dir):
 
 
 def _numbered_report(spark, sf_dir):
-    rep = audit_report(R.r_events(spark, sf_dir), report_dims(spark, sf_dir),
-                       batch_id=BATCH_ID, tenant_name=TENANT_NAME, order_key=True)
-    return EX.number_for_export(rep, _EXPORT_ORDER, chunk_size=EXPORT_CHUNK, acronym="AUDIT",
-                                drop_cols=["__event_ms"])
+    return EX.export_report(R.r_events(spark, sf_dir), report_dims(spark, sf_dir), batch_id=BATCH_ID,
+                            tenant_name=TENANT_NAME, chunk_size=EXPORT_CHUNK, acronym="AUDIT")
 
 
 _NUMBERED_SQL = ("numbered AS (SELECT *, row_number() OVER (ORDER BY __event_ms, AUDIT_ID) - 1 AS __rn "

@@ -33,6 +33,39 @@ def number_for_export(df: DataFrame, order_cols: list[str], chunk_size: int = sc
     return out.select(*lead, *[F.col(f"`{c}`") for c in keep], "__rn")
 
 
+def export_report(events: DataFrame, dims, *, batch_id: int, tenant_name: str,
+                  chunk_size: int = schemas.EXPORT_CHUNK_SIZE, acronym: str | None = None,
+                  last_run: int | None = None, strict: bool = False, index_col: str | None = None,
+                  **report_kw) -> DataFrame:
+    """The audit report numbered for export, in (eventDate, id) order (K08, D-6).
+
+    Default: dimensions are unique, so the left joins keep exactly one row per
+    event; the events themselves are numbered first (the range sampling and
+    the checkpoint touch the events only) and the joins then run once,
+    map-side, carrying the number.  ``index_col`` reuses a dense number the
+    events already have (the batch's arrival index).  ``strict`` joins may
+    fan out, so there the joined result is numbered instead.
+    """
+    from logloom.plans.report import audit_report, incremental_condition
+
+    if strict:
+        rep = audit_report(events, dims, batch_id=batch_id, tenant_name=tenant_name, last_run=last_run,
+                           strict=True, order_key=True, **report_kw)
+        return number_for_export(rep, ["__event_ms", "AUDIT_ID"], chunk_size, acronym, strict=True,
+                                 drop_cols=["__event_ms"])
+    if index_col is None:
+        if last_run is not None:
+            events = events.where(incremental_condition(last_run))
+        events = row_index(events, ["eventDate", "id"], out_col="__rn")
+    else:
+        events = events.withColumn("__rn", F.col(index_col))
+    rep = audit_report(events, dims, batch_id=batch_id, tenant_name=tenant_name, carry=["__rn"], **report_kw)
+    counter = f"{acronym}_CT" if acronym else None
+    out = chunk_columns(rep, "__rn", chunk_size, counter)
+    lead = ["chunk"] + ([counter] if counter else [])
+    return out.select(*lead, *[F.col(c) for c in schemas.REPORT_COLUMNS], "__rn")
+
+
 def write_chunks(numbered: DataFrame, out_dir: str, header_first_only: bool = True) -> None:
     """Write one CSV file per chunk under ``out_dir/chunk=<n>/``.
 

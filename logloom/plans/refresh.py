@@ -37,7 +37,7 @@ from logloom.operators import dimensions as D
 from logloom.operators.identity import row_index
 from logloom.plans import export as EX
 from logloom.plans import incremental as INC
-from logloom.plans.report import Dimensions, audit_report, incremental_condition
+from logloom.plans.report import Dimensions, incremental_condition
 from logloom.sources import codes as CO
 from logloom.sources import pages as PG
 from logloom.sources import tables as TB
@@ -162,13 +162,13 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     stored = {name: spark.read.parquet(_p(warehouse, name)) for name in dims}
 
     # Entry 3: report over the new events, numbered in arrival order, exported in chunks.
+    # The batch's arrival index (LOAD_ID) is also the export order: one numbering.
     indexed = row_index(new.drop("index") if "index" in new.columns else new, ["eventDate", "id"], out_col="index")
-    report = audit_report(indexed, Dimensions(
-        users=stored["users"], workspaces=stored["workspaces"], models=stored["models"],
-        cloudworks=stored["cloudworks"], act_codes=stored["act_codes"], actions=stored["actions"]),
-        batch_id=settings.batch_id, tenant_name=settings.tenant_name, strict=settings.strict, order_key=True)
-    numbered = EX.number_for_export(report, ["__event_ms", "AUDIT_ID"], settings.chunk_size,
-                                    drop_cols=["__event_ms"], strict=settings.strict)
+    dims_t = Dimensions(users=stored["users"], workspaces=stored["workspaces"], models=stored["models"],
+                        cloudworks=stored["cloudworks"], act_codes=stored["act_codes"], actions=stored["actions"])
+    numbered = EX.export_report(indexed, dims_t, batch_id=settings.batch_id, tenant_name=settings.tenant_name,
+                                chunk_size=settings.chunk_size, strict=settings.strict,
+                                index_col=None if settings.strict else "index")
     EX.write_chunks(numbered, _p(warehouse, "exports", REPORT_EXPORT))
     for name, (file_name, acronym) in EXPORTS.items():
         table, key = stored[name], EXPORT_KEYS[name]

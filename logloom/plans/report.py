@@ -48,7 +48,7 @@ def incremental_condition(last_run: int, strict: bool = False) -> Column:
     return F.col("eventDate") > F.lit(int(bound)).cast("bigint")
 
 
-def _flat_events(events: DataFrame) -> DataFrame:
+def _flat_events(events: DataFrame, carry: list[str] | None = None) -> DataFrame:
     a = "additionalAttributes"
     wanted = [
         "id", "eventTypeId", "userId", "tenantId", "objectId", "message", "success",
@@ -62,6 +62,7 @@ def _flat_events(events: DataFrame) -> DataFrame:
     return events.select(
         *[F.col(c) for c in wanted],
         *[F.col(f"{a}.{c}").alias(f"aa_{c}") for c in attrs],
+        *[F.col(c) for c in (carry or [])],
     )
 
 
@@ -235,8 +236,9 @@ def action_name_col() -> Column:
             .otherwise(F.col("a_name")))
 
 
-def flat_events(events: DataFrame, last_run: int | None = None, strict: bool = False) -> DataFrame:
-    ev = _flat_events(events)
+def flat_events(events: DataFrame, last_run: int | None = None, strict: bool = False,
+                carry: list[str] | None = None) -> DataFrame:
+    ev = _flat_events(events, carry)
     if last_run is not None:
         ev = ev.where(incremental_condition(last_run, strict))
     return ev
@@ -245,14 +247,15 @@ def flat_events(events: DataFrame, last_run: int | None = None, strict: bool = F
 def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_name: str,
                  last_run: int | None = None, strict: bool = False,
                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-                 order_key: bool = False) -> DataFrame:
+                 order_key: bool = False, carry: list[str] | None = None) -> DataFrame:
     """47-column audit report.
 
     ``order_key`` appends ``__event_ms`` (the event's epoch ms), the export's
-    sort key together with ``AUDIT_ID``.
+    sort key together with ``AUDIT_ID``; ``carry`` passes extra event columns
+    (such as a row number given before the joins) through to the output.
     """
     d = prepare_dims(dims, strict, broadcast_max_rows)
-    j = flat_events(events, last_run, strict)
+    j = flat_events(events, last_run, strict, carry)
     # Joins on the same key sit together (u2, m2, cw all on objectId).
     for step in (join_actor, join_object_user, join_object_model, join_integration,
                  join_action, join_workspace, join_model, join_activity_code):
@@ -312,5 +315,6 @@ def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_n
         F.col("aa_active").alias("ADDITIONAL_ATTRIBUTES_ACTIVE"),
         F.col("checksum").alias("CHECKSUM"),
         *([F.col("eventDate").alias("__event_ms")] if order_key else []),
+        *[F.col(c) for c in (carry or [])],
     )
     return out

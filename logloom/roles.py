@@ -31,6 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 -- no classic context (e.g. a remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Round-robin an under-split scan over the cluster's cores.
 
@@ -40,7 +47,7 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     driver metadata, no job runs); a real landed table (many files) is left
     alone and keeps its scan parallelism.
     """
-    cores = spark.sparkContext.defaultParallelism
+    cores = default_parallelism(spark)
     if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df

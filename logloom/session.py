@@ -58,16 +58,26 @@ def apply_engine_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a local one only when it is unset."""
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
+
+    Only when the cluster names none (local runs, tests) is a local folder
+    created and set.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no classic context: the setting is all there is
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return current
+    jdir = sc._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get()
     if not current:
         current = tempfile.mkdtemp(prefix="logloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    sc.setCheckpointDir(current)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -40,3 +40,19 @@ def test_dimension_over_bound_is_not_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p                 # users (150 rows > 10) are shuffle-joined
     assert "BroadcastHashJoin" in p             # the 4-row activity codes stay broadcast
+
+
+def test_shuffle_join_fallback_gives_the_same_report(spark):
+    """Every dimension over the bound: sort-merge joins (AQE on), same rows."""
+    from logloom import roles as R
+    from logloom.plans.report import audit_report
+    ev, dims = R.r_events(spark, SF), catalog.report_dims(spark, SF)
+    fast = audit_report(ev, dims, batch_id=1, tenant_name="t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow = audit_report(ev, dims, batch_id=1, tenant_name="t", broadcast_max_rows=0)
+        assert "SortMergeJoin" in plan_text(slow)
+        assert fast.count() == slow.count()
+        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -8,7 +8,7 @@ partitions (a hot ``userId``, null-heavy ``objectId``) at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A narrow dimension row is ~100 bytes, so this is ~50 MB per executor.
@@ -36,7 +36,8 @@ def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_M
 
 
 def bounded_broadcast_all(dims: list[tuple[DataFrame, DataFrame | None]],
-                          max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> list[DataFrame]:
+                          max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                          with_flags: bool = False) -> list:
     """``bounded_broadcast`` for several dimensions with one Spark job.
 
     Each entry is ``(dim, bound_source)``.  The row counts are computed in
@@ -45,7 +46,7 @@ def bounded_broadcast_all(dims: list[tuple[DataFrame, DataFrame | None]],
     counting a dimension's source is no more work than building it.
     """
     if max_rows is None or not dims:
-        return [d for d, _ in dims]
+        return [(d, False) if with_flags else d for d, _ in dims]
     probes = []
     for i, (dim, src) in enumerate(dims):
         probe = src if src is not None else dim
@@ -54,7 +55,41 @@ def bounded_broadcast_all(dims: list[tuple[DataFrame, DataFrame | None]],
     for p in probes[1:]:
         union = union.unionAll(p)
     counts = {r["__dim"]: r["n"] for r in union.groupBy("__dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(d) if counts.get(i, 0) <= max_rows else d for i, (d, _) in enumerate(dims)]
+    out = []
+    for i, (d, _) in enumerate(dims):
+        small = counts.get(i, 0) <= max_rows
+        picked = F.broadcast(d) if small else d
+        out.append((picked, small) if with_flags else picked)
+    return out
+
+
+def null_salted(key: Column, salt: Column) -> Column:
+    """Join key for a shuffle join in which null keys spread out.
+
+    A null key never matches in a left join, but hashes every such row to
+    the same reducer.  Replacing it by a unique value that no dimension key
+    can equal (a NUL character + the row's unique id) spreads those rows
+    evenly over all tasks and leaves the result unchanged.
+    """
+    return F.when(key.isNull(), F.concat(F.lit("\u0000"), salt.cast("string"))).otherwise(key)
+
+
+def left_join(fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], broadcast: bool,
+              salt_col: str | None = None) -> DataFrame:
+    """Left equi-join on ``(fact_col, dim_col)`` pairs.
+
+    A broadcast dimension is probed as is.  For a shuffle join, null fact
+    keys are salted (``null_salted``) so a null-heavy key cannot pile up in
+    one task; hot non-null keys are split by AQE's skew-join handling.
+    """
+    cond = None
+    for fc, dc in pairs:
+        left = F.col(fc)
+        if not broadcast and salt_col is not None:
+            left = null_salted(left, F.col(salt_col))
+        c = left == F.col(dc)
+        cond = c if cond is None else cond & c
+    return fact.join(dim, cond, "left")
 
 
 def prefixed(df: DataFrame, prefix: str, cols: list[str] | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ from logloom import schemas
 from logloom.functions.text import epoch_text, load_id
 from logloom.operators.dimensions import unique_on
 from logloom.operators.joins import (DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast,
-                                     bounded_broadcast_all, prefixed)
+                                     bounded_broadcast_all, left_join, prefixed)
 
 
 @dataclass
@@ -79,6 +79,7 @@ class PreparedDims:
     a: DataFrame
     cw_model_name: Column
     strict: bool
+    broadcast: dict[str, bool] = None     # which dimensions passed the size check
 
 
 def prepare_dims(dims: Dimensions, strict: bool = False,
@@ -123,8 +124,11 @@ def prepare_dims(dims: Dimensions, strict: bool = False,
     ), ac_raw)
     a = dim(dims.actions, ["id", "model_id"], "a_", ["name"])
     # One job checks every dimension's size bound; under it, broadcast.
-    u, u2, w, m, m2, cw, ac, a = bounded_broadcast_all([u, u2, w, m, m2, cw, ac, a], broadcast_max_rows)
-    return PreparedDims(u, u2, w, m, m2, cw, ac, a, cw_model_name, strict)
+    names = ["u", "u2", "w", "m", "m2", "cw", "ac", "a"]
+    picked = bounded_broadcast_all([u, u2, w, m, m2, cw, ac, a], broadcast_max_rows, with_flags=True)
+    flags = {n: small for n, (_, small) in zip(names, picked)}
+    u, u2, w, m, m2, cw, ac, a = [df for df, _ in picked]
+    return PreparedDims(u, u2, w, m, m2, cw, ac, a, cw_model_name, strict, flags)
 
 
 def integration_model_names(cloudworks: DataFrame, models: DataFrame, how: str = "inner") -> DataFrame:
@@ -143,24 +147,30 @@ def integration_model_names(cloudworks: DataFrame, models: DataFrame, how: str =
 
 # --- enrichment steps: each adds one dimension's columns to the flat events ---
 
+def _join(ev: DataFrame, d: PreparedDims, name: str, pairs: list[tuple[str, str]]) -> DataFrame:
+    dim = getattr(d, name)
+    small = bool(d.broadcast and d.broadcast.get(name))
+    return left_join(ev, dim, pairs, broadcast=small, salt_col="id")
+
+
 def join_actor(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """Acting user (``userId = u.id``)."""
-    return ev.join(d.u, F.col("userId") == F.col("u_id"), "left")
+    return _join(ev, d, "u", [("userId", "u_id")])
 
 
 def join_object_user(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """Object user (``objectId = u2.id``)."""
-    return ev.join(d.u2, F.col("objectId") == F.col("u2_id"), "left")
+    return _join(ev, d, "u2", [("objectId", "u2_id")])
 
 
 def join_object_model(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """Object model (``objectId = m2.id``)."""
-    return ev.join(d.m2, F.col("objectId") == F.col("m2_id"), "left")
+    return _join(ev, d, "m2", [("objectId", "m2_id")])
 
 
 def join_integration(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """Integration (``objectId = cw.integrationId``)."""
-    return ev.join(d.cw, F.col("objectId") == F.col("cw_integrationId"), "left")
+    return _join(ev, d, "cw", [("objectId", "cw_integrationId")])
 
 
 def join_action(ev: DataFrame, d: PreparedDims) -> DataFrame:
@@ -171,24 +181,23 @@ def join_action(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """
     if d.strict:
         cond = F.concat("aa_actionId", "objectId") == F.concat("a_id", "a_model_id")
-    else:
-        cond = (F.col("aa_actionId") == F.col("a_id")) & (F.col("objectId") == F.col("a_model_id"))
-    return ev.join(d.a, cond, "left")
+        return ev.join(d.a, cond, "left")
+    return _join(ev, d, "a", [("aa_actionId", "a_id"), ("objectId", "a_model_id")])
 
 
 def join_workspace(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """Workspace (``additionalAttributes.workspaceId = w.id``)."""
-    return ev.join(d.w, F.col("aa_workspaceId") == F.col("w_id"), "left")
+    return _join(ev, d, "w", [("aa_workspaceId", "w_id")])
 
 
 def join_model(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """Attribute model (``additionalAttributes.modelId = m.id``)."""
-    return ev.join(d.m, F.col("aa_modelId") == F.col("m_id"), "left")
+    return _join(ev, d, "m", [("aa_modelId", "m_id")])
 
 
 def join_activity_code(ev: DataFrame, d: PreparedDims) -> DataFrame:
     """Activity code (``eventTypeId = ac.Event Code``)."""
-    return ev.join(d.ac, F.col("eventTypeId") == F.col("ac_code"), "left")
+    return _join(ev, d, "ac", [("eventTypeId", "ac_code")])
 
 
 # --- conditional columns (C01-C05) ---

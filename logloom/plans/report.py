@@ -59,8 +59,11 @@ def _flat_events(events: DataFrame, carry: list[str] | None = None) -> DataFrame
     attrs = ["workspaceId", "actionId", "name", "type", "auth_id", "modelId",
              "modelRoleName", "modelRoleId", "active", "roleId", "roleName",
              "objectTypeId", "objectTenantId", "objectId"]
+    have = set(events.columns)
+    # An event without an arrival index formats its LOAD_ID part as zeros (D-8).
+    base = [F.col(c) if c in have or c != "index" else F.lit(None).cast("bigint").alias(c) for c in wanted]
     return events.select(
-        *[F.col(c) for c in wanted],
+        *base,
         *[F.col(f"{a}.{c}").alias(f"aa_{c}") for c in attrs],
         *[F.col(c) for c in (carry or [])],
     )

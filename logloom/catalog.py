@@ -949,7 +949,7 @@ def q_stream_report(spark, sf_dir):
 from logloom.plans import refresh as RF  # noqa: E402
 
 _REFRESH_SQL = O.with_roles(
-    O.REPORT_SELECT.format(batch_id=BATCH_ID, tenant_name=TENANT_NAME).replace("FROM r_events e", "FROM r_events_n e"),
+    O.report_body(BATCH_ID, TENANT_NAME, events="r_events_n"),
     *O.REPORT_ROLES,
     extra=["r_events_n AS (SELECT * REPLACE (row_number() OVER (ORDER BY eventDate, id) - 1 AS idx) FROM r_events)"])
 

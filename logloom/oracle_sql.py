@@ -144,94 +144,103 @@ def with_roles(body: str, *roles: str, extra: list[str] | None = None) -> str:
 
 REPORT_SELECT = """
 SELECT
-  cast(coalesce(e.eventDate // 1000, 0) AS varchar) || printf('%09d', coalesce(e.idx, 0)) AS LOAD_ID,
+  cast(coalesce(f.eventDate // 1000, 0) AS varchar) || printf('%09d', coalesce(f.idx, 0)) AS LOAD_ID,
   cast({batch_id} AS bigint) AS BATCH_ID,
-  e.id AS AUDIT_ID,
-  strftime(make_timestamp((e.eventDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS EVENT_DATE,
-  e.eventTimeZone AS EVENT_TIMEZONE,
-  strftime(make_timestamp((e.createdDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS CREATED_DATE,
-  e.createdTimeZone AS CREATE_TIMEZONE,
-  e.eventTypeId AS EVENT_ID,
-  ac.event_message AS EVENT_MESSAGE,
-  ac.associated_object_id AS ASSOCIATED_OBJECT_ID,
-  ac.notes AS NOTES,
-  e.userId AS USER_ID,
-  u.userName AS USER_NAME,
-  u.displayName AS DISPLAY_NAME,
-  e.tenantId AS TENANT_ID,
+  f.id AS AUDIT_ID,
+  strftime(make_timestamp((f.eventDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS EVENT_DATE,
+  f.eventTimeZone AS EVENT_TIMEZONE,
+  strftime(make_timestamp((f.createdDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS CREATED_DATE,
+  f.createdTimeZone AS CREATE_TIMEZONE,
+  f.eventTypeId AS EVENT_ID,
+  f.code_message AS EVENT_MESSAGE,
+  f.code_object AS ASSOCIATED_OBJECT_ID,
+  f.code_notes AS NOTES,
+  f.userId AS USER_ID,
+  f.actor_name AS USER_NAME,
+  f.actor_display AS DISPLAY_NAME,
+  f.tenantId AS TENANT_ID,
   '{tenant_name}' AS TENANT_NAME,
-  e.aa_workspaceId AS WORKSPACE_ID,
-  w.name AS WORKSPACE_NAME,
-  CASE WHEN e.aa_modelId IS NOT NULL THEN e.aa_modelId
-       WHEN e.objectId = cw.integrationId THEN cw.modelId END AS MODEL_ID,
-  CASE WHEN e.aa_modelId IS NOT NULL THEN m.name
-       WHEN e.objectId = cw.integrationId THEN m3.name END AS MODEL_NAME,
-  e.objectId AS OBJECT_ID,
-  CASE WHEN e.objectId = m2.id THEN 'Model'
-       WHEN e.objectId = cw.integrationId THEN 'CloudWorks Integration'
-       WHEN e.objectId = u2.id THEN 'User' END AS OBJECT_TYPE,
-  CASE WHEN e.objectId = m2.id THEN m2.name
-       WHEN e.objectId = cw.integrationId THEN cw.name
-       WHEN e.objectId = u2.id THEN u2.userName END AS OBJECT_NAME,
-  e.message AS MESSAGE,
-  cast(e.success AS integer) AS SUCCESS,
-  e.errorNumber AS ERROR_NUMBER,
-  e.ipAddress AS IP_ADDRESS,
-  e.userAgent AS USER_AGENT,
-  e.sessionId AS SESSION_ID,
-  e.hostName AS HOST_NAME,
-  e.serviceVersion AS SERVICE_VERSION,
-  e.objectTypeId AS OBJECT_TYPE_ID,
-  e.objectTenantId AS OBJECT_TENANT_ID,
-  e.aa_actionId AS ACTION_ID,
-  CASE WHEN e.aa_actionId IS NOT DISTINCT FROM '-1' THEN 'Unsaved Action'
-       WHEN a.name IS NULL AND e.aa_actionId IS NOT NULL THEN '<Object has been Deleted>'
-       ELSE a.name END AS ACTION_NAME,
-  e.aa_name AS ADDITIONAL_ATTRIBUTES_NAME,
-  e.aa_type AS ADDITIONAL_ATTRIBUTES_TYPE,
-  e.aa_auth_id AS ADDITIONAL_ATTRIBUTES_AUTH_ID,
-  e.aa_modelRoleName AS MODEL_ROLE_NAME,
-  e.aa_modelRoleId AS MODEL_ROLE_ID,
-  e.aa_objectTypeId AS ADDITIONAL_ATTRIBUTES_OBJECT_TYPE_ID,
-  e.aa_roleId AS ADDITIONAL_ATTRIBUTES_ROLE_ID,
-  e.aa_roleName AS ADDITIONAL_ATTRIBUTES_ROLE_NAME,
-  e.aa_objectTenantId AS ADDITIONAL_ATTRIBUTES_OBJECT_TENANT_ID,
-  e.aa_objectId AS ADDITIONAL_ATTRIBUTES_OBJECT_ID,
-  e.aa_active AS ADDITIONAL_ATTRIBUTES_ACTIVE,
-  e.checksum AS CHECKSUM
-FROM r_events e
-LEFT JOIN r_users u ON e.userId = u.id
-LEFT JOIN r_users u2 ON e.objectId = u2.id
-LEFT JOIN r_workspaces w ON e.aa_workspaceId = w.id
-LEFT JOIN r_models m ON e.aa_modelId = m.id
-LEFT JOIN r_models m2 ON e.objectId = m2.id
-LEFT JOIN r_cloudworks cw ON e.objectId = cw.integrationId
-LEFT JOIN r_models m3 ON cw.modelId = m3.id
-LEFT JOIN r_act_codes ac ON e.eventTypeId = ac.event_code
-LEFT JOIN r_actions a ON e.aa_actionId = a.id AND e.objectId = a.model_id
+  f.aa_workspaceId AS WORKSPACE_ID,
+  f.workspace_name AS WORKSPACE_NAME,
+  CASE WHEN f.aa_modelId IS NOT NULL THEN f.aa_modelId
+       WHEN f.is_integration THEN f.integration_model_id END AS MODEL_ID,
+  CASE WHEN f.aa_modelId IS NOT NULL THEN f.attribute_model_name
+       WHEN f.is_integration THEN f.integration_model_name END AS MODEL_NAME,
+  f.objectId AS OBJECT_ID,
+  CASE WHEN f.is_model THEN 'Model' WHEN f.is_integration THEN 'CloudWorks Integration'
+       WHEN f.is_user THEN 'User' END AS OBJECT_TYPE,
+  CASE WHEN f.is_model THEN f.object_model_name WHEN f.is_integration THEN f.integration_name
+       WHEN f.is_user THEN f.object_user_name END AS OBJECT_NAME,
+  f.message AS MESSAGE,
+  cast(f.success AS integer) AS SUCCESS,
+  f.errorNumber AS ERROR_NUMBER,
+  f.ipAddress AS IP_ADDRESS,
+  f.userAgent AS USER_AGENT,
+  f.sessionId AS SESSION_ID,
+  f.hostName AS HOST_NAME,
+  f.serviceVersion AS SERVICE_VERSION,
+  f.objectTypeId AS OBJECT_TYPE_ID,
+  f.objectTenantId AS OBJECT_TENANT_ID,
+  f.aa_actionId AS ACTION_ID,
+  CASE WHEN f.aa_actionId IS NOT DISTINCT FROM '-1' THEN 'Unsaved Action'
+       WHEN f.action_name IS NULL AND f.aa_actionId IS NOT NULL THEN '<Object has been Deleted>'
+       ELSE f.action_name END AS ACTION_NAME,
+  f.aa_name AS ADDITIONAL_ATTRIBUTES_NAME,
+  f.aa_type AS ADDITIONAL_ATTRIBUTES_TYPE,
+  f.aa_auth_id AS ADDITIONAL_ATTRIBUTES_AUTH_ID,
+  f.aa_modelRoleName AS MODEL_ROLE_NAME,
+  f.aa_modelRoleId AS MODEL_ROLE_ID,
+  f.aa_objectTypeId AS ADDITIONAL_ATTRIBUTES_OBJECT_TYPE_ID,
+  f.aa_roleId AS ADDITIONAL_ATTRIBUTES_ROLE_ID,
+  f.aa_roleName AS ADDITIONAL_ATTRIBUTES_ROLE_NAME,
+  f.aa_objectTenantId AS ADDITIONAL_ATTRIBUTES_OBJECT_TENANT_ID,
+  f.aa_objectId AS ADDITIONAL_ATTRIBUTES_OBJECT_ID,
+  f.aa_active AS ADDITIONAL_ATTRIBUTES_ACTIVE,
+  f.checksum AS CHECKSUM{extra}
+FROM (
+  SELECT e.*,
+         u.userName AS actor_name, u.displayName AS actor_display,
+         w.name AS workspace_name, am.name AS attribute_model_name,
+         om.id IS NOT NULL AS is_model, om.name AS object_model_name,
+         i.integrationId IS NOT NULL AS is_integration, i.name AS integration_name,
+         i.modelId AS integration_model_id, i.model_name AS integration_model_name,
+         ou.id IS NOT NULL AS is_user, ou.userName AS object_user_name,
+         act.name AS action_name,
+         code.event_message AS code_message, code.associated_object_id AS code_object, code.notes AS code_notes
+  FROM {events} e
+  LEFT JOIN r_users u ON u.id = e.userId
+  LEFT JOIN r_users ou ON ou.id = e.objectId
+  LEFT JOIN r_models om ON om.id = e.objectId
+  LEFT JOIN (SELECT c.integrationId, c.name, c.modelId, m.name AS model_name
+             FROM r_cloudworks c LEFT JOIN r_models m ON m.id = c.modelId) i ON i.integrationId = e.objectId
+  LEFT JOIN r_actions act ON act.id = e.aa_actionId AND act.model_id = e.objectId
+  LEFT JOIN r_workspaces w ON w.id = e.aa_workspaceId
+  LEFT JOIN r_models am ON am.id = e.aa_modelId
+  LEFT JOIN r_act_codes code ON code.event_code = e.eventTypeId
+  {where}
+) f
 """
 
 REPORT_ROLES = ("r_events", "r_users", "r_workspaces", "r_models", "r_cloudworks",
                 "r_act_codes", "r_actions")
 
 
+def report_body(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False,
+                events: str = "r_events") -> str:
+    return REPORT_SELECT.format(
+        batch_id=int(batch_id), tenant_name=tenant_name.replace("'", "''"), events=events,
+        where=f"WHERE {where}" if where else "",
+        extra=",\n  f.eventDate AS __event_ms" if order_key else "")
+
+
 def report_sql(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False) -> str:
-    body = REPORT_SELECT.format(batch_id=int(batch_id), tenant_name=tenant_name.replace("'", "''"))
-    if order_key:
-        body = body.replace("  e.checksum AS CHECKSUM\n", "  e.checksum AS CHECKSUM,\n  e.eventDate AS __event_ms\n")
-    if where:
-        body = body + "WHERE " + where + "\n"
-    return with_roles(body, *REPORT_ROLES)
+    return with_roles(report_body(batch_id, tenant_name, where, order_key), *REPORT_ROLES)
 
 
 def report_cte(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False,
                name: str = "rep") -> str:
     """The report as a CTE (``<name> AS (...)``) for queries built on top of it."""
-    body = REPORT_SELECT.format(batch_id=int(batch_id), tenant_name=tenant_name.replace("'", "''"))
-    if order_key:
-        body = body.replace("  e.checksum AS CHECKSUM\n", "  e.checksum AS CHECKSUM,\n  e.eventDate AS __event_ms\n")
-    if where:
-        body = body + "WHERE " + where + "\n"
+    body = report_body(batch_id, tenant_name, where, order_key)
     return f"{name} AS ({body})"
 
 

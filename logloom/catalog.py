@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom import oracle_sql as O
+from logloom import schemas as SCH
 from logloom import roles as R
 from logloom.plans.report import Dimensions, audit_report
 from logloom.session import apply_engine_conf
@@ -45,7 +46,7 @@ def report_dims(spark: SparkSession, sf_dir: str) -> Dimensions:
         users=R.r_users(spark, sf_dir),
         workspaces=R.r_workspaces(spark, sf_dir),
         models=R.r_models(spark, sf_dir),
-        cloudworks=R.r_cloudworks(spark, sf_dir),
+        integrations=R.r_integrations(spark, sf_dir),
         act_codes=R.r_act_codes(spark),
         actions=R.r_actions(spark, sf_dir),
     )
@@ -126,7 +127,7 @@ QUERIES_SINGLE = {
          ("cw_name", "INTEGRATION_NAME"), ("cw_modelId", "INTEGRATION_MODEL_ID")],
         _ev_sql("e.id AS AUDIT_ID, e.objectId AS OBJECT_ID, cw.name AS INTEGRATION_NAME, "
                 "cw.modelId AS INTEGRATION_MODEL_ID",
-                "LEFT JOIN r_cloudworks cw ON e.objectId = cw.integrationId", "r_cloudworks"),
+                "LEFT JOIN r_integrations cw ON e.objectId = cw.integrationId", "r_integrations"),
     ),
     "join_activity_code": (
         P.join_activity_code,
@@ -153,10 +154,10 @@ for _name, (_step, _cols, _sql) in QUERIES_SINGLE.items():
 
 @register("integration_models", O.with_roles(
     "SELECT cw.integrationId, cw.name, cw.modelId, m3.name AS model_name "
-    "FROM r_cloudworks cw JOIN r_models m3 ON cw.modelId = m3.id", "r_cloudworks", "r_models"))
+    "FROM r_integrations cw JOIN r_models m3 ON cw.modelId = m3.id", "r_integrations", "r_models"))
 def q_integration_models(spark, sf_dir):
     """Integrations joined to the model they load (inner)."""
-    cw = R.r_cloudworks(spark, sf_dir).select("integrationId", "name", "modelId")
+    cw = R.r_integrations(spark, sf_dir).select("integrationId", "name", "modelId")
     return P.integration_model_names(cw, R.r_models(spark, sf_dir), how="inner")
 
 
@@ -167,8 +168,8 @@ def q_integration_models(spark, sf_dir):
     "CASE WHEN e.aa_modelId IS NOT NULL THEN m.name "
     "     WHEN e.objectId = cw.integrationId THEN m3.name END AS MODEL_NAME",
     "LEFT JOIN r_models m ON e.aa_modelId = m.id "
-    "LEFT JOIN r_cloudworks cw ON e.objectId = cw.integrationId "
-    "LEFT JOIN r_models m3 ON cw.modelId = m3.id", "r_models", "r_cloudworks"))
+    "LEFT JOIN r_integrations cw ON e.objectId = cw.integrationId "
+    "LEFT JOIN r_models m3 ON cw.modelId = m3.id", "r_models", "r_integrations"))
 def q_model_ref_case(spark, sf_dir):
     """Model id and name from the attribute, else from the integration."""
     ev, d = _ev_and_dims(spark, sf_dir)
@@ -179,15 +180,15 @@ def q_model_ref_case(spark, sf_dir):
 
 @register("object_case", _ev_sql(
     "e.id AS AUDIT_ID, "
-    "CASE WHEN e.objectId = m2.id THEN 'Model' "
-    "     WHEN e.objectId = cw.integrationId THEN 'CloudWorks Integration' "
-    "     WHEN e.objectId = u2.id THEN 'User' END AS OBJECT_TYPE, "
+    f"CASE WHEN e.objectId = m2.id THEN '{SCH.OBJECT_TYPE_MODEL}' "
+    f"     WHEN e.objectId = cw.integrationId THEN '{SCH.OBJECT_TYPE_INTEGRATION}' "
+    f"     WHEN e.objectId = u2.id THEN '{SCH.OBJECT_TYPE_USER}' END AS OBJECT_TYPE, "
     "CASE WHEN e.objectId = m2.id THEN m2.name "
     "     WHEN e.objectId = cw.integrationId THEN cw.name "
     "     WHEN e.objectId = u2.id THEN u2.userName END AS OBJECT_NAME",
     "LEFT JOIN r_users u2 ON e.objectId = u2.id "
     "LEFT JOIN r_models m2 ON e.objectId = m2.id "
-    "LEFT JOIN r_cloudworks cw ON e.objectId = cw.integrationId", "r_users", "r_models", "r_cloudworks"))
+    "LEFT JOIN r_integrations cw ON e.objectId = cw.integrationId", "r_users", "r_models", "r_integrations"))
 def q_object_case(spark, sf_dir):
     """Object type and name, Model > Integration > User."""
     ev, d = _ev_and_dims(spark, sf_dir)
@@ -198,8 +199,8 @@ def q_object_case(spark, sf_dir):
 
 @register("action_name_case", _ev_sql(
     "e.id AS AUDIT_ID, e.aa_actionId AS ACTION_ID, "
-    "CASE WHEN e.aa_actionId IS NOT DISTINCT FROM '-1' THEN 'Unsaved Action' "
-    "     WHEN a.name IS NULL AND e.aa_actionId IS NOT NULL THEN '<Object has been Deleted>' "
+    f"CASE WHEN e.aa_actionId IS NOT DISTINCT FROM '{SCH.ACTION_UNSAVED_ID}' THEN '{SCH.ACTION_UNSAVED}' "
+    f"     WHEN a.name IS NULL AND e.aa_actionId IS NOT NULL THEN '{SCH.ACTION_DELETED}' "
     "     ELSE a.name END AS ACTION_NAME",
     "LEFT JOIN r_actions a ON e.aa_actionId = a.id AND e.objectId = a.model_id", "r_actions"))
 def q_action_name_case(spark, sf_dir):
@@ -256,7 +257,7 @@ def q_next_watermark(spark, sf_dir):
     return INC.next_watermark(R.r_events(spark, sf_dir, since_ms=LAST_RUN), LAST_RUN)
 
 
-_COUNT_TABLES = ["r_users", "r_workspaces", "r_models", "r_cloudworks", "r_actions", "r_files",
+_COUNT_TABLES = ["r_users", "r_workspaces", "r_models", "r_integrations", "r_actions", "r_files",
                  "r_act_codes", "r_events"]
 
 
@@ -266,7 +267,7 @@ def q_table_counts(spark, sf_dir):
     """``count(*)`` of every stored table."""
     tables = {
         "users": R.r_users(spark, sf_dir), "workspaces": R.r_workspaces(spark, sf_dir),
-        "models": R.r_models(spark, sf_dir), "cloudworks": R.r_cloudworks(spark, sf_dir),
+        "models": R.r_models(spark, sf_dir), "integrations": R.r_integrations(spark, sf_dir),
         "actions": R.r_actions(spark, sf_dir), "files": R.r_files(spark, sf_dir),
         "act_codes": R.r_act_codes(spark), "events": R.r_events(spark, sf_dir),
     }
@@ -318,16 +319,16 @@ def q_active_models(spark, sf_dir):
 
 SCOPE_TARGET_MODEL = "M7"
 _COMBOS_SQL = ("combos AS (SELECT DISTINCT workspaceId AS WorkspaceId, modelId AS ModelId "
-               "FROM r_cloudworks)")
+               "FROM r_integrations)")
 
 
 @register("scope_skip", O.with_roles(
     "SELECT m.id, m.currentWorkspaceId FROM r_models m WHERE NOT EXISTS (SELECT 1 FROM combos c "
     "WHERE c.WorkspaceId = m.currentWorkspaceId AND c.ModelId = m.id)",
-    "r_models", "r_cloudworks", extra=[_COMBOS_SQL]))
+    "r_models", "r_integrations", extra=[_COMBOS_SQL]))
 def q_scope_skip(spark, sf_dir):
     """drop listed (workspace, model) pairs; the list is every integration's pair."""
-    combos = R.r_cloudworks(spark, sf_dir).select(
+    combos = R.r_integrations(spark, sf_dir).select(
         F.col("workspaceId").alias("WorkspaceId"), F.col("modelId").alias("ModelId"))
     return D.scope_skip(R.r_models(spark, sf_dir), combos).select("id", "currentWorkspaceId")
 
@@ -336,10 +337,10 @@ def q_scope_skip(spark, sf_dir):
     "SELECT m.id, m.currentWorkspaceId FROM r_models m WHERE EXISTS (SELECT 1 FROM combos c "
     "WHERE c.WorkspaceId = m.currentWorkspaceId AND c.ModelId = m.id) OR m.id = "
     f"'{SCOPE_TARGET_MODEL}'",
-    "r_models", "r_cloudworks", extra=[_COMBOS_SQL]))
+    "r_models", "r_integrations", extra=[_COMBOS_SQL]))
 def q_scope_select(spark, sf_dir):
     """keep listed pairs plus the target model in any workspace."""
-    combos = R.r_cloudworks(spark, sf_dir).select(
+    combos = R.r_integrations(spark, sf_dir).select(
         F.col("workspaceId").alias("WorkspaceId"), F.col("modelId").alias("ModelId"))
     return D.scope_select(R.r_models(spark, sf_dir), combos, SCOPE_TARGET_MODEL).select(
         "id", "currentWorkspaceId")
@@ -845,7 +846,7 @@ def q_report_parameters(spark, sf_dir):
     d = report_dims(spark, sf_dir)
     RS.register_views(R.r_events(spark, sf_dir, since_ms=LAST_RUN), {
         "users": d.users, "workspaces": d.workspaces, "models": d.models.drop("categoryValues"),
-        "cloudworks": d.cloudworks.drop("schedule"), "act_codes": d.act_codes, "actions": d.actions})
+        "integrations": d.integrations.drop("schedule"), "act_codes": d.act_codes, "actions": d.actions})
     return RS.audit_report_sql(spark, batch_id=BATCH_ID, tenant_name=TENANT_NAME, last_run=LAST_RUN)
 
 

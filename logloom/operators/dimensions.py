@@ -55,12 +55,12 @@ def dim_models(models: DataFrame, unique: bool = True) -> DataFrame:
     return unique_on(out, ["id"]) if unique else out
 
 
-def dim_integrations(cloudworks: DataFrame, unique: bool = True) -> DataFrame:
+def dim_integrations(integrations: DataFrame, unique: bool = True) -> DataFrame:
     """Integrations flattened to dotted columns (``latestRun.*``, ``schedule.*``, P02)
     without the ``schedule.daysOfWeek`` list (P05), one row per integration."""
     from logloom.operators.flatten import flatten_struct
 
-    out = drop_if_present(flatten_struct(cloudworks), "schedule.daysOfWeek")
+    out = drop_if_present(flatten_struct(integrations), "schedule.daysOfWeek")
     return unique_on(out, ["integrationId"]) if unique else out
 
 

@@ -7,6 +7,8 @@ Spark plans, so a disagreement points at a real bug on one side.
 
 from __future__ import annotations
 
+from logloom import schemas as S
+
 ROLES: dict[str, str] = {}
 
 ROLES["r_events"] = """
@@ -87,8 +89,8 @@ r_models AS (
   FROM nation
 )"""
 
-ROLES["r_cloudworks"] = """
-r_cloudworks AS (
+ROLES["r_integrations"] = """
+r_integrations AS (
   SELECT 'C' || cast(s_suppkey AS varchar) AS integrationId, s_name AS name,
          'M' || cast(s_nationkey AS varchar) AS modelId,
          'W' || cast(s_suppkey % 5 AS varchar) AS workspaceId
@@ -167,8 +169,8 @@ SELECT
   CASE WHEN f.aa_modelId IS NOT NULL THEN f.attribute_model_name
        WHEN f.is_integration THEN f.integration_model_name END AS MODEL_NAME,
   f.objectId AS OBJECT_ID,
-  CASE WHEN f.is_model THEN 'Model' WHEN f.is_integration THEN 'CloudWorks Integration'
-       WHEN f.is_user THEN 'User' END AS OBJECT_TYPE,
+  CASE WHEN f.is_model THEN '{t_model}' WHEN f.is_integration THEN '{t_integration}'
+       WHEN f.is_user THEN '{t_user}' END AS OBJECT_TYPE,
   CASE WHEN f.is_model THEN f.object_model_name WHEN f.is_integration THEN f.integration_name
        WHEN f.is_user THEN f.object_user_name END AS OBJECT_NAME,
   f.message AS MESSAGE,
@@ -182,8 +184,8 @@ SELECT
   f.objectTypeId AS OBJECT_TYPE_ID,
   f.objectTenantId AS OBJECT_TENANT_ID,
   f.aa_actionId AS ACTION_ID,
-  CASE WHEN f.aa_actionId IS NOT DISTINCT FROM '-1' THEN 'Unsaved Action'
-       WHEN f.action_name IS NULL AND f.aa_actionId IS NOT NULL THEN '<Object has been Deleted>'
+  CASE WHEN f.aa_actionId IS NOT DISTINCT FROM '{unsaved_id}' THEN '{unsaved}'
+       WHEN f.action_name IS NULL AND f.aa_actionId IS NOT NULL THEN '{deleted}'
        ELSE f.action_name END AS ACTION_NAME,
   f.aa_name AS ADDITIONAL_ATTRIBUTES_NAME,
   f.aa_type AS ADDITIONAL_ATTRIBUTES_TYPE,
@@ -212,7 +214,7 @@ FROM (
   LEFT JOIN r_users ou ON ou.id = e.objectId
   LEFT JOIN r_models om ON om.id = e.objectId
   LEFT JOIN (SELECT c.integrationId, c.name, c.modelId, m.name AS model_name
-             FROM r_cloudworks c LEFT JOIN r_models m ON m.id = c.modelId) i ON i.integrationId = e.objectId
+             FROM r_integrations c LEFT JOIN r_models m ON m.id = c.modelId) i ON i.integrationId = e.objectId
   LEFT JOIN r_actions act ON act.id = e.aa_actionId AND act.model_id = e.objectId
   LEFT JOIN r_workspaces w ON w.id = e.aa_workspaceId
   LEFT JOIN r_models am ON am.id = e.aa_modelId
@@ -221,13 +223,15 @@ FROM (
 ) f
 """
 
-REPORT_ROLES = ("r_events", "r_users", "r_workspaces", "r_models", "r_cloudworks",
+REPORT_ROLES = ("r_events", "r_users", "r_workspaces", "r_models", "r_integrations",
                 "r_act_codes", "r_actions")
 
 
 def report_body(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False,
                 events: str = "r_events") -> str:
     return REPORT_SELECT.format(
+        t_model=S.OBJECT_TYPE_MODEL, t_integration=S.OBJECT_TYPE_INTEGRATION, t_user=S.OBJECT_TYPE_USER,
+        unsaved_id=S.ACTION_UNSAVED_ID, unsaved=S.ACTION_UNSAVED, deleted=S.ACTION_DELETED,
         batch_id=int(batch_id), tenant_name=tenant_name.replace("'", "''"), events=events,
         where=f"WHERE {where}" if where else "",
         extra=",\n  f.eventDate AS __event_ms" if order_key else "")

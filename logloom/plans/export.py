@@ -80,10 +80,14 @@ def write_chunks(numbered: DataFrame, out_dir: str, header_first_only: bool = Tr
     if not header_first_only:
         laid.write.mode("overwrite").partitionBy("chunk").option("header", True).csv(out_dir)
         return
+    # Chunk 0 replaces the whole folder (no stale chunks of an older, longer
+    # export survive); the other chunks then replace only their own
+    # partitions.  Re-running after a failure between the two writes gives
+    # the same folder: both writes are idempotent.
     laid.where(F.col("chunk") == 0).write.mode("overwrite").partitionBy("chunk") \
         .option("header", True).csv(out_dir)
-    laid.where(F.col("chunk") != 0).write.mode("append").partitionBy("chunk") \
-        .option("header", False).csv(out_dir)
+    laid.where(F.col("chunk") != 0).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("chunk").option("header", False).csv(out_dir)
 
 
 def page_of(numbered: DataFrame, page: int) -> DataFrame:

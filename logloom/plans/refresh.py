@@ -14,7 +14,7 @@ Landing folder (written by whatever pulls the source API)::
 Warehouse folder (shared storage)::
 
     events/          Parquet by event_day/ingest_batch, appended by the streaming ingest (deduplicated)
-    users/ workspaces/ models/ actions/ files/ cloudworks/ act_codes/   replaced each run
+    users/ workspaces/ models/ actions/ files/ integrations/ act_codes/   replaced each run
     exports/<file>/chunk=<n>/   one CSV per chunk
     refresh_log/     one row appended per run
     _state/watermark one-row table, written LAST (a failed run is re-run from the old one)
@@ -65,7 +65,7 @@ EXPORTS = {
     "models": ("MODEL_LIST.csv", "MOD"),
     "actions": ("ACTION_LIST.csv", "ACT"),
     "files": ("FILE_LIST.csv", "FILE"),
-    "cloudworks": ("CLOUDWORKS_LIST.csv", "CW"),
+    "integrations": ("CLOUDWORKS_LIST.csv", "CW"),
     "act_codes": ("ACTIVITY_CODES.csv", None),
 }
 REPORT_EXPORT = "AUDIT_LOG.csv"
@@ -73,7 +73,7 @@ REPORT_EXPORT = "AUDIT_LOG.csv"
 
 EXPORT_KEYS = {
     "users": ["id"], "workspaces": ["id"], "models": ["id"], "actions": ["id", "model_id"],
-    "files": ["id", "model_id"], "cloudworks": ["integrationId"], "act_codes": ["Event Code"],
+    "files": ["id", "model_id"], "integrations": ["integrationId"], "act_codes": ["Event Code"],
 }
 
 
@@ -128,7 +128,7 @@ def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings
         "models": models_dim,
         "actions": D.dim_assets(assets.where(F.col("kind") != "files"), unique),
         "files": D.dim_assets(assets.where(F.col("kind") == "files"), unique),
-        "cloudworks": D.dim_integrations(cw.drop("page", "pos"), unique),
+        "integrations": D.dim_integrations(cw.drop("page", "pos"), unique),
         "act_codes": CO.read_activity_codes(spark, _p(landing, "act_codes")),
     }
 
@@ -165,7 +165,7 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     # The batch's arrival index (LOAD_ID) is also the export order: one numbering.
     indexed = row_index(new.drop("index") if "index" in new.columns else new, ["eventDate", "id"], out_col="index")
     dims_t = Dimensions(users=stored["users"], workspaces=stored["workspaces"], models=stored["models"],
-                        cloudworks=stored["cloudworks"], act_codes=stored["act_codes"], actions=stored["actions"])
+                        integrations=stored["integrations"], act_codes=stored["act_codes"], actions=stored["actions"])
     numbered = EX.export_report(indexed, dims_t, batch_id=settings.batch_id, tenant_name=settings.tenant_name,
                                 chunk_size=settings.chunk_size, strict=settings.strict,
                                 index_col=None if settings.strict else "index")

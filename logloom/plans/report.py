@@ -33,7 +33,7 @@ class Dimensions:
     users: DataFrame        # id, userName, displayName
     workspaces: DataFrame   # id, name
     models: DataFrame       # id, name
-    cloudworks: DataFrame   # integrationId, name, modelId
+    integrations: DataFrame   # integrationId, name, modelId
     act_codes: DataFrame    # Event Code, Event Message, Associated Object ID, Notes
     actions: DataFrame      # id, name, model_id
 
@@ -100,7 +100,7 @@ def prepare_dims(dims: Dimensions, strict: bool = False,
     m2 = dim(dims.models, ["id"], "m2_", ["name"])
 
     # Integrations with the name of their own model, resolved dimension-side.
-    cw_raw = dims.cloudworks.select("integrationId", "name", "modelId")
+    cw_raw = dims.integrations.select("integrationId", "name", "modelId")
     cw_src = cw_raw
     if not strict:
         cw_src = unique_on(cw_src, ["integrationId"], keep_null_keys=False)
@@ -134,7 +134,7 @@ def prepare_dims(dims: Dimensions, strict: bool = False,
     return PreparedDims(u, u2, w, m, m2, cw, ac, a, cw_model_name, strict, flags)
 
 
-def integration_model_names(cloudworks: DataFrame, models: DataFrame, how: str = "inner") -> DataFrame:
+def integration_model_names(integrations: DataFrame, models: DataFrame, how: str = "inner") -> DataFrame:
     """Integrations with the name of the model they load.
 
     ``inner`` is the source's subquery join; the report uses ``left`` so an
@@ -145,7 +145,7 @@ def integration_model_names(cloudworks: DataFrame, models: DataFrame, how: str =
     mod = mod.select(F.col("id").alias("__mid"), F.col("name").alias("model_name"))
     if how == "inner":
         mod = bounded_broadcast(mod, bound_source=raw)
-    return cloudworks.join(mod, F.col("modelId") == F.col("__mid"), how).drop("__mid")
+    return integrations.join(mod, F.col("modelId") == F.col("__mid"), how).drop("__mid")
 
 
 # --- enrichment steps: each adds one dimension's columns to the flat events ---
@@ -228,7 +228,7 @@ def model_name_col(d: PreparedDims) -> Column:
 
 
 def object_type_col() -> Column:
-    """Model > CloudWorks Integration > User > null (order matters)."""
+    """Model > integration > user > null (order matters)."""
     return (F.when(_is_model_obj(), F.lit(schemas.OBJECT_TYPE_MODEL))
             .when(_is_cw_obj(), F.lit(schemas.OBJECT_TYPE_INTEGRATION))
             .when(_is_user_obj(), F.lit(schemas.OBJECT_TYPE_USER)))

@@ -4,7 +4,7 @@ The source keeps its report in a SQL file and pastes the tenant name and run
 stamp into the text.  Here the text stays fixed and the values are bound as
 named parameters (``spark.sql(text, args=...)``), so no value is ever parsed
 as SQL.  The views it reads (``events``, ``users``, ``workspaces``,
-``models``, ``cloudworks``, ``act_codes``, ``actions``) are registered by
+``models``, ``integrations``, ``act_codes``, ``actions``) are registered by
 ``register_views``; dimensions are made unique first (R04), as in the
 DataFrame version.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logloom import schemas
 from logloom.operators.dimensions import unique_on
 
 REPORT_TEXT = """
@@ -23,7 +24,7 @@ WITH ev AS (
 ),
 integration AS (              -- integrations with their own model's name (D-5)
   SELECT c.integrationId, c.name, c.modelId, m.name AS model_name
-  FROM cloudworks c LEFT JOIN models m ON m.id = c.modelId
+  FROM integrations c LEFT JOIN models m ON m.id = c.modelId
 ),
 flags AS (
   SELECT ev.*,
@@ -68,7 +69,7 @@ SELECT
   CASE WHEN aa.modelId IS NOT NULL THEN attribute_model_name WHEN is_integration THEN integration_model_name END
     AS MODEL_NAME,
   objectId AS OBJECT_ID,
-  CASE WHEN is_model THEN 'Model' WHEN is_integration THEN 'CloudWorks Integration' WHEN is_user THEN 'User' END
+  CASE WHEN is_model THEN :type_model WHEN is_integration THEN :type_integration WHEN is_user THEN :type_user END
     AS OBJECT_TYPE,
   CASE WHEN is_model THEN object_model_name WHEN is_integration THEN integration_name
        WHEN is_user THEN object_user_name END AS OBJECT_NAME,
@@ -83,8 +84,8 @@ SELECT
   objectTypeId AS OBJECT_TYPE_ID,
   objectTenantId AS OBJECT_TENANT_ID,
   aa.actionId AS ACTION_ID,
-  CASE WHEN aa.actionId <=> '-1' THEN 'Unsaved Action'
-       WHEN action_name IS NULL AND aa.actionId IS NOT NULL THEN '<Object has been Deleted>'
+  CASE WHEN aa.actionId <=> :unsaved_id THEN :unsaved
+       WHEN action_name IS NULL AND aa.actionId IS NOT NULL THEN :deleted
        ELSE action_name END AS ACTION_NAME,
   aa.name AS ADDITIONAL_ATTRIBUTES_NAME,
   aa.type AS ADDITIONAL_ATTRIBUTES_TYPE,
@@ -102,7 +103,7 @@ FROM flags
 """
 
 VIEW_KEYS = {
-    "users": ["id"], "workspaces": ["id"], "models": ["id"], "cloudworks": ["integrationId"],
+    "users": ["id"], "workspaces": ["id"], "models": ["id"], "integrations": ["integrationId"],
     "act_codes": ["Event Code"], "actions": ["id", "model_id"],
 }
 
@@ -115,5 +116,8 @@ def register_views(events: DataFrame, dims: dict[str, DataFrame], prefix: str =
 
 def audit_report_sql(spark: SparkSession, *, batch_id: int, tenant_name: str, last_run: int = 0) -> DataFrame:
     """Run the report text with bound parameters over the registered views."""
-    return spark.sql(REPORT_TEXT, args={"batch_id": int(batch_id), "tenant_name": tenant_name,
-                                        "last_run": int(last_run)})
+    return spark.sql(REPORT_TEXT, args={
+        "batch_id": int(batch_id), "tenant_name": tenant_name, "last_run": int(last_run),
+        "type_model": schemas.OBJECT_TYPE_MODEL, "type_integration": schemas.OBJECT_TYPE_INTEGRATION,
+        "type_user": schemas.OBJECT_TYPE_USER, "unsaved_id": schemas.ACTION_UNSAVED_ID,
+        "unsaved": schemas.ACTION_UNSAVED, "deleted": schemas.ACTION_DELETED})

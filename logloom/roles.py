@@ -177,7 +177,7 @@ def r_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def r_cloudworks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def r_integrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(
         F.concat(F.lit("C"), _txt("s_suppkey")).alias("integrationId"),
@@ -260,7 +260,7 @@ def land_all(spark: SparkSession, sf_dir: str, landing: str, run: int = 1,
     PG.land_pages(r_users(spark, sf_dir), f"{landing}/users", "Resources", 500, ["id"], envelope="scim")
     PG.land_pages(r_workspaces(spark, sf_dir), f"{landing}/workspaces", "workspaces", 100, ["id"])
     PG.land_pages(r_models(spark, sf_dir), f"{landing}/models", "models", 100, ["id"])
-    PG.land_pages(r_cloudworks(spark, sf_dir), f"{landing}/integrations", "integrations", 100,
+    PG.land_pages(r_integrations(spark, sf_dir), f"{landing}/integrations", "integrations", 100,
                   ["integrationId"])
     assets = r_assets(spark, sf_dir)
     for kind in schemas.ASSET_KINDS:

@@ -31,12 +31,12 @@ def df(spark, cols, rows):
     return spark.createDataFrame(rows, schema)
 
 
-def dims(spark, users=(), workspaces=(), models=(), cloudworks=(), act_codes=(), actions=()):
+def dims(spark, users=(), workspaces=(), models=(), integrations=(), act_codes=(), actions=()):
     return Dimensions(
         users=df(spark, ["id", "userName", "displayName"], list(users)),
         workspaces=df(spark, ["id", "name"], list(workspaces)),
         models=df(spark, ["id", "name"], list(models)),
-        cloudworks=df(spark, ["integrationId", "name", "modelId"], list(cloudworks)),
+        integrations=df(spark, ["integrationId", "name", "modelId"], list(integrations)),
         act_codes=df(spark, schemas.ACT_CODE_COLUMNS, list(act_codes)),
         actions=df(spark, ["id", "name", "model_id"], list(actions)),
     )

@@ -38,7 +38,7 @@ def test_duplicate_user_fans_out_only_in_strict_d4(spark):
 
 def test_integration_model_name_d5(spark):
     d = dims(spark, models=[("M1", "one"), ("M2", "two")],
-             cloudworks=[("C1", "int1", "M1"), ("C2", "int2", "M2")])
+             integrations=[("C1", "int1", "M1"), ("C2", "int2", "M2")])
     evs = [event(1, objectId="C1"), event(2, objectId="C2")]
     default = {r.AUDIT_ID: (r.MODEL_ID, r.MODEL_NAME) for r in run(spark, evs, d).collect()}
     assert default == {"1": ("M1", "one"), "2": ("M2", "two")}
@@ -64,7 +64,7 @@ def test_load_id_nulls_and_wide_index_d8(spark):
 
 def test_object_type_priority_and_action_names(spark):
     d = dims(spark, users=[("X1", "user", "d")], models=[("X1", "model")],
-             cloudworks=[("X1", "integration", "M9")], actions=[("5", "named", "X1")])
+             integrations=[("X1", "integration", "M9")], actions=[("5", "named", "X1")])
     evs = [event(1, objectId="X1", aa_actionId="5"), event(2, objectId="X1", aa_actionId="-1"),
            event(3, objectId="nope", aa_actionId="7"), event(4, objectId="nope")]
     got = {r.AUDIT_ID: (r.OBJECT_TYPE, r.OBJECT_NAME, r.ACTION_NAME) for r in run(spark, evs, d).collect()}

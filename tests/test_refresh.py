@@ -35,3 +35,18 @@ def test_full_then_incremental_refresh(spark, tmp_dir):
     assert s3["audit_records"] == 0 and read_watermark(spark, warehouse) == s2["next_watermark"]
     log = {r.BATCH_ID: r.AUDIT_RECORDS_LOADED for r in spark.read.parquet(f"{warehouse}/refresh_log").collect()}
     assert log == {1: n1, 2: s2["audit_records"], 3: 0}
+
+
+def test_cli_scope_select_and_samples(spark, tmp_dir):
+    from logloom.__main__ import main
+
+    landing, warehouse = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    R.land_all(spark, SF, landing)
+    models = {r.id: r.currentWorkspaceId for r in R.r_models(spark, SF).collect()}
+    summary = main(["--landing", landing, "--warehouse", warehouse, "--tenant", "T", "--batch-id", "7",
+                    "--scope", "select", "--combo", f"{models['M2']}:M2", "--target-model", "M3", "--samples"])
+    assert summary["audit_records"] == R.r_events(spark, SF).count()
+    actions = spark.read.parquet(f"{warehouse}/actions")
+    assert {r.model_id for r in actions.select("model_id").distinct().collect()} <= {"M2", "M3"}
+    sample = spark.read.option("header", True).csv(f"{warehouse}/samples/USER_LIST.csv")
+    assert sample.columns[0] == "USR_CT" and sample.count() == R.r_users(spark, SF).count()

@@ -1,4 +1,4 @@
-"""Run one refresh: ``spark-submit -m logloom`` or ``python -m logloom``.
+"""Run one refresh: ``python -m logloom``, or ``spark-submit logloom/__main__.py`` on a cluster.
 
     python -m logloom --landing <dir> --warehouse <dir> --tenant "Tenant" \\
         [--batch-id <epoch s>] [--last-run <epoch ms>] [--chunk-size 15000] \\

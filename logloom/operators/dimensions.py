@@ -21,20 +21,23 @@ def unique_on(df: DataFrame, keys: list[str], prefer: list[str] | None = None,
     deterministic.  Rows with a null key are kept as they are unless
     ``keep_null_keys`` is off (join dimensions: a null key never matches).
     """
-    rest = [c for c in df.columns if c not in keys]
+    cols = df.columns
+    rest = [c for c in cols if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
     order = (prefer or []) + [c for c in rest if c not in (prefer or [])]
-    packed = F.struct(*[F.col(f"`{c}`").alias(c) for c in order])
-    non_null = F.lit(True)
-    for k in keys:
-        non_null = non_null & F.col(f"`{k}`").isNotNull()
-    keyed = df.where(non_null).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max(packed).alias("__row"))
-    keyed = keyed.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"__row.`{c}`").alias(c) for c in rest])
-    ordered = [F.col(f"`{c}`") for c in df.columns]
+
+    def q(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
+    # Built as SQL text: one expression instead of a JVM call per column.
+    packed = F.expr("max(struct(" + ", ".join(f"{q(c)} AS {q(c)}" for c in order) + "))").alias("__row")
+    non_null = " AND ".join(f"{q(k)} IS NOT NULL" for k in keys)
+    out_cols = [q(c) if c in keys else f"__row.{q(c)} AS {q(c)}" for c in cols]
+    keyed = df.where(non_null).groupBy(*[q(k) for k in keys]).agg(packed).selectExpr(*out_cols)
     if not keep_null_keys:
-        return keyed.select(*ordered)
-    return keyed.unionByName(df.where(~non_null)).select(*ordered)
+        return keyed
+    return keyed.unionByName(df.where(f"NOT ({non_null})"))
 
 
 def drop_if_present(df: DataFrame, *cols: str) -> DataFrame:

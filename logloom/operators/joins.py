@@ -95,4 +95,4 @@ def left_join(fact: DataFrame, dim: DataFrame, pairs: list[tuple[str, str]], bro
 def prefixed(df: DataFrame, prefix: str, cols: list[str] | None = None) -> DataFrame:
     """Select ``cols`` renamed with a prefix, so several dimensions can be joined."""
     cols = cols or df.columns
-    return df.select([F.col(f"`{c}`").alias(f"{prefix}{c}") for c in cols])
+    return df.selectExpr(*[f"`{c}` AS `{prefix}{c}`" for c in cols])

@@ -26,20 +26,34 @@ ENGINE_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "logloom", extra: dict | None = None) -> SparkSession:
+    """The engine's session.
+
+    On a cluster (no ``master`` given, e.g. under ``spark-submit``) sizing is
+    left to the cluster's configuration: shuffle partitions, memory and the
+    shared ``spark.checkpoint.dir`` come from there, and AQE coalesces small
+    shuffle partitions at run time.  Only local runs (tests, bench) get a
+    shuffle width equal to their cores and a fixed driver memory.
+    """
     builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
     conf = dict(ENGINE_CONF)
     conf.update({
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("LOGLOOM_DRIVER_MEMORY", "8g"),
         # Checkpoints written by row numbering are removed once unreferenced.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     })
+    local = bool(master) and master.startswith("local")
+    if master:
+        builder = builder.master(master)
+    if local:
+        cores = master[len("local["):-1] if master.startswith("local[") else "1"
+        width = shuffle_partitions or (os.cpu_count() if cores == "*" else int(cores))
+        conf["spark.sql.shuffle.partitions"] = str(width)
+        conf["spark.driver.memory"] = os.environ.get("LOGLOOM_DRIVER_MEMORY", "8g")
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

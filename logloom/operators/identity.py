@@ -31,8 +31,13 @@ def row_index(df: DataFrame, order_cols: list[str], out_col: str = "index",
     """Append ``out_col``: 0-based position of each row in ``order_cols`` order."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Width: given, or left to AQE, which sizes range partitions from the
+    # data and coalesces only adjacent ones -- order across partitions holds.
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *order_cols)
+    else:
+        ranged = df.repartitionByRange(*order_cols)
+    ranged = ranged.sortWithinPartitions(*order_cols)
     fixed = ranged.checkpoint(eager=True)
     with_pos = fixed.select(
         "*",

@@ -73,8 +73,9 @@ def write_chunks(numbered: DataFrame, out_dir: str, header_first_only: bool = Tr
     every chunk file carries the header and can be read on its own.
     """
     cols = [c for c in numbered.columns if c not in ("chunk", "__rn")]
-    n_parts = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = (numbered.repartition(n_parts, "chunk")
+    # Hash by chunk, width left to AQE: coalescing merges whole partitions,
+    # so a chunk is never split across tasks.
+    laid = (numbered.repartition("chunk")
             .sortWithinPartitions("chunk", "__rn")
             .select("chunk", *[F.col(f"`{c}`") for c in cols]))
     if not header_first_only:

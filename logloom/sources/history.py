@@ -25,8 +25,7 @@ def land_history_chunks(rows: DataFrame, out_dir: str, chunk_rows: int, order_co
     data = numbered.select(F.call_function("div", F.col("__rn"), F.lit(chunk_rows)).alias("chunk"),
                            F.col("__rn").alias("__ord"), line.alias("value"))
     header = rows.sparkSession.createDataFrame([(0, -1, "\t".join(cols))], "chunk long, __ord long, value string")
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (data.unionByName(header).repartition(n, "chunk").sortWithinPartitions("chunk", "__ord")
+    (data.unionByName(header).repartition("chunk").sortWithinPartitions("chunk", "__ord")
      .select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(out_dir))
 
 

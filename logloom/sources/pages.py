@@ -78,8 +78,7 @@ def land_pages(records: DataFrame, out_dir: str, record_path: str, page_size: in
                         last_page, url),
     )
     docs = pages.select(*group_cols, "page", F.to_json(body).alias("value"))
-    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (docs.repartition(n, *group_cols, "page")
+    (docs.repartition(*group_cols, "page")
      .write.mode(mode).partitionBy(*group_cols, "page").text(out_dir))
 
 

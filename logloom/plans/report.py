@@ -99,13 +99,10 @@ def prepare_dims(dims: Dimensions, strict: bool = False,
     m = dim(dims.models, ["id"], "m_", ["name"])
     m2 = dim(dims.models, ["id"], "m2_", ["name"])
 
-    # Integrations with the name of their own model, resolved dimension-side.
+    # Integrations: their size is probed on the raw list; the name of their
+    # own model is joined dimension-side once the probe has run (below).
     cw_raw = dims.integrations.select("integrationId", "name", "modelId")
-    cw_src = cw_raw
-    if not strict:
-        cw_src = unique_on(cw_src, ["integrationId"], keep_null_keys=False)
-        cw_src = integration_model_names(cw_src, dims.models, how="left")
-    cw = (prefixed(cw_src, "cw_"), cw_raw)
+    cw = (cw_raw, cw_raw)
     if strict:
         # D-5 strict: one constant for every integration event, the first model
         # name found by integration order (the uncorrelated scalar subquery);
@@ -130,21 +127,33 @@ def prepare_dims(dims: Dimensions, strict: bool = False,
     names = ["u", "u2", "w", "m", "m2", "cw", "ac", "a"]
     picked = bounded_broadcast_all([u, u2, w, m, m2, cw, ac, a], broadcast_max_rows, with_flags=True)
     flags = {n: small for n, (_, small) in zip(names, picked)}
-    u, u2, w, m, m2, cw, ac, a = [df for df, _ in picked]
+    u, u2, w, m, m2, _, ac, a = [df for df, _ in picked]
+    cw_src = cw_raw
+    if not strict:
+        cw_src = unique_on(cw_src, ["integrationId"], keep_null_keys=False)
+        cw_src = integration_model_names(cw_src, dims.models, how="left",
+                                         broadcast_models=flags["m"])
+    cw = prefixed(cw_src, "cw_")
+    cw = F.broadcast(cw) if flags["cw"] else cw
     return PreparedDims(u, u2, w, m, m2, cw, ac, a, cw_model_name, strict, flags)
 
 
-def integration_model_names(integrations: DataFrame, models: DataFrame, how: str = "inner") -> DataFrame:
+def integration_model_names(integrations: DataFrame, models: DataFrame, how: str = "inner",
+                            broadcast_models: bool | None = None) -> DataFrame:
     """Integrations with the name of the model they load.
 
     ``inner`` is the source's subquery join; the report uses ``left`` so an
     integration whose model is unknown keeps its row (its name is null).
+    ``broadcast_models``: the outcome of a size check already made (the
+    report's probe); ``None`` runs the check here.
     """
     raw = models.select("id", "name")
     mod = unique_on(raw, ["id"], keep_null_keys=False)
     mod = mod.select(F.col("id").alias("__mid"), F.col("name").alias("model_name"))
-    if how == "inner":
+    if broadcast_models is None:
         mod = bounded_broadcast(mod, bound_source=raw)
+    elif broadcast_models:
+        mod = F.broadcast(mod)
     return integrations.join(mod, F.col("modelId") == F.col("__mid"), how).drop("__mid")
 
 

@@ -19,6 +19,11 @@ from pyspark.sql import SparkSession
 # partitions (a hot userId or a null-heavy objectId).
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Broadcast only what is proven small: explicit hints after a row count
+    # (operators.joins), or AQE's decision from the MEASURED size of a
+    # finished shuffle stage -- never the planner's file-size estimate.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -33,11 +33,7 @@ def test_dimension_over_bound_is_not_broadcast(spark):
     from logloom.plans.report import audit_report
     df = audit_report(R.r_events(spark, SF), catalog.report_dims(spark, SF), batch_id=1, tenant_name="t",
                       broadcast_max_rows=10)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        p = plan_text(df)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    p = plan_text(df)
     assert "SortMergeJoin" in p                 # users (150 rows > 10) are shuffle-joined
     assert "BroadcastHashJoin" in p             # the 4-row activity codes stay broadcast
 
@@ -48,13 +44,13 @@ def test_shuffle_join_fallback_gives_the_same_report(spark):
     from logloom.plans.report import audit_report
     ev, dims = R.r_events(spark, SF), catalog.report_dims(spark, SF)
     fast = audit_report(ev, dims, batch_id=1, tenant_name="t")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        slow = audit_report(ev, dims, batch_id=1, tenant_name="t", broadcast_max_rows=0)
-        p = plan_text(slow)
-        assert "SortMergeJoin" in p
-        assert "CASE WHEN isnull(objectId" in p        # null keys salted before the shuffle
-        assert fast.count() == slow.count()
-        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    slow = audit_report(ev, dims, batch_id=1, tenant_name="t", broadcast_max_rows=0)
+    p = plan_text(slow)
+    assert "SortMergeJoin" in p
+    assert "CASE WHEN isnull(objectId" in p        # null keys salted before the shuffle
+    assert fast.count() == slow.count()
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+
+
+def test_no_estimate_based_broadcast(spark):
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"

@@ -29,6 +29,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,23 +95,30 @@ def save_watermark(spark: SparkSession, warehouse: str, value: int) -> None:
         _p(warehouse, "_state", "watermark"))
 
 
+def _codes_or_empty(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return CO.read_activity_codes(spark, path)
+    except AnalysisException:
+        return spark.createDataFrame([], schemas.ACT_CODES)
+
+
 def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings) -> dict[str, DataFrame]:
     """Entry 2: every dimension from all of its landed pages, one read each."""
-    users = PG.explode_records(PG.read_pages(spark, _p(landing, "users"),
-                                             PG.page_schema("Resources", schemas.USER, "scim")), "Resources")
-    ws = PG.explode_records(PG.read_pages(spark, _p(landing, "workspaces"),
-                                          PG.page_schema("workspaces", schemas.WORKSPACE)), "workspaces")
-    models = PG.explode_records(PG.read_pages(spark, _p(landing, "models"),
-                                              PG.page_schema("models", schemas.MODEL)), "models")
-    cw = PG.explode_records(PG.read_pages(spark, _p(landing, "integrations"),
-                                          PG.page_schema("integrations", schemas.INTEGRATION)), "integrations")
+    def pages(folder, record_path, record, envelope="meta", context=None):
+        schema = PG.page_schema(record_path, record, envelope, context=context)
+        return PG.read_pages(spark, _p(landing, folder), schema, missing_ok=True)
+
+    users = PG.explode_records(pages("users", "Resources", schemas.USER, "scim"), "Resources")
+    ws = PG.explode_records(pages("workspaces", "workspaces", schemas.WORKSPACE), "workspaces")
+    models = PG.explode_records(pages("models", "models", schemas.MODEL), "models")
+    cw = PG.explode_records(pages("integrations", "integrations", schemas.INTEGRATION), "integrations")
     # All five asset kinds in ONE read: each page has exactly one of the arrays.
     kinds = schemas.ASSET_KINDS
     asset_schema = PG.page_schema(kinds[0], schemas.NAMED_ASSET, "meta",
                                   context=["workspace_id", "model_id", "kind"])
     for k in kinds[1:]:
         asset_schema = asset_schema.add(k, asset_schema[kinds[0]].dataType)
-    asset_pages = PG.read_pages(spark, _p(landing, "assets"), asset_schema)
+    asset_pages = PG.read_pages(spark, _p(landing, "assets"), asset_schema, missing_ok=True)
     assets = asset_pages.select("workspace_id", "model_id", "kind",
                                 F.explode(F.coalesce(*[F.col(k) for k in kinds])).alias("r")) \
         .select("r.id", "r.name", "workspace_id", "model_id", "kind")
@@ -129,7 +137,7 @@ def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings
         "actions": D.dim_assets(assets.where(F.col("kind") != "files"), unique),
         "files": D.dim_assets(assets.where(F.col("kind") == "files"), unique),
         "integrations": D.dim_integrations(cw.drop("page", "pos"), unique),
-        "act_codes": CO.read_activity_codes(spark, _p(landing, "act_codes")),
+        "act_codes": _codes_or_empty(spark, _p(landing, "act_codes")),
     }
 
 
@@ -138,10 +146,17 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     last_run = settings.last_run if settings.last_run is not None else read_watermark(spark, warehouse)
     events_path = _p(warehouse, "events")
     # Entry 1: ingest whatever pages arrived since the last committed batch.
-    ST.ingest_available(spark, _p(landing, "events"), events_path, _p(warehouse, "_checkpoints", "events"),
-                        dedupe=None if settings.strict else "exact", delay=settings.dedupe_delay,
-                        context=["run"])
-    events = spark.read.parquet(events_path)
+    try:
+        ST.ingest_available(spark, _p(landing, "events"), events_path, _p(warehouse, "_checkpoints", "events"),
+                            dedupe=None if settings.strict else "exact", delay=settings.dedupe_delay,
+                            context=["run"])
+    except AnalysisException as err:        # no event page has ever landed
+        if "PATH_NOT_FOUND" not in str(err):
+            raise
+    events = ST.read_events(spark, events_path)
+    if events is None:                      # nothing ever landed: an empty, typed table
+        events = spark.createDataFrame([], schemas.EVENT).withColumn("event_day", F.lit(None).cast("date")) \
+            .withColumn("ingest_batch", F.lit(None).cast("bigint"))
     # Partition pruning: only day folders on or after the watermark's day are listed and read.
     first_day = _dt.datetime.fromtimestamp(last_run / 1000, _dt.timezone.utc).date()
     events = events.where(F.col("event_day") >= F.lit(first_day)).drop(*ST.PARTITIONS)

@@ -14,6 +14,7 @@ too; pages never span two context groups.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,9 +98,19 @@ def page_schema(record_path: str, record: T.StructType, envelope: str = "meta",
     return T.StructType(fields + extra + [T.StructField("page", T.LongType())])
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """All pages under ``path`` in one read (U01: union of pages, duplicates kept)."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False,
+               missing_ok: bool = False) -> DataFrame:
+    """All pages under ``path`` in one read (U01: union of pages, duplicates kept).
+
+    ``missing_ok``: a folder nothing was landed in reads as no pages (an
+    empty, typed table), as the source carries on when a list is empty.
+    """
+    try:
+        return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    except AnalysisException:
+        if not missing_ok:
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def explode_records(pages: DataFrame, record_path: str, keep: list[str] | None = None) -> DataFrame:

@@ -50,3 +50,20 @@ def test_cli_scope_select_and_samples(spark, tmp_dir):
     assert {r.model_id for r in actions.select("model_id").distinct().collect()} <= {"M2", "M3"}
     sample = spark.read.option("header", True).csv(f"{warehouse}/samples/USER_LIST.csv")
     assert sample.columns[0] == "USR_CT" and sample.count() == R.r_users(spark, SF).count()
+
+
+def test_refresh_with_missing_lists_and_no_events(spark, tmp_dir):
+    landing, warehouse = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    # Nothing landed at all: only a log row, watermark stays 0.
+    s0 = run_refresh(spark, landing, warehouse, RefreshSettings(tenant_name="T", batch_id=1))
+    assert s0["audit_records"] == 0 and read_watermark(spark, warehouse) == 0
+    # Events and users only: the other lists are empty tables, the report still has every event.
+    from logloom.sources import pages as PG
+    ev = R.r_events(spark, SF).drop("index")
+    PG.land_pages(ev, f"{landing}/events/run=1", "response", 500, ["eventDate", "id"], envelope="events")
+    PG.land_pages(R.r_users(spark, SF), f"{landing}/users", "Resources", 500, ["id"], envelope="scim")
+    s1 = run_refresh(spark, landing, warehouse, RefreshSettings(tenant_name="T", batch_id=2, chunk_size=300))
+    assert s1["audit_records"] == ev.count()
+    out = HS.read_history_chunks(spark, f"{warehouse}/exports/AUDIT_LOG.csv", sep=",", sanitize=False)
+    assert out.count() == ev.count() and out.where("WORKSPACE_NAME IS NOT NULL").count() == 0
+    assert spark.read.parquet(f"{warehouse}/integrations").count() == 0

@@ -9,6 +9,9 @@ one task and become exactly one CSV file, sorted by their index.
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,28 +70,31 @@ def export_report(events: DataFrame, dims, *, batch_id: int, tenant_name: str,
 
 
 def write_chunks(numbered: DataFrame, out_dir: str, header_first_only: bool = True) -> None:
-    """Write one CSV file per chunk under ``out_dir/chunk=<n>/``.
-
-    ``header_first_only`` mirrors the source (header on chunk 0 only); else
-    every chunk file carries the header and can be read on its own.
+    """Write one CSV file per chunk under ``out_dir/chunk=<n>/``, in ONE job.
+
+    Rows are formatted with ``to_csv`` (the CSV writer's own quoting) and the
+    header is one more line, ordered first (``__rn = -1``): in chunk 0 only,
+    as the source does, or in every chunk.  Hashing by chunk (width left to
+    AQE, whose coalescing merges whole partitions) puts each chunk in one
+    task, hence one file, sorted by row number.  The folder is overwritten
+    as a whole, so a retried export gives the same files.
     """
+    spark = numbered.sparkSession
     cols = [c for c in numbered.columns if c not in ("chunk", "__rn")]
-    # Hash by chunk, width left to AQE: coalescing merges whole partitions,
-    # so a chunk is never split across tasks.
-    laid = (numbered.repartition("chunk")
-            .sortWithinPartitions("chunk", "__rn")
-            .select("chunk", *[F.col(f"`{c}`") for c in cols]))
-    if not header_first_only:
-        laid.write.mode("overwrite").partitionBy("chunk").option("header", True).csv(out_dir)
-        return
-    # Chunk 0 replaces the whole folder (no stale chunks of an older, longer
-    # export survive); the other chunks then replace only their own
-    # partitions.  Re-running after a failure between the two writes gives
-    # the same folder: both writes are idempotent.
-    laid.where(F.col("chunk") == 0).write.mode("overwrite").partitionBy("chunk") \
-        .option("header", True).csv(out_dir)
-    laid.where(F.col("chunk") != 0).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("chunk").option("header", False).csv(out_dir)
+    buf = io.StringIO()
+    csv.writer(buf, lineterminator="").writerow(cols)
+    header_text = buf.getvalue()
+    body = numbered.select(
+        "chunk", "__rn",
+        # RFC 4180 quoting (a quote inside a value is doubled), as the source's files.
+        F.to_csv(F.struct(*[F.col(f"`{c}`") for c in cols]), {"escape": '"'}).alias("value"))
+    if header_first_only:
+        heads = spark.createDataFrame([(0, -1, header_text)], "chunk bigint, __rn bigint, value string")
+    else:
+        heads = numbered.select("chunk").distinct().select(
+            "chunk", F.lit(-1).cast("bigint").alias("__rn"), F.lit(header_text).alias("value"))
+    laid = body.unionByName(heads).repartition("chunk").sortWithinPartitions("chunk", "__rn")
+    laid.select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(out_dir)
 
 
 def page_of(numbered: DataFrame, page: int) -> DataFrame:

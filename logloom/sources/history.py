@@ -43,8 +43,9 @@ def read_history_chunks(spark: SparkSession, path: str, sep: str = "\t", sanitiz
     names = sanitize_column_names(names) if sanitize else names
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField("chunk", T.LongType())])
-    first = spark.read.schema(schema).option("sep", sep).option("header", True).csv(path) \
-        .where(F.col("chunk") == 0)
-    rest = spark.read.schema(schema).option("sep", sep).option("header", False).csv(path) \
-        .where(F.col("chunk") != 0)
+    def reader():
+        return spark.read.schema(schema).option("sep", sep).option("escape", '"')
+
+    first = reader().option("header", True).csv(path).where(F.col("chunk") == 0)
+    rest = reader().option("header", False).csv(path).where(F.col("chunk") != 0)
     return first.unionByName(rest).drop("chunk")

@@ -32,14 +32,27 @@ def test_chunk_files_header_on_first_only(spark, tmp_dir):
     dirs = sorted(glob.glob(os.path.join(tmp_dir, "chunk=*")))
     assert len(dirs) == 4
     for i, path in enumerate(sorted(dirs, key=lambda p: int(p.split("=")[1]))):
-        files = glob.glob(os.path.join(path, "*.csv"))
+        files = glob.glob(os.path.join(path, "part-*"))
         assert len(files) == 1                                 # one file per chunk
         lines = open(files[0]).read().splitlines()
         assert (lines[0] == "USR_CT,id,v") == (i == 0)
-    assert sum(1 for _ in open(glob.glob(os.path.join(tmp_dir, "chunk=0", "*.csv"))[0])) == 4
+    assert sum(1 for _ in open(glob.glob(os.path.join(tmp_dir, "chunk=0", "part-*"))[0])) == 4
 
 
 def test_sample_top_rows(spark):
     d = spark.range(50).select(F.format_string("%03d", "id").alias("id"))
     s = EX.sample(d, ["id"], rows=5, acronym="USR").collect()
     assert [(r.USR_CT, r.id) for r in s] == [(i + 1, f"{i:03d}") for i in range(5)]
+
+
+def test_chunk_files_round_trip_quoting(spark, tmp_dir):
+    from logloom.sources.history import read_history_chunks
+    rows = [(f"{i:02d}", 'a,"b"' if i % 3 == 0 else None if i % 3 == 1 else "plain") for i in range(7)]
+    d = spark.createDataFrame(rows, "id string, v string")
+    EX.write_chunks(EX.number_for_export(d, ["id"], chunk_size=3, acronym="USR"), tmp_dir)
+    back = read_history_chunks(spark, tmp_dir, sep=",", sanitize=False)
+    assert back.columns == ["USR_CT", "id", "v"]
+    got = sorted((int(r.USR_CT), r.id, r.v) for r in back.collect())
+    assert got == [(i + 1, rid, v) for i, (rid, v) in enumerate(rows)]
+    first = open(glob.glob(os.path.join(tmp_dir.removeprefix("file:"), "chunk=0", "part-*"))[0]).read()
+    assert '"a,""b"""' in first                               # RFC 4180: quotes doubled

@@ -914,7 +914,7 @@ def q_stream_ingest(spark, sf_dir):
     for path, df in pulls:
         _pull(path, df)
         ST.ingest_available(spark, root, sink, ckpt, context=["run"])
-    stored = spark.read.parquet(sink).drop(*ST.PARTITIONS)
+    stored = spark.read.parquet(sink).drop(*ST.META_COLUMNS)
     return FL.align_template(FL.flatten_struct(stored), SC.TEMPLATE)
 
 

@@ -159,11 +159,17 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
             .withColumn("ingest_batch", F.lit(None).cast("bigint"))
     # Partition pruning: only day folders on or after the watermark's day are listed and read.
     first_day = _dt.datetime.fromtimestamp(last_run / 1000, _dt.timezone.utc).date()
-    events = events.where(F.col("event_day") >= F.lit(first_day)).drop(*ST.PARTITIONS)
-    new = events.where(incremental_condition(last_run, settings.strict))
-    mark = INC.next_watermark(new, last_run).first()
-    summary = {"last_run": last_run, "next_watermark": int(mark["next_watermark"]),
-               "audit_records": int(mark["audit_records"])}
+    events = events.where(F.col("event_day") >= F.lit(first_day))
+    new_stored = events.where(incremental_condition(last_run, settings.strict))
+    mark = INC.next_watermark(new_stored, last_run).first()
+    next_wm = int(mark["next_watermark"])
+    if settings.strict and "arrival" in events.columns:
+        # D-2 strict: the date of the last row received, by (run, page, position).
+        arrived = new_stored.select("eventDate", F.struct("ingest_batch", "arrival.run", "arrival.page").alias("page"),
+                                    F.col("arrival.pos").alias("pos"))
+        next_wm = int(INC.next_watermark_strict(arrived, last_run).first()["next_watermark"])
+    summary = {"last_run": last_run, "next_watermark": next_wm, "audit_records": int(mark["audit_records"])}
+    new = new_stored.drop(*[c for c in ST.META_COLUMNS if c in new_stored.columns])
     counted = new.agg(F.count(F.lit(1)).alias("audit_records"))
     if mark["audit_records"] == 0:
         TB.write_table(EX.refresh_log_row(spark, settings.batch_id, counted),

@@ -67,3 +67,18 @@ def test_refresh_with_missing_lists_and_no_events(spark, tmp_dir):
     out = HS.read_history_chunks(spark, f"{warehouse}/exports/AUDIT_LOG.csv", sep=",", sanitize=False)
     assert out.count() == ev.count() and out.where("WORKSPACE_NAME IS NOT NULL").count() == 0
     assert spark.read.parquet(f"{warehouse}/integrations").count() == 0
+
+
+def test_strict_watermark_is_last_row_received_d2(spark, tmp_dir):
+    from logloom.sources import pages as PG
+    ev = R.r_events(spark, SF).drop("index")
+    # Pages ordered by checksum: the last row received is not the newest event.
+    last = ev.orderBy(F.col("checksum").desc(), F.col("id").desc()).first()["eventDate"]
+    newest = ev.agg(F.max("eventDate")).first()[0]
+    assert last != newest
+    for strict, expect in ((True, last), (False, newest)):
+        root = f"{tmp_dir}/{'strict' if strict else 'default'}"
+        PG.land_pages(ev, f"{root}/landing/events/run=1", "response", 300, ["checksum", "id"], envelope="events")
+        s = run_refresh(spark, f"{root}/landing", f"{root}/warehouse",
+                        RefreshSettings(tenant_name="T", batch_id=1, strict=strict, chunk_size=500))
+        assert s["next_watermark"] == expect

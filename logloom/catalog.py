@@ -398,19 +398,19 @@ requests AS (
 
 
 @register("resolve_ids", O.with_roles("""
-SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1') AS resolved_id
+SELECT q.kind, q.workspace_id, q.model_id, q.name, CASE WHEN f.name IS NULL THEN '-1' ELSE f.found END AS resolved_id
 FROM requests q LEFT JOIN (SELECT name, min(id) AS found FROM r_workspaces GROUP BY name) f
   ON q.name = f.name WHERE q.kind = 'workspace'
 UNION ALL
-SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1')
+SELECT q.kind, q.workspace_id, q.model_id, q.name, CASE WHEN f.ws IS NULL THEN '-1' ELSE f.found END
 FROM requests q LEFT JOIN (SELECT currentWorkspaceId AS ws, name, min(id) AS found FROM r_models GROUP BY 1, 2) f
   ON q.workspace_id = f.ws AND q.name = f.name WHERE q.kind = 'model'
 UNION ALL
-SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1')
+SELECT q.kind, q.workspace_id, q.model_id, q.name, CASE WHEN f.workspace_id IS NULL THEN '-1' ELSE f.found END
 FROM requests q LEFT JOIN (SELECT workspace_id, model_id, name, min(id) AS found FROM r_actions GROUP BY 1, 2, 3) f
   ON q.workspace_id = f.workspace_id AND q.model_id = f.model_id AND q.name = f.name WHERE q.kind = 'action'
 UNION ALL
-SELECT q.kind, q.workspace_id, q.model_id, q.name, coalesce(f.found, '-1')
+SELECT q.kind, q.workspace_id, q.model_id, q.name, CASE WHEN f.workspace_id IS NULL THEN '-1' ELSE f.found END
 FROM requests q LEFT JOIN (SELECT workspace_id, model_id, name, min(id) AS found FROM r_files GROUP BY 1, 2, 3) f
   ON q.workspace_id = f.workspace_id AND q.model_id = f.model_id AND q.name = f.name WHERE q.kind = 'file'
 """, "r_workspaces", "r_models", "r_actions", "r_files", extra=[_ID_REQUESTS_SQL]))
@@ -448,15 +448,15 @@ name_requests AS (
 
 
 @register("resolve_names", O.with_roles("""
-SELECT q.kind, q.workspace_id, q.model_id, q.id, coalesce(f.found, '-1') AS resolved_name
+SELECT q.kind, q.workspace_id, q.model_id, q.id, CASE WHEN f.id IS NULL THEN '-1' ELSE f.found END AS resolved_name
 FROM name_requests q LEFT JOIN (SELECT id, min(name) AS found FROM r_workspaces GROUP BY id) f
   ON q.id = f.id WHERE q.kind = 'workspace'
 UNION ALL
-SELECT q.kind, q.workspace_id, q.model_id, q.id, coalesce(f.found, '-1')
+SELECT q.kind, q.workspace_id, q.model_id, q.id, CASE WHEN f.id IS NULL THEN '-1' ELSE f.found END
 FROM name_requests q LEFT JOIN (SELECT id, min(name) AS found FROM r_models GROUP BY id) f
   ON q.id = f.id WHERE q.kind = 'model'
 UNION ALL
-SELECT q.kind, q.workspace_id, q.model_id, q.id, coalesce(f.found, '-1')
+SELECT q.kind, q.workspace_id, q.model_id, q.id, CASE WHEN f.workspace_id IS NULL THEN '-1' ELSE f.found END
 FROM name_requests q LEFT JOIN (SELECT workspace_id, model_id, id, min(name) AS found FROM r_actions GROUP BY 1, 2, 3) f
   ON q.workspace_id = f.workspace_id AND q.model_id = f.model_id AND q.id = f.id WHERE q.kind = 'action'
 """, "r_events", "r_workspaces", "r_models", "r_actions", extra=[_NAME_REQUESTS_SQL]))
@@ -696,7 +696,8 @@ def _land_task_docs(spark, sf_dir) -> str:
 
 @register("task_failures", O.with_roles(f"""
 SELECT 'T' || cast(e.idx // {TASK_SIZE} AS varchar) AS taskId, e.aa_workspaceId AS workspaceId,
-       e.objectId AS modelId, e.aa_actionId AS objectId, coalesce(a.name, '-1') AS action_name,
+       e.objectId AS modelId, e.aa_actionId AS objectId,
+       CASE WHEN a.id IS NULL THEN '-1' ELSE a.name END AS action_name,
        d.message, CASE WHEN d.message = '{SC.MISSING_ITEM_MESSAGE}' THEN d.vals END AS missing_values
 FROM r_events e
 LEFT JOIN r_actions a ON a.workspace_id = e.aa_workspaceId AND a.model_id = e.objectId AND a.id = e.aa_actionId

@@ -49,8 +49,11 @@ def _resolve(requests: DataFrame, candidates: dict[str, DataFrame], keys_by_kind
             c = F.col(k) == F.col(f"__cand_{k}")
             cond = c if cond is None else cond & c
         j = req.join(found, cond, "left")
+        # No candidate row -> '-1'; a candidate whose value is null stays null
+        # (the source returns the row's value as it is).
+        matched = F.col(f"__cand_{keys[0]}").isNotNull()
         parts.append(j.select(*requests.columns,
-                              F.coalesce(F.col("__found"), F.lit(NOT_FOUND)).alias(out_col)))
+                              F.when(matched, F.col("__found")).otherwise(F.lit(NOT_FOUND)).alias(out_col)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -45,7 +45,7 @@ def task_failures(tasks: DataFrame, actions: DataFrame) -> DataFrame:
     missing = F.when(message == schemas.MISSING_ITEM_MESSAGE, F.concat_ws(",", F.col("d.values")))
     return j.select(
         "taskId", "workspaceId", "modelId", "objectId",
-        F.coalesce(F.col("__name"), F.lit(NOT_FOUND)).alias("action_name"),
+        F.when(F.col("id").isNotNull(), F.col("__name")).otherwise(F.lit(NOT_FOUND)).alias("action_name"),
         message.alias("message"),
         missing.alias("missing_values"),
     )

@@ -50,3 +50,17 @@ def test_resolve_ids_first_match_and_missing(spark):
            for r in LK.resolve_ids(req, ws, models, empty, empty).collect()}
     assert out == {("workspace", None, "Main"): "w1", ("workspace", None, "Nope"): "-1",
                    ("model", "w1", "Plan"): "m1", ("model", "w2", "Plan"): "-1"}
+
+
+def test_resolve_names_by_id_and_composite_key(spark):
+    ws = df(spark, ["id", "name"], [("w1", "Main")])
+    models = df(spark, ["id", "name"], [("m1", "Plan"), ("m2", None)])
+    actions = df(spark, ["id", "name", "workspace_id", "model_id"], [("5", "load", "w1", "m1")])
+    req = df(spark, ["kind", "workspace_id", "model_id", "id"],
+             [("workspace", None, None, "w1"), ("workspace", None, None, "w9"),
+              ("model", None, None, "m2"), ("action", "w1", "m1", "5"), ("action", "w1", "m2", "5")])
+    out = {(r.kind, r.model_id, r.id): r.resolved_name
+           for r in LK.resolve_names(req, ws, models, actions).collect()}
+    assert out == {("workspace", None, "w1"): "Main", ("workspace", None, "w9"): "-1",
+                   ("model", None, "m2"): None,             # found, name null: the null is returned
+                   ("action", "m1", "5"): "load", ("action", "m2", "5"): "-1"}

@@ -30,9 +30,14 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def ascii_lower(text: str) -> str:
-    """Lower-case A-Z alone; other letters stay as they are."""
-    return text.translate(_LOWER) if not text.isascii() else text.lower()
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, with underscores behind it until no column is called so (Spark ignores case)."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
-_LOWER = {ord(c): ord(c.lower()) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+def ddl(df: DataFrame, *more: str) -> str:
+    """The schema of ``df`` with further columns, for mapInArrow."""
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), *more])

@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logloom.llm.common import table
+from logloom.llm.common import ddl, free_name, table
 
 # Tag names of the HTML standard, by what they do to the text.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "object", "canvas", "video", "audio"}
@@ -239,16 +239,17 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """All columns of ``pages`` but the html, with ``main_text``."""
-    others = [c for c in pages.columns if c != html_col]
+    """All columns of ``pages`` but the html, and last the text (``main_text``, or the next free name)."""
+    others = pages.drop(html_col)
+    columns = others.columns
+    name = free_name(columns, "main_text")
 
     def run(batches):
         for b in batches:
             texts = pa.array([main_text(x) for x in b.column(html_col).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in others), texts], [*others, "main_text"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), texts], [*columns, name])
 
-    schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in others)
-    return pages.mapInArrow(run, f"{schema}, main_text string" if others else "main_text string")
+    return pages.mapInArrow(run, ddl(others, f"`{name}` string"))
 
 
 def op1_html_extract(spark, sf_dir: str) -> DataFrame:

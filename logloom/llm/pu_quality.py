@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logloom.llm.common import staged, table
+from logloom.llm.common import ddl, free_name, staged, table
 
 FOLDS, HELD_OUT = 5, 0
 KEEP_FROM = 0.3
@@ -134,17 +134,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, and ``quality_score``."""
+    """All columns of ``docs``, and last the score (``quality_score``, or the next free name)."""
     weights, bias = model
     columns = docs.columns
+    name = free_name(columns, "quality_score")
 
     def run(batches):
         for b in batches:
             g = np.array([features(t) @ weights for t in b.column(text_col).to_pylist()], np.float64) + bias
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(g, -40, 40))))], [*columns, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(g, -40, 40))))], [*columns, name])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, quality_score double")
+    return docs.mapInArrow(run, ddl(docs, f"`{name}` double"))
 
 
 def op7_pu_quality(spark, sf_dir: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from logloom.llm import chat_format, exact_dedup, html_extract, packing, pu_quality, simhash, token_counts
+from logloom.llm import chat_format, decontaminate, exact_dedup, html_extract, packing, pu_quality, simhash, token_counts
 
 QUERIES = {
     "op1_html_extract": html_extract.op1_html_extract,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_chat_format": chat_format.op6_chat_format,
     "op7_pu_quality": pu_quality.op7_pu_quality,
     "op9_simhash": simhash.op9_simhash,

@@ -33,9 +33,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from logloom.llm.common import staged, table
+from logloom.llm.common import free_name, staged, table
 from logloom.llm.components import components
 
 BITS, SEED = 64, 42
@@ -265,6 +265,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes.select("fp", "root").join(least, "root").drop("root"), "fp").select("id", "fp", "component_id")
 
 
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One document of each class, that of the smallest id, with the columns it came with."""
+    order = Window.partitionBy("component_id").orderBy(F.col("id").asc_nulls_last(), "fp")
+    rows = near_duplicates(docs, id_col, text_col, words, distance)
+    kept = staged(rows.filter(F.col("id").eqNullSafe(F.col("component_id")))
+                  .withColumn("n", F.row_number().over(order)).filter("n = 1").select("id", "fp"), "simhash-kept")
+    name = free_name(docs.columns, "kept_id")
+    if docs.groupBy(id_col).count().filter("count > 1").isEmpty():
+        chosen = kept.select(F.col("id").alias(name))
+        return docs.join(chosen, docs[id_col].eqNullSafe(chosen[name]), "left_semi")
+    # ids that repeat don't tell rows apart; the text's fingerprint and, behind it, one row of each pair do
+    own = F.udf(lambda t: fingerprint(t, words) - ((fingerprint(t, words) >> 63) << 64), "long")
+    chosen = kept.select(F.col("id").alias(name), F.col("fp").alias(name + "_fp"))
+    marked = docs.withColumn(name + "_own", own(text_col))
+    found = marked.join(chosen, marked[id_col].eqNullSafe(chosen[name]) & (F.col(name + "_own") == F.col(name + "_fp")), "left_semi")
+    return found.dropDuplicates([id_col, name + "_own"]).drop(name + "_own")
+
+
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
     rows = near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logloom.llm import chat_format, decontaminate, exact_dedup, html_extract, packing, pu_quality, simhash, token_counts
+from logloom.llm import chat_format, decontaminate, exact_dedup, html_extract, line_dedup, packing, pu_quality, simhash, token_counts
 
 QUERIES = {
     "op1_html_extract": html_extract.op1_html_extract,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_chat_format": chat_format.op6_chat_format,
     "op7_pu_quality": pu_quality.op7_pu_quality,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash": simhash.op9_simhash,
     "op10_token_counts": token_counts.op10_token_counts,
 }

@@ -54,17 +54,19 @@ def check_cuts(model) -> None:
 
 
 def pretokens(text: str) -> list[str]:
-    return CUT.findall(" " + text)
+    return CUT.findall(" " + text) if text else []
 
 
 def piece_counts(model, segments: list[str]) -> list[int]:
     """Pieces of each pre-token where it stands in a text.
 
-    The library puts a space in front of what it encodes: it stands for the
-    pre-token's own, or is kept apart by a newline and taken off again.
+    The library puts a space in front of what it encodes, unless that is empty:
+    it stands for the pre-token's own, or is kept apart by a newline and taken
+    off again.
     """
-    asked = [s[1:] if s[0] == " " else "\n" + s for s in segments]
-    return [len(ids) - (0 if s[0] == " " else 2) for s, ids in zip(segments, model.encode(asked, num_threads=1))]
+    own = [len(s) > 1 and s[0] == " " for s in segments]
+    asked = [s[1:] if o else "\n" + s for s, o in zip(segments, own)]
+    return [len(ids) - (0 if o else 2) for o, ids in zip(own, model.encode(asked, num_threads=1))]
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

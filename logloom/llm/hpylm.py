@@ -369,7 +369,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = docs.select(id_col, held_out(id_col).alias("h"), text_col).mapInArrow(
         run, f"key long, id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, score double, word string, context int, k int")
     # words in the head meet no row: only the others are joined
-    rest = model.words.filter((F.col("c") <= (int(c.min()) if len(c) else 0)) | (F.octet_length("word") > HEAD_BYTES))
+    rest = model.words.filter((F.col("c") <= int(c.min())) | (F.octet_length("word") > HEAD_BYTES)) if len(c) else model.words
     joined = rows.join(rest, "word", "left")
     n, v = model.shape.tokens, model.shape.types
     numbers = lambda xs: F.array(*(F.lit(float(x)) for x in xs))

@@ -844,11 +844,8 @@ from logloom.sources import tables as TB  # noqa: E402
 @register("report_parameters", O.report_sql(BATCH_ID, TENANT_NAME, where=f"e.eventDate > {LAST_RUN}"))
 def q_report_parameters(spark, sf_dir):
     """The report as SQL text with named parameters bound by Spark."""
-    d = report_dims(spark, sf_dir)
-    RS.register_views(R.r_events(spark, sf_dir, since_ms=LAST_RUN), {
-        "users": d.users, "workspaces": d.workspaces, "models": d.models.drop("categoryValues"),
-        "integrations": d.integrations.drop("schedule"), "act_codes": d.act_codes, "actions": d.actions})
-    return RS.audit_report_sql(spark, batch_id=BATCH_ID, tenant_name=TENANT_NAME, last_run=LAST_RUN)
+    return RS.audit_report_sql(R.r_events(spark, sf_dir, since_ms=LAST_RUN), report_dims(spark, sf_dir),
+                               batch_id=BATCH_ID, tenant_name=TENANT_NAME, last_run=LAST_RUN)
 
 
 @register("table_replace", O.with_roles("SELECT id, name, workspace_id, model_id FROM r_actions", "r_actions"))
@@ -951,7 +948,7 @@ def q_stream_report(spark, sf_dir):
 from logloom.plans import refresh as RF  # noqa: E402
 
 _REFRESH_SQL = O.with_roles(
-    O.report_body(BATCH_ID, TENANT_NAME, events="r_events_n"),
+    "SELECT * FROM (" + O.report_body(BATCH_ID, TENANT_NAME, events="r_events_n") + ")",
     *O.REPORT_ROLES,
     extra=["r_events_n AS (SELECT * REPLACE (row_number() OVER (ORDER BY eventDate, id) - 1 AS idx) FROM r_events)"])
 

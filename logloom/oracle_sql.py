@@ -144,84 +144,67 @@ def with_roles(body: str, *roles: str, extra: list[str] | None = None) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
 
 
-REPORT_SELECT = """
-SELECT
-  cast(coalesce(f.eventDate // 1000, 0) AS varchar) || printf('%09d', coalesce(f.idx, 0)) AS LOAD_ID,
-  cast({batch_id} AS bigint) AS BATCH_ID,
-  f.id AS AUDIT_ID,
-  strftime(make_timestamp((f.eventDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS EVENT_DATE,
-  f.eventTimeZone AS EVENT_TIMEZONE,
-  strftime(make_timestamp((f.createdDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS CREATED_DATE,
-  f.createdTimeZone AS CREATE_TIMEZONE,
-  f.eventTypeId AS EVENT_ID,
-  f.code_message AS EVENT_MESSAGE,
-  f.code_object AS ASSOCIATED_OBJECT_ID,
-  f.code_notes AS NOTES,
-  f.userId AS USER_ID,
-  f.actor_name AS USER_NAME,
-  f.actor_display AS DISPLAY_NAME,
-  f.tenantId AS TENANT_ID,
-  '{tenant_name}' AS TENANT_NAME,
-  f.aa_workspaceId AS WORKSPACE_ID,
-  f.workspace_name AS WORKSPACE_NAME,
-  CASE WHEN f.aa_modelId IS NOT NULL THEN f.aa_modelId
-       WHEN f.is_integration THEN f.integration_model_id END AS MODEL_ID,
-  CASE WHEN f.aa_modelId IS NOT NULL THEN f.attribute_model_name
-       WHEN f.is_integration THEN f.integration_model_name END AS MODEL_NAME,
-  f.objectId AS OBJECT_ID,
-  CASE WHEN f.is_model THEN '{t_model}' WHEN f.is_integration THEN '{t_integration}'
-       WHEN f.is_user THEN '{t_user}' END AS OBJECT_TYPE,
-  CASE WHEN f.is_model THEN f.object_model_name WHEN f.is_integration THEN f.integration_name
-       WHEN f.is_user THEN f.object_user_name END AS OBJECT_NAME,
-  f.message AS MESSAGE,
-  cast(f.success AS integer) AS SUCCESS,
-  f.errorNumber AS ERROR_NUMBER,
-  f.ipAddress AS IP_ADDRESS,
-  f.userAgent AS USER_AGENT,
-  f.sessionId AS SESSION_ID,
-  f.hostName AS HOST_NAME,
-  f.serviceVersion AS SERVICE_VERSION,
-  f.objectTypeId AS OBJECT_TYPE_ID,
-  f.objectTenantId AS OBJECT_TENANT_ID,
-  f.aa_actionId AS ACTION_ID,
-  CASE WHEN f.aa_actionId IS NOT DISTINCT FROM '{unsaved_id}' THEN '{unsaved}'
-       WHEN f.action_name IS NULL AND f.aa_actionId IS NOT NULL THEN '{deleted}'
-       ELSE f.action_name END AS ACTION_NAME,
-  f.aa_name AS ADDITIONAL_ATTRIBUTES_NAME,
-  f.aa_type AS ADDITIONAL_ATTRIBUTES_TYPE,
-  f.aa_auth_id AS ADDITIONAL_ATTRIBUTES_AUTH_ID,
-  f.aa_modelRoleName AS MODEL_ROLE_NAME,
-  f.aa_modelRoleId AS MODEL_ROLE_ID,
-  f.aa_objectTypeId AS ADDITIONAL_ATTRIBUTES_OBJECT_TYPE_ID,
-  f.aa_roleId AS ADDITIONAL_ATTRIBUTES_ROLE_ID,
-  f.aa_roleName AS ADDITIONAL_ATTRIBUTES_ROLE_NAME,
-  f.aa_objectTenantId AS ADDITIONAL_ATTRIBUTES_OBJECT_TENANT_ID,
-  f.aa_objectId AS ADDITIONAL_ATTRIBUTES_OBJECT_ID,
-  f.aa_active AS ADDITIONAL_ATTRIBUTES_ACTIVE,
-  f.checksum AS CHECKSUM{extra}
-FROM (
-  SELECT e.*,
-         u.userName AS actor_name, u.displayName AS actor_display,
-         w.name AS workspace_name, am.name AS attribute_model_name,
-         om.id IS NOT NULL AS is_model, om.name AS object_model_name,
-         i.integrationId IS NOT NULL AS is_integration, i.name AS integration_name,
-         i.modelId AS integration_model_id, i.model_name AS integration_model_name,
-         ou.id IS NOT NULL AS is_user, ou.userName AS object_user_name,
-         act.name AS action_name,
-         code.event_message AS code_message, code.associated_object_id AS code_object, code.notes AS code_notes
-  FROM {events} e
-  LEFT JOIN r_users u ON u.id = e.userId
-  LEFT JOIN r_users ou ON ou.id = e.objectId
-  LEFT JOIN r_models om ON om.id = e.objectId
-  LEFT JOIN (SELECT c.integrationId, c.name, c.modelId, m.name AS model_name
-             FROM r_integrations c LEFT JOIN r_models m ON m.id = c.modelId) i ON i.integrationId = e.objectId
-  LEFT JOIN r_actions act ON act.id = e.aa_actionId AND act.model_id = e.objectId
-  LEFT JOIN r_workspaces w ON w.id = e.aa_workspaceId
-  LEFT JOIN r_models am ON am.id = e.aa_modelId
-  LEFT JOIN r_act_codes code ON code.event_code = e.eventTypeId
-  {where}
-) f
-"""
+# Everything an event's object can be, one row per id: the kind that ranks first
+# names it; what an integration loads is kept whichever kind that is.
+OBJECTS = f"""
+objects AS (
+  SELECT id, arg_min({{'kind': kind, 'name': name}}, rank) AS shown,
+         max(CASE WHEN rank = 2 THEN model_id END) AS loads
+  FROM (SELECT 1 AS rank, '{S.OBJECT_TYPE_MODEL}' AS kind, id, name, NULL AS model_id FROM r_models
+        UNION ALL SELECT 2, '{S.OBJECT_TYPE_INTEGRATION}', integrationId, name, modelId FROM r_integrations
+        UNION ALL SELECT 3, '{S.OBJECT_TYPE_USER}', id, userName, NULL FROM r_users)
+  GROUP BY id
+)"""
+
+# --- fixed values: report columns that are an event's own fields ---
+REPORT_FIELDS = {
+    "AUDIT_ID": "id", "EVENT_TIMEZONE": "eventTimeZone", "CREATE_TIMEZONE": "createdTimeZone", "EVENT_ID": "eventTypeId",
+    "USER_ID": "userId", "TENANT_ID": "tenantId", "WORKSPACE_ID": "aa_workspaceId", "OBJECT_ID": "objectId", "MESSAGE": "message",
+    "ERROR_NUMBER": "errorNumber", "IP_ADDRESS": "ipAddress", "USER_AGENT": "userAgent", "SESSION_ID": "sessionId",
+    "HOST_NAME": "hostName", "SERVICE_VERSION": "serviceVersion", "OBJECT_TYPE_ID": "objectTypeId",
+    "OBJECT_TENANT_ID": "objectTenantId", "ACTION_ID": "aa_actionId", "ADDITIONAL_ATTRIBUTES_NAME": "aa_name",
+    "ADDITIONAL_ATTRIBUTES_TYPE": "aa_type", "ADDITIONAL_ATTRIBUTES_AUTH_ID": "aa_auth_id", "MODEL_ROLE_NAME": "aa_modelRoleName",
+    "MODEL_ROLE_ID": "aa_modelRoleId", "ADDITIONAL_ATTRIBUTES_OBJECT_TYPE_ID": "aa_objectTypeId",
+    "ADDITIONAL_ATTRIBUTES_ROLE_ID": "aa_roleId", "ADDITIONAL_ATTRIBUTES_ROLE_NAME": "aa_roleName",
+    "ADDITIONAL_ATTRIBUTES_OBJECT_TENANT_ID": "aa_objectTenantId", "ADDITIONAL_ATTRIBUTES_OBJECT_ID": "aa_objectId",
+    "ADDITIONAL_ATTRIBUTES_ACTIVE": "aa_active", "CHECKSUM": "checksum",
+}
+# --- end of fixed values ---
+
+
+def _looked_up(column: str, role: str, match: str) -> str:
+    """A dimension's value by its key, as a scalar subquery (keys are unique in the roles)."""
+    return f"(SELECT d.{column} FROM {role} d WHERE {match})"
+
+
+def _seconds(column: str) -> str:
+    return f"strftime(make_timestamp((e.{column} // 1000) * 1000000), '%Y-%m-%d %H:%M:%S')"
+
+
+def _report_values(batch_id: int, tenant_name: str) -> dict[str, str]:
+    code, model = "d.event_code = e.eventTypeId", "coalesce(e.aa_modelId, o.loads)"
+    action = _looked_up("name", "r_actions", "d.id = e.aa_actionId AND d.model_id = e.objectId")
+    return {name: f"e.{field}" for name, field in REPORT_FIELDS.items()} | {
+        "LOAD_ID": "(coalesce(e.eventDate, 0) // 1000)::varchar || printf('%09d', coalesce(e.idx, 0))",
+        "BATCH_ID": f"{int(batch_id)}::bigint",
+        "TENANT_NAME": "'" + tenant_name.replace("'", "''") + "'",
+        "EVENT_DATE": _seconds("eventDate"),
+        "CREATED_DATE": _seconds("createdDate"),
+        "EVENT_MESSAGE": _looked_up("event_message", "r_act_codes", code),
+        "ASSOCIATED_OBJECT_ID": _looked_up("associated_object_id", "r_act_codes", code),
+        "NOTES": _looked_up("notes", "r_act_codes", code),
+        "USER_NAME": _looked_up("userName", "r_users", "d.id = e.userId"),
+        "DISPLAY_NAME": _looked_up("displayName", "r_users", "d.id = e.userId"),
+        "WORKSPACE_NAME": _looked_up("name", "r_workspaces", "d.id = e.aa_workspaceId"),
+        "MODEL_ID": model,
+        "MODEL_NAME": _looked_up("name", "r_models", f"d.id = {model}"),
+        "OBJECT_TYPE": "o.shown.kind",
+        "OBJECT_NAME": "o.shown.name",
+        "SUCCESS": "e.success::integer",
+        "ACTION_NAME": f"if(e.aa_actionId = '{S.ACTION_UNSAVED_ID}', '{S.ACTION_UNSAVED}', "
+                       f"coalesce({action}, if(e.aa_actionId IS NOT NULL, '{S.ACTION_DELETED}', NULL)))",
+    }
+
 
 REPORT_ROLES = ("r_events", "r_users", "r_workspaces", "r_models", "r_integrations",
                 "r_act_codes", "r_actions")
@@ -229,16 +212,14 @@ REPORT_ROLES = ("r_events", "r_users", "r_workspaces", "r_models", "r_integratio
 
 def report_body(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False,
                 events: str = "r_events") -> str:
-    return REPORT_SELECT.format(
-        t_model=S.OBJECT_TYPE_MODEL, t_integration=S.OBJECT_TYPE_INTEGRATION, t_user=S.OBJECT_TYPE_USER,
-        unsaved_id=S.ACTION_UNSAVED_ID, unsaved=S.ACTION_UNSAVED, deleted=S.ACTION_DELETED,
-        batch_id=int(batch_id), tenant_name=tenant_name.replace("'", "''"), events=events,
-        where=f"WHERE {where}" if where else "",
-        extra=",\n  f.eventDate AS __event_ms" if order_key else "")
+    values = _report_values(batch_id, tenant_name)
+    columns = [f"{values[c]} AS {c}" for c in S.REPORT_COLUMNS] + ["e.eventDate AS __event_ms"] * order_key
+    return (f"WITH {OBJECTS.strip()}\nSELECT " + ",\n  ".join(columns)
+            + f"\nFROM {events} e LEFT JOIN objects o ON o.id = e.objectId" + (f"\nWHERE {where}" if where else ""))
 
 
 def report_sql(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False) -> str:
-    return with_roles(report_body(batch_id, tenant_name, where, order_key), *REPORT_ROLES)
+    return with_roles("SELECT * FROM (" + report_body(batch_id, tenant_name, where, order_key) + ")", *REPORT_ROLES)
 
 
 def report_cte(batch_id: int, tenant_name: str, where: str = "", order_key: bool = False,

@@ -1,123 +1,29 @@
-"""The audit report as a Spark SQL text with named parameters.
+"""The audit report asked for in SQL text with named parameters.
 
-The source keeps its report in a SQL file and pastes the tenant name and run
-stamp into the text.  Here the text stays fixed and the values are bound as
-named parameters (``spark.sql(text, args=...)``), so no value is ever parsed
-as SQL.  The views it reads (``events``, ``users``, ``workspaces``,
-``models``, ``integrations``, ``act_codes``, ``actions``) are registered by
-``register_views``; dimensions are made unique first (R04), as in the
-DataFrame version.
+The text is fixed; run stamp, tenant name and watermark are bound as parameters
+(``spark.sql(text, args=...)``), so no value is ever parsed as SQL.  What it
+selects from is the report's own frame (``plans.report``), handed over as a
+DataFrame: no session-wide view is made or replaced, and the plan is the
+report's, with the watermark pushed below its joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from logloom import schemas
-from logloom.operators.dimensions import unique_on
+from logloom.plans.report import Dimensions, audit_report
 
 REPORT_TEXT = """
-WITH ev AS (
-  SELECT e.*, e.additionalAttributes AS aa
-  FROM events e
-  WHERE e.eventDate > :last_run
-),
-integration AS (              -- integrations with their own model's name (D-5)
-  SELECT c.integrationId, c.name, c.modelId, m.name AS model_name
-  FROM integrations c LEFT JOIN models m ON m.id = c.modelId
-),
-flags AS (
-  SELECT ev.*,
-         u.userName AS actor_name, u.displayName AS actor_display,
-         w.name AS workspace_name, am.name AS attribute_model_name,
-         om.id IS NOT NULL AS is_model, om.name AS object_model_name,
-         i.integrationId IS NOT NULL AS is_integration, i.name AS integration_name,
-         i.modelId AS integration_model_id, i.model_name AS integration_model_name,
-         ou.id IS NOT NULL AS is_user, ou.userName AS object_user_name,
-         act.name AS action_name,
-         code.`Event Message` AS code_message, code.`Associated Object ID` AS code_object, code.Notes AS code_notes
-  FROM ev
-  LEFT JOIN users u ON u.id = ev.userId
-  LEFT JOIN users ou ON ou.id = ev.objectId
-  LEFT JOIN models om ON om.id = ev.objectId
-  LEFT JOIN integration i ON i.integrationId = ev.objectId
-  LEFT JOIN actions act ON act.id = ev.aa.actionId AND act.model_id = ev.objectId
-  LEFT JOIN workspaces w ON w.id = ev.aa.workspaceId
-  LEFT JOIN models am ON am.id = ev.aa.modelId
-  LEFT JOIN act_codes code ON code.`Event Code` = ev.eventTypeId
-)
-SELECT
-  concat(cast(coalesce(eventDate div 1000, 0) AS string), format_string('%09d', coalesce(index, 0L))) AS LOAD_ID,
-  cast(:batch_id AS bigint) AS BATCH_ID,
-  id AS AUDIT_ID,
-  from_unixtime(eventDate div 1000, 'yyyy-MM-dd HH:mm:ss') AS EVENT_DATE,
-  eventTimeZone AS EVENT_TIMEZONE,
-  from_unixtime(createdDate div 1000, 'yyyy-MM-dd HH:mm:ss') AS CREATED_DATE,
-  createdTimeZone AS CREATE_TIMEZONE,
-  eventTypeId AS EVENT_ID,
-  code_message AS EVENT_MESSAGE,
-  code_object AS ASSOCIATED_OBJECT_ID,
-  code_notes AS NOTES,
-  userId AS USER_ID,
-  actor_name AS USER_NAME,
-  actor_display AS DISPLAY_NAME,
-  tenantId AS TENANT_ID,
-  :tenant_name AS TENANT_NAME,
-  aa.workspaceId AS WORKSPACE_ID,
-  workspace_name AS WORKSPACE_NAME,
-  CASE WHEN aa.modelId IS NOT NULL THEN aa.modelId WHEN is_integration THEN integration_model_id END AS MODEL_ID,
-  CASE WHEN aa.modelId IS NOT NULL THEN attribute_model_name WHEN is_integration THEN integration_model_name END
-    AS MODEL_NAME,
-  objectId AS OBJECT_ID,
-  CASE WHEN is_model THEN :type_model WHEN is_integration THEN :type_integration WHEN is_user THEN :type_user END
-    AS OBJECT_TYPE,
-  CASE WHEN is_model THEN object_model_name WHEN is_integration THEN integration_name
-       WHEN is_user THEN object_user_name END AS OBJECT_NAME,
-  message AS MESSAGE,
-  cast(success AS int) AS SUCCESS,
-  errorNumber AS ERROR_NUMBER,
-  ipAddress AS IP_ADDRESS,
-  userAgent AS USER_AGENT,
-  sessionId AS SESSION_ID,
-  hostName AS HOST_NAME,
-  serviceVersion AS SERVICE_VERSION,
-  objectTypeId AS OBJECT_TYPE_ID,
-  objectTenantId AS OBJECT_TENANT_ID,
-  aa.actionId AS ACTION_ID,
-  CASE WHEN aa.actionId <=> :unsaved_id THEN :unsaved
-       WHEN action_name IS NULL AND aa.actionId IS NOT NULL THEN :deleted
-       ELSE action_name END AS ACTION_NAME,
-  aa.name AS ADDITIONAL_ATTRIBUTES_NAME,
-  aa.type AS ADDITIONAL_ATTRIBUTES_TYPE,
-  aa.auth_id AS ADDITIONAL_ATTRIBUTES_AUTH_ID,
-  aa.modelRoleName AS MODEL_ROLE_NAME,
-  aa.modelRoleId AS MODEL_ROLE_ID,
-  aa.objectTypeId AS ADDITIONAL_ATTRIBUTES_OBJECT_TYPE_ID,
-  aa.roleId AS ADDITIONAL_ATTRIBUTES_ROLE_ID,
-  aa.roleName AS ADDITIONAL_ATTRIBUTES_ROLE_NAME,
-  aa.objectTenantId AS ADDITIONAL_ATTRIBUTES_OBJECT_TENANT_ID,
-  aa.objectId AS ADDITIONAL_ATTRIBUTES_OBJECT_ID,
-  aa.active AS ADDITIONAL_ATTRIBUTES_ACTIVE,
-  checksum AS CHECKSUM
-FROM flags
+SELECT * EXCEPT (BATCH_ID, TENANT_NAME, __event_ms),
+       CAST(:batch_id AS BIGINT) AS BATCH_ID, :tenant_name AS TENANT_NAME
+FROM {report}
+WHERE __event_ms > :last_run
 """
 
-VIEW_KEYS = {
-    "users": ["id"], "workspaces": ["id"], "models": ["id"], "integrations": ["integrationId"],
-    "act_codes": ["Event Code"], "actions": ["id", "model_id"],
-}
 
-
-def register_views(events: DataFrame, dims: dict[str, DataFrame], prefix: str = "") -> None:
-    events.createOrReplaceTempView(f"{prefix}events")
-    for name, df in dims.items():
-        unique_on(df, VIEW_KEYS[name], keep_null_keys=False).createOrReplaceTempView(f"{prefix}{name}")
-
-
-def audit_report_sql(spark: SparkSession, *, batch_id: int, tenant_name: str, last_run: int = 0) -> DataFrame:
-    """Run the report text with bound parameters over the registered views."""
-    return spark.sql(REPORT_TEXT, args={
-        "batch_id": int(batch_id), "tenant_name": tenant_name, "last_run": int(last_run),
-        "type_model": schemas.OBJECT_TYPE_MODEL, "type_integration": schemas.OBJECT_TYPE_INTEGRATION,
-        "type_user": schemas.OBJECT_TYPE_USER, "unsaved_id": schemas.ACTION_UNSAVED_ID,
-        "unsaved": schemas.ACTION_UNSAVED, "deleted": schemas.ACTION_DELETED})
+def audit_report_sql(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_name: str, last_run: int = 0) -> DataFrame:
+    """The report over events after ``last_run``, its run values bound by Spark."""
+    frame = audit_report(events, dims, batch_id=0, tenant_name="", order_key=True)
+    bound = {"batch_id": int(batch_id), "tenant_name": tenant_name, "last_run": int(last_run)}
+    return events.sparkSession.sql(REPORT_TEXT, args=bound, report=frame).select(*schemas.REPORT_COLUMNS)

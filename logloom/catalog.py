@@ -69,14 +69,14 @@ from logloom.functions import text as X  # noqa: E402
 from logloom.plans import report as P  # noqa: E402
 
 
-def _ev_and_dims(spark, sf_dir, last_run=None):
-    ev = P.flat_events(R.r_events(spark, sf_dir, since_ms=last_run), last_run)
-    return ev, P.prepare_dims(report_dims(spark, sf_dir))
+def _ev_and_dims(spark, sf_dir, *need):
+    """The flat events, and only those dimensions that are named."""
+    return P.flat_events(R.r_events(spark, sf_dir)), P.prepare_dims(report_dims(spark, sf_dir), need=need)
 
 
 def _single_join(step, cols):
     def q(spark, sf_dir):
-        ev, d = _ev_and_dims(spark, sf_dir)
+        ev, d = _ev_and_dims(spark, sf_dir, P.STEP_DIMENSIONS[step])
         return step(ev, d).select(*[F.col(c).alias(a) for c, a in cols])
     return q
 
@@ -172,7 +172,7 @@ def q_integration_models(spark, sf_dir):
     "LEFT JOIN r_models m3 ON cw.modelId = m3.id", "r_models", "r_integrations"))
 def q_model_ref_case(spark, sf_dir):
     """Model id and name from the attribute, else from the integration."""
-    ev, d = _ev_and_dims(spark, sf_dir)
+    ev, d = _ev_and_dims(spark, sf_dir, "m", "cw")
     j = P.join_integration(P.join_model(ev, d), d)
     return j.select(F.col("id").alias("AUDIT_ID"), P.model_id_col().alias("MODEL_ID"),
                     P.model_name_col(d).alias("MODEL_NAME"))
@@ -191,7 +191,7 @@ def q_model_ref_case(spark, sf_dir):
     "LEFT JOIN r_integrations cw ON e.objectId = cw.integrationId", "r_users", "r_models", "r_integrations"))
 def q_object_case(spark, sf_dir):
     """Object type and name, Model > Integration > User."""
-    ev, d = _ev_and_dims(spark, sf_dir)
+    ev, d = _ev_and_dims(spark, sf_dir, "u2", "m2", "cw")
     j = P.join_integration(P.join_object_model(P.join_object_user(ev, d), d), d)
     return j.select(F.col("id").alias("AUDIT_ID"), P.object_type_col().alias("OBJECT_TYPE"),
                     P.object_name_col().alias("OBJECT_NAME"))
@@ -205,7 +205,7 @@ def q_object_case(spark, sf_dir):
     "LEFT JOIN r_actions a ON e.aa_actionId = a.id AND e.objectId = a.model_id", "r_actions"))
 def q_action_name_case(spark, sf_dir):
     """C05 with F12 (null-safe equality) and F11 (null tests)."""
-    ev, d = _ev_and_dims(spark, sf_dir)
+    ev, d = _ev_and_dims(spark, sf_dir, "a")
     return P.join_action(ev, d).select(F.col("id").alias("AUDIT_ID"), F.col("aa_actionId").alias("ACTION_ID"),
                                        P.action_name_col().alias("ACTION_NAME"))
 
@@ -530,8 +530,12 @@ _NUMBERED_SQL = ("numbered AS (SELECT *, row_number() OVER (ORDER BY __event_ms,
     f"SELECT __rn // {EXPORT_CHUNK} AS chunk, __rn + 1 AS AUDIT_CT, * EXCLUDE (__event_ms, __rn) FROM numbered",
     *O.REPORT_ROLES, extra=[O.report_cte(BATCH_ID, TENANT_NAME, order_key=True), _NUMBERED_SQL]))
 def q_export_chunks(spark, sf_dir):
-    """Every report row with its chunk and export counter, in one pass."""
-    return _numbered_report(spark, sf_dir).drop("__rn")
+    """The report written as numbered CSV chunks in one pass, and read back from them."""
+    out = shared_dir(spark, "export-chunks")
+    EX.write_chunks(_numbered_report(spark, sf_dir), out)
+    rows = HS.read_history_chunks(spark, out, sep=",", sanitize=False, keep_chunk=True)
+    kinds = {"chunk": "bigint", "AUDIT_CT": "bigint", "BATCH_ID": "bigint", "SUCCESS": "int"}
+    return rows.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in ["chunk", "AUDIT_CT", *SCH.REPORT_COLUMNS]])
 
 
 @register("page_of_report", O.with_roles(
@@ -540,8 +544,8 @@ def q_export_chunks(spark, sf_dir):
     *O.REPORT_ROLES, extra=[O.report_cte(BATCH_ID, TENANT_NAME, order_key=True)]))
 def q_page_of_report(spark, sf_dir):
     """One page of the ordered report (``LIMIT n OFFSET k``) from the numbered rows."""
-    page = EX.page_of(_numbered_report(spark, sf_dir), EXPORT_PAGE)
-    return page.drop("chunk", "AUDIT_CT", "__rn")
+    return EX.report_page(R.r_events(spark, sf_dir), report_dims(spark, sf_dir), EXPORT_PAGE, batch_id=BATCH_ID,
+                          tenant_name=TENANT_NAME, chunk_size=EXPORT_CHUNK)
 
 
 @register("export_sample", O.with_roles(
@@ -784,7 +788,7 @@ def _history_rows(spark, sf_dir):
         F.concat(F.lit("O"), F.col("l_orderkey").cast("string")),
         F.col("l_quantity").cast("bigint").cast("string"),
     ]
-    return R.spread(spark, li).select(*[c.alias(n) for c, n in zip(cols, HISTORY_HEADER)],
+    return li.select(*[c.alias(n) for c, n in zip(cols, HISTORY_HEADER)],
                                       F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_shipdate"))
 
 

@@ -1,4 +1,4 @@
-"""Row identity at scale: a dense 0-based index in key order.
+"""Row identity at scale: a dense 0-based index in key order.
 
 ``row_number() OVER (ORDER BY key)`` without a partition runs in ONE task.
 Instead:
@@ -6,13 +6,13 @@ Instead:
 1. range-partition by the order key (the partitioner samples the key
    distribution, so a hot range is split across tasks) and sort each
    partition;
-2. checkpoint to the shared checkpoint folder, so every later pass sees
-   exactly the same partition contents (range bounds come from sampling, and
-   an executor lost mid-job must not reshuffle rows between passes);
-3. count rows per partition (one small row per partition) and turn the counts
-   into starting offsets -- a window over that tiny table only;
-4. index = offset of the partition + position inside it
-   (``monotonically_increasing_id`` minus the partition's base).
+2. write that as Parquet below the shared checkpoint folder, with each row's
+   partition number and its position there.  Range bounds come from sampling,
+   so the rows must be laid out once: every later pass, also after a lost
+   executor, reads the same columns of the same files;
+3. count rows per partition (from the partition column alone) and turn the
+   counts into starting offsets -- a window over that tiny table only;
+4. index = offset of the partition + position inside it.
 
 The order key must be a total order (add a unique tie-breaker such as the
 event id), otherwise ties may be numbered either way.
@@ -23,40 +23,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.session import ensure_checkpoint_dir
+from logloom.session import shared_dir
+
+_PART, _POS = "__part", "__pos"
+
+
+def _laid_out(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` in ranges of the order key, staged, with each row's range and its position in it."""
+    # Width: given, or left to AQE, which sizes range partitions from the
+    # data and coalesces only adjacent ones -- order across partitions holds.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    part = F.spark_partition_id()
+    placed = ranged.sortWithinPartitions(*order_cols).select(
+        "*", part.alias(_PART), (F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)).alias(_POS))
+    path = shared_dir(df.sparkSession, "numbered")
+    placed.write.parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def _offsets(laid: DataFrame) -> DataFrame:
+    """(range, its first index, its rows): one row per partition, so one task may order them."""
+    counts = laid.groupBy(_PART).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
+    return counts.select(_PART, F.coalesce(before, F.lit(0).cast("bigint")).alias("__off"), "__n")
+
+
+def _indexed(laid: DataFrame, columns: list[str], out_col: str) -> DataFrame:
+    offsets = F.broadcast(_offsets(laid).drop("__n"))   # one row per partition
+    return laid.join(offsets, _PART).select(*[F.col(f"`{c}`") for c in columns], (F.col("__off") + F.col(_POS)).alias(out_col))
 
 
 def row_index(df: DataFrame, order_cols: list[str], out_col: str = "index",
               num_partitions: int | None = None) -> DataFrame:
     """Append ``out_col``: 0-based position of each row in ``order_cols`` order."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Width: given, or left to AQE, which sizes range partitions from the
-    # data and coalesces only adjacent ones -- order across partitions holds.
-    if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, *order_cols)
-    else:
-        ranged = df.repartitionByRange(*order_cols)
-    ranged = ranged.sortWithinPartitions(*order_cols)
-    fixed = ranged.checkpoint(eager=True)
-    with_pos = fixed.select(
-        "*",
-        F.spark_partition_id().alias("__pid"),
-        F.monotonically_increasing_id().alias("__mid"),
-    )
-    counts = with_pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per partition: a single-task window here is bounded by the
-    # partition count, never by the data.
-    offsets = counts.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-    ).select("__pid", F.coalesce("__off", F.lit(0).cast("bigint")).alias("__off"))
-    base = F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    out = with_pos.join(F.broadcast(offsets), "__pid").select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        (F.col("__off") + F.col("__mid") - base).alias(out_col),
-    )
-    return out
+    return _indexed(_laid_out(df, order_cols, num_partitions), df.columns, out_col)
+
+
+def row_page(df: DataFrame, order_cols: list[str], offset: int, limit: int, out_col: str = "index") -> DataFrame:
+    """Rows ``offset`` to ``offset + limit - 1`` in ``order_cols`` order.
+
+    The offsets of all ranges (one row each) tell which of them hold the page;
+    only those are read for more than their count.
+    """
+    laid = _laid_out(df, order_cols)
+    holding = [r[_PART] for r in _offsets(laid).filter((F.col("__off") < offset + limit) & (F.col("__off") + F.col("__n") > offset))
+               .select(_PART).collect()]
+    index = F.col(out_col)
+    # The offsets are counted over all ranges, the rows read from the page's own.
+    offsets = F.broadcast(_offsets(laid).drop("__n"))
+    page = laid.filter(F.col(_PART).isin(holding)).join(offsets, _PART)
+    return (page.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__off") + F.col(_POS)).alias(out_col))
+            .filter((index >= offset) & (index < offset + limit)))
 
 
 def chunk_columns(df: DataFrame, index_col: str, chunk_size: int, counter_col: str | None = None,

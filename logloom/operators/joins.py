@@ -1,9 +1,9 @@
 """Join helpers: size-checked broadcast of dimension tables.
 
-A dimension is broadcast only after its row count is checked against a bound
-(``limit(bound + 1).count()`` stops early on a large table).  Above the bound
-the join is left to the planner: a shuffle join, where AQE splits skewed
-partitions (a hot ``userId``, null-heavy ``objectId``) at run time.
+A dimension is broadcast only after its rows AND its bytes are checked against
+a bound; reading stops one row past it.  Above the bound the join is a shuffle
+join, where null keys are salted and AQE splits skewed partitions (a hot
+``userId``) at run time.
 """
 
 from __future__ import annotations
@@ -11,56 +11,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A narrow dimension row is ~100 bytes, so this is ~50 MB per executor.
+# Per dimension; eight of them at once stay under half a gigabyte an executor.
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
+DEFAULT_BROADCAST_MAX_BYTES = 48 * 1024 * 1024
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    return df.limit(bound + 1).count() <= bound
+def _sizes(frames: list[DataFrame], max_rows: int) -> list[tuple[int, int]]:
+    """(rows, bytes of their values) of each frame, reading at most one row past the bound; one job for all."""
+    union = None
+    for i, df in enumerate(frames):
+        width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+        probe = df.select(F.lit(i).alias("at"), width.cast("bigint").alias("width")).limit(max_rows + 1)
+        union = probe if union is None else union.unionAll(probe)
+    found = {r["at"]: (r["n"], r["b"]) for r in union.groupBy("at").agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("b")).collect()}
+    return [found.get(i, (0, 0)) for i in range(len(frames))]
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-                      bound_source: DataFrame | None = None) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim`` unchanged.
+def bounded_broadcast_all(dims: list[tuple[DataFrame, DataFrame | None]], max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                          max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> list[tuple[DataFrame, bool]]:
+    """Each dimension, with ``broadcast`` if it is within both bounds, and whether it is.
 
-    ``bound_source`` is a cheaper frame whose row count bounds ``dim``'s (the
-    raw table before de-duplication or filtering); counting it avoids running
-    the dimension's own aggregation twice.  ``max_rows=None`` skips the check
-    and leaves the decision to Spark's own size estimate
-    (``autoBroadcastJoinThreshold``) and AQE.
+    An entry is ``(dim, bound_source)``: ``bound_source`` is a cheaper frame
+    whose size bounds that of ``dim`` (the raw list before de-duplication).
+    ``max_rows=None`` broadcasts nothing.
     """
-    if max_rows is None:
-        return dim
-    probe = bound_source if bound_source is not None else dim
-    return F.broadcast(dim) if row_count_at_most(probe, max_rows) else dim
-
+    if max_rows is None or not dims:
+        return [(d, False) for d, _ in dims]
+    sizes = _sizes([src if src is not None else d for d, src in dims], max_rows)
+    small = [rows <= max_rows and width <= max_bytes for rows, width in sizes]
+    return [(F.broadcast(d) if ok else d, ok) for (d, _), ok in zip(dims, small)]
 
-def bounded_broadcast_all(dims: list[tuple[DataFrame, DataFrame | None]],
-                          max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-                          with_flags: bool = False) -> list:
-    """``bounded_broadcast`` for several dimensions with one Spark job.
 
-    Each entry is ``(dim, bound_source)``.  The row counts are computed in
-    one aggregate over the union of the (column-pruned) sources, so the size
-    checks of a many-join report cost one job rather than one per dimension;
-    counting a dimension's source is no more work than building it.
-    """
-    if max_rows is None or not dims:
-        return [(d, False) if with_flags else d for d, _ in dims]
-    probes = []
-    for i, (dim, src) in enumerate(dims):
-        probe = src if src is not None else dim
-        probes.append(probe.select(F.lit(i).alias("__dim")))
-    union = probes[0]
-    for p in probes[1:]:
-        union = union.unionAll(p)
-    counts = {r["__dim"]: r["n"] for r in union.groupBy("__dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = []
-    for i, (d, _) in enumerate(dims):
-        small = counts.get(i, 0) <= max_rows
-        picked = F.broadcast(d) if small else d
-        out.append((picked, small) if with_flags else picked)
-    return out
+def bounded_broadcast(dim: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                      bound_source: DataFrame | None = None) -> DataFrame:
+    """``bounded_broadcast_all`` of one dimension."""
+    return bounded_broadcast_all([(dim, bound_source)], max_rows)[0][0]
 
 
 def null_salted(key: Column, salt: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from logloom import schemas
 from logloom.functions.text import eastern_time_stamp
-from logloom.operators.identity import chunk_columns, row_index
+from logloom.operators.identity import chunk_columns, row_index, row_page
 
 
 def number_for_export(df: DataFrame, order_cols: list[str], chunk_size: int = schemas.EXPORT_CHUNK_SIZE,
@@ -97,9 +97,17 @@ def write_chunks(numbered: DataFrame, out_dir: str, header_first_only: bool = Tr
     laid.select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(out_dir)
 
 
-def page_of(numbered: DataFrame, page: int) -> DataFrame:
-    """One chunk of the export (R05: ``LIMIT size OFFSET page*size`` in key order)."""
-    return numbered.where(F.col("chunk") == page)
+def report_page(events: DataFrame, dims, page: int, *, batch_id: int, tenant_name: str,
+                chunk_size: int = schemas.EXPORT_CHUNK_SIZE, **report_kw) -> DataFrame:
+    """One page of the report (``LIMIT size OFFSET page*size`` in (eventDate, id) order).
+
+    With unique dimensions each event is one row, so the page is found on the
+    events and only its events are joined.
+    """
+    from logloom.plans.report import audit_report
+
+    rows = row_page(events, ["eventDate", "id"], page * chunk_size, chunk_size, out_col="__rn")
+    return audit_report(rows, dims, batch_id=batch_id, tenant_name=tenant_name, **report_kw)
 
 
 def sample(df: DataFrame, order_cols: list[str], rows: int = schemas.SAMPLE_ROWS,

@@ -25,7 +25,7 @@ from logloom import schemas
 from logloom.functions.text import epoch_text, load_id
 from logloom.operators.dimensions import unique_on
 from logloom.operators.joins import (DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast,
-                                     bounded_broadcast_all, left_join, prefixed)
+                                     bounded_broadcast_all, left_join, null_salted, prefixed)
 
 
 @dataclass
@@ -72,70 +72,57 @@ def _flat_events(events: DataFrame, carry: list[str] | None = None) -> DataFrame
 @dataclass
 class PreparedDims:
     """Dimensions made unique on their keys, prefixed, and size-checked."""
-    u: DataFrame
-    u2: DataFrame
-    w: DataFrame
-    m: DataFrame
-    m2: DataFrame
-    cw: DataFrame
-    ac: DataFrame
-    a: DataFrame
+    frames: dict[str, DataFrame]
+    broadcast: dict[str, bool]            # which passed the size check
     cw_model_name: Column
     strict: bool
-    broadcast: dict[str, bool] = None     # which dimensions passed the size check
+
+
+# The dimensions by short name: table, key columns, further columns, prefix.
+_DIMENSIONS = {
+    "u": ("users", ["id"], ["userName", "displayName"], "u_"),
+    "u2": ("users", ["id"], ["userName"], "u2_"),
+    "w": ("workspaces", ["id"], ["name"], "w_"),
+    "m": ("models", ["id"], ["name"], "m_"),
+    "m2": ("models", ["id"], ["name"], "m2_"),
+    "cw": ("integrations", ["integrationId"], ["name", "modelId"], "cw_"),
+    "ac": ("act_codes", ["Event Code"], schemas.ACT_CODE_COLUMNS[1:], "ac_"),
+    "a": ("actions", ["id", "model_id"], ["name"], "a_"),
+}
+_CODE_NAMES = dict(zip(schemas.ACT_CODE_COLUMNS, ["code", "message", "assoc", "notes"]))
 
 
 def prepare_dims(dims: Dimensions, strict: bool = False,
-                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> PreparedDims:
-    def dim(df: DataFrame, keys: list[str], prefix: str, cols: list[str]) -> tuple[DataFrame, DataFrame]:
-        raw = df.select(*keys, *[c for c in cols if c not in keys])
-        out = raw if strict else unique_on(raw, keys, keep_null_keys=False)
-        return prefixed(out, prefix), raw
-
-    users = dims.users.select("id", "userName", "displayName")
-    u = dim(users, ["id"], "u_", ["userName", "displayName"])
-    u2 = dim(users, ["id"], "u2_", ["userName"])
-    w = dim(dims.workspaces, ["id"], "w_", ["name"])
-    m = dim(dims.models, ["id"], "m_", ["name"])
-    m2 = dim(dims.models, ["id"], "m2_", ["name"])
-
-    # Integrations: their size is probed on the raw list; the name of their
-    # own model is joined dimension-side once the probe has run (below).
-    cw_raw = dims.integrations.select("integrationId", "name", "modelId")
-    cw = (cw_raw, cw_raw)
-    if strict:
+                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+                 need: tuple[str, ...] = ()) -> PreparedDims:
+    """The dimensions named in ``need`` (all by default); one job checks their sizes."""
+    wanted = [n for n in _DIMENSIONS if not need or n in need]
+    raw, shaped = {}, {}
+    for n in wanted:
+        table, keys, cols, prefix = _DIMENSIONS[n]
+        raw[n] = getattr(dims, table).select(*[F.col(f"`{c}`") for c in [*keys, *cols]])
+        shaped[n] = raw[n] if strict else unique_on(raw[n], keys, keep_null_keys=False)
+        if n == "ac":
+            shaped[n] = shaped[n].toDF(*[_CODE_NAMES[c] for c in shaped[n].columns])
+    # users and models are the same list twice: one size check serves both
+    tables = {_DIMENSIONS[n][0]: n for n in reversed(wanted)}
+    checked = bounded_broadcast_all([(raw[n], None) for n in tables.values()], broadcast_max_rows)
+    small = {t: ok for t, (_, ok) in zip(tables, checked)}
+    flags = {n: small[_DIMENSIONS[n][0]] for n in wanted}
+
+    cw_model_name = F.col("cw_model_name")
+    if "cw" in wanted and strict:
         # D-5 strict: one constant for every integration event, the first model
         # name found by integration order (the uncorrelated scalar subquery);
         # a single value, so it is fetched once and bound as a literal.
-        first = (integration_model_names(cw_raw, dims.models, how="inner")
+        first = (integration_model_names(raw["cw"], dims.models, how="inner")
                  .agg(F.min_by("model_name", "integrationId").alias("n")).first())
         cw_model_name = F.lit(first["n"] if first else None).cast("string")
-    else:
-        cw_model_name = F.col("cw_model_name")
-
-    # Activity codes: a reference list (138 rows in the source system).
-    ac_raw = dims.act_codes.select(*[F.col(f"`{c}`") for c in schemas.ACT_CODE_COLUMNS])
-    ac_src = ac_raw if strict else unique_on(ac_raw, ["Event Code"], keep_null_keys=False)
-    ac = (ac_src.select(
-        F.col("`Event Code`").alias("ac_code"),
-        F.col("`Event Message`").alias("ac_message"),
-        F.col("`Associated Object ID`").alias("ac_assoc"),
-        F.col("Notes").alias("ac_notes"),
-    ), ac_raw)
-    a = dim(dims.actions, ["id", "model_id"], "a_", ["name"])
-    # One job checks every dimension's size bound; under it, broadcast.
-    names = ["u", "u2", "w", "m", "m2", "cw", "ac", "a"]
-    picked = bounded_broadcast_all([u, u2, w, m, m2, cw, ac, a], broadcast_max_rows, with_flags=True)
-    flags = {n: small for n, (_, small) in zip(names, picked)}
-    u, u2, w, m, m2, _, ac, a = [df for df, _ in picked]
-    cw_src = cw_raw
-    if not strict:
-        cw_src = unique_on(cw_src, ["integrationId"], keep_null_keys=False)
-        cw_src = integration_model_names(cw_src, dims.models, how="left",
-                                         broadcast_models=flags["m"])
-    cw = prefixed(cw_src, "cw_")
-    cw = F.broadcast(cw) if flags["cw"] else cw
-    return PreparedDims(u, u2, w, m, m2, cw, ac, a, cw_model_name, strict, flags)
+    elif "cw" in wanted:
+        # The name of an integration's own model is joined on this side, before the events are touched.
+        shaped["cw"] = integration_model_names(shaped["cw"], dims.models, how="left", broadcast_models=small.get("models"))
+    frames = {n: prefixed(shaped[n], _DIMENSIONS[n][3]) for n in wanted}
+    return PreparedDims({n: F.broadcast(f) if flags[n] else f for n, f in frames.items()}, flags, cw_model_name, strict)
 
 
 def integration_model_names(integrations: DataFrame, models: DataFrame, how: str = "inner",
@@ -160,9 +147,7 @@ def integration_model_names(integrations: DataFrame, models: DataFrame, how: str
 # --- enrichment steps: each adds one dimension's columns to the flat events ---
 
 def _join(ev: DataFrame, d: PreparedDims, name: str, pairs: list[tuple[str, str]]) -> DataFrame:
-    dim = getattr(d, name)
-    small = bool(d.broadcast and d.broadcast.get(name))
-    return left_join(ev, dim, pairs, broadcast=small, salt_col="id")
+    return left_join(ev, d.frames[name], pairs, broadcast=d.broadcast[name], salt_col="id")
 
 
 def join_actor(ev: DataFrame, d: PreparedDims) -> DataFrame:
@@ -192,8 +177,10 @@ def join_action(ev: DataFrame, d: PreparedDims) -> DataFrame:
     the source does, which can collide ('1'||'12' = '11'||'2').
     """
     if d.strict:
-        cond = F.concat("aa_actionId", "objectId") == F.concat("a_id", "a_model_id")
-        return ev.join(d.a, cond, "left")
+        key = F.concat("aa_actionId", "objectId")
+        if not d.broadcast["a"]:
+            key = null_salted(key, F.col("id"))
+        return ev.join(d.frames["a"], key == F.concat("a_id", "a_model_id"), "left")
     return _join(ev, d, "a", [("aa_actionId", "a_id"), ("objectId", "a_model_id")])
 
 
@@ -212,6 +199,11 @@ def join_activity_code(ev: DataFrame, d: PreparedDims) -> DataFrame:
     return _join(ev, d, "ac", [("eventTypeId", "ac_code")])
 
 
+# The dimension that each step probes.
+STEP_DIMENSIONS = {join_actor: "u", join_object_user: "u2", join_object_model: "m2", join_integration: "cw",
+                   join_action: "a", join_workspace: "w", join_model: "m", join_activity_code: "ac"}
+
+
 # --- conditional columns (C01-C05) ---
 
 def _is_model_obj() -> Column:

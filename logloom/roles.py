@@ -31,28 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 -- no classic context (e.g. a remote session)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin an under-split scan over the cluster's cores.
-
-    The driver's tables are single-row-group files, which Spark cannot split,
-    so the whole table would land in one task.  Only when a scan reads fewer
-    files than the default parallelism is it redistributed (the file list is
-    driver metadata, no job runs); a real landed table (many files) is left
-    alone and keeps its scan parallelism.
-    """
-    cores = default_parallelism(spark)
-    if len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
-
-
 def _txt(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -82,7 +60,6 @@ def r_events(spark: SparkSession, sf_dir: str, since_ms: int | None = None) -> D
     ev = table(spark, sf_dir, "events")
     if since_ms is not None:
         ev = ev.where(ms_lower_bound(since_ms))
-    ev = spread(spark, ev)
     k = F.get_json_object("props", "$.k").cast("int")
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", "props", k.alias("k"))
     k = F.col("k")

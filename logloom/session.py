@@ -79,8 +79,9 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the cluster names none (local runs, tests) is a local folder
-    created and set.
+    Only a local master gets a folder of its own where none is named (tests,
+    bench).  On a cluster a machine-local folder would be seen by one machine
+    alone, so there the setting is required.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -93,6 +94,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if jdir.isDefined():
         return jdir.get()
     if not current:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="logloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     sc.setCheckpointDir(current)

@@ -21,7 +21,7 @@ def land_history_chunks(rows: DataFrame, out_dir: str, chunk_rows: int, order_co
     """Write ``rows`` (string columns) as TSV chunks ``chunk=<n>/``, header in chunk 0 only."""
     cols = rows.columns
     numbered = row_index(rows, order_cols, out_col="__rn")
-    line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in cols])
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in cols]), {"sep": "\t", "escape": '"'})
     data = numbered.select(F.call_function("div", F.col("__rn"), F.lit(chunk_rows)).alias("chunk"),
                            F.col("__rn").alias("__ord"), line.alias("value"))
     header = rows.sparkSession.createDataFrame([(0, -1, "\t".join(cols))], "chunk long, __ord long, value string")
@@ -30,11 +30,18 @@ def land_history_chunks(rows: DataFrame, out_dir: str, chunk_rows: int, order_co
 
 
 def read_history_header(spark: SparkSession, path: str, sep: str = "\t") -> list[str]:
-    first = spark.read.text(f"{path.rstrip('/')}/chunk=0").first()
-    return first["value"].split(sep) if first else []
+    """Column names: the first record of chunk 0, by the same CSV rules as the data."""
+    first = _csv(spark, sep).csv(f"{path.rstrip('/')}/chunk=0").first()
+    return [c if c is not None else "" for c in first] if first else []
 
 
-def read_history_chunks(spark: SparkSession, path: str, sep: str = "\t", sanitize: bool = True) -> DataFrame:
+def _csv(spark: SparkSession, sep: str):
+    """Quoted values may hold separators, doubled quotes and line breaks; chunk files are small, so each is read whole."""
+    return spark.read.option("sep", sep).option("escape", '"').option("multiLine", True)
+
+
+def read_history_chunks(spark: SparkSession, path: str, sep: str = "\t", sanitize: bool = True,
+                        keep_chunk: bool = False) -> DataFrame:
     """S04 + P07: all chunks as one DataFrame with sanitized column names.
 
     Also reads the chunked CSV exports (``sep=','``, ``sanitize=False``).
@@ -43,9 +50,7 @@ def read_history_chunks(spark: SparkSession, path: str, sep: str = "\t", sanitiz
     names = sanitize_column_names(names) if sanitize else names
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField("chunk", T.LongType())])
-    def reader():
-        return spark.read.schema(schema).option("sep", sep).option("escape", '"')
-
-    first = reader().option("header", True).csv(path).where(F.col("chunk") == 0)
-    rest = reader().option("header", False).csv(path).where(F.col("chunk") != 0)
-    return first.unionByName(rest).drop("chunk")
+    first = _csv(spark, sep).schema(schema).option("header", True).csv(path).where(F.col("chunk") == 0)
+    rest = _csv(spark, sep).schema(schema).option("header", False).csv(path).where(F.col("chunk") != 0)
+    both = first.unionByName(rest)
+    return both if keep_chunk else both.drop("chunk")

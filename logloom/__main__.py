@@ -2,7 +2,7 @@
 
     python -m logloom --landing <dir> --warehouse <dir> --tenant "Tenant" \\
         [--batch-id <epoch s>] [--last-run <epoch ms>] [--chunk-size 15000] \\
-        [--scope select|skip --combo WS:MODEL ... --target-model MODEL] [--samples] [--strict]
+        [--scope select|skip --combo WS:MODEL ... --target-model MODEL] [--sample LIST ...] [--full-refresh] [--strict]
 
 Prints the run summary as one JSON line.  The session comes from the
 cluster (``spark-submit``); only when none is configured does it run locally.
@@ -29,7 +29,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--scope", choices=["all", "select", "skip"], default="all")
     p.add_argument("--combo", action="append", default=[], help="WORKSPACE_ID:MODEL_ID, repeatable")
     p.add_argument("--target-model", default=None)
-    p.add_argument("--samples", action="store_true", help="write sample files instead of chunked exports")
+    p.add_argument("--sample", action="append", default=[], metavar="LIST",
+                   help="write this list as a sample file instead of chunks, repeatable; \"all\" for every list")
+    p.add_argument("--full-refresh", action="store_true", help="drop stored events, stream checkpoint and state first")
+    p.add_argument("--max-files", type=int, default=None, help="landed files per micro-batch")
     p.add_argument("--strict", action="store_true", help="reproduce the source's behaviour (SURVEY D-n)")
     p.add_argument("--master", default=None, help="only for local runs")
     return p.parse_args(argv)
@@ -42,7 +45,7 @@ def main(argv: list[str] | None = None) -> dict:
         batch_id=a.batch_id if a.batch_id is not None else int(time.time()),
         last_run=a.last_run, chunk_size=a.chunk_size, scope_approach=a.scope,
         scope_combos=[tuple(c.split(":", 1)) for c in a.combo], target_model=a.target_model,
-        write_samples=a.samples, strict=a.strict,
+        samples=tuple(a.sample), strict=a.strict, full_refresh=a.full_refresh, max_files=a.max_files,
     )
     spark = get_session(a.master)
     summary = run_refresh(spark, a.landing, a.warehouse, settings)
@@ -51,4 +54,4 @@ def main(argv: list[str] | None = None) -> dict:
 
 
 if __name__ == "__main__":
-    main()
+    raise SystemExit(3 if main().get("held") else 0)

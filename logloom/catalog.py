@@ -64,6 +64,7 @@ def q_audit_report(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from logloom.functions import text as X  # noqa: E402
 from logloom.plans import report as P  # noqa: E402
@@ -594,7 +595,46 @@ def q_event_pages_scan(spark, sf_dir):
     """Events landed as 10,000-event pages, read back in one scan, flattened."""
     events = PG.read_event_pages(spark, _land_event_pages(spark, sf_dir))
     flat = FL.flatten_struct(events.drop("page", "pos"))
-    return FL.align_template(flat, SC.TEMPLATE)
+    return FL.align_template(flat.drop("extra"), SC.TEMPLATE)
+
+
+_DRIFT = ("newField", "additionalAttributes.brandNew")
+
+
+def _drifted(spark, sf_dir):
+    """Events with a new field, and a new attribute that only some have."""
+    ev = R.r_events(spark, sf_dir).drop("index")
+    grown = F.struct(F.col("additionalAttributes.*"), F.when(F.col("success"), F.col("eventTypeId")).alias("brandNew"))
+    return ev.withColumn("newField", F.concat(F.lit("x"), F.col("sessionId"))).withColumn("additionalAttributes", grown)
+
+
+@register("drift_pages_scan", _ev_sql(
+    "e.id, e.eventDate, 'x' || e.sessionId AS new_field, CASE WHEN e.success THEN e.eventTypeId END AS brand_new, "
+    "CASE WHEN e.success THEN 2 ELSE 1 END AS n_extra"))
+def q_drift_pages_scan(spark, sf_dir):
+    """Event fields that the schema doesn't know survive the scan and the streaming ingest, in ``extra``."""
+    root = shared_dir(spark, "landing-drift")
+    PG.land_pages(_drifted(spark, sf_dir), f"{root}/pages/run=1", "response", SC.AUDIT_BATCH_SIZE, ["eventDate", "id"], envelope="events")
+    ST.ingest_available(spark, f"{root}/pages", f"{root}/events", f"{root}/ckpt", context="run")
+    stored, scanned = spark.read.parquet(f"{root}/events"), PG.read_event_pages(spark, f"{root}/pages")
+    both = stored.select("id", "eventDate", "extra").join(scanned.select("id", F.col("extra").alias("read")), "id")
+    same = F.map_entries("extra") == F.map_entries("read")
+    return both.filter(same).select("id", "eventDate", F.col("extra")[_DRIFT[0]].alias("new_field"),
+                                    F.col("extra")[_DRIFT[1]].alias("brand_new"), F.size("extra").alias("n_extra"))
+
+
+@register("pretty_pages_scan", _ev_sql("e.id, e.eventDate, e.objectId, e.aa_modelId AS model_id, 2 AS n_reads"))
+def q_pretty_pages_scan(spark, sf_dir):
+    """S01/ST1: pages printed over many lines, one a file, read in batch and by the stream."""
+    root = shared_dir(spark, "landing-pretty")
+    pages = PG.documents(PG.landed(spark.read, _land_event_pages(spark, sf_dir)))
+    shape = T.StructType([*PG.page_schema("response", SC.EVENT, "events").fields])
+    pretty = F.to_json(F.from_json("doc", shape), {"pretty": "true"})
+    pages.select(pretty.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{root}/pages/run=1")
+    ST.ingest_available(spark, f"{root}/pages", f"{root}/events", f"{root}/ckpt", context="run")
+    fields = ["id", "eventDate", "objectId", F.col("additionalAttributes.modelId").alias("model_id")]
+    both = PG.read_event_pages(spark, f"{root}/pages").select(*fields).unionAll(spark.read.parquet(f"{root}/events").select(*fields))
+    return both.groupBy("id", "eventDate", "objectId", "model_id").agg(F.count(F.lit(1)).cast("int").alias("n_reads"))
 
 
 @register("flatten_struct", _ev_sql(O.TEMPLATE_SELECT + ", e.idx AS \"index\""))
@@ -643,22 +683,35 @@ def q_metadata_pages_scan(spark, sf_dir):
     return rows.select("id", "name", "workspace_id", "model_id", "kind")
 
 
-@register("page_reconciliation", O.with_roles(f"""
-SELECT 'events' AS entity, count(*) AS records_received, count(*) AS records_announced,
-       cast(ceil(count(*) / {SC.AUDIT_BATCH_SIZE}) AS bigint) AS pages_received
-FROM r_events
-UNION ALL
-SELECT 'users', count(*), count(*), cast(ceil(count(*) / {USER_PAGE_SIZE}) AS bigint) FROM r_users
-""", "r_events", "r_users"))
+# List, its role, the folders its pages are grouped by, records a page.
+_RECONCILED = [("events", "r_events", "", SC.AUDIT_BATCH_SIZE), ("workspaces", "r_workspaces", "", 100), ("models", "r_models", "", 100),
+               ("integrations", "r_integrations", "", 100), ("assets", "r_assets", "GROUP BY workspace_id, model_id, kind", 100)]
+
+
+def _reconciled_sql() -> str:
+    whole = [f"SELECT '{name}' AS entity, sum(n)::bigint AS records_received, sum(n)::bigint AS records_announced, "
+             f"sum(ceil(n / {size}))::bigint AS pages_received FROM (SELECT count(*) AS n FROM {role} {groups})"
+             for name, role, groups, size in _RECONCILED]
+    users = (f"SELECT 'users', full_pages * {USER_PAGE_SIZE}, n, full_pages FROM (SELECT count(*) AS n, "
+             f"(count(*) - 1) // {USER_PAGE_SIZE} AS full_pages FROM r_users) WHERE full_pages > 0")
+    return O.with_roles("\nUNION ALL\n".join([*whole, users]), "r_users", *(r for _, r, _, _ in _RECONCILED))
+
+
+@register("page_reconciliation", _reconciled_sql())
 def q_page_reconciliation(spark, sf_dir):
-    """Per entity, records received vs the total the pages announce, and pages read."""
-    ev_pages = PG.read_pages(spark, _land_event_pages(spark, sf_dir),
-                             PG.page_schema("response", SC.EVENT, "events"))
-    users_dir = shared_dir(spark, "landing-users")
-    PG.land_pages(R.r_users(spark, sf_dir), users_dir, "Resources", USER_PAGE_SIZE, ["id"], envelope="scim")
-    user_pages = PG.read_pages(spark, users_dir, PG.page_schema("Resources", SC.USER, "scim"))
-    return INC.page_reconciliation({"events": (ev_pages, "response", "events"),
-                                    "users": (user_pages, "Resources", "scim")})
+    """Per list, records received vs the total the pages announce, and pages read;
+    the last page of the users has not landed."""
+    root = shared_dir(spark, "landing-reconcile")
+    R.land_all(spark, sf_dir, root)
+    users = f"{root}/users-short"
+    pages = PG.documents(PG.landed(spark.read, f"{root}/users")).filter(
+        F.get_json_object("doc", "$.startIndex").cast("bigint") + F.get_json_object("doc", "$.itemsPerPage").cast("bigint")
+        <= F.get_json_object("doc", "$.totalResults").cast("bigint"))
+    pages.select(F.col("doc").alias("value")).write.text(users)
+    lists = RF.metadata_pages(spark, root)
+    short = PG.read_pages(spark, users, PG.page_schema("Resources", SC.USER, "scim"))
+    events = PG.read_pages(spark, f"{root}/events", PG.event_page_schema())
+    return INC.page_reconciliation({"events": (events, "response", "events"), **lists, "users": (short, "Resources", "scim")})
 
 
 # --------------------------------------------------------------------------
@@ -910,12 +963,12 @@ def _pull(path, df):
 
 @register("stream_ingest", _ev_sql(O.TEMPLATE_SELECT))
 def q_stream_ingest(spark, sf_dir):
-    """ST1/ST2: two availableNow runs over overlapping pulls; each event stored once."""
+    """ST1/ST2: two availableNow runs over overlapping pulls, one landed file a micro-batch; each event stored once."""
     root, pulls = _land_two_pulls(spark, sf_dir)
     sink, ckpt = shared_dir(spark, "events-table"), shared_dir(spark, "ckpt-ingest")
     for path, df in pulls:
         _pull(path, df)
-        ST.ingest_available(spark, root, sink, ckpt, context=["run"])
+        ST.ingest_available(spark, root, sink, ckpt, context="run", max_files=1)
     stored = spark.read.parquet(sink).drop(*ST.META_COLUMNS)
     return FL.align_template(FL.flatten_struct(stored), SC.TEMPLATE)
 
@@ -941,7 +994,7 @@ def q_stream_report(spark, sf_dir):
         def enrich(batch, _micro_batch, stamp=BATCH_ID + run_no):
             return audit_report(batch, dims, batch_id=stamp, tenant_name=TENANT_NAME)
         _pull(path, df)
-        ST.report_each_batch(spark, root, table, out, ckpt, enrich, context=["run"])
+        ST.report_each_batch(spark, root, table, out, ckpt, enrich, context="run")
     return spark.read.parquet(out).drop("micro_batch")
 
 
@@ -951,10 +1004,14 @@ def q_stream_report(spark, sf_dir):
 
 from logloom.plans import refresh as RF  # noqa: E402
 
+# The run takes assets of active models alone.
+_ACTIVE_ACTIONS = ("r_all_actions AS (SELECT cast(p_partkey // 25 AS varchar) AS id, p_name AS name, 'M' || cast(p_partkey % 25 AS varchar) AS model_id FROM part), "
+                   "r_actions AS (SELECT * FROM r_all_actions WHERE model_id IN (SELECT id FROM r_models WHERE activeState IS DISTINCT FROM 'ARCHIVED'))")
+_REFRESH_ROLES = [r for r in O.REPORT_ROLES if r != "r_actions"]
 _REFRESH_SQL = O.with_roles(
     "SELECT * FROM (" + O.report_body(BATCH_ID, TENANT_NAME, events="r_events_n") + ")",
-    *O.REPORT_ROLES,
-    extra=["r_events_n AS (SELECT * REPLACE (row_number() OVER (ORDER BY eventDate, id) - 1 AS idx) FROM r_events)"])
+    *_REFRESH_ROLES,
+    extra=[_ACTIVE_ACTIONS, "r_events_n AS (SELECT * REPLACE (row_number() OVER (ORDER BY eventDate, id) - 1 AS idx) FROM r_events)"])
 
 
 @register("refresh_report", _REFRESH_SQL)
@@ -969,3 +1026,105 @@ def q_refresh_report(spark, sf_dir):
     out = HS.read_history_chunks(spark, f"{warehouse}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
     return out.withColumn("BATCH_ID", F.col("BATCH_ID").cast("bigint")) \
               .withColumn("SUCCESS", F.col("SUCCESS").cast("int")).select(*SC.REPORT_COLUMNS)
+
+
+def _exported(spark, warehouse):
+    out = HS.read_history_chunks(spark, f"{warehouse}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
+    return out.select("AUDIT_ID", F.col("BATCH_ID").cast("bigint").alias("BATCH_ID"), "EVENT_DATE", "ACTION_NAME")
+
+
+@register("refresh_late_events", _ev_sql(
+    f"e.id AS AUDIT_ID, strftime(make_timestamp((e.eventDate // 1000) * 1000000), '%Y-%m-%d %H:%M:%S') AS EVENT_DATE, "
+    f"CASE WHEN e.eventDate < {LAST_RUN} THEN 2 ELSE 1 END::bigint AS BATCH_ID, 1 AS n_exports"))
+def q_refresh_late_events(spark, sf_dir):
+    """Two runs, the second pull older than the first: every event is exported by one run, exactly once."""
+    root = shared_dir(spark, "refresh-late")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    ev = R.r_events(spark, sf_dir).drop("index")
+    found = None
+    for run_no, part in ((1, ev.where(F.col("eventDate") >= LAST_RUN)), (2, ev)):
+        PG.land_pages(part, f"{landing}/events/run={run_no}", "response", SC.AUDIT_BATCH_SIZE, ["eventDate", "id"], envelope="events")
+        RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=run_no, chunk_size=EXPORT_CHUNK))
+        kept = shared_dir(spark, "late-export")
+        _exported(spark, warehouse).write.parquet(kept)
+        found = spark.read.parquet(kept) if found is None else found.unionAll(spark.read.parquet(kept))
+    return found.groupBy("AUDIT_ID", "EVENT_DATE", "BATCH_ID").agg(F.count(F.lit(1)).cast("int").alias("n_exports"))
+
+
+REFRESH_TARGET = "M2"
+
+
+@register("refresh_scope", O.with_roles(
+    f"SELECT id, name, workspace_id, model_id FROM r_actions WHERE model_id = '{REFRESH_TARGET}'", "r_actions"))
+def q_refresh_scope(spark, sf_dir):
+    """F05 in the run: "select" with an empty list takes the target model's assets alone."""
+    root = shared_dir(spark, "refresh-scope")
+    R.land_all(spark, sf_dir, root)
+    dims = RF.load_dimensions(spark, root, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=BATCH_ID, scope_approach="select",
+                                                              target_model=REFRESH_TARGET))
+    return dims["actions"]
+
+
+@register("refresh_active", O.with_roles(
+    "SELECT id, name, workspace_id, model_id FROM r_files WHERE model_id IN "
+    "(SELECT id FROM r_models WHERE activeState IS DISTINCT FROM 'ARCHIVED')", "r_files", "r_models"))
+def q_refresh_active(spark, sf_dir):
+    """F03/F06 in the run: without a scope, the files of all models but the archived ones."""
+    root = shared_dir(spark, "refresh-active")
+    R.land_all(spark, sf_dir, root)
+    return RF.load_dimensions(spark, root, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=BATCH_ID))["files"]
+
+
+@register("watermark_history", _ev_sql(
+    f"r.batch_id, max(e.eventDate) AS last_run, r.batch_id - 1 AS ingest_batch",
+    f"JOIN (VALUES (1::bigint), (2::bigint)) r(batch_id) ON r.batch_id = 2 OR e.eventDate < {LAST_RUN} GROUP BY r.batch_id"))
+def q_watermark_history(spark, sf_dir):
+    """The saved state after two runs, one row each."""
+    root = shared_dir(spark, "refresh-state")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    ev = R.r_events(spark, sf_dir).drop("index")
+    for run_no, part in ((1, ev.where(F.col("eventDate") < LAST_RUN)), (2, ev.where(F.col("eventDate") >= LAST_RUN))):
+        PG.land_pages(part, f"{landing}/events/run={run_no}", "response", SC.AUDIT_BATCH_SIZE, ["eventDate", "id"], envelope="events")
+        RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=run_no, chunk_size=EXPORT_CHUNK))
+    return spark.read.parquet(f"{warehouse}/_state/watermark")
+
+
+@register("dim_users_repeats", O.with_roles(
+    "SELECT id, max(userName) AS userName, arg_max(displayName, userName) AS displayName FROM "
+    "(SELECT * FROM r_users UNION ALL SELECT id, userName || ' again', displayName || '2' FROM r_users "
+    "UNION ALL SELECT * FROM r_users) GROUP BY id", "r_users"))
+def q_dim_users_repeats(spark, sf_dir):
+    """R04/D-4: a users list in which every key comes three times, twice the same; one row per id, the greatest."""
+    users = R.r_users(spark, sf_dir)
+    again = users.select("id", F.concat("userName", F.lit(" again")).alias("userName"), F.concat("displayName", F.lit("2")).alias("displayName"))
+    return D.dim_users(users.unionByName(again).unionByName(users))
+
+
+@register("table_lifecycle", O.with_roles(
+    "SELECT 'created' AS step, 0::bigint AS n_rows, true AS there UNION ALL SELECT 'appended', count(*), true FROM r_users "
+    "UNION ALL SELECT 'created again', count(*), true FROM r_users UNION ALL SELECT 'kept by a later run', count(*), true FROM r_users "
+    "UNION ALL SELECT 'truncated', 0, true UNION ALL SELECT 'reset', 0, false UNION ALL SELECT 'dropped', 0, false", "r_users"))
+def q_table_lifecycle(spark, sf_dir):
+    """What a catalog table holds after create, append, truncate, reset and drop."""
+    name, users, seen = "logloom_lifecycle_" + shared_dir(spark, "t")[-12:], R.r_users(spark, sf_dir), []
+
+    def look(step):
+        there = TB.table_exists(spark, name) is not None
+        seen.append((step, TB.read_table(spark, name).count() if there else 0, there))
+
+    TB.create_table(spark, name, dict(users.dtypes))
+    look("created")
+    TB.write_table(users, name, mode="append")
+    look("appended")
+    TB.create_table(spark, name, {"id": "string"})
+    look("created again")
+    TB.reset_if_full_refresh(spark, name, last_run=LAST_RUN)
+    look("kept by a later run")
+    TB.truncate_table(spark, name)
+    look("truncated")
+    TB.reset_if_full_refresh(spark, name, last_run=0)
+    look("reset")
+    TB.create_table(spark, name, dict(users.dtypes))
+    TB.drop_table(spark, name)
+    look("dropped")
+    return spark.createDataFrame(seen, "step string, n_rows bigint, there boolean")

@@ -124,10 +124,15 @@ def scope_select(models: DataFrame, combos: DataFrame, target_model: str,
 
 def apply_scope(models: DataFrame, approach: str, combos: DataFrame | None,
                 target_model: str | None = None) -> DataFrame:
-    """Scope by the configured approach; any other value keeps all."""
-    if approach == "skip" and combos is not None:
+    """Scope by the configured approach; any other value keeps all.
+
+    An empty or missing list: "skip" skips nothing, "select" keeps the target model alone.
+    """
+    if combos is None:
+        combos = models.sparkSession.createDataFrame([], "WorkspaceId string, ModelId string")
+    if approach == "skip":
         return scope_skip(models, combos)
-    if approach == "select" and combos is not None:
+    if approach == "select":
         return scope_select(models, combos, target_model or "")
     return models
 

@@ -48,20 +48,29 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def received_and_announced(pages: DataFrame, entity: str, record_path: str, envelope: str, context: list[str] | None = None) -> DataFrame:
+    """Entity, context (its folders, joined by "/"), records received and announced, and pages read.
+
+    Records are never exploded just to be counted; a page that was landed twice counts once.
+    """
+    announced = F.col("totalResults") if envelope == "scim" else F.col("meta.paging.totalSize")
+    keys = [F.concat_ws("/", *(context or [])).alias("context")]
+    each = pages.select(*keys, "page", F.size(record_path).cast("bigint").alias("n"), announced.cast("bigint").alias("announced"))
+    once = each.groupBy("context", "page").agg(F.max("n").alias("n"), F.max("announced").alias("announced"))
+    return once.groupBy("context").agg(
+        F.sum("n").alias("received"), F.max("announced").alias("announced"), F.count(F.lit(1)).alias("pages"),
+    ).select(F.lit(entity).alias("entity"), "context", "received", "announced", "pages")
+
+
 def page_reconciliation(sources: dict) -> DataFrame:
     """Records received, records announced, and pages read, per entity.
 
-    ``sources`` maps entity -> (pages DataFrame, record path, envelope).  One
-    aggregate per entity over its pages: ``size`` of each page's record array
-    is summed, so the records are never exploded just to be counted.
+    ``sources`` maps entity -> (pages DataFrame, record path, envelope, context folders).
     """
     out = None
-    for entity, (pages, record_path, envelope) in sources.items():
-        announced = F.col("totalResults") if envelope == "scim" else F.col("meta.paging.totalSize")
-        agg = pages.agg(
-            F.sum(F.size(record_path)).cast("bigint").alias("records_received"),
-            F.max(announced).cast("bigint").alias("records_announced"),
-            F.count_distinct("page").cast("bigint").alias("pages_received"),
-        ).select(F.lit(entity).alias("entity"), "records_received", "records_announced", "pages_received")
+    for entity, (pages, record_path, envelope, *context) in sources.items():
+        each = received_and_announced(pages, entity, record_path, envelope, context[0] if context else None)
+        agg = each.groupBy("entity").agg(F.sum("received").alias("records_received"), F.sum("announced").alias("records_announced"),
+                                         F.sum("pages").alias("pages_received"))
         out = agg if out is None else out.unionByName(agg)
     return out

@@ -16,12 +16,18 @@ Warehouse folder (shared storage)::
     events/          Parquet by event_day/ingest_batch, appended by the streaming ingest (deduplicated)
     users/ workspaces/ models/ actions/ files/ integrations/ act_codes/   replaced each run
     exports/<file>/chunk=<n>/   one CSV per chunk
-    refresh_log/     one row appended per run
-    _state/watermark one-row table, written LAST (a failed run is re-run from the old one)
+    refresh_log/     one row per run, in run=<batch_id>/ (a retried run replaces its own)
+    events_pages/ events_quarantine/   what each page announced and delivered; pages that can't be read
+    _state/watermark one row appended per run, written LAST (a failed run is re-run from the one before)
     _checkpoints/    streaming checkpoints
 
+New events are those of micro-batches that no run has exported yet, however old
+their dates are.  A run whose pulls or lists have delivered less than they
+announced stores what came, and exports nothing and leaves the watermark until
+the missing pages have landed (``held`` in its summary).
+
 Every step is a DataFrame or Structured Streaming job; the driver only reads
-the one-row watermark and counts.
+one-row results, counts and short pulls.
 """
 
 from __future__ import annotations
@@ -54,9 +60,13 @@ class RefreshSettings:
     scope_approach: str = "all"           # "skip", "select", anything else keeps all
     scope_combos: list[tuple[str, str]] = field(default_factory=list)
     target_model: str | None = None
-    write_samples: bool = False
+    samples: tuple[str, ...] = ()         # targets written as a sample file ("all": every list)
     strict: bool = False
-    dedupe_delay: str = ST.DEFAULT_DEDUP_DELAY
+    full_refresh: bool = False            # drop events, stream checkpoint and state first (K12)
+    max_files: int | None = None          # landed files per micro-batch
+
+    def is_sample(self, target: str) -> bool:
+        return "all" in self.samples or target in self.samples
 
 
 # --- fixed values: export file names and counter acronyms of the target lists ----
@@ -82,54 +92,100 @@ def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
+@dataclass(frozen=True)
+class State:
+    """What the last run that ended has exported."""
+    last_run: int = 0
+    ingest_batch: int = -1
+
+
+def read_state(spark: SparkSession, warehouse: str) -> State:
+    """The newest saved row; only a state that was never written reads as none."""
+    rows = ST.read_if_there(spark, _p(warehouse, "_state", "watermark"))
+    if rows is None:
+        return State()
+    newest = rows.agg(F.max(F.struct("ingest_batch", "last_run")).alias("s")).first()["s"]
+    if newest is None or newest["last_run"] is None:
+        raise RuntimeError(f"no watermark can be read from {_p(warehouse, '_state', 'watermark')}")
+    return State(int(newest["last_run"]), int(newest["ingest_batch"]))
+
+
 def read_watermark(spark: SparkSession, warehouse: str) -> int:
-    try:
-        row = spark.read.parquet(_p(warehouse, "_state", "watermark")).first()
-    except Exception:  # noqa: BLE001 -- no state yet: full refresh
-        return 0
-    return int(row["last_run"]) if row else 0
+    return read_state(spark, warehouse).last_run
 
 
-def save_watermark(spark: SparkSession, warehouse: str, value: int) -> None:
-    spark.createDataFrame([(int(value),)], "last_run bigint").write.mode("overwrite").parquet(
+def save_state(spark: SparkSession, warehouse: str, batch_id: int, state: State) -> None:
+    row = [(int(batch_id), state.last_run, state.ingest_batch)]
+    spark.createDataFrame(row, "batch_id bigint, last_run bigint, ingest_batch bigint").coalesce(1).write.mode("append").parquet(
         _p(warehouse, "_state", "watermark"))
 
 
+def reset(spark: SparkSession, warehouse: str) -> None:
+    """A full refresh starts from no events, no stream checkpoint and no state."""
+    for name in ("events", "events_pages", "events_quarantine", "events_staging", "_checkpoints", "_state"):
+        TB.delete_path(spark, _p(warehouse, name))
+
+
+def write_log(spark: SparkSession, warehouse: str, settings: "RefreshSettings", counted: DataFrame) -> None:
+    TB.write_table(EX.refresh_log_row(spark, settings.batch_id, counted),
+                   path=_p(warehouse, "refresh_log", f"run={settings.batch_id}"), mode="overwrite")
+
+
 def _codes_or_empty(spark: SparkSession, path: str) -> DataFrame:
     try:
         return CO.read_activity_codes(spark, path)
-    except AnalysisException:
+    except AnalysisException as err:
+        if not PG.missing(err):
+            raise
         return spark.createDataFrame([], schemas.ACT_CODES)
 
 
-def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings) -> dict[str, DataFrame]:
-    """Entry 2: every dimension from all of its landed pages, one read each."""
+def metadata_pages(spark: SparkSession, landing: str) -> dict[str, tuple[DataFrame, str, str, list[str]]]:
+    """Each list's pages, record path, envelope and context folders."""
     def pages(folder, record_path, record, envelope="meta", context=None):
         schema = PG.page_schema(record_path, record, envelope, context=context)
-        return PG.read_pages(spark, _p(landing, folder), schema, missing_ok=True)
+        return PG.read_pages(spark, _p(landing, folder), schema, missing_ok=True), record_path, envelope, context or []
 
-    users = PG.explode_records(pages("users", "Resources", schemas.USER, "scim"), "Resources")
-    ws = PG.explode_records(pages("workspaces", "workspaces", schemas.WORKSPACE), "workspaces")
-    models = PG.explode_records(pages("models", "models", schemas.MODEL), "models")
-    cw = PG.explode_records(pages("integrations", "integrations", schemas.INTEGRATION), "integrations")
+    context = ["workspace_id", "model_id", "kind"]
+    found = {
+        "users": pages("users", "Resources", schemas.USER, "scim"),
+        "workspaces": pages("workspaces", "workspaces", schemas.WORKSPACE),
+        "models": pages("models", "models", schemas.MODEL),
+        "integrations": pages("integrations", "integrations", schemas.INTEGRATION),
+    }
     # All five asset kinds in ONE read: each page has exactly one of the arrays.
     kinds = schemas.ASSET_KINDS
-    asset_schema = PG.page_schema(kinds[0], schemas.NAMED_ASSET, "meta",
-                                  context=["workspace_id", "model_id", "kind"])
-    for k in kinds[1:]:
-        asset_schema = asset_schema.add(k, asset_schema[kinds[0]].dataType)
-    asset_pages = PG.read_pages(spark, _p(landing, "assets"), asset_schema, missing_ok=True)
-    assets = asset_pages.select("workspace_id", "model_id", "kind",
-                                F.explode(F.coalesce(*[F.col(k) for k in kinds])).alias("r")) \
+    every = PG.page_schema("records", schemas.NAMED_ASSET, "meta", context=context)
+    found["assets"] = (PG.read_any_records(spark, _p(landing, "assets"), every, kinds), "records", "meta", context)
+    return found
+
+
+def short_lists(lists: dict) -> list[dict]:
+    """Lists (assets: per workspace, model and kind) that have delivered fewer records than announced."""
+    out = None
+    for name, (pages, record_path, envelope, context) in lists.items():
+        rows = INC.received_and_announced(pages, name, record_path, envelope, context)
+        out = rows if out is None else out.unionByName(rows)
+    short = out.filter("received < announced")
+    # the number of short lists is reported; some of them by name
+    n = short.count()
+    return [{"short": n, "first": [r.asDict() for r in short.orderBy("entity", "context").limit(20).collect()]}] if n else []
+
+
+def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings, lists: dict | None = None) -> dict[str, DataFrame]:
+    """Entry 2: every dimension from all of its landed pages, one read each."""
+    lists = lists or metadata_pages(spark, landing)
+    users, ws, models, cw = (PG.explode_records(lists[n][0], lists[n][1]) for n in ("users", "workspaces", "models", "integrations"))
+    assets = lists["assets"][0].select("workspace_id", "model_id", "kind", F.explode("records").alias("r")) \
         .select("r.id", "r.name", "workspace_id", "model_id", "kind")
     unique = not settings.strict
     models_dim = D.dim_models(models.drop("page", "pos"), unique)
-    if settings.scope_approach in ("skip", "select") and settings.scope_combos:
-        combos = spark.createDataFrame(settings.scope_combos, "WorkspaceId string, ModelId string")
-        in_scope = D.apply_scope(D.active_models(models_dim), settings.scope_approach, combos,
-                                 settings.target_model)
-        keys = in_scope.select(F.col("currentWorkspaceId").alias("workspace_id"), F.col("id").alias("model_id"))
-        assets = assets.join(keys, ["workspace_id", "model_id"], "left_semi")
+    # Only assets of active models in scope are taken, whatever the approach.
+    combos = spark.createDataFrame(settings.scope_combos, "WorkspaceId string, ModelId string")
+    in_scope = D.apply_scope(D.active_models(models_dim), settings.scope_approach, combos, settings.target_model)
+    if lists["models"][0].isEmpty():        # no models list has landed: nothing to tell by
+        in_scope = assets.select(F.col("model_id").alias("id"))
+    assets = assets.join(in_scope.select(F.col("id").alias("model_id")).distinct(), "model_id", "left_semi")
     return {
         "users": D.dim_users(users, unique),
         "workspaces": D.unique_on(ws.drop("page", "pos"), ["id"]) if unique else ws.drop("page", "pos"),
@@ -143,41 +199,56 @@ def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings
 
 def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: RefreshSettings) -> dict:
     """Entries 1-3 of one run; returns a small summary (counts and watermark)."""
-    last_run = settings.last_run if settings.last_run is not None else read_watermark(spark, warehouse)
+    if settings.full_refresh:
+        reset(spark, warehouse)
+    state = read_state(spark, warehouse)
+    last_run = settings.last_run if settings.last_run is not None else state.last_run
     events_path = _p(warehouse, "events")
     # Entry 1: ingest whatever pages arrived since the last committed batch.
     try:
         ST.ingest_available(spark, _p(landing, "events"), events_path, _p(warehouse, "_checkpoints", "events"),
-                            dedupe=None if settings.strict else "exact", delay=settings.dedupe_delay,
-                            context=["run"])
+                            exact=not settings.strict, context="run", max_files=settings.max_files)
     except AnalysisException as err:        # no event page has ever landed
-        if "PATH_NOT_FOUND" not in str(err):
+        if not PG.missing(err):
             raise
     events = ST.read_events(spark, events_path)
     if events is None:                      # nothing ever landed: an empty, typed table
-        events = spark.createDataFrame([], schemas.EVENT).withColumn("event_day", F.lit(None).cast("date")) \
-            .withColumn("ingest_batch", F.lit(None).cast("bigint"))
-    # Partition pruning: only day folders on or after the watermark's day are listed and read.
-    first_day = _dt.datetime.fromtimestamp(last_run / 1000, _dt.timezone.utc).date()
-    events = events.where(F.col("event_day") >= F.lit(first_day))
-    new_stored = events.where(incremental_condition(last_run, settings.strict))
-    mark = INC.next_watermark(new_stored, last_run).first()
-    next_wm = int(mark["next_watermark"])
-    if settings.strict and "arrival" in events.columns:
+        events = spark.createDataFrame([], schemas.EVENT).withColumn("ingest_batch", F.lit(None).cast("bigint"))
+    if settings.strict or settings.last_run is not None:
+        # By date: partition pruning lists and reads only day folders on or after the watermark's day.
+        if "event_day" in events.columns:
+            first_day = _dt.datetime.fromtimestamp(last_run / 1000, _dt.timezone.utc).date()
+            events = events.where(F.col("event_day") >= F.lit(first_day))
+        new_stored = events.where(incremental_condition(last_run, settings.strict))
+    else:
+        # By arrival: whatever no run has exported, late events too.
+        new_stored = events.where(F.col("ingest_batch") > state.ingest_batch)
+    mark = new_stored.agg(F.max("eventDate").alias("newest"), F.count(F.lit(1)).alias("n"), F.max("ingest_batch").alias("batch")).first()
+    next_wm = max(last_run, int(mark["newest"] or 0))
+    if settings.strict:
         # D-2 strict: the date of the last row received, by (run, page, position).
-        arrived = new_stored.select("eventDate", F.struct("ingest_batch", "arrival.run", "arrival.page").alias("page"),
-                                    F.col("arrival.pos").alias("pos"))
+        arrived = new_stored.select("eventDate", *([F.struct("ingest_batch", "arrival.run", "arrival.page").alias("page"),
+                                                    F.col("arrival.pos").alias("pos")] if "arrival" in events.columns
+                                                   else [F.lit(0).alias("page"), F.lit(0).alias("pos")]))
         next_wm = int(INC.next_watermark_strict(arrived, last_run).first()["next_watermark"])
-    summary = {"last_run": last_run, "next_watermark": next_wm, "audit_records": int(mark["audit_records"])}
+    summary = {"last_run": last_run, "next_watermark": next_wm, "audit_records": int(mark["n"])}
+    done = State(next_wm, max(state.ingest_batch, int(mark["batch"] if mark["batch"] is not None else -1)))
     new = new_stored.drop(*[c for c in ST.META_COLUMNS if c in new_stored.columns])
     counted = new.agg(F.count(F.lit(1)).alias("audit_records"))
-    if mark["audit_records"] == 0:
-        TB.write_table(EX.refresh_log_row(spark, settings.batch_id, counted),
-                       path=_p(warehouse, "refresh_log"), mode="append")
+
+    lists = metadata_pages(spark, landing)
+    pulls = ST.short_pulls(spark, events_path)
+    held = ([r.asDict() for r in pulls.orderBy("run").limit(20).collect()] if pulls is not None else []) + short_lists(lists)
+    if held:
+        return summary | {"held": held, "audit_records": 0, "next_watermark": state.last_run}
+    if mark["n"] == 0:
+        write_log(spark, warehouse, settings, counted)
+        if settings.strict:                 # D-2 strict: the raised watermark is saved as well
+            save_state(spark, warehouse, settings.batch_id, done)
         return summary
 
     # Entry 2: dimensions, replaced as whole tables.
-    dims = load_dimensions(spark, landing, settings)
+    dims = load_dimensions(spark, landing, settings, lists)
     for name, df in dims.items():
         TB.write_table(df, path=_p(warehouse, name), mode="overwrite")
     stored = {name: spark.read.parquet(_p(warehouse, name)) for name in dims}
@@ -193,13 +264,12 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     EX.write_chunks(numbered, _p(warehouse, "exports", REPORT_EXPORT))
     for name, (file_name, acronym) in EXPORTS.items():
         table, key = stored[name], EXPORT_KEYS[name]
-        if settings.write_samples:
+        if settings.is_sample(name):
             EX.write_sample(EX.sample(table, key, chunk_size=settings.chunk_size, acronym=acronym),
                             _p(warehouse, "samples", file_name))
         else:
             EX.write_chunks(EX.number_for_export(table, key, settings.chunk_size, acronym, settings.strict),
                             _p(warehouse, "exports", file_name))
-    TB.write_table(EX.refresh_log_row(spark, settings.batch_id, counted),
-                   path=_p(warehouse, "refresh_log"), mode="append")
-    save_watermark(spark, warehouse, summary["next_watermark"])   # last: commit point
+    write_log(spark, warehouse, settings, counted)
+    save_state(spark, warehouse, settings.batch_id, done)   # last: commit point
     return summary

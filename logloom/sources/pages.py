@@ -1,15 +1,22 @@
 """Paged JSON documents: landing, scanning, record-path explode.
 
-The source pulls pages over HTTP and appends them one by one.  Here pages
-are files in a landing folder (one JSON document per line or per file), so a
-whole pull is ONE multi-file read: Spark spreads the files over tasks, the
-explicit schema avoids inference, and directory names such as
-``workspace_id=W1/model_id=M3/kind=imports`` become columns (the page's
-context, P06) through partition discovery.
-
-``land_pages`` writes such a folder from a DataFrame.  Page sizes are
-bounded, so collecting the records of one page into its array is bounded
-too; pages never span two context groups.
+The source pulls pages over HTTP and appends them one by one.  Here pages are
+documents in a landing folder, so a whole pull is ONE multi-file read that
+Spark spreads over tasks.  A landed file is read whole (whoever lands it bounds
+its size) and holds either one document, printed in any way, or one document
+per line; it is taken for lines when its first line is a document by itself.
+Folder names such as ``workspace_id=W1/model_id=M3/kind=imports`` give the
+page's context (P06); its number stands in the document (``page``) or in a
+folder ``page=<n>``.
+
+Nothing is lost without a sign: a document that can't be read, or that lacks
+its record array, ends a batch read with an error and goes to the quarantine of
+a streaming ingest; event fields that the schema doesn't know are kept in the
+map ``extra``.
+
+``land_pages`` writes such a folder from a DataFrame.  Page sizes are bounded,
+so collecting the records of one page into its array is bounded too; pages
+never span two context groups.
 """
 
 from __future__ import annotations
@@ -22,6 +29,9 @@ from pyspark.sql import types as T
 from logloom import schemas
 from logloom.operators.identity import row_index
 
+#: Landed pages per file, at most.
+PAGES_PER_FILE = 8
+
 ENVELOPES = ("events", "meta", "scim")
 
 
@@ -77,15 +87,16 @@ def land_pages(records: DataFrame, out_dir: str, record_path: str, page_size: in
         F.transform("__items", lambda x: x["rec"]).alias(record_path),
         *_paging_struct(envelope, F.col("page"), page_size, total, F.size("__items").cast("bigint"),
                         last_page, url),
+        F.col("page"),
     )
-    docs = pages.select(*group_cols, "page", F.to_json(body).alias("value"))
-    (docs.repartition(*group_cols, "page")
-     .write.mode(mode).partitionBy(*group_cols, "page").text(out_dir))
+    docs = pages.select(*group_cols, F.to_json(body).alias("value"))
+    writer = docs.write.mode(mode).option("maxRecordsPerFile", PAGES_PER_FILE)
+    (writer.partitionBy(*group_cols) if group_cols else writer).text(out_dir)
 
 
 def page_schema(record_path: str, record: T.StructType, envelope: str = "meta",
                 context: list[str] | None = None) -> T.StructType:
-    """Schema of one landed page, plus its context and page-number columns."""
+    """Schema of one landed page: its record array first, then its paging facts, context and number."""
     records = T.StructField(record_path, T.ArrayType(record))
     if envelope == "events":
         fields = [records, schemas.EVENT_PAGE["meta"]]
@@ -94,23 +105,88 @@ def page_schema(record_path: str, record: T.StructType, envelope: str = "meta",
     else:
         fields = list(schemas.metadata_page(record_path, record).fields)
         fields[0] = records
-    extra = [T.StructField(c, T.StringType()) for c in (context or [])]
+    extra = [T.StructField(c, T.StringType(), True, {"context": True}) for c in (context or [])]
     return T.StructType(fields + extra + [T.StructField("page", T.LongType())])
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False,
-               missing_ok: bool = False) -> DataFrame:
+def missing(err: AnalysisException) -> bool:
+    """Is the error that a folder isn't there (or has no file yet)?"""
+    return err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def landed(reader, path: str) -> DataFrame:
+    """Whole landed files of a batch or stream reader: path, value."""
+    files = reader.text(path, wholetext=True, recursiveFileLookup=True)
+    return files.select(F.input_file_name().alias("path"), "value")
+
+
+def documents(files: DataFrame) -> DataFrame:
+    """path, doc_no, doc: the documents of landed files."""
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
+    by_line = F.get_json_object(F.get(lines, F.lit(0)), "$").isNotNull()
+    docs = F.when(by_line, lines).otherwise(F.filter(F.array("value"), lambda x: F.trim(x) != ""))
+    return files.select("path", F.posexplode(docs).alias("doc_no", "doc"))
+
+
+def folder_value(name: str, path: str = "path") -> Column:
+    """The value of ``<name>=<value>`` among a path's folders (names are escaped once by the writer, once in the path)."""
+    found = F.regexp_extract(path, f"/{name}=([^/]*)/", 1)
+    return F.nullif(F.url_decode(F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))), F.lit(""))
+
+
+_BAD = "__unreadable"
+
+
+def parsed(docs: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
+    """The documents' fields, context and page number, and whether a document is unreadable.
+
+    A document is unreadable if it isn't JSON as a whole, or lacks its first field (the record array).
+    """
+    context = [f.name for f in schema.fields if f.metadata.get("context")]
+    inner = [f for f in schema.fields if f.name not in context]
+    shape = T.StructType([*inner, T.StructField(_BAD, T.StringType())])
+    rows = docs.select(*(keep or []), "path", "doc_no", F.from_json("doc", shape, {"columnNameOfCorruptRecord": _BAD}).alias("__d"))
+    fields = {f.name: F.col(f"__d.`{f.name}`") for f in inner} | {c: folder_value(c) for c in context}
+    if "page" in fields:
+        fields["page"] = F.coalesce(fields["page"], folder_value("page").cast("bigint"), F.col("doc_no").cast("bigint"))
+    bad = F.col("__d").isNull() | F.col(f"__d.{_BAD}").isNotNull() | fields[inner[0].name].isNull()
+    return rows.select(*(keep or []), *[fields[f.name].alias(f.name) for f in schema.fields], bad.alias("unreadable"))
+
+
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False) -> DataFrame:
     """All pages under ``path`` in one read (U01: union of pages, duplicates kept).
 
-    ``missing_ok``: a folder nothing was landed in reads as no pages (an
-    empty, typed table), as the source carries on when a list is empty.
+    An unreadable page fails the query.  ``missing_ok``: a folder nothing was
+    landed in reads as no pages (an empty, typed table), as the source carries
+    on when a list is empty.
     """
     try:
-        return spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    except AnalysisException:
-        if not missing_ok:
+        docs = documents(landed(spark.read, path))
+    except AnalysisException as err:
+        if not missing_ok or not missing(err):
+            raise
+        return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
+    # the first field stands for the check, so it is made whenever records are read
+    rows, first = parsed(docs, schema, keep=["doc"]), schema.fields[0]
+    told = F.concat(F.lit("unreadable page: "), F.substring("doc", 1, 200))
+    checked = F.when(F.col("unreadable"), F.raise_error(told).cast(first.dataType)).otherwise(F.col(f"`{first.name}`"))
+    return rows.select(checked.alias(first.name), *[F.col(f"`{f.name}`") for f in schema.fields[1:]])
+
+
+def read_any_records(spark: SparkSession, path: str, schema: T.StructType, names: list[str]) -> DataFrame:
+    """Pages whose record array stands under one of several names, as the schema's first field."""
+    records = schema.fields[0]
+    wide = T.StructType([*(T.StructField(n, records.dataType) for n in names), *schema.fields[1:]])
+    try:
+        docs = documents(landed(spark.read, path))
+    except AnalysisException as err:
+        if not missing(err):
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
+    rows, found = parsed(docs, wide, keep=["doc"]), F.coalesce(*[F.col(n) for n in names])
+    told = F.concat(F.lit("unreadable page: "), F.substring("doc", 1, 200))
+    checked = F.when(found.isNull(), F.raise_error(told).cast(records.dataType)).otherwise(found)
+    return rows.select(checked.alias(records.name), *[F.col(f"`{f.name}`") for f in schema.fields[1:]])
 
 
 def explode_records(pages: DataFrame, record_path: str, keep: list[str] | None = None) -> DataFrame:
@@ -121,16 +197,27 @@ def explode_records(pages: DataFrame, record_path: str, keep: list[str] | None =
     return rows.select(*keep, "page", "pos", *[F.col(f"__r.`{f.name}`").alias(f.name) for f in rec_type.fields])
 
 
-def read_event_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Audit events of every landed page, nested attributes kept as a struct."""
-    pages = read_pages(spark, path, page_schema("response", schemas.EVENT, "events"), multi_line)
-    return explode_records(pages, "response")
+# --- events: records are kept as JSON text until their unknown fields are saved ---
 
+def event_page_schema(context: list[str] | None = None) -> T.StructType:
+    return page_schema("response", T.StringType(), "events", context)
 
-def paging_facts(pages: DataFrame, entity: str, envelope: str) -> DataFrame:
-    """The announced total of each page, by key path (1 or 3 levels deep)."""
-    if envelope == "scim":
-        announced = F.col("totalResults")
-    else:
-        announced = F.col("meta.paging.totalSize")
-    return pages.select(F.lit(entity).alias("entity"), "page", announced.alias("announced"))
+
+def event_struct(raw: Column) -> Column:
+    """An event's known fields, and in ``extra`` all others as JSON text by dotted name (null if none)."""
+    texts = "map<string,string>"
+    none = F.create_map().cast(texts)
+    event, top = F.from_json(raw, schemas.EVENT), F.coalesce(F.from_json(raw, texts), none)
+    attributes = F.coalesce(F.from_json(F.get(F.map_values(F.map_filter(top, lambda k, _: k == "additionalAttributes")), F.lit(0)), texts), none)
+    base = [f.name for f in schemas.EVENT.fields]
+    extra = F.map_concat(
+        F.map_filter(top, lambda k, _: ~k.isin(base)),
+        F.transform_keys(F.map_filter(attributes, lambda k, _: ~k.isin(list(schemas.ATTRIBUTES.names))),
+                         lambda k, _: F.concat(F.lit("additionalAttributes."), k)))
+    return F.struct(*[event[n].alias(n) for n in base], F.when(F.size(extra) > 0, extra).alias("extra"))
+
+
+def read_event_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Audit events of every landed page, nested attributes as a struct, unknown fields in ``extra``."""
+    rows = read_pages(spark, path, event_page_schema()).select("page", F.posexplode("response").alias("pos", "raw"))
+    return rows.select("page", "pos", event_struct(F.col("raw")).alias("e")).select("page", "pos", "e.*")

@@ -52,6 +52,13 @@ def truncate_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system; a missing one is not an error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
+
+
 def reset_if_full_refresh(spark: SparkSession, table: str, last_run: int, table_drop: bool = False) -> bool:
     """Drop the events table on a full refresh (``last_run == 0``) or on request."""
     if table_drop or last_run == 0:

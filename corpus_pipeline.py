@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logloom.llm import decontaminate, exact_dedup, packing, pu_quality, simhash
-from logloom.llm.common import staged, table
+from logloom.llm.common import quoted, staged, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     scored = pu_quality.score(docs, pu_quality.learn(docs, table(spark, sf_dir, "labels")))
-    return scored.filter(F.col(scored.columns[-1]) >= pu_quality.KEEP_FROM).select(*(f"`{c}`" for c in docs.columns))
+    return scored.filter(F.col(scored.columns[-1]) >= pu_quality.KEEP_FROM).select(*map(quoted, docs.columns))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

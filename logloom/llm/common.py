@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of Parquet files, never
@@ -22,7 +22,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -38,6 +38,10 @@ def free_name(columns: list[str], wanted: str) -> str:
     return wanted
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ddl(df: DataFrame, *more: str) -> str:
     """The schema of ``df`` with further columns, for mapInArrow."""
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), *more])
+    return ", ".join([*(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields), *more])

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logloom.llm.common import ddl, free_name, table
+from logloom.llm.common import ddl, free_name, quoted, table
 
 Q, RATE = 8, 0.1
 BLOCK_CHARS = 4_000_000
@@ -212,7 +212,7 @@ def _scan(docs: DataFrame, items, name: str, text_col: str) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The documents that hold no passage of the benchmark, with their columns."""
     found = find_passages(docs, benchmark, **how)
-    return found.filter(F.size(found.columns[-1]) == 0).select(*(f"`{c}`" for c in docs.columns))
+    return found.filter(F.size(found.columns[-1]) == 0).select(*map(quoted, docs.columns))
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

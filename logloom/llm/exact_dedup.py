@@ -27,7 +27,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logloom.llm.common import SPACE, staged, table, text_or_empty
+from logloom.llm.common import SPACE, free_name, staged, table, text_or_empty
 
 SALTS = 32
 
@@ -71,15 +71,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sal
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with the columns they came with."""
+    own, kept_id, kept_digest = (free_name(docs.columns, n) for n in ("own_digest", "kept_id", "kept_digest"))
     kept = staged(classes(docs, id_col, text_col).filter("kept").select(
-        F.col("id").alias("__id"), F.col("digest").alias("__digest")), "exact-kept")
-    digest = sha256(F.regexp_replace(text_or_empty(text_col), SPACE, " "))
-    marked = docs.withColumn("__own", digest)
-    rows = marked.join(kept, marked[id_col].eqNullSafe(kept["__id"]) & (F.col("__own") == F.col("__digest")), "left_semi")
+        F.col("id").alias(kept_id), F.col("digest").alias(kept_digest)), "exact-kept")
+    marked = docs.withColumn(own, sha256(F.regexp_replace(text_or_empty(text_col), SPACE, " ")))
+    rows = marked.join(kept, marked[id_col].eqNullSafe(kept[kept_id]) & (marked[own] == kept[kept_digest]), "left_semi")
     repeated = docs.groupBy(id_col).count().filter("count > 1")
     if not repeated.isEmpty():
-        rows = rows.dropDuplicates([id_col, "__own"])
-    return rows.drop("__own")
+        rows = rows.dropDuplicates([id_col, own])
+    return rows.drop(own)
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -249,7 +249,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
             texts = pa.array([main_text(x) for x in b.column(html_col).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), texts], [*columns, name])
 
-    return pages.mapInArrow(run, ddl(others, f"`{name}` string"))
+    return pages.mapInArrow(run, ddl(others, f"{name} string"))
 
 
 def op1_html_extract(spark, sf_dir: str) -> DataFrame:

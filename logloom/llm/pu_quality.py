@@ -144,7 +144,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
             g = np.array([features(t) @ weights for t in b.column(text_col).to_pylist()], np.float64) + bias
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-np.clip(g, -40, 40))))], [*columns, name])
 
-    return docs.mapInArrow(run, ddl(docs, f"`{name}` double"))
+    return docs.mapInArrow(run, ddl(docs, f"{name} double"))
 
 
 def op7_pu_quality(spark, sf_dir: str) -> DataFrame:

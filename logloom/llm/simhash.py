@@ -271,16 +271,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     rows = near_duplicates(docs, id_col, text_col, words, distance)
     kept = staged(rows.filter(F.col("id").eqNullSafe(F.col("component_id")))
                   .withColumn("n", F.row_number().over(order)).filter("n = 1").select("id", "fp"), "simhash-kept")
-    name = free_name(docs.columns, "kept_id")
+    name, print_, marked_print = (free_name(docs.columns, n) for n in ("kept_id", "kept_print", "own_print"))
     if docs.groupBy(id_col).count().filter("count > 1").isEmpty():
         chosen = kept.select(F.col("id").alias(name))
         return docs.join(chosen, docs[id_col].eqNullSafe(chosen[name]), "left_semi")
     # ids that repeat don't tell rows apart; the text's fingerprint and, behind it, one row of each pair do
     own = F.udf(lambda t: fingerprint(t, words) - ((fingerprint(t, words) >> 63) << 64), "long")
-    chosen = kept.select(F.col("id").alias(name), F.col("fp").alias(name + "_fp"))
-    marked = docs.withColumn(name + "_own", own(text_col))
-    found = marked.join(chosen, marked[id_col].eqNullSafe(chosen[name]) & (F.col(name + "_own") == F.col(name + "_fp")), "left_semi")
-    return found.dropDuplicates([id_col, name + "_own"]).drop(name + "_own")
+    chosen = kept.select(F.col("id").alias(name), F.col("fp").alias(print_))
+    marked = docs.withColumn(marked_print, own(text_col))
+    found = marked.join(chosen, marked[id_col].eqNullSafe(chosen[name]) & (F.col(marked_print) == F.col(print_)), "left_semi")
+    return found.dropDuplicates([id_col, marked_print]).drop(marked_print)
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:

@@ -84,14 +84,6 @@ def is_workspace_name(ref) -> Column:
     return ~_c(ref).rlike(_anchored(WORKSPACE_ID_PATTERN))
 
 
-def is_model_name_py(ref: str) -> bool:
-    return re.match(MODEL_ID_PATTERN, ref) is None
-
-
-def is_workspace_name_py(ref: str) -> bool:
-    return re.match(WORKSPACE_ID_PATTERN, ref) is None
-
-
 def eastern_time_stamp(ts) -> Column:
     """``dd-MM-yyyy HH:mm:ss EST|EDT`` of a UTC timestamp, as the run log shows it."""
     local = F.from_utc_timestamp(_c(ts), "US/Eastern")

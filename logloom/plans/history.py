@@ -2,28 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom import schemas
+from logloom.session import shared_dir
+from logloom.streaming.ingest import read_if_there
 
 
-def merge_history(stored: DataFrame | None, latest: DataFrame) -> DataFrame:
-    """Stored rows plus the latest export, whole-row duplicates removed.
+PERIOD = "history_period"
+#: Characters of a row's date text that tell its partition: year and month.
+PERIOD_CHARS = 7
+
+
+def _by_period(rows: DataFrame, date_col: str) -> DataFrame:
+    """The table's layout: a partition per month; rows without a date share one."""
+    return rows.withColumn(PERIOD, F.coalesce(F.substring(F.col(f"`{date_col}`"), 1, PERIOD_CHARS), F.lit("none")))
 
-    ``dropDuplicates`` over all columns is a hash aggregate: duplicates are
-    folded map-side before the shuffle, so a row repeated many times costs
-    little.  The caller writes the result to a NEW location (staging) and
-    then points the table at it -- never overwriting the folder being read.
-    """
-    if stored is None:
-        return latest.dropDuplicates()
-    return stored.unionByName(latest, allowMissingColumns=True).dropDuplicates()
 
+def create_history(rows: DataFrame, table_dir: str, date_col: str) -> None:
+    _by_period(rows.dropDuplicates(), date_col).write.mode("overwrite").partitionBy(PERIOD).parquet(table_dir)
 
-def write_merged(merged: DataFrame, out_path: str) -> DataFrame:
-    merged.write.mode("overwrite").parquet(out_path)
-    return merged.sparkSession.read.parquet(out_path)
+
+def merge_history(spark: SparkSession, table_dir: str, latest: DataFrame, date_col: str) -> DataFrame:
+    """The stored table with the latest export merged in, whole-row duplicates removed.
+
+    A row's date is part of it, so only months that the export holds can change:
+    their partitions alone are read, united with the export and de-duplicated
+    (a hash aggregate that folds repeats map-side).  The result is staged and
+    then replaces just those partitions, so no folder is overwritten while it
+    is read and a retried merge gives the same table.
+    """
+    dated = _by_period(latest, date_col)
+    stored = read_if_there(spark, table_dir)
+    both = dated
+    if stored is not None:
+        # one short text per month of the export: the partitions to read
+        periods = dated.select(PERIOD).distinct()
+        touched = stored.withColumn(PERIOD, F.col(PERIOD).cast("string")).join(periods, PERIOD, "left_semi")
+        both = touched.unionByName(dated, allowMissingColumns=True)
+    staging = shared_dir(spark, "history-staging")
+    both.dropDuplicates().write.parquet(staging)
+    merged = spark.read.schema(both.schema).parquet(staging)
+    # files of a month are written together, a large month by several tasks
+    (merged.hint("rebalance", PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(table_dir))
+    return spark.read.parquet(table_dir).drop(PERIOD)
 
 
 def history_sources(assets: DataFrame, name: str = schemas.HISTORY_OBJECT_NAME) -> DataFrame:

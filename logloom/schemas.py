@@ -2,7 +2,7 @@
 
 Nothing is inferred at run time: JSON pages, CSV codes and landed tables are
 all read with these ``StructType``s, so a page with a new field cannot change a
-table's schema by accident (unknown fields go to the drift report instead).
+table's schema by accident (an event's unknown fields go to its map ``extra``).
 """
 
 from __future__ import annotations
@@ -94,10 +94,6 @@ EVENT_PAGE = _struct(
 )
 
 USER = _struct(("id", S), ("userName", S), ("displayName", S))
-USER_PAGE = _struct(
-    ("Resources", T.ArrayType(USER)),
-    ("itemsPerPage", L), ("startIndex", L), ("totalResults", L),
-)
 
 WORKSPACE = _struct(("id", S), ("name", S), ("active", B), ("sizeAllowance", L), ("currentSize", L))
 MODEL = _struct(
@@ -143,5 +139,3 @@ TASK_PAGE = _struct(
 
 NAMED_ITEM = _struct(("id", S), ("name", S), ("moduleId", S))
 NAMED_ITEMS_PAGE = _struct(("docId", S), ("items", T.ArrayType(NAMED_ITEM)))
-
-REFRESH_LOG = _struct(("BATCH_ID", L), ("TIME_STAMP", S), ("AUDIT_RECORDS_LOADED", L))

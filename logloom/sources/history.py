@@ -9,6 +9,9 @@ chunk 0 with ``header`` on, the others without, told apart by the
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +27,9 @@ def land_history_chunks(rows: DataFrame, out_dir: str, chunk_rows: int, order_co
     line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in cols]), {"sep": "\t", "escape": '"'})
     data = numbered.select(F.call_function("div", F.col("__rn"), F.lit(chunk_rows)).alias("chunk"),
                            F.col("__rn").alias("__ord"), line.alias("value"))
-    header = rows.sparkSession.createDataFrame([(0, -1, "\t".join(cols))], "chunk long, __ord long, value string")
+    text = io.StringIO()
+    csv.writer(text, delimiter="\t", lineterminator="").writerow(cols)
+    header = rows.sparkSession.createDataFrame([(0, -1, text.getvalue())], "chunk long, __ord long, value string")
     (data.unionByName(header).repartition("chunk").sortWithinPartitions("chunk", "__ord")
      .select("chunk", "value").write.mode("overwrite").partitionBy("chunk").text(out_dir))
 

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import re
+
 from pyspark.sql import functions as F
 
 from logloom.functions import text as X
@@ -16,7 +18,7 @@ def test_id_shapes_d14(spark):
     d = spark.createDataFrame([(r,) for r in refs], "ref string")
     got = [(r.m, r.w) for r in d.select(X.is_model_name("ref").alias("m"),
                                         X.is_workspace_name("ref").alias("w")).collect()]
-    expect = [(X.is_model_name_py(r), X.is_workspace_name_py(r)) for r in refs]
+    expect = [(re.match(X.MODEL_ID_PATTERN, r) is None, re.match(X.WORKSPACE_ID_PATTERN, r) is None) for r in refs]
     assert got == expect
     assert expect[0] == (False, True) and expect[1] == (True, False) and expect[4] == (True, False)
 

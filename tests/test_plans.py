@@ -54,3 +54,25 @@ def test_shuffle_join_fallback_gives_the_same_report(spark):
 
 def test_no_estimate_based_broadcast(spark):
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+
+
+def test_bound_parameters_leave_the_reports_plan(spark):
+    p = plan_text(catalog.QUERIES["report_parameters"](spark, SF))
+    assert "SortMergeJoin" not in p and p.count("BroadcastHashJoin") >= 9
+
+
+def test_a_dimension_of_many_bytes_is_not_broadcast(spark):
+    from logloom.operators.joins import bounded_broadcast_all
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) AS name")
+    assert [ok for _, ok in bounded_broadcast_all([(wide, None), (wide.select("id"), None)], 100, max_bytes=5000)] == [False, True]
+    assert [ok for _, ok in bounded_broadcast_all([(wide, None)], 9)] == [False]
+
+
+def test_no_shared_folder_no_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from logloom.session import ensure_checkpoint_dir
+    none = SimpleNamespace(isDefined=lambda: False)
+    sc = SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none)))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=sc))

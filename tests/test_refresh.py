@@ -44,7 +44,7 @@ def test_cli_scope_select_and_samples(spark, tmp_dir):
     R.land_all(spark, SF, landing)
     models = {r.id: r.currentWorkspaceId for r in R.r_models(spark, SF).collect()}
     summary = main(["--landing", landing, "--warehouse", warehouse, "--tenant", "T", "--batch-id", "7",
-                    "--scope", "select", "--combo", f"{models['M2']}:M2", "--target-model", "M3", "--samples"])
+                    "--scope", "select", "--combo", f"{models['M2']}:M2", "--target-model", "M3", "--sample", "users"])
     assert summary["audit_records"] == R.r_events(spark, SF).count()
     actions = spark.read.parquet(f"{warehouse}/actions")
     assert {r.model_id for r in actions.select("model_id").distinct().collect()} <= {"M2", "M3"}
@@ -82,3 +82,51 @@ def test_strict_watermark_is_last_row_received_d2(spark, tmp_dir):
         s = run_refresh(spark, f"{root}/landing", f"{root}/warehouse",
                         RefreshSettings(tenant_name="T", batch_id=1, strict=strict, chunk_size=500))
         assert s["next_watermark"] == expect
+
+
+def _land(spark, rows, landing, run):
+    from helpers import events_df
+    from logloom.sources import pages as PG
+    PG.land_pages(events_df(spark, rows).drop("index"), f"{landing}/events/run={run}", "response", 3, ["eventDate", "id"], envelope="events")
+
+
+def _run(spark, root, batch, **how):
+    return run_refresh(spark, f"{root}/landing", f"{root}/warehouse", RefreshSettings(tenant_name="T", batch_id=batch, chunk_size=50, **how))
+
+
+def test_state_log_and_held_pulls(spark, tmp_dir):
+    import pytest
+    from helpers import event
+    from logloom.plans.refresh import read_state
+    from logloom.sources import pages as PG
+
+    base, landing, warehouse = 1_700_000_000_000, f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    _land(spark, [event(i, base + i) for i in range(4)], landing, 1)
+    assert _run(spark, tmp_dir, 1)["audit_records"] == 4
+    # A page of the second pull is cut off: stored what came, exported nothing, watermark unchanged.
+    _land(spark, [event(i, base - i) for i in range(10, 16)], f"{tmp_dir}/second", 2)
+    docs = [r["doc"] for r in PG.documents(PG.landed(spark.read, f"{tmp_dir}/second/events/run=2")).orderBy("doc").collect()]
+    for doc in (docs[0], docs[1][:-30]):
+        spark.createDataFrame([(doc,)], "value string").write.mode("append").text(f"{landing}/events/run=2")
+    held = _run(spark, tmp_dir, 2)
+    assert held["audit_records"] == 0 and [h["unreadable"] for h in held["held"]] == [1]
+    assert read_state(spark, warehouse).ingest_batch == 0 and spark.read.parquet(f"{warehouse}/events").count() == 7
+    # It lands again: all six events are exported although they are older than the watermark.
+    spark.createDataFrame([(docs[1],)], "value string").write.mode("append").text(f"{landing}/events/run=2")
+    s = _run(spark, tmp_dir, 2)
+    assert s["audit_records"] == 6 and "held" not in s and read_watermark(spark, warehouse) == base + 3
+    # A run that is repeated writes its log row again, not a second one.
+    _run(spark, tmp_dir, 2)
+    log = {r.BATCH_ID: r.AUDIT_RECORDS_LOADED for r in spark.read.parquet(f"{warehouse}/refresh_log").collect()}
+    assert log == {1: 4, 2: 0}
+    # A full refresh starts anew.
+    assert _run(spark, tmp_dir, 5, full_refresh=True)["audit_records"] == 10
+    # A state that can't be read is an error, not a state of zero.
+    spark.createDataFrame([("x",)], "value string").write.mode("overwrite").text(f"{warehouse}/_state/watermark")
+    with pytest.raises(Exception):
+        _run(spark, tmp_dir, 6)
+
+
+def test_strict_run_without_events_saves_the_raised_watermark(spark, tmp_dir):
+    s = _run(spark, tmp_dir, 1, strict=True)
+    assert s["next_watermark"] == 1 and read_watermark(spark, f"{tmp_dir}/warehouse") == 1

@@ -24,11 +24,11 @@ def test_event_pages_round_trip_and_reconciliation(spark, tmp_dir):
     back = PG.read_event_pages(spark, tmp_dir)
     assert back.count() == 25
     assert sorted(r.page for r in back.select("page").distinct().collect()) == [0, 1, 2]
-    flat = FL.align_template(FL.flatten_struct(back.drop("page", "pos")), schemas.TEMPLATE)
+    flat = FL.align_template(FL.flatten_struct(back.drop("page", "pos", "extra")), schemas.TEMPLATE)
     assert flat.columns == schemas.TEMPLATE_COLUMNS
     assert flat.where(F.col("`additionalAttributes.modelId`") == "M1").count() == 8
     pages = PG.read_pages(spark, tmp_dir, PG.page_schema("response", schemas.EVENT, "events"))
-    rec = INC.page_reconciliation({"events": (pages, "response", "events")}).first()
+    rec = INC.page_reconciliation({"events": (pages, "response", "events", [])}).first()
     assert (rec.records_received, rec.records_announced, rec.pages_received) == (25, 25, 3)
     last = pages.where(F.col("meta.paging.nextUrl").isNull()).select("page").collect()
     assert [r.page for r in last] == [2]
@@ -42,10 +42,10 @@ def test_multiline_pretty_page_and_drift(spark, tmp_dir):
             "itemsPerPage": 2, "startIndex": 1, "totalResults": 3}
     with open(os.path.join(path, "page=0", "p.json"), "w") as f:
         json.dump(page, f, indent=2)
-    pages = PG.read_pages(spark, tmp_dir, PG.page_schema("Resources", schemas.USER, "scim"), multi_line=True)
+    pages = PG.read_pages(spark, tmp_dir, PG.page_schema("Resources", schemas.USER, "scim"))
     users = PG.explode_records(pages, "Resources")
     assert users.count() == 2                                   # duplicates kept by the scan
-    rec = INC.page_reconciliation({"users": (pages, "Resources", "scim")}).first()
+    rec = INC.page_reconciliation({"users": (pages, "Resources", "scim", [])}).first()
     assert (rec.records_received, rec.records_announced) == (2, 3)  # shortfall is reported
     wide = spark.createDataFrame([("1", "z")], "id string, `additionalAttributes.x` string")
     assert FL.drift_columns(wide, schemas.TEMPLATE) == ["additionalAttributes.x"]
@@ -94,5 +94,50 @@ def test_history_chunks_header_once_and_merge(spark, tmp_dir):
     back = HS.read_history_chunks(spark, tmp_dir)
     assert back.columns == ["Date_Time", "User_Name", "New_Value_x"]
     assert back.count() == 23                        # no data row eaten as a header (D-11)
-    merged = HI.merge_history(back.where("User_Name < 'u2'"), back)
-    assert merged.count() == 23
+    HI.create_history(back.where("User_Name < 'u2'"), f"{tmp_dir}-table", "Date_Time")
+    for _ in range(2):                               # a merge that runs twice changes nothing more
+        merged = HI.merge_history(spark, f"{tmp_dir}-table", back, "Date_Time")
+        assert merged.count() == 23 and merged.columns == back.columns
+
+
+def test_history_merge_leaves_other_months_alone(spark, tmp_dir):
+    cols = "Date_Time string, v string"
+    HI.create_history(spark.createDataFrame([("2024-01-05", "a"), ("2024-02-01", "b"), (None, "c")], cols), tmp_dir, "Date_Time")
+    before = {r.f for r in spark.read.parquet(tmp_dir).where("history_period = '2024-01'").select(F.input_file_name().alias("f")).collect()}
+    latest = spark.createDataFrame([("2024-02-01", "b"), ("2024-02-03", "d"), (None, "c"), ("2024-03-01", "e")], cols)
+    got = sorted(((r.Date_Time or "", r.v) for r in HI.merge_history(spark, tmp_dir, latest, "Date_Time").collect()))
+    assert got == [("", "c"), ("2024-01-05", "a"), ("2024-02-01", "b"), ("2024-02-03", "d"), ("2024-03-01", "e")]
+    assert before == {r.f for r in spark.read.parquet(tmp_dir).where("history_period = '2024-01'").select(F.input_file_name().alias("f")).collect()}
+
+
+def test_history_values_with_line_breaks_and_separators(spark, tmp_dir):
+    rows = spark.createDataFrame([("1", "two\nlines", 'say "x"\tand y'), ("2", "plain", None)], "`a\tb` string, `c` string, `d` string")
+    HS.land_history_chunks(rows, tmp_dir, 1, ["`a\tb`"])
+    assert HS.read_history_header(spark, tmp_dir) == ["a\tb", "c", "d"]
+    assert sorted(tuple(r) for r in HS.read_history_chunks(spark, tmp_dir, sanitize=False).collect()) == [
+        ("1", "two\nlines", 'say "x"\tand y'), ("2", "plain", None)]
+
+
+def test_unknown_event_fields_are_kept(spark, tmp_dir):
+    page = {"response": [{"id": "1", "eventDate": 5, "new": {"a": [1, 2]}, "additionalAttributes": {"modelId": "M", "x": "y"}},
+                         {"id": "2", "additionalAttributes": None}, {"id": "3"}], "meta": {"paging": {"totalSize": 3}}}
+    os.makedirs(local(tmp_dir))
+    with open(os.path.join(local(tmp_dir), "p.json"), "w") as f:
+        json.dump(page, f, indent=1)
+    got = {r.id: r for r in PG.read_event_pages(spark, tmp_dir).collect()}
+    assert got["1"].extra == {"new": '{"a":[1,2]}', "additionalAttributes.x": "y"} and got["1"].additionalAttributes.modelId == "M"
+    assert got["2"].extra is None and got["3"].extra is None and len(got) == 3
+
+
+def test_unreadable_list_page_fails_the_read(spark, tmp_dir):
+    os.makedirs(local(tmp_dir))
+    for name, text in (("a.json", '{"Resources": [{"id": "U1"}], "totalResults": 1}'), ("b.json", '{"status": "FAILURE"}')):
+        with open(os.path.join(local(tmp_dir), name), "w") as f:
+            f.write(text)
+    pages = PG.read_pages(spark, tmp_dir, PG.page_schema("Resources", schemas.USER, "scim"))
+    try:
+        PG.explode_records(pages, "Resources").count()
+    except Exception as err:  # noqa: BLE001
+        assert "unreadable page" in str(err)
+    else:
+        raise AssertionError("the page was taken for an empty one")

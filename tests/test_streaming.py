@@ -11,14 +11,14 @@ def test_repeated_event_kept_once_across_runs_st2(spark, tmp_dir):
                      + [event(9, base + 9000)]).drop("index")
     landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
     PG.land_pages(run1, f"{landing}/run=1", "response", 4, ["eventDate", "id"], envelope="events")
-    ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
+    ST.ingest_available(spark, landing, sink, ckpt, context="run")
     assert spark.read.parquet(sink).count() == 6
     PG.land_pages(run2, f"{landing}/run=2", "response", 4, ["eventDate", "id"], envelope="events")
-    ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
+    ST.ingest_available(spark, landing, sink, ckpt, context="run")
     stored = spark.read.parquet(sink)
     assert sorted(int(r.id) for r in stored.collect()) == list(range(10))   # each id once
     # A third run with nothing new adds nothing.
-    ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
+    ST.ingest_available(spark, landing, sink, ckpt, context="run")
     assert spark.read.parquet(sink).count() == 10
 
 
@@ -29,11 +29,11 @@ def test_old_repeats_are_dropped_and_old_new_events_kept(spark, tmp_dir):
     landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
     run1 = events_df(spark, [event(1, base), event(2, base + 30 * day)]).drop("index")
     PG.land_pages(run1, f"{landing}/run=1", "response", 10, ["eventDate", "id"], envelope="events")
-    ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
+    ST.ingest_available(spark, landing, sink, ckpt, context="run")
     # 30 days later the source returns event 1 again and a never-seen event 3 from day 0.
     run2 = events_df(spark, [event(1, base), event(3, base + 5)]).drop("index")
     PG.land_pages(run2, f"{landing}/run=2", "response", 10, ["eventDate", "id"], envelope="events")
-    ST.ingest_available(spark, landing, sink, ckpt, context=["run"])
+    ST.ingest_available(spark, landing, sink, ckpt, context="run")
     assert sorted(r.id for r in spark.read.parquet(sink).collect()) == ["1", "2", "3"]
 
 
@@ -42,5 +42,34 @@ def test_strict_keeps_repeated_events_d3(spark, tmp_dir):
     evs = events_df(spark, [event(1, base), event(1, base), event(2, base + 1)]).drop("index")
     landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
     PG.land_pages(evs, f"{landing}/run=1", "response", 2, ["eventDate", "id"], envelope="events")
-    ST.ingest_available(spark, landing, sink, ckpt, dedupe=False, context=["run"])
+    ST.ingest_available(spark, landing, sink, ckpt, exact=False, context="run")
     assert spark.read.parquet(sink).count() == 3
+
+
+def test_same_id_with_another_date_or_none_is_stored_once(spark, tmp_dir):
+    base = 1_700_000_000_000
+    landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    pulls = [[event(1, base), event(2, None)], [event(1, base + 400 * 86_400_000), event(2, None), event(2, base), event(3, base)]]
+    for n, rows in enumerate(pulls):
+        PG.land_pages(events_df(spark, rows).drop("index"), f"{landing}/run={n}", "response", 10, ["id", "eventDate"], envelope="events")
+        ST.ingest_available(spark, landing, sink, ckpt, context="run")
+    assert sorted((r.id, r.eventDate) for r in spark.read.parquet(sink).collect()) == [("1", base), ("2", None), ("3", base)]
+
+
+def test_damaged_page_goes_to_quarantine_and_shows_as_short(spark, tmp_dir):
+    base = 1_700_000_000_000
+    landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    evs = events_df(spark, [event(i, base + i) for i in range(8)]).drop("index")
+    PG.land_pages(evs, f"{tmp_dir}/good", "response", 4, ["eventDate", "id"], envelope="events")
+    first, second = [r["doc"] for r in PG.documents(PG.landed(spark.read, f"{tmp_dir}/good")).orderBy("doc").collect()]
+    for name, doc in (("a", first), ("b", second[:-40])):
+        spark.createDataFrame([(doc,)], "value string").write.mode("append").text(f"{landing}/run=1")
+    ST.ingest_available(spark, landing, sink, ckpt, context="run")
+    assert spark.read.parquet(sink).count() == 4
+    assert [r.doc.strip() for r in spark.read.parquet(f"{sink}_quarantine").collect()] == [second[:-40]]
+    short = ST.short_pulls(spark, sink).collect()
+    assert [(r.run, r.received, r.announced, r.unreadable) for r in short] == [("1", 4, 8, 1)]
+    # The page lands again, whole: the pull is complete, whatever lies in the quarantine.
+    spark.createDataFrame([(second,)], "value string").write.mode("append").text(f"{landing}/run=1")
+    ST.ingest_available(spark, landing, sink, ckpt, context="run", max_files=1)
+    assert spark.read.parquet(sink).count() == 8 and ST.short_pulls(spark, sink).count() == 0

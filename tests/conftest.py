@@ -14,7 +14,7 @@ from logloom.session import get_session  # noqa: E402
 def spark():
     ckpt = tempfile.mkdtemp(prefix="logloom-test-ckpt-")
     warehouse = tempfile.mkdtemp(prefix="logloom-test-warehouse-")
-    s = get_session("local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt,
+    s = get_session("local[*]", shuffle_partitions=4, extra={"spark.checkpoint.dir": ckpt,
                                                             "spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

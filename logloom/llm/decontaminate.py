@@ -104,13 +104,18 @@ class Items:
         some = enough[item]
         if not some.any():
             return []
-        item, diagonal = item[some], diagonal[some]
-        step = self.budget[item] + 1
-        low = diagonal // step  # a diagonal lies in the band that begins in its step, and in the one before
+        item, diagonal, at = item[some], diagonal[some], np.tile(self.at[entry][some], 2)
+        low = diagonal // (self.budget[item] + 1)  # a diagonal lies in the band that begins in its step, and in the one before
         key = np.concatenate([low, low - 1]) + (np.concatenate([item, item]).astype(np.int64) << 40) + (1 << 39)
-        key, n = np.unique(key, return_counts=True)
+        key, of, n = np.unique(key, return_inverse=True, return_counts=True)
         item = key >> 40
         ok = n >= self.least[item]
+        if not ok.any():
+            return []
+        # the lemma speaks of the item's q-grams: one that the text repeats in the band counts once
+        some = ok[of]
+        width = int(self.at.max()) + 1
+        ok &= np.bincount(np.unique(of[some] * width + at[some]) // width, minlength=len(key)) >= self.least[item]
         return list(zip(item[ok].tolist(), ((key[ok] & ((1 << 40) - 1)) - (1 << 39)).tolist()))
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:

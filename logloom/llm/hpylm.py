@@ -50,8 +50,8 @@ BURN, KEPT = 1, 3
 STRENGTH = 1.0
 EXACT = 24
 HEAD, HEAD_BYTES = 65_536, 64
-#: A task hands on its counts when it holds so many words.
-FLUSH = 400_000
+#: A task hands on its counts when it holds so many pairs of word and context.
+FLUSH = 500_000
 
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
@@ -70,7 +70,7 @@ def context(word: str) -> int:
 
 def contexts(words: list[str]) -> list[int]:
     """The context of each token: that of the word before it."""
-    return [0, *(_CLASS[w[-1]] for w in words[:-1])]
+    return [0, *[_CLASS[w[-1]] for w in words[:-1]]]
 
 
 class _Classes(dict):
@@ -85,22 +85,18 @@ _CLASS = _Classes()
 # --- counts ------------------------------------------------------------------
 
 def _count(batches):
-    seen: dict[str, Counter] = {}
+    seen: Counter = Counter()
 
     def out():
-        words, where, times = [], [], []
-        for w, c in seen.items():
-            words.extend([w] * len(c))
-            where.extend(c.keys())
-            times.extend(c.values())
+        words, where = zip(*seen)
+        made = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(where, pa.int32()), pa.array(seen.values(), pa.int64())], ["word", "context", "n"])
         seen.clear()
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(where, pa.int32()), pa.array(times, pa.int64())], ["word", "context", "n"])
+        return made
 
     for b in batches:
         for text in b.column(0).to_pylist():
             words = tokens(text)
-            for pair, k in Counter(zip(words, contexts(words))).items():
-                seen.setdefault(pair[0], Counter())[pair[1]] += k
+            seen.update(zip(words, contexts(words)))
             if len(seen) > FLUSH:
                 yield out()
     if seen:
@@ -346,28 +342,35 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches):
         top, base_logs, table_ = given.value
         number = {w: i for i, w in enumerate(top)}
-        at = TaskContext.get().partitionId() << 40
+        at = TaskContext.get().partitionId() << 40  # a number of its own for each row
         for b in batches:
-            rows: list[tuple] = []
-            for doc, out, text in zip(*(col.to_pylist() for col in b.columns)):
-                own, at = at, at + 1
-                words_, where = (ts := tokens(text)), np.array(contexts(ts))
-                i = np.fromiter((number.get(w, -1) for w in words_), np.int64, len(words_))
+            id_type = b.schema.field(0).type
+            made, rest, held = [], [], 0  # a row per document; of each document, its words outside the head
+            for out, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                ts = tokens(text)
+                where = contexts(ts)
+                i = np.array([number.get(w, -1) for w in ts])
                 known = i >= 0
-                rows.append((own, doc, out, len(words_), int(known.sum()), float(base_logs[i[known]].sum()),
-                             float(table_[i[known], where[known]].sum(dtype=np.float64)), f" {own & 0xFFF}", 0, 0))
-                rest = np.flatnonzero(~known).tolist()
-                rows.extend((own, None, None, 0, 0, 0.0, 0.0, w, x, k) for (w, x), k in Counter((words_[j], int(where[j])) for j in rest).items())
-                if len(rows) > 100_000:
-                    yield _made(rows, kind)
-                    rows = []
-            if rows:
-                yield _made(rows, kind)
-
-    id_type = docs.schema[id_col].dataType
-    kind = pa.int64() if id_type.typeName() == "long" else None
+                made.append((at, out, len(ts), int(known.sum()), float(base_logs[i[known]].sum()),
+                             float(table_[i[known], np.array(where)[known]].sum(dtype=np.float64)), f" {at & 0xFFF}"))
+                if not known.all():
+                    rest.append((at, Counter([(ts[j], where[j]) for j in np.flatnonzero(~known).tolist()])))
+                    held += len(rest[-1][1])
+                if held > 100_000:
+                    yield _rest(rest, id_type)
+                    rest, held = [], 0
+                at += 1
+            if rest:
+                yield _rest(rest, id_type)
+            if not made:
+                continue
+            keys, outs, n, n_known, base, total, salt = zip(*made)
+            yield _batch(len(made), {"key": keys, "id": b.column(0), "held_out": outs, "n_tokens": n, "n_known": n_known, "base": base,
+                                     "score": total, "word": salt}, id_type)
+
+    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(id_col, held_out(id_col).alias("h"), text_col).mapInArrow(
-        run, f"key long, id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, score double, word string, context int, k int")
+        run, f"key long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, word string, context int, k int")
     # words in the head meet no row: only the others are joined
     rest = model.words.filter((F.col("c") <= int(c.min())) | (F.octet_length("word") > HEAD_BYTES)) if len(c) else model.words
     joined = rows.join(rest, "word", "left")
@@ -387,11 +390,21 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                          (F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"), "score")
 
 
-def _made(rows, kind):
-    cols = list(zip(*rows))
-    types = [pa.int64(), kind, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int32(), pa.int32()]
-    names = ["key", "id", "held_out", "n_tokens", "n_known", "base", "score", "word", "context", "k"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+def _rest(counts: list[tuple[int, Counter]], id_type: pa.DataType) -> pa.RecordBatch:
+    words, where = zip(*(pair for _, c in counts for pair in c))
+    times = [k for _, c in counts for k in c.values()]
+    return _batch(len(words), {"key": np.repeat([own for own, _ in counts], [len(c) for _, c in counts]), "word": words, "context": where, "k": times}, id_type)
+
+
+def _batch(n: int, columns: dict, id_type: pa.DataType) -> pa.RecordBatch:
+    """Rows with the columns that are given; the others are zero, or null where a zero would say something."""
+    types = {"key": pa.int64(), "id": id_type, "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(),
+             "score": pa.float64(), "word": pa.string(), "context": pa.int32(), "k": pa.int32()}
+    def column(name, kind):
+        if name in columns:
+            return columns[name] if isinstance(columns[name], pa.Array) else pa.array(columns[name], kind)
+        return pa.nulls(n, kind) if name in ("id", "held_out") else pa.array(np.zeros(n), pa.float64()).cast(kind)
+    return pa.RecordBatch.from_arrays([column(c, t) for c, t in types.items()], list(types))
 
 
 def op3_hpylm(spark, sf_dir: str) -> DataFrame:

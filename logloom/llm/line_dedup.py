@@ -1,6 +1,6 @@
 """Fuzzy line dedup by MinHash: of each class of near-equal lines, the first stays.
 
-Lines are compared in lower case with white space collapsed and trimmed.  Lines
+Lines are compared in lower case with (Unicode) white space collapsed and trimmed.  Lines
 are linked when the sets of their 8-character shingles (a shorter line is its
 own shingle) have a Jaccard similarity of 0.8 or more.
 
@@ -10,9 +10,11 @@ own shingle) have a Jaccard similarity of 0.8 or more.
    numbers are drawn anew.
 2. In each band bucket all lines are held against the bucket's least one, by
    their exact sets.  That links a bucket of near copies without its pairs.
-3. Only buckets where that failed for a line, and that still hold several
-   components, are looked at again: lines of different components there are
-   compared pair by pair, so no candidate is lost to step 2.
+3. Buckets where that failed for a line, and that still hold several
+   components, are looked at again with their lines side by side, in blocks of
+   ``BLOCK`` that all lines of the bucket meet.  There every line is held
+   against every other by their exact sets, as bits over the block's shingles,
+   and what links components goes on: a forest, not the pairs.
 4. Distributed connected components over the links; the first line of each, by
    document id, then text, then position, stays and the others are removed.
 
@@ -25,9 +27,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logloom.llm.common import free_name, staged, table, text_or_empty
+from logloom.llm.common import free_name, quoted, staged, table, text_or_empty
 from logloom.llm.components import components
 from logloom.llm.decontaminate import codes, grams
 
@@ -37,17 +40,18 @@ BANDS, ROWS = 16, 5
 SEEN = 1_000_000
 #: Most line numbers (8 bytes each) that are broadcast to pick out their texts; beyond, they are joined.
 BROADCAST_LINES = 1_000_000
+#: Lines of a bucket that a task holds at a time, and the characters of which bit sets share one vocabulary.
+BLOCK, PART_CHARS = 512, 300_000
 _CHUNK = 60_000
 
 _random = np.random.default_rng(2024)
 _FACTORS = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_ADDED = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 _MIX = _random.integers(0, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """Band hashes, one row per line."""
-    out = np.zeros((len(lines), BANDS), np.int64)
+def minima(lines: list[str]) -> np.ndarray:
+    """[k, line]: the least of each line's shingle hashes under the k-th hash function."""
+    out = np.zeros((BANDS * ROWS, len(lines)), np.uint32)
     lo = 0
     while lo < len(lines):
         hi, size = lo, 0
@@ -55,24 +59,25 @@ def signatures(lines: list[str]) -> np.ndarray:
             size += len(lines[hi]) + Q
             hi += 1
         part = [x if len(x) >= Q else x.ljust(Q, "\0") for x in lines[lo:hi]]
-        lengths = np.array([len(x) for x in part])
-        n = lengths - Q + 1
+        n = np.array([len(x) for x in part]) - Q + 1
         starts = np.concatenate([[0], np.cumsum(n)[:-1]])
         valid = np.arange(n.sum()) + np.repeat(np.arange(len(part)) * (Q - 1), n)
         h = (grams(codes("".join(part)), Q)[valid] >> np.uint64(17)).astype(np.uint32)
-        least = np.empty((BANDS * ROWS, len(part)), np.uint64)
-        with np.errstate(over="ignore"):
-            for k in range(BANDS * ROWS):
-                mixed = h * _FACTORS[k] + _ADDED[k]
-                least[k] = np.minimum.reduceat(mixed ^ (mixed >> np.uint32(15)), starts)
-            banded = least.reshape(BANDS, ROWS, -1)
-            h64 = (banded * _MIX[None, :, None]).sum(axis=1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(BANDS, dtype=np.uint64)[:, None]
-            h64 ^= h64 >> np.uint64(31)
-            out[lo:hi] = (h64 * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64).T
+        for k in range(BANDS * ROWS):
+            out[k, lo:hi] = np.minimum.reduceat(h * _FACTORS[k], starts)
         lo = hi
     return out
 
 
+def signatures(lines: list[str]) -> np.ndarray:
+    """Band hashes, one row per line."""
+    banded = minima(lines).astype(np.uint64).reshape(BANDS, ROWS, -1)
+    with np.errstate(over="ignore"):
+        h = (banded * _MIX[None, :, None]).sum(axis=1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(BANDS, dtype=np.uint64)[:, None]
+        h ^= h >> np.uint64(31)
+        return np.ascontiguousarray((h * np.uint64(0xBF58476D1CE4E5B9)).T).view(np.int64)
+
+
 def shingles(line: str) -> set[str]:
     return {line[i:i + Q] for i in range(len(line) - Q + 1)} or {line}
 
@@ -83,33 +88,37 @@ def jaccard(a: str, b: str) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
-    """id, own (the text's hash), line, n, proof and norm: one row per line that isn't blank."""
-    text = text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("own"), F.posexplode(F.split(text, "\n", -1)).alias("line", "raw"))
-    norm = F.lower(F.trim(F.regexp_replace("raw", r"\s+", " ")))
-    rows = rows.select("id", "own", "line", norm.alias("norm")).filter("norm <> ''")
-    return rows.select("id", "own", "line", F.xxhash64(F.lit(seed), "norm").alias("n"), F.xxhash64(F.lit(-1 - seed), "norm").alias("proof"), "norm")
+def normal(line: str) -> str:
+    return " ".join(line.split()).lower()
 
 
-def _sign(batches):
-    seen: set[int] = set()
+def _sign(batches, seed: int):
+    """A row per line that isn't blank; bands and text where the task sees it for the first time."""
+    xx, seen = xxhash.xxh64_intdigest, set()
     for b in batches:
+        ids, rows, new = b.column(0), [], []
+        for i, text in enumerate(b.column(1).to_pylist()):
+            data = text or ""
+            own = xx(data, 42)  # as Spark's xxhash64
+            for k, line in enumerate(data.split("\n")):
+                if norm := normal(line):
+                    n = xx(norm, seed)
+                    rows.append((i, own, k, n, xx(norm, seed + 1_000_003), n not in seen))
+                    if rows[-1][-1]:
+                        seen.add(n)
+                        new.append(norm)
         if len(seen) > SEEN:
             seen.clear()
-        new, at = [], []
-        norms = b.column("norm")
-        for i, n in enumerate(b.column("n").to_pylist()):
-            if n not in seen:
-                seen.add(n)
-                new.append(norms[i].as_py())
-                at.append(i)
-        where = np.zeros(b.num_rows + 1, np.int32)
-        where[np.array(at, np.int64) + 1] = BANDS
-        mask = np.ones(b.num_rows, bool)
-        mask[at] = False
-        bands = pa.ListArray.from_arrays(pa.array(np.cumsum(where, dtype=np.int32)), pa.array(signatures(new).ravel()), mask=pa.array(mask))
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "own", "line", "n", "proof")), bands], ["id", "own", "line", "n", "proof", "bands"])
+        if rows:
+            at, own, line, n, proof, first = zip(*rows)
+            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            first = np.array(first)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(first * BANDS)]).astype(np.int32))
+            bands = pa.ListArray.from_arrays(offsets, pa.array(signatures(new).ravel()), mask=pa.array(~first))
+            texts = iter(new)
+            norms = pa.array([next(texts) if f else None for f in first.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), signed(own), pa.array(line, pa.int32()), signed(n), signed(proof), bands, norms],
+                                             ["id", "own", "line", "n", "proof", "bands", "norm"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -123,13 +132,124 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return left.mapInArrow(run, "a long, b long, near boolean")
 
 
+class _Part:
+    """Lines as sets of bits over their own shingles."""
+
+    def __init__(self, rows: list[tuple], lines: list[set[str]]):
+        self.n, self.root, _ = zip(*rows)
+        self.number: dict[str, int] = {}
+        sets = [[self.number.setdefault(x, len(self.number)) for x in line] for line in lines]
+        self.size = np.array([len(x) for x in sets])
+        self.words = len(self.number) // 64 + 1
+        self.bits = np.stack([self._packed(x) for x in sets])
+
+    def _packed(self, numbers: list[int]) -> np.ndarray:
+        row = np.zeros(self.words * 64, bool)
+        row[numbers] = True
+        return np.packbits(row).view(np.uint64)
+
+    def near(self, line: set[str], upto: int | None = None) -> list[int]:
+        """The lines (before ``upto``) whose exact similarity to this one is LEAST or more."""
+        get = self.number.get
+        own = self._packed([k for x in line if (k := get(x)) is not None])
+        both = np.bitwise_count(self.bits[:upto] & own).sum(1, dtype=np.int64)
+        return np.flatnonzero(both >= LEAST * (self.size[:upto] + len(line) - both)).tolist()
+
+
+class _Bucket:
+    """A block of a bucket's lines; others meet it one after the other.  Gives links between components only."""
+
+    def __init__(self, rows: list[tuple]):
+        self.up: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
+        self.parts: list[_Part] = []
+        at = 0
+        while at < len(rows):
+            upto, chars = at, 0
+            while upto < len(rows) and (upto == at or upto - at < BLOCK and chars + len(rows[upto][2]) <= PART_CHARS):
+                chars += len(rows[upto][2])
+                upto += 1
+            lines = [shingles(text) for _, _, text in rows[at:upto]]
+            part = _Part(rows[at:upto], lines)
+            for i, ((n, root, _), line) in enumerate(zip(rows[at:upto], lines)):
+                for before in self.parts:
+                    self._link(n, root, before, before.near(line))
+                self._link(n, root, part, part.near(line, i))
+            self.parts.append(part)
+            at = upto
+
+    def _find(self, x: int) -> int:
+        while (u := self.up.get(x, x)) != x:
+            x = u
+        return x
+
+    def _link(self, n: int, root: int, part: _Part, near: list[int]) -> None:
+        for j in near:
+            a, b = self._find(root), self._find(part.root[j])
+            if a != b:
+                self.up[max(a, b)] = min(a, b)
+                self.links.append((n, part.n[j]))
+
+    def meet(self, rows: list[tuple]) -> None:
+        for n, root, text in rows:
+            line = shingles(text)
+            for part in self.parts:
+                self._link(n, root, part, part.near(line))
+
+
+def _look_again(batches):
+    """Rows (h, block, mine, n, root, norm), sorted by bucket and block, a block's own lines first."""
+    key, own, bucket = None, [], None
+
+    def out(b: _Bucket):
+        a, z = zip(*b.links)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["a", "b"])
+
+    def done():
+        b = bucket or (_Bucket(own) if len(own) > 1 else None)
+        return b if b and b.links else None
+
+    for batch in batches:
+        others: list[tuple] = []
+        for h, block, mine, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != (h, block):
+                if others:
+                    bucket = bucket or _Bucket(own)
+                    bucket.meet(others)
+                if b := done():
+                    yield out(b)
+                key, own, bucket, others = (h, block), [], None, []
+            (own if mine else others).append(tuple(row))
+        if others and own:
+            bucket = bucket or _Bucket(own)
+            bucket.meet(others)
+    if b := done():
+        yield out(b)
+
+
+def _across(members: DataFrame, failed: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that meet in a bucket whose least line is not near to all of it."""
+    classes = staged(components(links).toDF("n", "root"), "line-components")
+    # the least line has been held against all of its bucket; what is open are pairs of others
+    again = members.join(members.join(failed, ["n", "least"]).select("h").distinct(), "h", "left_semi").filter("n <> least")
+    again = again.join(classes, "n", "left").select("h", "n", F.coalesce("root", "n").alias("root"))
+    several = (again.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("size"))
+               .filter("x <> y").select("h", F.ceil(F.col("size") / F.lit(BLOCK // 2)).cast("int").alias("blocks")))
+    rows = again.join(several, "h").join(texts, "n")
+    one = F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks"))  # up to BLOCK lines are one block
+    rows = rows.withColumn("blocks", one).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mine = F.pmod(F.xxhash64("n"), F.col("blocks")) == F.col("block")
+    dealt = (rows.select("h", "block", mine.alias("mine"), "n", "root", "norm").repartition("h", "block")
+             .sortWithinPartitions("h", "block", F.desc("mine")))
+    return dealt.mapInArrow(_look_again, "a long, b long").distinct()
+
+
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line that isn't blank: id, own, line, root (its class)."""
-    seed = 0
+    """One row per line that isn't blank: id, own (the text's hash), line, root (its class)."""
+    kind, seed = docs.schema[id_col].dataType.simpleString(), 0
     while True:
-        kind = docs.schema[id_col].dataType.simpleString()
-        signed = staged(_lines(docs, id_col, text_col, seed).mapInArrow(
-            _sign, f"id {kind}, own long, line int, n long, proof long, bands array<long>"), "lines")
+        signed = staged(docs.select(id_col, text_col).mapInArrow(
+            lambda bs, seed=seed: _sign(bs, seed), f"id {kind}, own long, line int, n long, proof long, bands array<long>, norm string"), "lines", compression="zstd")
         if signed.groupBy("n").agg(F.min("proof").alias("a"), F.max("proof").alias("b")).filter("a <> b").isEmpty():
             break
         seed += 1
@@ -139,17 +259,12 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      .filter("least <> most").select("h", "n", "least").distinct(), "buckets")
     asked = members.select("n").distinct()
     asked = F.broadcast(asked) if asked.count() <= BROADCAST_LINES else asked
-    texts = staged(_lines(docs, id_col, text_col, seed).select("n", "norm").join(asked, "n", "left_semi").dropDuplicates(["n"]), "line-texts")
+    texts = staged(signed.filter("norm is not null").select("n", "norm").join(asked, "n", "left_semi").dropDuplicates(["n"]), "line-texts")
     held = staged(_verified(members.filter("n <> least").select(F.col("n").alias("a"), F.col("least").alias("b")).distinct(), texts), "line-links")
     links = held.filter("near").select("a", "b")
     failed = held.filter("not near").select(F.col("a").alias("n"), F.col("b").alias("least"))
     if not failed.isEmpty():
-        classes = staged(components(links).toDF("n", "root"), "line-components")
-        again = members.join(members.join(failed, ["n", "least"]).select("h").distinct(), "h", "left_semi")
-        again = again.join(classes, "n", "left").select("h", "n", F.coalesce("root", "n").alias("root"))
-        across = (again.toDF("h", "a", "ra").join(again.toDF("h", "b", "rb"), "h").filter("ra < rb").select("a", "b").distinct()
-                  .join(failed.toDF("a", "b"), ["a", "b"], "left_anti").join(failed.toDF("b", "a"), ["a", "b"], "left_anti"))
-        links = links.union(_verified(across, texts).filter("near").select("a", "b"))
+        links = links.union(_across(members, failed, links, texts))
     classes = components(links).toDF("n", "root")
     return signed.select("id", "own", "line", "n").join(classes, "n", "left").select("id", "own", "line", F.coalesce("root", "n").alias("root"))
 
@@ -162,13 +277,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = (rows.join(first, "root").filter(place != F.col("first"))
             .groupBy("id", "own").agg(F.sort_array(F.collect_set("line")).alias("gone")))
     name = free_name(docs.columns, "removed_lines")
-    gone = gone.toDF(name + "_id", name + "_own", name)
+    of_id, of_text = free_name(docs.columns, "removed_from_id"), free_name(docs.columns, "removed_from_text")
+    gone = gone.toDF(of_id, of_text, name)
     text = text_or_empty(text_col)
-    joined = docs.join(gone, docs[id_col].eqNullSafe(F.col(name + "_id")) & (F.xxhash64(text) == F.col(name + "_own")), "left")
+    joined = docs.join(gone, docs[id_col].eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_text)), "left")
     lines = F.split(text, "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(name))
     kept = F.when(F.col(name).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
-    return joined.select(*(kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns),
+    return joined.select(*(kept.alias(c) if c == text_col else F.col(quoted(c)) for c in docs.columns),
                          F.coalesce(name, F.array().cast("array<int>")).alias(name))
 
 

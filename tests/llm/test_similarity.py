@@ -131,7 +131,7 @@ def slow_lines(docs):
     u, lines = Union(), {}
     for i, text in docs:
         for k, line in enumerate((text or "").split("\n")):
-            n = re.sub(r"[ \t\n\x0b\f\r]+", " ", line).strip(" ").lower()
+            n = " ".join(line.split()).lower()
             if n:
                 lines.setdefault(n, []).append((i, k))
     every = list(lines)
@@ -160,6 +160,35 @@ def test_line_dedup_query(spark):
         assert rows[i]["text"] == "\n".join(line for k, line in enumerate(text.split("\n")) if k not in want[i])
 
 
+@pytest.mark.parametrize("block", [3, 512])
+def test_a_bucket_gives_its_links_whatever_the_block(block, monkeypatch):
+    """Lines of several families in one bucket, met block by block: the components of all pairs."""
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rng, lines = random.Random(9), []
+    for f in range(4):
+        words = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(30)]
+        for k in range(8):
+            lines.append(" ".join(words))
+            words[rng.randrange(30)] = f"edit{f}{k}"
+    rng.shuffle(lines)
+    lines = list(dict.fromkeys(lines))
+    rows = [(i, i, t) for i, t in enumerate(lines)]
+    found = []
+    for lo in range(0, len(rows), block):
+        bucket = line_dedup._Bucket(rows[lo:lo + block])
+        bucket.meet(rows[:lo] + rows[lo + block:])
+        found += bucket.links
+    want, got = Union(), Union()
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if line_dedup.jaccard(a, lines[j]) >= 0.8:
+                want.join(i, j)
+    for a, b in found:
+        got.join(a, b)
+        assert line_dedup.jaccard(lines[a], lines[b]) >= 0.8
+    assert [got.find(i) for i in range(len(lines))] == [want.find(i) for i in range(len(lines))]
+
+
 def test_line_dedup_links_beyond_a_buckets_least_line(spark):
     """A family of near lines where the ends of a chain are far apart, and short, blank and null ones."""
     rng = random.Random(2)

@@ -33,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from logloom.llm.common import free_name, staged, table
 from logloom.llm.components import components
@@ -254,23 +254,29 @@ def links(nodes: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
             .mapInArrow(lambda bs: _verify(bs, distance), "a long, b long").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row per input row: id, fp, component_id."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, distance: int) -> DataFrame:
+    """One row per input row: id, fp, root, component_id; ``root`` is the class's least fingerprint, which no other class has."""
     prints = staged(fingerprints(docs, id_col, text_col, words), "fingerprints")
     nodes = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     found = components(links(nodes, distance))
     classes = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(classes.select("fp", "root").join(least, "root").drop("root"), "fp").select("id", "fp", "component_id")
+    return prints.join(classes.select("fp", "root").join(least, "root"), "fp").select("id", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One row per input row: id, fp, component_id."""
+    return _classes(docs, id_col, text_col, words, distance).drop("root")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One document of each class, that of the smallest id, with the columns it came with."""
-    order = Window.partitionBy("component_id").orderBy(F.col("id").asc_nulls_last(), "fp")
-    rows = near_duplicates(docs, id_col, text_col, words, distance)
-    kept = staged(rows.filter(F.col("id").eqNullSafe(F.col("component_id")))
-                  .withColumn("n", F.row_number().over(order)).filter("n = 1").select("id", "fp"), "simhash-kept")
+    """One document of each class, that of the smallest id, with the columns it came with.
+
+    Classes are told apart by their root: ids that are null or repeat may be the least of several.
+    """
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "fp")).alias("first")
+    kept = staged(_classes(docs, id_col, text_col, words, distance).groupBy("root").agg(first).select("first.id", "first.fp"), "simhash-kept")
     name, print_, marked_print = (free_name(docs.columns, n) for n in ("kept_id", "kept_print", "own_print"))
     if docs.groupBy(id_col).count().filter("count > 1").isEmpty():
         chosen = kept.select(F.col("id").alias(name))

@@ -125,6 +125,17 @@ def test_simhash_edges(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_simhash_keeps_every_class_whatever_its_ids(spark):
+    """Unlinked texts under null ids, and under one repeated id, are classes of their own."""
+    far = ["a b c d e", "q r s t u", "k l m n o"]
+    rows = [(None, far[0]), (None, far[1]), (None, far[1]), (5, far[2]), (5, "v w x y z"), (6, "v w x y z")]
+    prints = {slow_fingerprint(t) for _, t in rows}
+    assert all(a == b or (a ^ b).bit_count() > simhash.DISTANCE for a in prints for b in prints)
+    kept = simhash.dedup(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(
+        [(None, far[0]), (None, far[1]), (5, far[2]), (5, "v w x y z")], key=str)
+
+
 def slow_lines(docs):
     """{(row): removed positions}, for rows in order of id."""
     seen, kept_by = [], []

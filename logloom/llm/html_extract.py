@@ -7,8 +7,13 @@ on the blocks in page order, both are smoothed by a Gaussian window, fused by
 multiplication, and each path's mean is held against a threshold on the page's
 spread.  Blocks on paths above it are content; the element that holds nearly all of
 them is the article, and every other block inside it (a heading, a short
-paragraph, a list) belongs to it as well, unless it lies in something whose tag
-or class says it is none, or is a list of links.
+paragraph, a list, also one of links) belongs to it as well, unless it lies in
+something whose tag says it is none.  Names in class, id and role that are made
+of certain words alone are evidence: a block in such an element keeps a fifth
+of its score and goes if that is below the threshold.  They say nothing on a
+heading, on an inline element, or on an element that holds half of the page's
+text.  Text counts as linked inside ``<a href>``, up to ``</a>`` or the end of
+the block.
 
 White space is what ``str.split`` splits on; character references are decoded
 once.  Defined results: null or empty html gives empty text; markup that is
@@ -37,21 +42,27 @@ ENDS_P = {"address", "article", "aside", "blockquote", "details", "dialog", "div
           "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"ul", "ol", "dl", "table", "body", "html"}
-# Tags and words of class, id or role that mark what is no article.
+# Tags that are no article; words of class, id or role that speak against a block, and words that only name its shape.
 NOT_TAGS = {"nav", "aside", "footer", "form", "button", "select", "menu", "dialog", "head"}
 NOT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
              "cookie", "cookies", "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter",
              "notice", "notices", "pager", "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "respond", "search",
              "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "complementary",
              "contentinfo", "alert", "toast", "paywall", "recommended", "reactions", "discussion"}
+SHAPE_WORDS = {"area", "bar", "block", "bottom", "box", "button", "buttons", "container", "form", "icons", "inner", "item", "items", "left", "link",
+               "links", "list", "outer", "panel", "post", "posts", "right", "section", "slot", "top", "unit", "wrap", "wrapper"}
 ARTICLE_TAGS = {"article", "main"}
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
+HEADING = re.compile("h[1-6]")
+HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORDS = re.compile(r"[a-z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 SIGMA, SHARE = 1.0, 0.8
+#: What is left of the score of a block that its class words speak against.
+EVIDENCE = 0.2
 
 
 @dataclass
@@ -60,7 +71,7 @@ class Element:
     path: str
     parent: "Element | None"
     dropped: bool
-    paragraph_end: bool = False
+    marked: bool = False
 
 
 @dataclass
@@ -71,7 +82,7 @@ class Block:
     text: str = ""
 
 
-def _is_dropped(tag: str, attributes: str, parent: Element) -> bool:
+def _is_dropped(tag: str, parent: Element) -> bool:
     if parent.dropped or tag in NOT_TAGS:
         return True
     if tag == "header":
@@ -81,11 +92,18 @@ def _is_dropped(tag: str, attributes: str, parent: Element) -> bool:
                 return False
             above = above.parent
         return True
-    if tag in ("html", "body", "article", "main"):
+    return False
+
+
+def _is_marked(tag: str, attributes: str) -> bool:
+    """Whether a name in class, id or role is made of the words that speak against it, and of words for shapes, alone."""
+    if tag in ("html", "body", "article", "main") or HEADING.fullmatch(tag):
         return False
     for _, a, b, c in ATTRIBUTE.findall(attributes):
-        if not NOT_WORDS.isdisjoint(WORDS.findall((a or b or c).lower())):
-            return True
+        for name in (a or b or c).lower().split():
+            words = set(WORDS.findall(name))
+            if words - SHAPE_WORDS and words - SHAPE_WORDS <= NOT_WORDS:
+                return True
     return False
 
 
@@ -135,33 +153,26 @@ def blocks(page: str) -> list[Block]:
                 current.pieces.append(" ")
             continue
         if tag == "a":
-            link = 0 if closing else 1
+            link = int(not closing and bool(HREF.search(attributes)))
+        if tag in INLINE:
+            continue
+        link = 0  # a link ends with its block at the latest
         if closing:
-            if tag in INLINE:
-                if any(e.tag == tag for e in stack[1:]):
-                    leave({tag}, ())
-            else:
-                leave({tag}, ())
-                current = None
+            leave({tag}, ())
+            current = None
             continue
         if tag in VOID:
             if tag == "hr":
                 leave({"p"})
                 current = None
             continue
-        dropped = _is_dropped(tag, attributes, stack[-1])
-        if tag in INLINE and dropped == stack[-1].dropped:
-            continue
         if tag in ENDS_P:
             leave({"p"})
         if tag in SIBLINGS:
             leave(SIBLINGS[tag], SCOPE - {"body", "html"})
-            dropped = _is_dropped(tag, attributes, stack[-1])
-        elif tag in ENDS_P:
-            dropped = _is_dropped(tag, attributes, stack[-1])
         classes = next((a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes) if k.lower() == "class"), "")
         step = ".".join([tag, *sorted(classes.lower().split())])
-        stack.append(Element(tag, f"{stack[-1].path}/{step}", stack[-1], dropped))
+        stack.append(Element(tag, f"{stack[-1].path}/{step}", stack[-1], _is_dropped(tag, stack[-1]), _is_marked(tag, attributes)))
         current = None
     if at < len(page):
         text(page[at:])
@@ -192,6 +203,24 @@ def path_scores(page: list[Block]) -> list[float]:
     return [sum(x) / len(x) for x in (means[b.element.path] for b in page)]
 
 
+def _above(e: Element | None):
+    """The element and all that it stands in."""
+    while e:
+        yield e
+        e = e.parent
+
+
+def _spoken_against(kept: list[Block]) -> list[bool]:
+    """Per block: whether it stands in a marked element that does not hold half of the page's text or more."""
+    held: dict[int, int] = {}
+    for b in kept:
+        for e in _above(b.element):
+            if e.marked:
+                held[id(e)] = held.get(id(e), 0) + len(b.text)
+    half = sum(len(b.text) for b in kept) / 2
+    return [any(e.marked and held[id(e)] < half for e in _above(b.element)) for b in kept]
+
+
 def main_text(page: str | None) -> str:
     every = blocks(page or "")
     if not every:
@@ -202,6 +231,8 @@ def main_text(page: str | None) -> str:
     kept = [(b, s) for b, s in zip(every, scores) if not b.element.dropped]
     if not kept:
         return ""
+    against = _spoken_against([b for b, _ in kept])
+    kept = [(b, s * EVIDENCE if bad else s) for (b, s), bad in zip(kept, against)]
     # the spread is the threshold; pages of even ratios have none, and the best path then stands for itself
     least = min(spread, max(s for _, s in kept))
     content = [b for b, s in kept if s >= least]
@@ -235,7 +266,7 @@ def main_text(page: str | None) -> str:
             e = e.parent
         return False
 
-    return "\n\n".join(b.text for b, _ in kept if inside(b.element) and not (b.element.tag == "li" and b.linked >= len(b.text)))
+    return "\n\n".join(b.text for (b, s), bad in zip(kept, against) if inside(b.element) and (s >= least or not bad))
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

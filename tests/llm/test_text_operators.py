@@ -45,6 +45,25 @@ def test_long_page_is_not_cut():
     assert html_extract.main_text("<article>" + "<p>word, word.</p>" * 20_000 + "</article>") == "\n\n".join(["word, word."] * 20_000)
 
 
+LONG = "<p>A long paragraph with, some punctuation. It goes on and on, really, for a while, as paragraphs do.</p>"
+
+
+def test_class_words_do_not_cut_an_article():
+    long = LONG[3:-4]
+    for name in ("content has-sidebar", "no-sidebar", "with-comments", "ad-free", "comments"):
+        assert html_extract.main_text(f"<nav><a href=x>n</a></nav><div class='{name}'>{LONG * 3}</div><footer>f</footer>") == "\n\n".join([long] * 3)
+    got = html_extract.main_text(f"<article>{LONG * 2}<h2 id='discussion'>Talk</h2>{LONG}<section id='related-work'>{LONG}</section>"
+                                 f"<section id='search-methods'>{LONG}</section></article>")
+    assert got == "\n\n".join([long, long, "Talk", long, long, long])
+
+
+def test_links_in_an_article_stay():
+    long = LONG[3:-4]
+    assert html_extract.main_text(f"<article>{LONG * 3}<ul><li><a href=x>First source</a></li><li><a href=y>Second</a></ul></article>") == "\n\n".join(
+        [long] * 3 + ["First source", "Second"])
+    assert [b.linked for b in html_extract.blocks("<p><a name=x>One.</p><p>Two.</p><p><a href=y>Three.</p><p>Four.</p>")] == [0, 0, 6, 0]
+
+
 def test_pages_query_reads_every_page(spark):
     pages = table(spark, SF, "pages")
     rows = {r["page_id"]: r for r in queries.QUERIES["op1_html_extract"](spark, SF).collect()}

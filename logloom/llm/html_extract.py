@@ -5,14 +5,20 @@ its root-to-leaf path of tags and classes.  Per path, two ratios are taken over
 all its blocks: characters per block and punctuation marks per block.  Put back
 on the blocks in page order, both are smoothed by a Gaussian window, fused by
 multiplication, and each path's mean is held against a threshold on the page's
-spread.  Blocks on paths above it are content; the element that holds nearly all of
-them is the article, and every other block inside it (a heading, a short
-paragraph, a list, also one of links) belongs to it as well, unless it lies in
-something whose tag says it is none.  Names in class, id and role that are made
+spread.  Blocks on paths above it are content; the innermost element that holds
+nearly all of them is the article, made wider only by outer elements of whose
+further text at least half is content.  Inside it the score decides: blocks below
+the threshold go, but for short paragraphs, lists, table cells and captions in the
+flow of content (the element around their paragraph, list, table, quotation or
+figure directly holds content in the same way) and headings whose next block stays.
+Tags of navigation, asides, footers, forms and the like, and a header outside
+article and main, are dropped by name.
+
+Names in class, id and role that are made
 of certain words alone are evidence: a block in such an element keeps a fifth
 of its score and goes if that is below the threshold.  They say nothing on a
-heading, on an inline element, or on an element that holds half of the page's
-text.  Text counts as linked inside ``<a href>``, up to ``</a>`` or the end of
+heading, on an inline element, or on an element that holds nearly all of the
+page's text.  Text counts as linked inside ``<a href>``, up to ``</a>`` or the end of
 the block.
 
 White space is what ``str.split`` splits on; character references are decoded
@@ -52,6 +58,8 @@ NOT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "
 SHAPE_WORDS = {"area", "bar", "block", "bottom", "box", "button", "buttons", "container", "form", "icons", "inner", "item", "items", "left", "link",
                "links", "list", "outer", "panel", "post", "posts", "right", "section", "slot", "top", "unit", "wrap", "wrapper"}
 ARTICLE_TAGS = {"article", "main"}
+FLOW_TAGS = {"p", "pre", "blockquote", "td", "th", "tr", "tbody", "thead", "tfoot", "table", "caption", "li", "ul", "ol", "dl", "dd", "dt", "figure", "figcaption",
+             "address"}
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 HEADING = re.compile("h[1-6]")
@@ -181,15 +189,19 @@ def blocks(page: str) -> list[Block]:
     return [b for b in found if b.text]
 
 
-def path_scores(page: list[Block]) -> list[float]:
-    """Per block: its path's smoothed ratios, fused."""
+def path_ratios(page: list[Block]) -> list[tuple[float, float]]:
+    """Per block: its path's unlinked characters and punctuation marks a block."""
     sums: dict[str, list[int]] = {}
     for b in page:
         s = sums.setdefault(b.element.path, [0, 0, 0])
         s[0] += 1
         s[1] += len(b.text) - min(b.linked, len(b.text))
         s[2] += len(PUNCTUATION.findall(b.text))
-    ratios = [(s[1] / s[0], s[2] / s[0]) for s in (sums[b.element.path] for b in page)]
+    return [(s[1] / s[0], s[2] / s[0]) for s in (sums[b.element.path] for b in page)]
+
+
+def path_scores(page: list[Block], ratios: list[tuple[float, float]]) -> list[float]:
+    """Per block: its path's smoothed ratios, fused."""
     window = [(k, math.exp(-k * k / (2 * SIGMA * SIGMA))) for k in (-2, -1, 0, 1, 2)]
 
     def smooth(column: int, i: int) -> float:
@@ -210,32 +222,42 @@ def _above(e: Element | None):
         e = e.parent
 
 
+def _flow(e: Element) -> Element:
+    """The element in whose flow a block stands: beyond paragraphs, headings, lists, tables, quotations and figures."""
+    while e.parent and (e.tag in FLOW_TAGS or HEADING.fullmatch(e.tag)):
+        e = e.parent
+    return e
+
+
 def _spoken_against(kept: list[Block]) -> list[bool]:
-    """Per block: whether it stands in a marked element that does not hold half of the page's text or more."""
+    """Per block: whether it stands in a marked element that does not hold nearly all of the page's text."""
     held: dict[int, int] = {}
     for b in kept:
         for e in _above(b.element):
             if e.marked:
                 held[id(e)] = held.get(id(e), 0) + len(b.text)
-    half = sum(len(b.text) for b in kept) / 2
-    return [any(e.marked and held[id(e)] < half for e in _above(b.element)) for b in kept]
+    most = SHARE * sum(len(b.text) for b in kept)
+    return [any(e.marked and held[id(e)] < most for e in _above(b.element)) for b in kept]
 
 
 def main_text(page: str | None) -> str:
     every = blocks(page or "")
     if not every:
         return ""
-    scores = path_scores(every)
+    ratios = path_ratios(every)
+    scores = path_scores(every, ratios)
     mean = sum(scores) / len(scores)
     spread = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
-    kept = [(b, s) for b, s in zip(every, scores) if not b.element.dropped]
+    kept = [(b, s, chars * (1 + marks)) for b, s, (chars, marks) in zip(every, scores, ratios) if not b.element.dropped]
     if not kept:
         return ""
-    against = _spoken_against([b for b, _ in kept])
-    kept = [(b, s * EVIDENCE if bad else s) for (b, s), bad in zip(kept, against)]
+    against = _spoken_against([b for b, _, _ in kept])
+    # smoothing raises what stands among content, and is not to sink a lone paragraph among headings and lists
+    kept = [(b, s * EVIDENCE if bad else max(s, own)) for (b, s, own), bad in zip(kept, against)]
     # the spread is the threshold; pages of even ratios have none, and the best path then stands for itself
     least = min(spread, max(s for _, s in kept))
-    content = [b for b, s in kept if s >= least]
+    strong = [(b, bad) for (b, s), bad in zip(kept, against) if s >= least]
+    content = [b for b, bad in strong if not bad] or [b for b, _ in strong]
     total = sum(len(b.text) for b in content)
     mass: dict[int, int] = {}
     order: dict[int, Element] = {}
@@ -249,24 +271,25 @@ def main_text(page: str | None) -> str:
     depth = lambda e: e.path.count("/")
     article = max(holding, key=depth)
     # a lone block is no container: what stands beside it belongs to the same article
-    while article.parent and (article.tag in ("p", "pre", "blockquote", "td", "th", "tr", "tbody", "table", "li", "ul", "ol", "dl", "dd", "dt")
-                              or re.fullmatch("h[1-6]", article.tag)):
-        article = article.parent
-    outer = article
-    while outer:
-        if outer.tag in ARTICLE_TAGS:
+    article = _flow(article)
+    # wider only for more content: where most of the text that an outer element adds is content too
+    text: dict[int, int] = {}
+    for b, _ in kept:
+        for e in _above(b.element):
+            text[id(e)] = text.get(id(e), 0) + len(b.text)
+    for outer in _above(article.parent):
+        more = mass[id(outer)] - mass.get(id(article), 0)
+        if more and 2 * more >= text[id(outer)] - text[id(article)]:
             article = outer
-            break
-        outer = outer.parent
-
-    def inside(e: Element | None) -> bool:
-        while e:
-            if e is article:
-                return True
-            e = e.parent
-        return False
 
-    return "\n\n".join(b.text for (b, s), bad in zip(kept, against) if inside(b.element) and (s >= least or not bad))
+    within = [any(e is article for e in _above(b.element)) for b, _ in kept]
+    flows = {id(_flow(b.element)) for (b, s), inside in zip(kept, within) if inside and s >= least}
+    stays = [inside and (s >= least or not bad and id(_flow(b.element)) in flows) for (b, s), inside, bad in zip(kept, within, against)]
+    # a heading outside the flow of content goes with the block that follows it
+    for i in range(len(kept) - 2, -1, -1):
+        if within[i] and not against[i] and HEADING.fullmatch(kept[i][0].element.tag):
+            stays[i] = stays[i] or stays[i + 1]
+    return "\n\n".join(b.text for (b, _), stay in zip(kept, stays) if stay)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

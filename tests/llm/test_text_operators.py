@@ -64,6 +64,18 @@ def test_links_in_an_article_stay():
     assert [b.linked for b in html_extract.blocks("<p><a name=x>One.</p><p>Two.</p><p><a href=y>Three.</p><p>Four.</p>")] == [0, 0, 6, 0]
 
 
+def test_scores_choose_the_blocks_of_a_container():
+    long = LONG[3:-4]
+    links = "<ul>" + "<li><a href=x>Link</a></li>" * 4 + "</ul>"
+    for tag in ("main", "article"):
+        assert html_extract.main_text(f"<{tag}><div class=c1>{LONG * 4}</div><div class=c2>{links}</div></{tag}>") == "\n\n".join([long] * 4)
+        assert html_extract.main_text(f"<{tag}>{LONG * 4}<div class=c2>{links}</div>{LONG}</{tag}>") == "\n\n".join([long] * 5)
+    # whole sections of content stay, however small their share, and so do headings and short paragraphs of the flow
+    got = html_extract.main_text(f"<main><div class=t><h1>Title</h1></div><div class=c1>{LONG * 9}<p class=s>Short.</p></div><div class=c3><h2>Part</h2>{LONG}</div>"
+                                 f"<div class=c2>{links}</div></main>")
+    assert got == "\n\n".join(["Title", *[long] * 9, "Short.", "Part", long])
+
+
 def test_pages_query_reads_every_page(spark):
     pages = table(spark, SF, "pages")
     rows = {r["page_id"]: r for r in queries.QUERIES["op1_html_extract"](spark, SF).collect()}

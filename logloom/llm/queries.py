@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from logloom.llm import chat_format, decontaminate, exact_dedup, hpylm, html_extract, line_dedup, packing, pu_quality, simhash, token_counts
+from logloom.llm import chat_format, decontaminate, exact_dedup, hpylm_words, html_extract, line_dedup, packing, pu_quality, simhash, token_counts
 
 QUERIES = {
     "op1_html_extract": html_extract.op1_html_extract,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
-    "op3_hpylm": hpylm.op3_hpylm,
+    "op3_hpylm": hpylm_words.op3_hpylm,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_chat_format": chat_format.op6_chat_format,

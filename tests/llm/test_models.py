@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 
-from logloom.llm import hpylm, pu_quality, queries
+from logloom.llm import hpylm, hpylm_words, pu_quality, queries
 from logloom.llm.common import table
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -116,3 +116,35 @@ def test_nothing_to_learn_from(spark):
     rows = hpylm.score(spark.createDataFrame([(1, "a b"), (2, None)], DOC), model).collect()
     assert sorted((r["id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in rows) == [(1, 3, 0, 0, 0, 0), (2, 1, 0, 0, 0, 0)]
     assert hpylm.score(empty, model).count() == 0
+
+
+def test_the_previous_word_is_the_context(spark):
+    """Probabilities sum to one in every context, and contexts that end alike differ."""
+    texts = [(k, t) for k, t in enumerate(["the cat sat on the mat", "one dog sat", "The cat, the dog. the cat", None, "a " * 400 + "b", "it is the cat " * 30])]
+    docs = spark.createDataFrame(texts, DOC)
+    model = hpylm_words.learn(docs)
+    c = Counter(w for _, t in texts for w in words_of(t))
+    names = [*c, "never seen"]
+    ids = [hpylm_words.word_id(w) for w in names]
+    wanted = spark.createDataFrame([(u, w) for u in ids for w in ids], "u long, w long")
+    log_p = {(r["u"], r["w"]): r["log_p"] for r in hpylm_words.log_probabilities(wanted, model).collect()}
+    log_p = {(a, b): log_p[i, j] for a, i in zip(names, ids) for b, j in zip(names, ids)}
+    for u in names:
+        assert math.isclose(sum(10 ** log_p[u, w] for w in names), 1, rel_tol=1e-9)
+    assert log_p["the", "cat"] > log_p["one", "cat"] + 0.5 and log_p["one", "dog"] > log_p["the", "dog"]
+    asked = [*texts, (90, "a new word, the cat"), (None, "the cat"), (None, "the cat"), (91, "x" * 100_000)]
+    want = []
+    for i, t in asked:
+        ws = [w if w in c else "never seen" for w in words_of(t)]
+        want.append((i, len(ws), sum(w in c for w in ws), round(sum(log_p[u, w] for u, w in zip(["\n", *ws], ws)), 6)))
+    got = hpylm_words.score(spark.createDataFrame(asked, DOC), model).collect()
+    assert sorted(((r["id"], r["n_tokens"], r["n_known"], round(r["score"], 6)) for r in got), key=str) == sorted(want, key=str)
+    empty = hpylm_words.learn(docs.limit(0))
+    assert [(r["score"], r["base_score"]) for r in hpylm_words.score(spark.createDataFrame([(1, "a b")], DOC), empty).collect()] == [(0, 0)]
+    assert hpylm_words.score(docs.limit(0), model).count() == 0
+
+
+def test_held_out_text_gains_from_the_previous_word(spark):
+    """The last character alone gives some -3.2 a token (log10)."""
+    rows = [r for r in queries.QUERIES["op3_hpylm"](spark, LARGER).collect() if r["held_out"]]
+    assert sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows) > -3.0

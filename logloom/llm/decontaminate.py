@@ -16,7 +16,9 @@ nothing (m - q + 1 - q e >= 1).
 
 The items are scanned against all documents in blocks of ``block_chars``
 characters, each broadcast (a few times its characters in bytes); documents are
-neither joined nor shuffled.
+neither joined nor shuffled.  Null and empty items are left out and equal rows
+are one with a count before blocks are dealt by hash, so a block has few rows
+more than its share of the characters.
 
 Defined results: null and empty texts match nothing; null or empty items match
 nothing; an item of fewer than q characters matches a document that is that
@@ -33,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logloom.llm.common import ddl, free_name, quoted, table
+from logloom.llm.common import ddl, free_name, quoted, staged, table
 
 Q, RATE = 8, 0.1
 BLOCK_CHARS = 4_000_000
@@ -186,11 +188,14 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id"
     name = free_name(docs.columns, "passages")
     kind = benchmark.schema[id_col].dataType.simpleString()
     result = docs.withColumn(name, F.array().cast(f"array<struct<item_id:{kind},edits:int,start:int,end:int>>"))
-    chars = benchmark.agg(F.sum(F.char_length(item_col))).first()[0] or 0
+    rows = benchmark.filter(F.char_length(item_col) > 0).groupBy(id_col, item_col).agg(F.count(F.lit(1)).alias("times"))
+    rows = staged(rows.toDF("id", "item", "times"), "benchmark-items")
+    chars = rows.agg(F.sum(F.char_length("item"))).first()[0] or 0
     n = -(-chars // block_chars)
     for k in range(n):
-        mine = benchmark.filter(F.pmod(F.xxhash64(id_col, item_col), F.lit(n)) == k).select(id_col, item_col)
-        items = docs.sparkSession.sparkContext.broadcast(Items([tuple(r) for r in mine.collect()], rate))
+        mine = rows.filter(F.pmod(F.xxhash64("id", "item"), F.lit(n)) == k)
+        # Items hands the ids on as they are: here an id and how often its row occurs
+        items = docs.sparkSession.sparkContext.broadcast(Items([((r["id"], r["times"]), r["item"]) for r in mine.collect()], rate))
         result = _scan(result, items, name, text_col)
     return result
 
@@ -204,10 +209,11 @@ def _scan(docs: DataFrame, items, name: str, text_col: str) -> DataFrame:
             out = []
             for had, text in zip(b.column(name).to_pylist(), b.column(text_col).to_pylist()):
                 plain = normal(text)
-                found = [{"item_id": i, "edits": 0, "start": 0, "end": len(text)} for i in known.short.get(plain, ())]
-                for i, edits, start, end in known.matches(plain):
+                found = [{"item_id": i, "edits": 0, "start": 0, "end": len(text)} for i, times in known.short.get(plain, ()) for _ in range(times)]
+                for k, edits, start, end in known.matches(plain):
                     a, z = original_span(text, start, end)
-                    found.append({"item_id": known.ids[i], "edits": edits, "start": a, "end": z})
+                    i, times = known.ids[k]
+                    found += [{"item_id": i, "edits": edits, "start": a, "end": z}] * times
                 out.append((had or []) + found)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, b.schema.field(name).type)], columns)
 

@@ -227,3 +227,14 @@ def test_decontamination_query_and_edges(spark):
         assert [len(by[k]) for k in (1, 2, 3, 4)] == [2, 0, 0, 0]
     assert sorted(r["passages"] for r in decontaminate.clean(given, bench).collect()) == [2, 3, 4]
     assert decontaminate.clean(given, bench.limit(0)).count() == 5 and decontaminate.clean(given.limit(0), bench).count() == 0
+
+
+def test_repeated_and_empty_items_do_not_fill_a_block(spark, monkeypatch):
+    seen, make = [], decontaminate.Items.__init__
+    monkeypatch.setattr(decontaminate.Items, "__init__", lambda self, rows, *a: seen.append(len(rows)) or make(self, rows, *a))
+    bench = spark.createDataFrame([(1, "a passage that is often repeated")] * 40 + [(None, None)] * 40 + [(2, "")] * 40 + [(3, "tiny")] * 2 + [(None, "another passage, only once")],
+                                  "item_id long, text string")
+    given = spark.createDataFrame([(1, "see: a passage that is often repeated."), (2, "Tiny"), (3, "with another passage, only once"), (4, "clean")], DOC)
+    found = {r["doc_id"]: [p["item_id"] for p in r["passages"]] for r in decontaminate.find_passages(given, bench, block_chars=30).collect()}
+    assert found == {1: [1] * 40, 2: [3, 3], 3: [None], 4: []}
+    assert sum(seen) == 3

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from logloom.session import shared_dir
 
@@ -26,6 +26,41 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def in_order(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` staged in ranges of ``order``: with ``part``, the range's number, and ``pos``, the place in it.
+
+    The ranges come from sampled bounds, so a hot key is split if ``order`` goes
+    on to columns that tell its rows apart.
+    """
+    part = F.spark_partition_id()
+    place = F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)
+    return staged(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", part.alias("part"), place.alias("pos")), name)
+
+
+def running_sum(laid: DataFrame, group: list[str], value: Column, out: str) -> DataFrame:
+    """The rows of ``in_order``, sorted by ``group`` first, with the sum of ``value`` over the rows of the group before each.
+
+    A range and group is summed on its own; the sums before it come from one row per range and group.
+    """
+    keys = [*group, "part"]
+    sums = laid.groupBy(*keys).agg(F.sum(value).alias("own"))
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*[F.col(k).alias(f"at_{k}") for k in keys], F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("start"))
+    inside = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    same = [F.col(k).eqNullSafe(F.col(f"at_{k}")) for k in keys]
+    return (laid.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
+            .join(starts, same).withColumn(out, F.col(out) + F.col("start")).drop("start", *[f"at_{k}" for k in keys]))
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

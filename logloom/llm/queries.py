@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from logloom.llm import chat_format, decontaminate, exact_dedup, hpylm_words, html_extract, line_dedup, packing, pu_quality, simhash, token_counts
+from logloom.llm import (centroids, chat_format, decontaminate, exact_dedup, hpylm_words, html_extract, importance, line_dedup, mixing, packing, pu_quality,
+                         simhash, token_counts)
 
 QUERIES = {
     "op1_html_extract": html_extract.op1_html_extract,
@@ -15,9 +16,14 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash": simhash.op9_simhash,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_centroids": centroids.op11_centroids,
+    "op12_importance_resampling": importance.op12_importance_resampling,
+    "op13_mixing": mixing.op13_mixing,
 }
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op6_chat_format": chat_format.ORACLE,
+    "op11_centroids": centroids.ORACLE,
+    "op13_mixing": mixing.ORACLE,
 }

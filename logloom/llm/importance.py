@@ -43,6 +43,8 @@ MAX_N, BUCKETS, SEED = 2, 10_000, 7
 MIN_WORDS, PERCENT, GAIN_SCALE = 20, 25, 1000
 #: Lengths up to this have a table of their own.
 SHORT = 64
+#: A task looks at so many words at once, or at one longer text.
+AT_ONCE = 400_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _KEPT = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(0x80, 0x100))
@@ -154,6 +156,17 @@ def scanned(docs: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame
     return staged(made.withColumn("at", F.monotonically_increasing_id()), name, "zstd")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in runs of about ``AT_ONCE`` words."""
+    for b in batches:
+        upto = np.cumsum(np.asarray(b.column("words")))
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + AT_ONCE, "right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
 def _features(b: pa.RecordBatch, max_n: int, buckets: int, shifts: Shifts) -> tuple[np.ndarray, np.ndarray]:
     crcs, lengths = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32) for c in ("crcs", "lengths"))
     found, owner = ngram_crcs(crcs, lengths, np.asarray(b.column("words")), max_n, shifts)
@@ -164,7 +177,7 @@ def bucket_counts(scan: DataFrame, max_n: int = MAX_N, buckets: int = BUCKETS) -
     """How many features, repeats counted, of all texts fall in each bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shifts, total = Shifts(), np.zeros(buckets, np.int64)
-        for b in batches:
+        for b in _slices(batches):
             total += np.bincount(_features(b, max_n, buckets, shifts)[0], minlength=buckets)
         full = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(total[full])], ["bucket", "n"])
@@ -193,7 +206,7 @@ def weighted(scan: DataFrame, gain: np.ndarray, max_n: int = MAX_N, seed: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shifts, gain = Shifts(), known.value
-        for b in batches:
+        for b in _slices(batches):
             found, owner = _features(b, max_n, len(gain), shifts)
             n = np.bincount(owner, minlength=b.num_rows)
             total = np.zeros(b.num_rows, np.int64)

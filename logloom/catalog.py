@@ -641,7 +641,7 @@ def q_drift_pages_scan(spark, sf_dir):
 def q_pretty_pages_scan(spark, sf_dir):
     """S01/ST1: pages printed over many lines, one a file, read in batch and by the stream."""
     root = shared_dir(spark, "landing-pretty")
-    pages = PG.documents(PG.landed(spark.read, _land_event_pages(spark, sf_dir)))
+    pages = PG.landed(spark, _land_event_pages(spark, sf_dir))
     shape = T.StructType([*PG.page_schema("response", SC.EVENT, "events").fields])
     pretty = F.to_json(F.from_json("doc", shape), {"pretty": "true"})
     pages.select(pretty.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{root}/pages/run=1")
@@ -718,7 +718,7 @@ def q_page_reconciliation(spark, sf_dir):
     root = shared_dir(spark, "landing-reconcile")
     R.land_all(spark, sf_dir, root)
     users = f"{root}/users-short"
-    pages = PG.documents(PG.landed(spark.read, f"{root}/users")).filter(
+    pages = PG.landed(spark, f"{root}/users").filter(
         F.get_json_object("doc", "$.startIndex").cast("bigint") + F.get_json_object("doc", "$.itemsPerPage").cast("bigint")
         <= F.get_json_object("doc", "$.totalResults").cast("bigint"))
     pages.select(F.col("doc").alias("value")).write.text(users)

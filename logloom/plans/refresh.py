@@ -38,6 +38,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom import schemas
 from logloom.operators import dimensions as D
@@ -122,7 +123,7 @@ def save_state(spark: SparkSession, warehouse: str, batch_id: int, state: State)
 
 def reset(spark: SparkSession, warehouse: str) -> None:
     """A full refresh starts from no events, no stream checkpoint and no state."""
-    for name in ("events", "events_pages", "events_quarantine", "events_staging", "_checkpoints", "_state"):
+    for name in ("events", "events_pages", "events_quarantine", "events_staging", "events_ids", "_checkpoints", "_state"):
         TB.delete_path(spark, _p(warehouse, name))
 
 
@@ -140,23 +141,20 @@ def _codes_or_empty(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schemas.ACT_CODES)
 
 
+#: Lists whose new fields become columns of their tables: record path, known record.
+GROWING = {"workspaces": schemas.WORKSPACE, "models": schemas.MODEL, "integrations": schemas.INTEGRATION}
+
+
 def metadata_pages(spark: SparkSession, landing: str) -> dict[str, tuple[DataFrame, str, str, list[str]]]:
-    """Each list's pages, record path, envelope and context folders."""
-    def pages(folder, record_path, record, envelope="meta", context=None):
+    """Each list's pages, record path, envelope and context folders; records of lists that may grow are JSON text."""
+    def pages(folder, record_path, record, envelope="meta", context=None, names=None):
         schema = PG.page_schema(record_path, record, envelope, context=context)
-        return PG.read_pages(spark, _p(landing, folder), schema, missing_ok=True), record_path, envelope, context or []
-
-    context = ["workspace_id", "model_id", "kind"]
-    found = {
-        "users": pages("users", "Resources", schemas.USER, "scim"),
-        "workspaces": pages("workspaces", "workspaces", schemas.WORKSPACE),
-        "models": pages("models", "models", schemas.MODEL),
-        "integrations": pages("integrations", "integrations", schemas.INTEGRATION),
-    }
+        return PG.read_pages(spark, _p(landing, folder), schema, missing_ok=True, names=names), record_path, envelope, context or []
+
+    found = {"users": pages("users", "Resources", schemas.USER, "scim")}
+    found |= {name: pages(name, name, T.StringType()) for name in GROWING}
     # All five asset kinds in ONE read: each page has exactly one of the arrays.
-    kinds = schemas.ASSET_KINDS
-    every = PG.page_schema("records", schemas.NAMED_ASSET, "meta", context=context)
-    found["assets"] = (PG.read_any_records(spark, _p(landing, "assets"), every, kinds), "records", "meta", context)
+    found["assets"] = pages("assets", "records", schemas.NAMED_ASSET, context=["workspace_id", "model_id", "kind"], names=schemas.ASSET_KINDS)
     return found
 
 
@@ -175,11 +173,12 @@ def short_lists(lists: dict) -> list[dict]:
 def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings, lists: dict | None = None) -> dict[str, DataFrame]:
     """Entry 2: every dimension from all of its landed pages, one read each."""
     lists = lists or metadata_pages(spark, landing)
-    users, ws, models, cw = (PG.explode_records(lists[n][0], lists[n][1]) for n in ("users", "workspaces", "models", "integrations"))
+    users = PG.explode_records(lists["users"][0], "Resources")
+    ws, models, cw = (PG.widened(PG.list_records(lists[n][0], n, record)) for n, record in GROWING.items())
     assets = lists["assets"][0].select("workspace_id", "model_id", "kind", F.explode("records").alias("r")) \
         .select("r.id", "r.name", "workspace_id", "model_id", "kind")
     unique = not settings.strict
-    models_dim = D.dim_models(models.drop("page", "pos"), unique)
+    models_dim = D.dim_models(models, unique)
     # Only assets of active models in scope are taken, whatever the approach.
     combos = spark.createDataFrame(settings.scope_combos, "WorkspaceId string, ModelId string")
     in_scope = D.apply_scope(D.active_models(models_dim), settings.scope_approach, combos, settings.target_model)
@@ -188,11 +187,11 @@ def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings
     assets = assets.join(in_scope.select(F.col("id").alias("model_id")).distinct(), "model_id", "left_semi")
     return {
         "users": D.dim_users(users, unique),
-        "workspaces": D.unique_on(ws.drop("page", "pos"), ["id"]) if unique else ws.drop("page", "pos"),
+        "workspaces": D.unique_on(ws, ["id"]) if unique else ws,
         "models": models_dim,
         "actions": D.dim_assets(assets.where(F.col("kind") != "files"), unique),
         "files": D.dim_assets(assets.where(F.col("kind") == "files"), unique),
-        "integrations": D.dim_integrations(cw.drop("page", "pos"), unique),
+        "integrations": D.dim_integrations(cw, unique),
         "act_codes": _codes_or_empty(spark, _p(landing, "act_codes")),
     }
 

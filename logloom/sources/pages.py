@@ -2,17 +2,19 @@
 
 The source pulls pages over HTTP and appends them one by one.  Here pages are
 documents in a landing folder, so a whole pull is ONE multi-file read that
-Spark spreads over tasks.  A landed file is read whole (whoever lands it bounds
-its size) and holds either one document, printed in any way, or one document
-per line; it is taken for lines when its first line is a document by itself.
+Spark spreads over tasks.  A file up to ``WHOLE_FILE`` bytes is read whole and
+holds either one document, printed in any way, or one document per line; it is
+taken for lines when its first line is a document by itself.  A larger file
+holds a document per line and is split over tasks.
 Folder names such as ``workspace_id=W1/model_id=M3/kind=imports`` give the
 page's context (P06); its number stands in the document (``page``) or in a
 folder ``page=<n>``.
 
-Nothing is lost without a sign: a document that can't be read, or that lacks
-its record array, ends a batch read with an error and goes to the quarantine of
-a streaming ingest; event fields that the schema doesn't know are kept in the
-map ``extra``.
+Nothing is lost without a sign: a document that isn't JSON, or that announces
+records and lacks their array, ends a batch read with an error and goes to the
+quarantine of a streaming ingest.  A page that announces none and has no array
+is an empty page, as for the source.  Fields that the schema doesn't know are
+kept in the map ``extra``, of events and of list records alike.
 
 ``land_pages`` writes such a folder from a DataFrame.  Page sizes are bounded,
 so collecting the records of one page into its array is bounded too; pages
@@ -34,6 +36,11 @@ PAGES_PER_FILE = 8
 
 ENVELOPES = ("events", "meta", "scim")
 
+#: Bytes up to which a landed file is read as one row; a page of 10,000 events has some 10 MB.
+WHOLE_FILE = 64 * 1024 * 1024
+#: Large files named in one read, at most: their paths pass through the driver.
+MAX_LARGE = 10_000
+
 
 def _paging_struct(envelope: str, page: Column, size: int, total: Column, n_in_page: Column,
                    last_page: Column, url: str) -> list[Column]:
@@ -114,18 +121,37 @@ def missing(err: AnalysisException) -> bool:
     return err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def landed(reader, path: str) -> DataFrame:
-    """Whole landed files of a batch or stream reader: path, value."""
-    files = reader.text(path, wholetext=True, recursiveFileLookup=True)
-    return files.select(F.input_file_name().alias("path"), "value")
+def file_sizes(reader, path: str) -> DataFrame:
+    """path and length of landed files, by a batch or stream reader; contents are not read."""
+    files = reader.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("path"), F.col("length"))
+
+
+def landed(spark: SparkSession, path: str | list[str], large: list[str] | None = None, whole_file: int = WHOLE_FILE) -> DataFrame:
+    """path, doc_no, doc: the documents of landed files, in one read for whole files and one for ``large`` ones.
+
+    ``large``: which of the files pass ``whole_file`` bytes; found by a listing unless given.
+    """
+    if large is None:
+        over = file_sizes(spark.read, path).where(F.col("length") > whole_file).select("path")
+        large = [r["path"] for r in over.limit(MAX_LARGE + 1).collect()]
+        if len(large) > MAX_LARGE:
+            raise ValueError(f"more than {MAX_LARGE} files over {whole_file} bytes under {path}")
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    where = F.col("_metadata.file_path")
+    docs = documents(whole.select(where.alias("path"), "value").where(F.col("_metadata.file_size") <= whole_file))
+    if not large:
+        return docs
+    lines = spark.read.text(large).where(F.trim("value") != "")
+    return docs.unionByName(lines.select(where.alias("path"), F.monotonically_increasing_id().alias("doc_no"), F.col("value").alias("doc")))
 
 
 def documents(files: DataFrame) -> DataFrame:
-    """path, doc_no, doc: the documents of landed files."""
+    """path, doc_no, doc: the documents of files that were read whole (path, value)."""
     lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
     by_line = F.get_json_object(F.get(lines, F.lit(0)), "$").isNotNull()
     docs = F.when(by_line, lines).otherwise(F.filter(F.array("value"), lambda x: F.trim(x) != ""))
-    return files.select("path", F.posexplode(docs).alias("doc_no", "doc"))
+    return files.select("path", F.posexplode(docs).alias("doc_no", "doc")).withColumn("doc_no", F.col("doc_no").cast("bigint"))
 
 
 def folder_value(name: str, path: str = "path") -> Column:
@@ -137,58 +163,62 @@ def folder_value(name: str, path: str = "path") -> Column:
 _BAD = "__unreadable"
 
 
-def parsed(docs: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
+def _announced(fields: dict[str, Column], schema: T.StructType) -> Column | None:
+    """How many records a page says its list has, for page schemas that have a place for it."""
+    if "totalResults" in fields:
+        return fields["totalResults"]
+    if "meta" in fields and isinstance(schema["meta"].dataType, T.StructType):
+        return fields["meta"]["paging"]["totalSize"]
+    return None
+
+
+def parsed(docs: DataFrame, schema: T.StructType, keep: list[str] | None = None, names: list[str] | None = None) -> DataFrame:
     """The documents' fields, context and page number, and whether a document is unreadable.
 
-    A document is unreadable if it isn't JSON as a whole, or lacks its first field (the record array).
+    A document is unreadable if it isn't JSON as a whole, or lacks its first field (the record array, which may stand under one of
+    ``names``) though it announces records.  An array that is absent where none are announced is empty.
     """
     context = [f.name for f in schema.fields if f.metadata.get("context")]
-    inner = [f for f in schema.fields if f.name not in context]
-    shape = T.StructType([*inner, T.StructField(_BAD, T.StringType())])
+    records, *inner = [f for f in schema.fields if f.name not in context]
+    arrays = [T.StructField(n, records.dataType) for n in names or [records.name]]
+    shape = T.StructType([*arrays, *inner, T.StructField(_BAD, T.StringType())])
     rows = docs.select(*(keep or []), "path", "doc_no", F.from_json("doc", shape, {"columnNameOfCorruptRecord": _BAD}).alias("__d"))
+    found = F.coalesce(*[F.col(f"__d.`{f.name}`") for f in arrays])
     fields = {f.name: F.col(f"__d.`{f.name}`") for f in inner} | {c: folder_value(c) for c in context}
     if "page" in fields:
         fields["page"] = F.coalesce(fields["page"], folder_value("page").cast("bigint"), F.col("doc_no").cast("bigint"))
-    bad = F.col("__d").isNull() | F.col(f"__d.{_BAD}").isNotNull() | fields[inner[0].name].isNull()
+    bad = F.col("__d").isNull() | F.col(f"__d.{_BAD}").isNotNull()
+    announced = _announced(fields, schema)
+    if announced is None:
+        bad = bad | found.isNull()
+    else:
+        bad = bad | (found.isNull() & (F.coalesce(announced, F.lit(0)) > 0))
+        found = F.when(~bad, F.coalesce(found, F.array().cast(records.dataType)))
+    fields[records.name] = found
     return rows.select(*(keep or []), *[fields[f.name].alias(f.name) for f in schema.fields], bad.alias("unreadable"))
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, missing_ok: bool = False, names: list[str] | None = None) -> DataFrame:
     """All pages under ``path`` in one read (U01: union of pages, duplicates kept).
 
     An unreadable page fails the query.  ``missing_ok``: a folder nothing was
     landed in reads as no pages (an empty, typed table), as the source carries
-    on when a list is empty.
+    on when a list is empty.  ``names``: the names under one of which the record
+    array stands, the schema's first field in the result.
     """
     try:
-        docs = documents(landed(spark.read, path))
+        docs = landed(spark, path)
     except AnalysisException as err:
         if not missing_ok or not missing(err):
             raise
         return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
     # the first field stands for the check, so it is made whenever records are read
-    rows, first = parsed(docs, schema, keep=["doc"]), schema.fields[0]
+    rows, first = parsed(docs, schema, keep=["doc"], names=names), schema.fields[0]
     told = F.concat(F.lit("unreadable page: "), F.substring("doc", 1, 200))
     checked = F.when(F.col("unreadable"), F.raise_error(told).cast(first.dataType)).otherwise(F.col(f"`{first.name}`"))
     return rows.select(checked.alias(first.name), *[F.col(f"`{f.name}`") for f in schema.fields[1:]])
 
 
-def read_any_records(spark: SparkSession, path: str, schema: T.StructType, names: list[str]) -> DataFrame:
-    """Pages whose record array stands under one of several names, as the schema's first field."""
-    records = schema.fields[0]
-    wide = T.StructType([*(T.StructField(n, records.dataType) for n in names), *schema.fields[1:]])
-    try:
-        docs = documents(landed(spark.read, path))
-    except AnalysisException as err:
-        if not missing(err):
-            raise
-        return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
-    rows, found = parsed(docs, wide, keep=["doc"]), F.coalesce(*[F.col(n) for n in names])
-    told = F.concat(F.lit("unreadable page: "), F.substring("doc", 1, 200))
-    checked = F.when(found.isNull(), F.raise_error(told).cast(records.dataType)).otherwise(found)
-    return rows.select(checked.alias(records.name), *[F.col(f"`{f.name}`") for f in schema.fields[1:]])
-
-
 def explode_records(pages: DataFrame, record_path: str, keep: list[str] | None = None) -> DataFrame:
     """One row per element of the record array, with its page and position."""
     keep = keep or []
@@ -197,24 +227,67 @@ def explode_records(pages: DataFrame, record_path: str, keep: list[str] | None =
     return rows.select(*keep, "page", "pos", *[F.col(f"__r.`{f.name}`").alias(f.name) for f in rec_type.fields])
 
 
-# --- events: records are kept as JSON text until their unknown fields are saved ---
+# --- records kept as JSON text until their unknown fields are saved ---
+
+#: New fields of a list that become columns of their own, at most; their names pass through the driver.
+MAX_NEW_FIELDS = 200
+
 
 def event_page_schema(context: list[str] | None = None) -> T.StructType:
     return page_schema("response", T.StringType(), "events", context)
 
 
-def event_struct(raw: Column) -> Column:
-    """An event's known fields, and in ``extra`` all others as JSON text by dotted name (null if none)."""
+def record_struct(raw: Column, record: T.StructType) -> Column:
+    """A record's known fields, and in ``extra`` all others as JSON text by dotted name (null if none).
+
+    The names alone are looked at first; maps of the values are made only of records that have unknown ones.
+    """
     texts = "map<string,string>"
     none = F.create_map().cast(texts)
-    event, top = F.from_json(raw, schemas.EVENT), F.coalesce(F.from_json(raw, texts), none)
-    attributes = F.coalesce(F.from_json(F.get(F.map_values(F.map_filter(top, lambda k, _: k == "additionalAttributes")), F.lit(0)), texts), none)
-    base = [f.name for f in schemas.EVENT.fields]
-    extra = F.map_concat(
-        F.map_filter(top, lambda k, _: ~k.isin(base)),
-        F.transform_keys(F.map_filter(attributes, lambda k, _: ~k.isin(list(schemas.ATTRIBUTES.names))),
-                         lambda k, _: F.concat(F.lit("additionalAttributes."), k)))
-    return F.struct(*[event[n].alias(n) for n in base], F.when(F.size(extra) > 0, extra).alias("extra"))
+    known = F.from_json(raw, record)
+    groups = [(raw, "", record)] + [(F.get_json_object(raw, f"$.{f.name}"), f"{f.name}.", f.dataType)
+                                    for f in record.fields if isinstance(f.dataType, T.StructType)]
+    odd, parts = F.lit(False), []
+    for text, prefix, kind in groups:
+        odd = odd | F.coalesce(F.size(F.array_except(F.json_object_keys(text), F.array(*map(F.lit, kind.names)))) > 0, F.lit(False))
+        parts.append(_others(F.coalesce(F.from_json(text, texts), none), kind.names, prefix))
+    return F.struct(*[known[n].alias(n) for n in record.names], F.when(odd, F.map_concat(*parts)).alias("extra"))
+
+
+def _others(fields: Column, names: list[str], prefix: str) -> Column:
+    left = F.map_filter(fields, lambda k, _: ~k.isin(names))
+    return F.transform_keys(left, lambda k, _: F.concat(F.lit(prefix), k)) if prefix else left
+
+
+def event_struct(raw: Column) -> Column:
+    return record_struct(raw, schemas.EVENT)
+
+
+def list_records(pages: DataFrame, record_path: str, record: T.StructType) -> DataFrame:
+    """P01 over pages whose records are JSON text: the record's fields and ``extra``."""
+    return pages.select(F.explode(record_path).alias("raw")).select(record_struct(F.col("raw"), record).alias("e")).select("e.*")
+
+
+def widened(records: DataFrame, max_new: int = MAX_NEW_FIELDS) -> DataFrame:
+    """``extra`` as text columns, one per new field of any record, as the source's tables grow with what a list holds.
+
+    Their names are a fact of the schema and come to the driver, ``max_new`` at
+    most in name order; what is left over stays in one column ``extra``, as a JSON object.
+    """
+    known = [c for c in records.columns if c != "extra"]
+    fields = records.where("extra IS NOT NULL").select(F.explode(F.map_keys("extra")).alias("k")).distinct()
+    new = [r["k"] for r in fields.orderBy("k").limit(max_new + 1).collect()]
+    named, taken, columns = new[:max_new], {c.lower() for c in [*known, "extra"]}, []
+    for field in named:
+        name = field
+        while name.lower() in taken:  # differs from another column in case alone
+            name += "_"
+        taken.add(name.lower())
+        columns.append(F.col("extra")[field].alias(name))
+    if len(new) > max_new:
+        left = F.map_filter("extra", lambda k, _: ~k.isin(named))
+        columns.append(F.when(F.size(left) > 0, F.to_json(left)).alias("extra"))
+    return records.select(*[F.col(f"`{c}`") for c in known], *columns)
 
 
 def read_event_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -105,7 +105,7 @@ def test_state_log_and_held_pulls(spark, tmp_dir):
     assert _run(spark, tmp_dir, 1)["audit_records"] == 4
     # A page of the second pull is cut off: stored what came, exported nothing, watermark unchanged.
     _land(spark, [event(i, base - i) for i in range(10, 16)], f"{tmp_dir}/second", 2)
-    docs = [r["doc"] for r in PG.documents(PG.landed(spark.read, f"{tmp_dir}/second/events/run=2")).orderBy("doc").collect()]
+    docs = [r["doc"] for r in PG.landed(spark, f"{tmp_dir}/second/events/run=2").orderBy("doc").collect()]
     for doc in (docs[0], docs[1][:-30]):
         spark.createDataFrame([(doc,)], "value string").write.mode("append").text(f"{landing}/events/run=2")
     held = _run(spark, tmp_dir, 2)

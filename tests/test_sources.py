@@ -3,6 +3,7 @@ import os
 
 from helpers import event, events_df
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom import schemas
 from logloom.operators import flatten as FL
@@ -129,15 +130,64 @@ def test_unknown_event_fields_are_kept(spark, tmp_dir):
     assert got["2"].extra is None and got["3"].extra is None and len(got) == 3
 
 
-def test_unreadable_list_page_fails_the_read(spark, tmp_dir):
-    os.makedirs(local(tmp_dir))
-    for name, text in (("a.json", '{"Resources": [{"id": "U1"}], "totalResults": 1}'), ("b.json", '{"status": "FAILURE"}')):
-        with open(os.path.join(local(tmp_dir), name), "w") as f:
+def _files(path, **texts):
+    os.makedirs(local(path), exist_ok=True)
+    for name, text in texts.items():
+        with open(os.path.join(local(path), f"{name}.json"), "w") as f:
             f.write(text)
-    pages = PG.read_pages(spark, tmp_dir, PG.page_schema("Resources", schemas.USER, "scim"))
-    try:
-        PG.explode_records(pages, "Resources").count()
-    except Exception as err:  # noqa: BLE001
-        assert "unreadable page" in str(err)
-    else:
-        raise AssertionError("the page was taken for an empty one")
+
+
+def test_unreadable_list_page_fails_the_read(spark, tmp_dir):
+    import pytest
+    good = '{"Resources": [{"id": "U1"}], "totalResults": 1}'
+    for n, bad in enumerate(('{"status": "FAILURE", "totalResults": 3}', good[:-9])):   # announces records without them; cut off
+        _files(f"{tmp_dir}/{n}", a=good, b=bad)
+        pages = PG.read_pages(spark, f"{tmp_dir}/{n}", PG.page_schema("Resources", schemas.USER, "scim"))
+        with pytest.raises(Exception, match="unreadable page"):
+            PG.explode_records(pages, "Resources").count()
+
+
+def test_a_page_that_announces_nothing_is_empty(spark, tmp_dir):
+    none = '{"meta": {"paging": {"totalSize": 0}}, "status": {"code": 200}}'
+    _files(tmp_dir, a='{"models": [{"id": "M1"}], "meta": {"paging": {"totalSize": 1}}}', b=none, c='{"status": {"code": 200}}')
+    pages = PG.read_pages(spark, tmp_dir, PG.page_schema("models", schemas.MODEL))
+    assert [r.id for r in PG.explode_records(pages, "models").collect()] == ["M1"]
+    _files(f"{tmp_dir}-events", a=none)
+    assert PG.read_event_pages(spark, f"{tmp_dir}-events").collect() == []
+    kinds = PG.read_pages(spark, f"{tmp_dir}-events", PG.page_schema("records", schemas.NAMED_ASSET), names=schemas.ASSET_KINDS)
+    assert [r.records for r in kinds.collect()] == [[]]
+
+
+def test_new_fields_of_lists_become_columns(spark, tmp_dir):
+    rows = [{"integrationId": "C1", "name": "n", "latestRun": {"success": True, "host": "h"}, "zone": {"a": 1}}, {"integrationId": "C2", "NAME": "other"}]
+    _files(tmp_dir, a=json.dumps({"integrations": rows, "meta": {"paging": {"totalSize": 2}}}))
+    pages = PG.read_pages(spark, tmp_dir, PG.page_schema("integrations", T.StringType()))
+    records = PG.list_records(pages, "integrations", schemas.INTEGRATION)
+    wide = PG.widened(records)
+    assert wide.columns == [*schemas.INTEGRATION.names, "NAME_", "latestRun.host", "zone"]
+    got = {r["integrationId"]: r for r in wide.collect()}
+    assert (got["C1"]["latestRun.host"], got["C1"]["zone"], got["C1"]["latestRun"]["success"]) == ("h", '{"a":1}', True)
+    assert got["C2"]["NAME_"] == "other" and got["C2"]["zone"] is None
+    few = PG.widened(records, max_new=1)
+    assert few.columns[-2:] == ["NAME_", "extra"]
+    assert {r["integrationId"]: r["extra"] for r in few.collect()} == {"C1": '{"zone":"{\\"a\\":1}","latestRun.host":"h"}', "C2": None}
+    plain = PG.widened(records.withColumn("extra", F.lit(None).cast("map<string,string>")))
+    assert plain.columns == schemas.INTEGRATION.names
+
+
+def test_history_merge_reads_only_the_months_of_the_export(spark, tmp_dir):
+    months = spark.range(72).select(F.format_string("%d-%02d-05", F.expr("2018 + id div 12"), F.col("id") % 12 + 1).alias("Date_Time"),
+                                    F.col("id").cast("string").alias("v"))
+    HI.create_history(months, tmp_dir, "Date_Time")
+    latest = spark.createDataFrame([("2020-03-05", "26"), ("2020-03-09", "new")], "Date_Time string, v string")
+    stored = spark.read.parquet(tmp_dir)
+    periods = latest.select(F.substring("Date_Time", 1, 7).alias(HI.PERIOD)).distinct()
+    touched = HI.touched_periods(stored, periods)
+    assert touched.count() == 1
+    scan = touched._jdf.queryExecution().executedPlan()
+    touched._jdf.collectToPython()
+    leaves = scan.collectLeaves()
+    numbers = [leaves.apply(i).metrics().get("numPartitions").get().value() for i in range(leaves.size())]
+    assert numbers == [1]                              # of 72
+    assert HI.touched_periods(stored, periods, max_periods=0).count() == 1
+    assert HI.merge_history(spark, tmp_dir, latest, "Date_Time").count() == 73

@@ -61,7 +61,7 @@ def test_damaged_page_goes_to_quarantine_and_shows_as_short(spark, tmp_dir):
     landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
     evs = events_df(spark, [event(i, base + i) for i in range(8)]).drop("index")
     PG.land_pages(evs, f"{tmp_dir}/good", "response", 4, ["eventDate", "id"], envelope="events")
-    first, second = [r["doc"] for r in PG.documents(PG.landed(spark.read, f"{tmp_dir}/good")).orderBy("doc").collect()]
+    first, second = [r["doc"] for r in PG.landed(spark, f"{tmp_dir}/good").orderBy("doc").collect()]
     for name, doc in (("a", first), ("b", second[:-40])):
         spark.createDataFrame([(doc,)], "value string").write.mode("append").text(f"{landing}/run=1")
     ST.ingest_available(spark, landing, sink, ckpt, context="run")
@@ -73,3 +73,48 @@ def test_damaged_page_goes_to_quarantine_and_shows_as_short(spark, tmp_dir):
     spark.createDataFrame([(second,)], "value string").write.mode("append").text(f"{landing}/run=1")
     ST.ingest_available(spark, landing, sink, ckpt, context="run", max_files=1)
     assert spark.read.parquet(sink).count() == 8 and ST.short_pulls(spark, sink).count() == 0
+
+
+def test_stored_ids_are_not_shuffled_and_survive_a_new_catalog(spark, tmp_dir):
+    """ST2: the check's stored side is a bucketed scan; only the batch's ids go through an exchange."""
+    base = 1_700_000_000_000
+    landing, sink, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    for n in range(3):
+        PG.land_pages(events_df(spark, [event(i, base + i) for i in range(n * 5, n * 5 + 8)]).drop("index"), f"{landing}/run={n}", "response", 4,
+                      ["eventDate", "id"], envelope="events")
+        ST.ingest_available(spark, landing, sink, ckpt, context="run", max_files=1)
+        name = ST.id_index(spark, sink)
+        if n == 1:
+            spark.sql(f"DROP TABLE {name}")        # another session: only the folder is left
+    assert sorted(int(r.id) for r in spark.read.parquet(sink).collect()) == list(range(18))
+    assert sorted(int(r.id) for r in spark.table(name).collect()) == list(range(18))
+    ids = spark.createDataFrame([("3",), ("99",)], "id string")
+    known = ST.known_ids(spark.table(name), ids, batch_id=99)
+    plan = known._jdf.queryExecution().sparkPlan().toString() + known._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "ShuffledHashJoin" in plan and plan.count("Exchange") == 1 and "SortMergeJoin" not in plan
+    assert [r.id for r in known.collect()] == ["3"]
+    # An index is made from the stored events where there is none.
+    from logloom.sources import tables as TB
+    TB.delete_path(spark, f"{sink}_ids")
+    assert spark.table(ST.id_index(spark, sink)).count() == 18
+
+
+def test_a_large_line_file_is_read_by_many_tasks(spark, tmp_dir, monkeypatch):
+    import json
+    import os
+    path = tmp_dir.removeprefix("file:")
+    os.makedirs(f"{path}/landing/run=1")
+    page = lambda p: json.dumps({"response": [{"id": f"{p}-{i}", "eventDate": 5, "x": "y" * 50} for i in range(10)], "meta": {"paging": {"totalSize": 2000}}, "page": p})
+    with open(f"{path}/landing/run=1/all.json", "w") as f:
+        f.write("\n".join(page(p) for p in range(200)))
+    with open(f"{path}/landing/run=1/small.json", "w") as f:
+        json.dump({"response": [{"id": "z"}], "meta": {"paging": {"totalSize": 2000}}, "page": 200}, f, indent=1)
+    monkeypatch.setattr(PG, "WHOLE_FILE", 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lines = PG.landed(spark, f"{tmp_dir}/landing", whole_file=2000)
+        assert lines.count() == 201 and lines.rdd.getNumPartitions() > 4
+        ST.ingest_available(spark, f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", context="run")
+        assert spark.read.parquet(f"{tmp_dir}/sink").count() == 2001
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

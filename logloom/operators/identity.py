@@ -1,79 +1,133 @@
 """Row identity at scale: a dense 0-based index in key order.
 
 ``row_number() OVER (ORDER BY key)`` without a partition runs in ONE task.
-Instead:
-
-1. range-partition by the order key (the partitioner samples the key
-   distribution, so a hot range is split across tasks) and sort each
-   partition;
-2. write that as Parquet below the shared checkpoint folder, with each row's
-   partition number and its position there.  Range bounds come from sampling,
-   so the rows must be laid out once: every later pass, also after a lost
-   executor, reads the same columns of the same files;
-3. count rows per partition (from the partition column alone) and turn the
-   counts into starting offsets -- a window over that tiny table only;
-4. index = offset of the partition + position inside it.
-
-The order key must be a total order (add a unique tie-breaker such as the
-event id), otherwise ties may be numbered either way.
-"""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+Instead the key space is cut into ranges whose bounds are literals:
 
-from logloom.session import shared_dir
+1. bounds: quantiles of a sample of the keys alone, taken by a hash of the key,
+   so every run and every retried task sees the same ones;
+2. counts: rows per range, from the key columns alone, give each range its
+   first index; both lists are literals of the plan from there on;
+3. index = first index of the row's range + its rank inside the range: one
+   window over (range), hence one shuffle of the rows and no staged copy.
 
-_PART, _POS = "__part", "__pos"
+A row's range and rank follow from its key, so a lost executor recomputes the
+same numbers.  Bounds are whole keys (all order columns), so a date that a third
+of the events share is cut by the columns behind it.
 
+The key must be a total order (add a unique tie-breaker such as the event id),
+otherwise ties may be numbered either way.
+"""
 
-def _laid_out(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
-    """``df`` in ranges of the order key, staged, with each row's range and its position in it."""
-    # Width: given, or left to AQE, which sizes range partitions from the
-    # data and coalesces only adjacent ones -- order across partitions holds.
-    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
-    part = F.spark_partition_id()
-    placed = ranged.sortWithinPartitions(*order_cols).select(
-        "*", part.alias(_PART), (F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)).alias(_POS))
-    path = shared_dir(df.sparkSession, "numbered")
-    placed.write.parquet(path)
-    return df.sparkSession.read.schema(placed.schema).parquet(path)
-
+from __future__ import annotations
 
-def _offsets(laid: DataFrame) -> DataFrame:
-    """(range, its first index, its rows): one row per partition, so one task may order them."""
-    counts = laid.groupBy(_PART).agg(F.count(F.lit(1)).alias("__n"))
-    before = F.sum("__n").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
-    return counts.select(_PART, F.coalesce(before, F.lit(0).cast("bigint")).alias("__off"), "__n")
+from dataclasses import dataclass
+from itertools import accumulate
 
+from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import functions as F
 
-def _indexed(laid: DataFrame, columns: list[str], out_col: str) -> DataFrame:
-    offsets = F.broadcast(_offsets(laid).drop("__n"))   # one row per partition
-    return laid.join(offsets, _PART).select(*[F.col(f"`{c}`") for c in columns], (F.col("__off") + F.col(_POS)).alias(out_col))
+#: Rows a range holds, about; the fewest that are worth a range of their own.
+RANGE_ROWS, LEAST_ROWS = 500_000, 1_000
+#: The bounds and counts that pass through the driver, and sampled keys a bound.
+MAX_RANGES, SAMPLE = 4_096, 32
+
+_RANGE = "__range"
+
+
+def _key(order_cols: list[str]) -> Column:
+    return F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order_cols)])
+
+
+@dataclass
+class Ranges:
+    """Ranges of a key, in order: their bounds (a range begins at its bound) and their rows."""
+    order_cols: list[str]
+    types: list
+    bounds: list[Row]
+    counts: list[int]
+
+    @property
+    def starts(self) -> list[int]:
+        return [0, *accumulate(self.counts)]
+
+    def number(self) -> Column:
+        """The row's range: a binary search among the bounds."""
+        return _search([self._literal(b) for b in self.bounds], _key(self.order_cols))
+
+    def start(self, number: Column) -> Column:
+        return F.get(F.array(*[F.lit(s).cast("bigint") for s in self.starts]), number)
+
+    def _literal(self, bound: Row) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(bound, self.types))])
+
+
+def _search(bounds: list[Column], key: Column) -> Column:
+    """How many of the ascending ``bounds`` are at most ``key``."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+    every = F.array(*bounds)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0),
+                       lambda at, step: F.when(F.get(every, at + step - 1) <= key, at + step).otherwise(at))
+
+
+def key_ranges(df: DataFrame, order_cols: list[str], num_ranges: int | None = None) -> Ranges:
+    """Ranges of about equal numbers of rows, from the key columns alone."""
+    keys = df.select(*[F.col(f"`{c}`") for c in order_cols])
+    types = [f.dataType for f in keys.schema.fields]
+    rows = keys.count()
+    if num_ranges is None:
+        num_ranges = max(-(-rows // RANGE_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, rows // LEAST_ROWS), 1)
+    num_ranges = min(num_ranges, MAX_RANGES)
+    if num_ranges == 1 or not rows:
+        return Ranges(order_cols, types, [], [rows])
+    share = min(1.0, num_ranges * SAMPLE / rows)
+    chosen = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order_cols]), F.lit(1 << 20)) <= int(share * (1 << 20))
+    sample = [r["k"] for r in keys.where(chosen).select(_key(order_cols).alias("k")).orderBy("k").collect()]   # num_ranges * SAMPLE, about
+    bounds: list[Row] = []
+    for n in range(1, num_ranges):
+        if sample and (not bounds or sample[n * len(sample) // num_ranges] != bounds[-1]):
+            bounds.append(sample[n * len(sample) // num_ranges])
+    ranges = Ranges(order_cols, types, bounds, [])
+    found = {r[_RANGE]: r["count"] for r in keys.select(ranges.number().alias(_RANGE)).groupBy(_RANGE).count().collect()}
+    ranges.counts = [found.get(n, 0) for n in range(len(bounds) + 1)]
+    return ranges
+
+
+def _indexed(df: DataFrame, ranges: Ranges, out_col: str) -> DataFrame:
+    inside = Window.partitionBy(_RANGE).orderBy(*[F.col(f"`{c}`") for c in ranges.order_cols])
+    rank = F.row_number().over(inside) - 1
+    return df.withColumn(_RANGE, ranges.number()).select(*[F.col(f"`{c}`") for c in df.columns],
+                                                        (ranges.start(F.col(_RANGE)) + rank).alias(out_col))
 
 
 def row_index(df: DataFrame, order_cols: list[str], out_col: str = "index",
               num_partitions: int | None = None) -> DataFrame:
     """Append ``out_col``: 0-based position of each row in ``order_cols`` order."""
-    return _indexed(_laid_out(df, order_cols, num_partitions), df.columns, out_col)
+    return _indexed(df, key_ranges(df, order_cols, num_partitions), out_col)
 
 
 def row_page(df: DataFrame, order_cols: list[str], offset: int, limit: int, out_col: str = "index") -> DataFrame:
     """Rows ``offset`` to ``offset + limit - 1`` in ``order_cols`` order.
 
-    The offsets of all ranges (one row each) tell which of them hold the page;
-    only those are read for more than their count.
+    The ranges' counts tell which of them hold the page; rows outside are
+    dropped by their key before anything is shuffled.
     """
-    laid = _laid_out(df, order_cols)
-    holding = [r[_PART] for r in _offsets(laid).filter((F.col("__off") < offset + limit) & (F.col("__off") + F.col("__n") > offset))
-               .select(_PART).collect()]
+    ranges = key_ranges(df, order_cols)
+    starts = ranges.starts
+    holding = [n for n, rows in enumerate(ranges.counts) if rows and starts[n] < offset + limit and starts[n + 1] > offset]
+    if not holding:
+        return df.where(F.lit(False)).withColumn(out_col, F.lit(None).cast("bigint"))
+    first, last, lead = holding[0], holding[-1], F.col(f"`{order_cols[0]}`")
+    some = df
+    # bounds of the leading column can be pushed to the scan
+    if first > 0 and (low := ranges.bounds[first - 1][0]) is not None:
+        some = some.where(lead >= F.lit(low).cast(ranges.types[0]))
+    if last < len(ranges.bounds) and (high := ranges.bounds[last][0]) is not None:
+        some = some.where(lead.isNull() | (lead <= F.lit(high).cast(ranges.types[0])))
+    some = some.where(ranges.number().between(first, last))
     index = F.col(out_col)
-    # The offsets are counted over all ranges, the rows read from the page's own.
-    offsets = F.broadcast(_offsets(laid).drop("__n"))
-    page = laid.filter(F.col(_PART).isin(holding)).join(offsets, _PART)
-    return (page.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__off") + F.col(_POS)).alias(out_col))
-            .filter((index >= offset) & (index < offset + limit)))
+    return _indexed(some, ranges, out_col).where((index >= offset) & (index < offset + limit))
 
 
 def chunk_columns(df: DataFrame, index_col: str, chunk_size: int, counter_col: str | None = None,

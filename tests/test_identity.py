@@ -4,7 +4,7 @@ import os
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from logloom.operators.identity import chunk_columns, row_index
+from logloom.operators.identity import chunk_columns, key_ranges, row_index, row_page
 from logloom.plans import export as EX
 
 
@@ -16,6 +16,35 @@ def test_row_index_equals_row_number(spark):
     assert got.agg(F.min("ix"), F.max("ix"), F.count_distinct("ix")).first() == (0, 4999, 5000)
 
 
+def test_row_index_with_nulls_and_a_hot_date(spark):
+    """A third of the rows share one date, some have none: cut by the id, the same numbers at any width."""
+    d = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 50).cast("long").alias("k"),
+                                    F.when(F.col("id") < 5999, F.format_string("%05d", "id")).alias("t"), F.lit("wide").alias("v"))
+    want = d.select("k", "t", "v", (F.row_number().over(Window.orderBy("k", "t")) - 1).cast("long").alias("ix"))
+    ranges = key_ranges(d, ["k", "t"], 12)
+    assert sum(ranges.counts) == 6000 and max(ranges.counts) < 1500 and len(ranges.bounds) > 8
+    for n in (1, 12):
+        got = row_index(d.repartition(n), ["k", "t"], out_col="ix", num_partitions=n)
+        assert got.exceptAll(want).count() == 0 and got.count() == 6000
+    assert row_index(d.where("false"), ["k", "t"]).collect() == []
+
+
+def test_row_index_shuffles_the_rows_once_and_stages_nothing(spark):
+    d = spark.range(0, 5000).select((F.col("id") % 97).alias("k"), F.col("id").alias("t"), F.struct(F.lit("x").alias("a")).alias("nested"))
+    plan = row_index(d, ["k", "t"], num_partitions=5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "FileScan" not in plan and "SinglePartition" not in plan
+
+
+def test_row_page_reads_only_the_ranges_that_hold_it(spark, tmp_dir):
+    spark.range(0, 8000).select(F.col("id").alias("k"), F.format_string("v%d", "id").alias("v")).write.parquet(tmp_dir)
+    d = spark.read.parquet(tmp_dir)
+    page = row_page(d, ["k"], 4000, 100, out_col="ix")
+    assert sorted((r.k, r.ix) for r in page.collect()) == [(i, i) for i in range(4000, 4100)]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k" in plan and "LessThanOrEqual(k" in plan      # pushed to the scan
+    assert row_page(d, ["k"], 9000, 100).collect() == []
+
+
 def test_chunk_counter_both_modes_d6(spark):
     d = spark.range(7).withColumnRenamed("id", "ix")
     default = [r.CT for r in chunk_columns(d, "ix", 3, "CT").orderBy("ix").collect()]

@@ -33,6 +33,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
                    help="write this list as a sample file instead of chunks, repeatable; \"all\" for every list")
     p.add_argument("--full-refresh", action="store_true", help="drop stored events, stream checkpoint and state first")
     p.add_argument("--max-files", type=int, default=None, help="landed files per micro-batch")
+    p.add_argument("--accept-pull", action="append", default=[], metavar="RUN", help="take this short pull as it is, repeatable")
+    p.add_argument("--accept-short-lists", action="store_true", help="go on although a list has delivered less than it announces")
     p.add_argument("--strict", action="store_true", help="reproduce the source's behaviour (SURVEY D-n)")
     p.add_argument("--master", default=None, help="only for local runs")
     return p.parse_args(argv)
@@ -46,6 +48,7 @@ def main(argv: list[str] | None = None) -> dict:
         last_run=a.last_run, chunk_size=a.chunk_size, scope_approach=a.scope,
         scope_combos=[tuple(c.split(":", 1)) for c in a.combo], target_model=a.target_model,
         samples=tuple(a.sample), strict=a.strict, full_refresh=a.full_refresh, max_files=a.max_files,
+        accept_pulls=tuple(a.accept_pull), accept_short_lists=a.accept_short_lists,
     )
     spark = get_session(a.master)
     summary = run_refresh(spark, a.landing, a.warehouse, settings)
@@ -54,4 +57,5 @@ def main(argv: list[str] | None = None) -> dict:
 
 
 if __name__ == "__main__":
-    raise SystemExit(3 if main().get("held") else 0)
+    found = main()
+    raise SystemExit(3 if "held" in found or "open" in found else 0)

@@ -1105,7 +1105,85 @@ def q_watermark_history(spark, sf_dir):
     for run_no, part in ((1, ev.where(F.col("eventDate") < LAST_RUN)), (2, ev.where(F.col("eventDate") >= LAST_RUN))):
         PG.land_pages(part, f"{landing}/events/run={run_no}", "response", SC.AUDIT_BATCH_SIZE, ["eventDate", "id"], envelope="events")
         RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=run_no, chunk_size=EXPORT_CHUNK))
-    return spark.read.parquet(f"{warehouse}/_state/watermark")
+    return spark.read.parquet(f"{warehouse}/_state/watermark").select("batch_id", "last_run", "ingest_batch")
+
+
+SHORT_PAGE = 200
+
+
+@register("refresh_short_pull", _ev_sql(
+    f"e.id AS AUDIT_ID, CASE WHEN e.eventDate < {LAST_RUN} THEN 3 ELSE 2 END::bigint AS BATCH_ID, 1 AS n_exports"))
+def q_refresh_short_pull(spark, sf_dir):
+    """A04 in the run: the first pull lacks a page, so its events wait; the second's are exported meanwhile;
+    when the page has landed the first's are, each exactly once."""
+    root = shared_dir(spark, "refresh-short")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    ev = R.r_events(spark, sf_dir).drop("index")
+
+    def land(part, path):
+        PG.land_pages(part, path, "response", SHORT_PAGE, ["eventDate", "id"], envelope="events")
+
+    land(ev.where(F.col("eventDate") < LAST_RUN), f"{root}/first")
+    pages = PG.landed(spark, f"{root}/first")
+    missing = F.get_json_object("doc", "$.page") == "0"
+    pages.filter(~missing).select(F.col("doc").alias("value")).write.text(f"{landing}/events/run=1")
+    found = None
+    for run_no in (1, 2, 3):
+        if run_no == 2:
+            land(ev.where(F.col("eventDate") >= LAST_RUN), f"{landing}/events/run=2")
+        if run_no == 3:
+            pages.filter(missing).select(F.col("doc").alias("value")).write.mode("append").text(f"{landing}/events/run=1")
+        done = RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=run_no, chunk_size=EXPORT_CHUNK))
+        if done["audit_records"]:
+            kept = shared_dir(spark, "short-export")
+            _exported(spark, warehouse).write.parquet(kept)
+            found = spark.read.parquet(kept) if found is None else found.unionAll(spark.read.parquet(kept))
+    return found.groupBy("AUDIT_ID", "BATCH_ID").agg(F.count(F.lit(1)).cast("int").alias("n_exports"))
+
+
+@register("missing_assets", O.with_roles("""
+SELECT m.currentWorkspaceId AS workspace_id, m.id AS model_id, k.kind
+FROM r_models m
+CROSS JOIN (VALUES ('imports'), ('exports'), ('actions'), ('processes'), ('files')) AS k(kind)
+WHERE m.activeState IS DISTINCT FROM 'ARCHIVED' AND NOT EXISTS (
+  SELECT 1 FROM r_assets a WHERE a.workspace_id = m.currentWorkspaceId AND a.model_id = m.id AND a.kind = k.kind)
+""", "r_models", "r_assets"))
+def q_missing_assets(spark, sf_dir):
+    """J12 in the run: worklist entries of which no page has landed."""
+    root = shared_dir(spark, "refresh-missing")
+    R.land_all(spark, sf_dir, root)
+    return RF.missing_assets(spark, RF.metadata_pages(spark, root), RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=BATCH_ID))
+
+
+@register("drift_lists_scan", O.with_roles(
+    "SELECT id, name, 'L' || name AS locale, currentWorkspaceId || '/' || id AS zone FROM r_models", "r_models"))
+def q_drift_lists_scan(spark, sf_dir):
+    """Fields that the schema of a list doesn't know are columns of its stored table."""
+    root = shared_dir(spark, "landing-lists")
+    models = R.r_models(spark, sf_dir)
+    grown = models.withColumns({"locale": F.concat(F.lit("L"), "name"), "zone": F.concat("currentWorkspaceId", F.lit("/"), "id")})
+    PG.land_pages(grown, f"{root}/landing/models", "models", 10, ["id"])
+    dims = RF.load_dimensions(spark, f"{root}/landing", RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=BATCH_ID))
+    TB.write_table(dims["models"], path=f"{root}/models")
+    return TB.read_table(spark, "models", path=f"{root}/models").select("id", "name", "locale", "zone")
+
+
+_NO_RECORDS = '{"meta": {"paging": {"currentPageSize": 0, "offset": 0, "totalSize": 0}}, "status": {"code": 200}}'
+
+
+@register("empty_lists_refresh", _REFRESH_SQL)
+def q_empty_lists_refresh(spark, sf_dir):
+    """S02/D-16 in the run: beside the pages of every list, pull and asset kind lies one without its array that announces nothing."""
+    root = shared_dir(spark, "refresh-empty")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    R.land_all(spark, sf_dir, landing)
+    empty = spark.createDataFrame([(_NO_RECORDS,)], "value string").coalesce(1)
+    kinds = [f"assets/workspace_id=W0/model_id=M{n}/kind={kind}" for n, kind in enumerate(SC.ASSET_KINDS)]
+    for folder in ["events/run=2", "users", "workspaces", "models", "integrations", *kinds]:
+        empty.write.mode("append").text(f"{landing}/{folder}")
+    RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=BATCH_ID, chunk_size=EXPORT_CHUNK))
+    out = HS.read_history_chunks(spark, f"{warehouse}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
+    return out.withColumn("BATCH_ID", F.col("BATCH_ID").cast("bigint")).withColumn("SUCCESS", F.col("SUCCESS").cast("int")).select(*SC.REPORT_COLUMNS)
 
 
 @register("dim_users_repeats", O.with_roles(

@@ -22,9 +22,13 @@ Warehouse folder (shared storage)::
     _checkpoints/    streaming checkpoints
 
 New events are those of micro-batches that no run has exported yet, however old
-their dates are.  A run whose pulls or lists have delivered less than they
-announced stores what came, and exports nothing and leaves the watermark until
-the missing pages have landed (``held`` in its summary).
+their dates are.  Each pull has a state of its own: one that has delivered less
+than it announces is open, its events wait and are named in the summary
+(``open``), while those of complete pulls are exported; it is closed by the
+missing page, or by an operator who accepts it as it is (``accept_pulls``).
+A list that has delivered less than it announces holds the whole run, as the
+report would lack its names (``held``), unless short lists are accepted.  Asset
+folders that should have landed and have not are named (``missing_assets``).
 
 Every step is a DataFrame or Structured Streaming job; the driver only reads
 one-row results, counts and short pulls.
@@ -43,9 +47,11 @@ from pyspark.sql import types as T
 from logloom import schemas
 from logloom.operators import dimensions as D
 from logloom.operators.identity import row_index
+from logloom.operators.joins import bounded_broadcast
 from logloom.plans import export as EX
 from logloom.plans import incremental as INC
 from logloom.plans.report import Dimensions, incremental_condition
+from logloom.session import shared_dir
 from logloom.sources import codes as CO
 from logloom.sources import pages as PG
 from logloom.sources import tables as TB
@@ -65,6 +71,8 @@ class RefreshSettings:
     strict: bool = False
     full_refresh: bool = False            # drop events, stream checkpoint and state first (K12)
     max_files: int | None = None          # landed files per micro-batch
+    accept_pulls: tuple[str, ...] = ()    # pulls that are short and taken as they are, from now on
+    accept_short_lists: bool = False      # go on with lists that have delivered less than they announce
 
     def is_sample(self, target: str) -> bool:
         return "all" in self.samples or target in self.samples
@@ -100,9 +108,18 @@ class State:
     ingest_batch: int = -1
 
 
+#: A run's row: the watermark, the newest micro-batch, and the pulls that it has exported, each up to a micro-batch.
+STATE = "batch_id bigint, last_run bigint, ingest_batch bigint, pulls array<struct<run:string,ingest_batch:bigint,accepted:boolean>>"
+
+
+def _state_rows(spark: SparkSession, warehouse: str) -> DataFrame | None:
+    path = _p(warehouse, "_state", "watermark")
+    return None if ST.read_if_there(spark, path) is None else spark.read.schema(STATE).parquet(path)
+
+
 def read_state(spark: SparkSession, warehouse: str) -> State:
     """The newest saved row; only a state that was never written reads as none."""
-    rows = ST.read_if_there(spark, _p(warehouse, "_state", "watermark"))
+    rows = _state_rows(spark, warehouse)
     if rows is None:
         return State()
     newest = rows.agg(F.max(F.struct("ingest_batch", "last_run")).alias("s")).first()["s"]
@@ -115,10 +132,60 @@ def read_watermark(spark: SparkSession, warehouse: str) -> int:
     return read_state(spark, warehouse).last_run
 
 
-def save_state(spark: SparkSession, warehouse: str, batch_id: int, state: State) -> None:
-    row = [(int(batch_id), state.last_run, state.ingest_batch)]
-    spark.createDataFrame(row, "batch_id bigint, last_run bigint, ingest_batch bigint").coalesce(1).write.mode("append").parquet(
-        _p(warehouse, "_state", "watermark"))
+def save_state(spark: SparkSession, warehouse: str, batch_id: int, state: State, pulls: DataFrame | None = None) -> None:
+    """One row in one file, so watermark and pulls are committed together; ``pulls``: (run, newest_batch, state), one small struct a pull."""
+    row = spark.createDataFrame([(int(batch_id), state.last_run, state.ingest_batch)], "batch_id bigint, last_run bigint, ingest_batch bigint")
+    if pulls is None:
+        done = spark.createDataFrame([([],)], "pulls array<struct<run:string,ingest_batch:bigint,accepted:boolean>>")
+    else:
+        done = pulls.agg(F.collect_list(F.struct("run", F.col("newest_batch").alias("ingest_batch"), (F.col("state") == ST.ACCEPTED).alias("accepted"))).alias("pulls"))
+    row.join(F.broadcast(done)).coalesce(1).write.mode("append").parquet(_p(warehouse, "_state", "watermark"))
+
+
+def exported_pulls(spark: SparkSession, warehouse: str) -> tuple[DataFrame | None, int]:
+    """Per pull the newest micro-batch exported and whether it was accepted; and the batch up to which runs before pulls had states exported all."""
+    rows = _state_rows(spark, warehouse)
+    if rows is None:
+        return None, -1
+    each = rows.select(F.explode("pulls").alias("p")).groupBy(F.col("p.run").alias("done_run")).agg(
+        F.max("p.ingest_batch").alias("done"), F.max("p.accepted").alias("was_accepted"))
+    before = rows.filter("pulls IS NULL").agg(F.max("ingest_batch")).first()[0]
+    return each, -1 if before is None else int(before)
+
+
+def pulls_of_run(spark: SparkSession, warehouse: str, events_path: str, settings: "RefreshSettings") -> DataFrame | None:
+    """The pulls with their states, staged, and ``done``, the newest micro-batch of each that a run has exported."""
+    exported, before = exported_pulls(spark, warehouse)
+    pulls = ST.pull_states(spark, events_path, list(settings.accept_pulls))
+    if pulls is None:
+        return None
+    if exported is None:
+        pulls = pulls.withColumn("done", F.lit(before).cast("bigint"))
+    else:
+        # once accepted, a pull stays accepted
+        state = F.when((F.col("state") == ST.OPEN) & F.coalesce("was_accepted", F.lit(False)), ST.ACCEPTED).otherwise(F.col("state"))
+        pulls = (pulls.join(exported, F.col("run").eqNullSafe(F.col("done_run")), "left").withColumn("state", state)
+                 .withColumn("done", F.coalesce("done", F.lit(before).cast("bigint"))).drop("done_run", "was_accepted"))
+    path = shared_dir(spark, "pulls")
+    pulls.write.parquet(path)
+    return spark.read.schema(pulls.schema).parquet(path)
+
+
+def events_to_export(events: DataFrame, pulls: DataFrame | None, state: State) -> DataFrame:
+    """Stored events of closed pulls that no run has exported, late ones too.
+
+    The oldest micro-batch that any of those pulls has new events in is a bound on the partitions read.
+    """
+    if pulls is None:
+        return events.where(F.col("ingest_batch") > state.ingest_batch)
+    ready = pulls.where((F.col("state") != ST.OPEN) & (F.col("newest_batch") > F.col("done")))
+    floor = ready.agg(F.min(F.greatest("done", F.col("first_batch") - 1))).first()[0]
+    if floor is None:
+        return events.where(F.lit(False))
+    ready = ready.select(F.col("run").alias("__run"), F.col("done").alias("__done"))
+    return (events.where(F.col("ingest_batch") > int(floor))
+            .join(bounded_broadcast(ready), F.col("arrival.run").eqNullSafe(F.col("__run")) & (F.col("ingest_batch") > F.col("__done")))
+            .drop("__run", "__done"))
 
 
 def reset(spark: SparkSession, warehouse: str) -> None:
@@ -170,6 +237,20 @@ def short_lists(lists: dict) -> list[dict]:
     return [{"short": n, "first": [r.asDict() for r in short.orderBy("entity", "context").limit(20).collect()]}] if n else []
 
 
+def scoped_models(spark: SparkSession, models: DataFrame, settings: RefreshSettings) -> DataFrame:
+    """Active models in scope, whatever the approach."""
+    combos = spark.createDataFrame(settings.scope_combos, "WorkspaceId string, ModelId string")
+    return D.apply_scope(D.active_models(models), settings.scope_approach, combos, settings.target_model)
+
+
+def missing_assets(spark: SparkSession, lists: dict, settings: RefreshSettings) -> DataFrame:
+    """(workspace, model, kind) of the worklist of which no page has landed; an empty page is a page."""
+    models = D.dim_models(PG.list_records(lists["models"][0], "models", schemas.MODEL).drop("extra"))
+    keys = ["workspace_id", "model_id", "kind"]
+    expected = D.crawl_worklist(scoped_models(spark, models, settings), lists["assets"][0]).select(*keys)
+    return expected.join(lists["assets"][0].select(*keys).distinct(), keys, "left_anti")
+
+
 def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings, lists: dict | None = None) -> dict[str, DataFrame]:
     """Entry 2: every dimension from all of its landed pages, one read each."""
     lists = lists or metadata_pages(spark, landing)
@@ -179,9 +260,8 @@ def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings
         .select("r.id", "r.name", "workspace_id", "model_id", "kind")
     unique = not settings.strict
     models_dim = D.dim_models(models, unique)
-    # Only assets of active models in scope are taken, whatever the approach.
-    combos = spark.createDataFrame(settings.scope_combos, "WorkspaceId string, ModelId string")
-    in_scope = D.apply_scope(D.active_models(models_dim), settings.scope_approach, combos, settings.target_model)
+    # Only assets of active models in scope are taken.
+    in_scope = scoped_models(spark, models_dim, settings)
     if lists["models"][0].isEmpty():        # no models list has landed: nothing to tell by
         in_scope = assets.select(F.col("model_id").alias("id"))
     assets = assets.join(in_scope.select(F.col("id").alias("model_id")).distinct(), "model_id", "left_semi")
@@ -213,15 +293,19 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     events = ST.read_events(spark, events_path)
     if events is None:                      # nothing ever landed: an empty, typed table
         events = spark.createDataFrame([], schemas.EVENT).withColumn("ingest_batch", F.lit(None).cast("bigint"))
+    pulls = pulls_of_run(spark, warehouse, events_path, settings)
     if settings.strict or settings.last_run is not None:
         # By date: partition pruning lists and reads only day folders on or after the watermark's day.
         if "event_day" in events.columns:
             first_day = _dt.datetime.fromtimestamp(last_run / 1000, _dt.timezone.utc).date()
             events = events.where(F.col("event_day") >= F.lit(first_day))
         new_stored = events.where(incremental_condition(last_run, settings.strict))
+        if pulls is not None and not settings.strict:      # strict goes on with short pulls, as the source does
+            waiting = pulls.where(F.col("state") == ST.OPEN).select(F.col("run").alias("__run"))
+            new_stored = new_stored.join(bounded_broadcast(waiting), F.col("arrival.run").eqNullSafe(F.col("__run")), "left_anti")
     else:
-        # By arrival: whatever no run has exported, late events too.
-        new_stored = events.where(F.col("ingest_batch") > state.ingest_batch)
+        # By arrival: whatever no run has exported of the pulls that are closed, late events too.
+        new_stored = events_to_export(events, pulls, state)
     mark = new_stored.agg(F.max("eventDate").alias("newest"), F.count(F.lit(1)).alias("n"), F.max("ingest_batch").alias("batch")).first()
     next_wm = max(last_run, int(mark["newest"] or 0))
     if settings.strict:
@@ -236,9 +320,18 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     counted = new.agg(F.count(F.lit(1)).alias("audit_records"))
 
     lists = metadata_pages(spark, landing)
-    pulls = ST.short_pulls(spark, events_path)
-    held = ([r.asDict() for r in pulls.orderBy("run").limit(20).collect()] if pulls is not None else []) + short_lists(lists)
+    closed = None
+    if pulls is not None:
+        waiting = pulls.where(F.col("state") == ST.OPEN)
+        if n_open := waiting.count():
+            summary["open"] = {"pulls": n_open, "first": [r.asDict() for r in waiting.orderBy("run").limit(20).collect()]}
+        closed = pulls.where((F.col("state") != ST.OPEN) & (F.col("newest_batch") > F.col("done")))
+    gaps = missing_assets(spark, lists, settings)
+    if n_gaps := gaps.count():
+        summary["missing_assets"] = {"lists": n_gaps, "first": [r.asDict() for r in gaps.orderBy(*gaps.columns).limit(20).collect()]}
+    held = [] if settings.accept_short_lists or settings.strict else short_lists(lists)
     if held:
+        write_log(spark, warehouse, settings, counted.select(F.lit(0).cast("bigint").alias("audit_records")))
         return summary | {"held": held, "audit_records": 0, "next_watermark": state.last_run}
     if mark["n"] == 0:
         write_log(spark, warehouse, settings, counted)
@@ -270,5 +363,5 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
             EX.write_chunks(EX.number_for_export(table, key, settings.chunk_size, acronym, settings.strict),
                             _p(warehouse, "exports", file_name))
     write_log(spark, warehouse, settings, counted)
-    save_state(spark, warehouse, settings.batch_id, done)   # last: commit point
+    save_state(spark, warehouse, settings.batch_id, done, closed)   # last: commit point
     return summary

@@ -237,21 +237,22 @@ def event_page_schema(context: list[str] | None = None) -> T.StructType:
     return page_schema("response", T.StringType(), "events", context)
 
 
-def record_struct(raw: Column, record: T.StructType) -> Column:
-    """A record's known fields, and in ``extra`` all others as JSON text by dotted name (null if none).
+def known_and_extra(raw: Column, record: T.StructType) -> tuple[Column, Column]:
+    """A record's known fields as a struct, and all others as JSON text by dotted name (null if none).
 
-    The names alone are looked at first; maps of the values are made only of records that have unknown ones.
+    The names alone are looked at first; maps of the values are made only of
+    records that have unknown ones.  The two stay apart until they are columns:
+    fields taken out of the parsed struct in the same step would each be parsed anew.
     """
     texts = "map<string,string>"
     none = F.create_map().cast(texts)
-    known = F.from_json(raw, record)
     groups = [(raw, "", record)] + [(F.get_json_object(raw, f"$.{f.name}"), f"{f.name}.", f.dataType)
                                     for f in record.fields if isinstance(f.dataType, T.StructType)]
     odd, parts = F.lit(False), []
     for text, prefix, kind in groups:
         odd = odd | F.coalesce(F.size(F.array_except(F.json_object_keys(text), F.array(*map(F.lit, kind.names)))) > 0, F.lit(False))
         parts.append(_others(F.coalesce(F.from_json(text, texts), none), kind.names, prefix))
-    return F.struct(*[known[n].alias(n) for n in record.names], F.when(odd, F.map_concat(*parts)).alias("extra"))
+    return F.from_json(raw, record), F.when(odd, F.map_concat(*parts))
 
 
 def _others(fields: Column, names: list[str], prefix: str) -> Column:
@@ -260,12 +261,19 @@ def _others(fields: Column, names: list[str], prefix: str) -> Column:
 
 
 def event_struct(raw: Column) -> Column:
-    return record_struct(raw, schemas.EVENT)
+    """An event as (``known``, ``extra``), for an array that is written down before its fields are used."""
+    known, extra = known_and_extra(raw, schemas.EVENT)
+    return F.struct(known.alias("known"), extra.alias("extra"))
+
+
+def _records(rows: DataFrame, record: T.StructType, keep: list[str]) -> DataFrame:
+    known, extra = known_and_extra(F.col("raw"), record)
+    return rows.select(*keep, known.alias("known"), extra.alias("extra")).select(*keep, "known.*", "extra")
 
 
 def list_records(pages: DataFrame, record_path: str, record: T.StructType) -> DataFrame:
     """P01 over pages whose records are JSON text: the record's fields and ``extra``."""
-    return pages.select(F.explode(record_path).alias("raw")).select(record_struct(F.col("raw"), record).alias("e")).select("e.*")
+    return _records(pages.select(F.explode(record_path).alias("raw")), record, [])
 
 
 def widened(records: DataFrame, max_new: int = MAX_NEW_FIELDS) -> DataFrame:
@@ -293,4 +301,4 @@ def widened(records: DataFrame, max_new: int = MAX_NEW_FIELDS) -> DataFrame:
 def read_event_pages(spark: SparkSession, path: str) -> DataFrame:
     """Audit events of every landed page, nested attributes as a struct, unknown fields in ``extra``."""
     rows = read_pages(spark, path, event_page_schema()).select("page", F.posexplode("response").alias("pos", "raw"))
-    return rows.select("page", "pos", event_struct(F.col("raw")).alias("e")).select("page", "pos", "e.*")
+    return _records(rows, schemas.EVENT, ["page", "pos"])

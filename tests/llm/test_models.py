@@ -31,11 +31,51 @@ def test_risk_ignores_labels_of_unlabelled_rows():
     rng = np.random.default_rng(0)
     good, bad = rng.normal(1.5, 1, (4000, 3)), rng.normal(-1.5, 1, (4000, 3))
     mix = np.concatenate([good[:1200], bad[:2800]])
-    weights, bias = pu_quality.fit(good[2000:3500], mix, 0.3)
+    weights, bias = pu_quality.fit(good[2000:3500], lambda part_of, size: part_of(mix), 0.3)
     test = lambda x: (x @ weights + bias > 0).mean()
     assert test(good[3500:]) > 0.9 and test(bad[2800:]) < 0.1
 
 
+def test_risk_gradient_and_curvature_against_a_plain_loop():
+    rng = np.random.default_rng(3)
+    x, w = pu_quality.standardised(rng.normal(size=(40, 4)), np.zeros(4), np.ones(4)), rng.normal(size=5)
+    loss, grad, curve = 0.0, [0.0] * 5, [[0.0] * 5 for _ in range(5)]
+    for row in x.tolist():
+        g = sum(a * b for a, b in zip(row, w))
+        p = 1 / (1 + math.exp(-g))
+        loss += math.log(1 + math.exp(g))
+        for i in range(5):
+            grad[i] += p * row[i]
+            for j in range(5):
+                curve[i][j] += p * (1 - p) * row[i] * row[j]
+    assert np.allclose(pu_quality.negative_part(x, w), [loss, *grad, *sum(curve, [])])
+    # The step's direction is downhill for the non-negative risk where the bracket is positive, uphill for the bracket where it isn't.
+    u = pu_quality.standardised(rng.normal(size=(60, 4)), np.zeros(4), np.ones(4))
+
+    def risks(w, prior):
+        mean = lambda f: sum(f(sum(a * b for a, b in zip(r, w))) for r in x.tolist()) / len(x)
+        bracket = sum(math.log(1 + math.exp(sum(a * b for a, b in zip(r, w)))) for r in u.tolist()) / len(u) - prior * mean(lambda g: math.log(1 + math.exp(g)))
+        return prior * mean(lambda g: math.log(1 + math.exp(-g))) + max(0, bracket) + pu_quality.WEIGHT_DECAY / 2 * sum(v * v for v in w), bracket
+
+    signs = set()
+    for prior, at in ((0.3, np.zeros(5)), (0.3, w), (0.9, 4 * w), (0.95, -4 * w)):
+        g = x @ at
+        risk_p = np.logaddexp(0, -g).mean(), -x.T @ (1 / (1 + np.exp(g))) / len(x)
+        risk, step = pu_quality._step(risk_p, pu_quality.negative_part(x, at) / len(x), pu_quality.negative_part(u, at) / len(u), prior, at)
+        before, after = risks(at, prior), risks(at + 1e-4 * step, prior)
+        assert math.isclose(risk, before[0], rel_tol=1e-9)
+        signs.add(before[1] >= 0)
+        assert after[0] < before[0] if before[1] >= 0 else after[1] > before[1]
+    assert signs == {True, False}
+
+
+def test_sums_cover_all_unlabelled_rows(spark):
+    docs = spark.createDataFrame([(f"word {i} " * (i % 7),) for i in range(300)], "text string").repartition(50)
+    rows = pu_quality.staged_features(docs, "text")
+    x = np.array([pu_quality.features(r["text"]) for r in docs.collect()], np.float64)
+    assert np.allclose(pu_quality.summed(rows, pu_quality.moments, 1 + 2 * pu_quality.N_FEATURES), pu_quality.moments(x))
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, "Good words here, and more.", 0.5), (2, "Good words there, and more.", 0.5), (3, None, 0.5), (None, "", 0.5), (4, "x " * 50_000, 0.5), (4, "x " * 50_000, 0.5)],
                                  "doc_id long, text string, quality_score double")

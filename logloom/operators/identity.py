@@ -34,8 +34,12 @@ MAX_RANGES, SAMPLE = 4_096, 32
 _RANGE = "__range"
 
 
+def _col(name: str) -> Column:
+    return F.col(name if name.startswith("`") else f"`{name}`")
+
+
 def _key(order_cols: list[str]) -> Column:
-    return F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order_cols)])
+    return F.struct(*[_col(c).alias(f"k{i}") for i, c in enumerate(order_cols)])
 
 
 @dataclass
@@ -73,7 +77,7 @@ def _search(bounds: list[Column], key: Column) -> Column:
 
 def key_ranges(df: DataFrame, order_cols: list[str], num_ranges: int | None = None) -> Ranges:
     """Ranges of about equal numbers of rows, from the key columns alone."""
-    keys = df.select(*[F.col(f"`{c}`") for c in order_cols])
+    keys = df.select(*map(_col, order_cols))
     types = [f.dataType for f in keys.schema.fields]
     rows = keys.count()
     if num_ranges is None:
@@ -82,7 +86,7 @@ def key_ranges(df: DataFrame, order_cols: list[str], num_ranges: int | None = No
     if num_ranges == 1 or not rows:
         return Ranges(order_cols, types, [], [rows])
     share = min(1.0, num_ranges * SAMPLE / rows)
-    chosen = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order_cols]), F.lit(1 << 20)) <= int(share * (1 << 20))
+    chosen = F.pmod(F.xxhash64(*map(_col, order_cols)), F.lit(1 << 20)) <= int(share * (1 << 20))
     sample = [r["k"] for r in keys.where(chosen).select(_key(order_cols).alias("k")).orderBy("k").collect()]   # num_ranges * SAMPLE, about
     bounds: list[Row] = []
     for n in range(1, num_ranges):
@@ -95,7 +99,7 @@ def key_ranges(df: DataFrame, order_cols: list[str], num_ranges: int | None = No
 
 
 def _indexed(df: DataFrame, ranges: Ranges, out_col: str) -> DataFrame:
-    inside = Window.partitionBy(_RANGE).orderBy(*[F.col(f"`{c}`") for c in ranges.order_cols])
+    inside = Window.partitionBy(_RANGE).orderBy(*map(_col, ranges.order_cols))
     rank = F.row_number().over(inside) - 1
     return df.withColumn(_RANGE, ranges.number()).select(*[F.col(f"`{c}`") for c in df.columns],
                                                         (ranges.start(F.col(_RANGE)) + rank).alias(out_col))
@@ -118,7 +122,7 @@ def row_page(df: DataFrame, order_cols: list[str], offset: int, limit: int, out_
     holding = [n for n, rows in enumerate(ranges.counts) if rows and starts[n] < offset + limit and starts[n + 1] > offset]
     if not holding:
         return df.where(F.lit(False)).withColumn(out_col, F.lit(None).cast("bigint"))
-    first, last, lead = holding[0], holding[-1], F.col(f"`{order_cols[0]}`")
+    first, last, lead = holding[0], holding[-1], _col(order_cols[0])
     some = df
     # bounds of the leading column can be pushed to the scan
     if first > 0 and (low := ranges.bounds[first - 1][0]) is not None:

@@ -1,57 +1,29 @@
-"""Hierarchical Pitman-Yor language model, its seating sampled by Gibbs.
+"""Tokens and seating of the hierarchical Pitman-Yor model of ``hpylm_words``.
 
-Tokens are lower-cased (A-Z) words and one end token a text.  Each token is
-drawn in the restaurant of its context, the class of the character that the
-word before it ends with (``CONTEXTS`` classes; 0 at the start of a text).  All
-context restaurants share one parent, the restaurant of all words; its own
-parent is the base: the known types and one unknown type, which gets the share
-n1 / (n1 + V) of types seen once, the others the rest in equal parts.
-
-Learning: the customers of a word, in all its contexts, make one row of at most
-``CONTEXTS`` entries, so words are independent given how many tables each
-restaurant has in all.  A sweep visits all words in parallel and draws, for each
-word and context, the number of tables from its conditional given the rest (a
-blocked Gibbs step, table sizes summed out by generalised Stirling numbers up to
-``EXACT`` customers; beyond, the customers are seated anew, in steps of a
-sixteenth of those seated), then the same in the parent, whose customers those
-tables are.  The tables' sums, ``CONTEXTS`` + 2 numbers, are gathered after each
-sweep and hold for the next.  Draws follow from word and sweep, so a sweep is
-replayed from the counts and earlier sums, and a lost task gives the same again.
-Predictive probabilities are averaged over the sweeps after ``BURN``.
+Tokens are lower-cased (A-Z) words and one end token a text.  ``draw_tables``
+draws how many tables the customers of a dish have in a restaurant, from the
+conditional given the rest (a blocked Gibbs step, table sizes summed out by
+generalised Stirling numbers up to ``EXACT`` customers; beyond, the customers
+are seated anew, in steps of a sixteenth of those seated).  Draws follow from
+word and sweep, so a lost task gives the same again.
 
 Discounts are n1 / (n1 + 2 n2) of each level, strengths are 1.
-
-Scoring: the ``HEAD`` most frequent words (at most 64 bytes each) are broadcast
-with their log probabilities in every context, HEAD x CONTEXTS x 4 bytes; all
-other tokens are joined to the model by their word and summed.
-
-Defined results: null text counts as empty (its end token alone is scored);
-texts with a null id are learnt from and not held out; repeated rows stay; with
-nothing to learn from, every token is unknown; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
-
-from logloom.llm.common import staged
+from pyspark.sql import Column, functions as F
 
 FOLDS, HELD_OUT = 7, 2
-CONTEXTS = 128
 #: The end token; no word holds a newline.
 END = "\n"
 BURN, KEPT = 1, 3
 STRENGTH = 1.0
 EXACT = 24
-HEAD, HEAD_BYTES = 65_536, 64
-#: A task hands on its counts when it holds so many pairs of word and context.
-FLUSH = 500_000
+
 
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
@@ -63,54 +35,6 @@ def tokens(text: str | None) -> list[str]:
     return [*words.split(" "), END] if words else [END]
 
 
-def context(word: str) -> int:
-    c = ord(word[-1])
-    return c if 32 < c < 128 else 1 + c % 31
-
-
-def contexts(words: list[str]) -> list[int]:
-    """The context of each token: that of the word before it."""
-    return [0, *[_CLASS[w[-1]] for w in words[:-1]]]
-
-
-class _Classes(dict):
-    def __missing__(self, c: str) -> int:
-        self[c] = out = context(c)
-        return out
-
-
-_CLASS = _Classes()
-
-
-# --- counts ------------------------------------------------------------------
-
-def _count(batches):
-    seen: Counter = Counter()
-
-    def out():
-        words, where = zip(*seen)
-        made = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(where, pa.int32()), pa.array(seen.values(), pa.int64())], ["word", "context", "n"])
-        seen.clear()
-        return made
-
-    for b in batches:
-        for text in b.column(0).to_pylist():
-            words = tokens(text)
-            seen.update(zip(words, contexts(words)))
-            if len(seen) > FLUSH:
-                yield out()
-    if seen:
-        yield out()
-
-
-def count_words(texts: DataFrame, text_col: str) -> DataFrame:
-    """word, c, contexts, n: a row per word, its customers by context (at most CONTEXTS entries)."""
-    rows = texts.select(text_col).mapInArrow(_count, "word string, context int, n long")
-    pairs = rows.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
-    return (pairs.groupBy("word").agg(F.sum("n").alias("c"), F.sort_array(F.collect_list(F.struct("context", "n"))).alias("x"))
-            .select("word", "c", F.col("x.context").alias("contexts"), F.col("x.n").alias("n")))
-
-
 # --- seating -----------------------------------------------------------------
 
 def log_stirling(d: float, most: int = EXACT) -> np.ndarray:
@@ -163,15 +87,6 @@ def draw_tables(n: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float,
     return out
 
 
-@dataclass
-class Sums:
-    """Tables of all dishes: by context, in the parent, and the parent's customers."""
-
-    tables: np.ndarray
-    top_tables: float
-    top_customers: float
-
-
 @dataclass
 class Shape:
     """What is known of the corpus before any sweep."""
@@ -179,7 +94,6 @@ class Shape:
     tokens: int
     types: int
     unknown: float  # the base's share of the unknown type
-    customers: np.ndarray  # by context
     d: float
     top_d: float
 
@@ -188,220 +102,5 @@ class Shape:
         return (1 - self.unknown) / max(1, self.types)
 
 
-class Dishes:
-    """The restaurants' customers of some words, and their tables after each sweep."""
-
-    def __init__(self, keys, offsets, where, n, shape: Shape):
-        self.shape, self.where, self.n = shape, where, n.astype(np.float64)
-        self.word = np.repeat(np.arange(len(keys)), np.diff(offsets))
-        self.keys = keys.view(np.uint64)
-        with np.errstate(over="ignore"):
-            self.pair_keys = self.keys[self.word] ^ ((where.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
-        self.stirling, self.top_stirling = log_stirling(shape.d), log_stirling(shape.top_d)
-        self.tables = np.ones(len(n), np.int64)
-        self.top = np.ones(len(keys), np.int64)
-        self._add_up()
-
-    def _add_up(self):
-        self.customers = np.bincount(self.word, self.tables, len(self.keys))
-
-    def parent(self, sums: Sums) -> np.ndarray:
-        s = self.shape
-        return (self.customers - s.top_d * self.top + (STRENGTH + s.top_d * sums.top_tables) * s.known) / (STRENGTH + sums.top_customers)
-
-    def sweep(self, number: int, sums: Sums) -> None:
-        s = self.shape
-        others = np.maximum(0, sums.tables[self.where] - self.tables)
-        self.tables = draw_tables(self.n, others, self.parent(sums)[self.word], s.d, self.stirling, self.pair_keys, 2 * number)
-        self._add_up()
-        base = np.full(len(self.keys), s.known)
-        self.top = draw_tables(self.customers, np.maximum(0, sums.top_tables - self.top), base, s.top_d, self.top_stirling, self.keys, 2 * number + 1)
-
-
-def _dishes(batches, shape: Shape):
-    """Batches of counts, joined to larger ones, with their dishes."""
-    held, rows = [], 0
-    for b in batches:
-        held.append(b)
-        rows += b.num_rows
-        if rows >= 100_000:
-            yield _joined(held, shape)
-            held, rows = [], 0
-    if rows:
-        yield _joined(held, shape)
-
-
-def _joined(held, shape):
-    t = pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=None)
-    b = t[0]
-    x = b.column("contexts")
-    return b, Dishes(b.column("key").to_numpy(zero_copy_only=False), x.offsets.to_numpy(), x.flatten().to_numpy(zero_copy_only=False),
-                     b.column("n").flatten().to_numpy(zero_copy_only=False), shape)
-
-
-def _sweep_sums(counts: DataFrame, shape: Shape, before: list[Sums]) -> Sums:
-    def run(batches):
-        total = np.zeros(CONTEXTS + 2)
-        for _, dishes in _dishes(batches, shape):
-            for k, sums in enumerate(before):
-                dishes.sweep(k, sums)
-            total[:CONTEXTS] += np.bincount(dishes.where, dishes.tables, CONTEXTS)
-            total[CONTEXTS:] += dishes.top.sum(), dishes.customers.sum()
-        yield pa.RecordBatch.from_arrays([pa.array(range(CONTEXTS + 2), pa.int32()), pa.array(total)], ["at", "x"])
-
-    out = np.zeros(CONTEXTS + 2)
-    for at, x in counts.mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x")).collect():
-        out[at] = x
-    return Sums(out[:CONTEXTS], out[CONTEXTS], out[CONTEXTS + 1])
-
-
-@dataclass
-class Model:
-    """The averaged model: ``words`` (word, c, parents, contexts, own), and what all words share."""
-
-    words: DataFrame
-    shape: Shape
-    back: np.ndarray  # [sweep, context]: what goes to the parent
-    unknown: np.ndarray  # [sweep]: the unknown type in the parent
-
-    @property
-    def nothing_seen(self) -> np.ndarray:
-        """log10 probability of the unknown type, by context."""
-        return np.log10((self.back * self.unknown[:, None]).mean(0))
-
-
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-
-
-def learn(docs: DataFrame, text_col: str = "text") -> Model:
-    counted = count_words(docs, text_col).withColumn("key", F.xxhash64("word"))
-    counts = staged(counted, "lm-counts")
-    own = F.size("contexts")
-    times = lambda col, k: F.sum((F.col(col) == k).cast("long"))
-    n, v, once, top_once, top_twice = counts.withColumn("own", own).agg(
-        F.sum("c"), F.count(F.lit(1)), times("c", 1), times("own", 1), times("own", 2)).first()
-    customers, types = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    ones = twos = 0
-    pairs = counts.select(F.explode(F.arrays_zip("contexts", "n")).alias("p")).select("p.*")
-    for at, c, t, a, b in pairs.groupBy("contexts").agg(F.sum("n"), F.count(F.lit(1)), times("n", 1), times("n", 2)).collect():
-        customers[at], types[at] = c, t
-        ones, twos = ones + a, twos + b
-    once = once or 0
-    shape = Shape(n or 0, v, once / (once + v) if once else 1 / (v + 1), customers, _discount(ones, twos), _discount(top_once or 0, top_twice or 0))
-    sums = [Sums(types, float(v), float(types.sum()))]
-    for _ in range(BURN + KEPT):
-        sums.append(_sweep_sums(counts, shape, list(sums)))
-    after = sums[1 + BURN:]
-    back = np.stack([(STRENGTH + shape.d * s.tables) / (STRENGTH + customers) for s in after])
-    unknown = np.array([(STRENGTH + shape.top_d * s.top_tables) * shape.unknown / (STRENGTH + s.top_customers) for s in after])
-
-    def run(batches):
-        for b, dishes in _dishes(batches, shape):
-            parents, seated = [], np.zeros(len(dishes.n))
-            for k, given in enumerate(sums[:-1]):
-                dishes.sweep(k, given)
-                if k >= BURN:
-                    parents.append(dishes.parent(sums[k + 1]))
-                    seated += dishes.tables / KEPT
-            x = b.column("contexts")
-            alone = (dishes.n - shape.d * seated) / (STRENGTH + customers[dishes.where])
-            flat = pa.array(np.stack(parents, axis=1).ravel())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("word"), b.column("c"), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * KEPT), flat), x,
-                 pa.ListArray.from_arrays(x.offsets, pa.array(alone))], ["word", "c", "parents", "contexts", "own"])
-
-    words = staged(counts.mapInArrow(run, "word string, c long, parents array<double>, contexts array<int>, own array<double>"), "lm-model")
-    return Model(words, shape, back, unknown)
-
-
-# --- scoring -----------------------------------------------------------------
-
-def _head(model: Model, size: int):
-    """The most frequent words, their log10(c + 1), and log10 probabilities in all contexts."""
-    top = (model.words.filter(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(size)).toArrow().combine_chunks()
-    c = top.column("c").to_numpy()
-    logs = np.zeros((len(c), CONTEXTS), np.float32)
-    for lo in range(0, len(c), 4096):
-        part = top.slice(lo, 4096).combine_chunks()
-        one = lambda name: part.column(name).chunk(0) if part.column(name).num_chunks else None
-        parents = one("parents").flatten().to_numpy().reshape(-1, KEPT)
-        p = parents @ model.back / KEPT
-        lists = one("contexts")
-        at = np.repeat(np.arange(len(parents)), lists.value_lengths().to_numpy())
-        p[at, lists.flatten().to_numpy()] += one("own").flatten().to_numpy()
-        logs[lo:lo + 4096] = np.log10(p)
-    return top.column("word").to_pylist(), c, np.log10(c + 1.0), logs
-
-
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD) -> DataFrame:
-    """One row per document: id, held_out, n_tokens, n_known, base_score, score."""
-    words, c, known_base, logs = _head(model, head)
-    given = docs.sparkSession.sparkContext.broadcast((words, known_base, logs))
-
-    def run(batches):
-        top, base_logs, table_ = given.value
-        number = {w: i for i, w in enumerate(top)}
-        at = TaskContext.get().partitionId() << 40  # a number of its own for each row
-        for b in batches:
-            id_type = b.schema.field(0).type
-            made, rest, held = [], [], 0  # a row per document; of each document, its words outside the head
-            for out, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                ts = tokens(text)
-                where = contexts(ts)
-                i = np.array([number.get(w, -1) for w in ts])
-                known = i >= 0
-                made.append((at, out, len(ts), int(known.sum()), float(base_logs[i[known]].sum()),
-                             float(table_[i[known], np.array(where)[known]].sum(dtype=np.float64)), f" {at & 0xFFF}"))
-                if not known.all():
-                    rest.append((at, Counter([(ts[j], where[j]) for j in np.flatnonzero(~known).tolist()])))
-                    held += len(rest[-1][1])
-                if held > 100_000:
-                    yield _rest(rest, id_type)
-                    rest, held = [], 0
-                at += 1
-            if rest:
-                yield _rest(rest, id_type)
-            if not made:
-                continue
-            keys, outs, n, n_known, base, total, salt = zip(*made)
-            yield _batch(len(made), {"key": keys, "id": b.column(0), "held_out": outs, "n_tokens": n, "n_known": n_known, "base": base,
-                                     "score": total, "word": salt}, id_type)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(id_col, held_out(id_col).alias("h"), text_col).mapInArrow(
-        run, f"key long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, word string, context int, k int")
-    # words in the head meet no row: only the others are joined
-    rest = model.words.filter((F.col("c") <= int(c.min())) | (F.octet_length("word") > HEAD_BYTES)) if len(c) else model.words
-    joined = rows.join(rest, "word", "left")
-    n, v = model.shape.tokens, model.shape.types
-    numbers = lambda xs: F.array(*(F.lit(float(x)) for x in xs))
-    seat = F.array_position("contexts", F.col("context"))
-    p = F.when(seat > 0, F.get("own", (seat - 1).cast("int"))).otherwise(0.0)
-    for s in range(KEPT):
-        p = p + F.get(numbers(model.back[s] / KEPT), F.col("context")) * F.get("parents", F.lit(s))
-    log_p = F.when(F.col("c").isNull(), F.get(numbers(model.nothing_seen), F.col("context"))).otherwise(F.log10(p))
-    by_doc = joined.groupBy("key").agg(
-        F.max("id").alias("id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.col("k") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("base"),
-        F.sum(F.col("score") + F.when(F.col("k") > 0, F.col("k") * log_p).otherwise(0.0)).alias("score"))
-    return by_doc.select("id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-                         (F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"), "score")
-
-
-def _rest(counts: list[tuple[int, Counter]], id_type: pa.DataType) -> pa.RecordBatch:
-    words, where = zip(*(pair for _, c in counts for pair in c))
-    times = [k for _, c in counts for k in c.values()]
-    return _batch(len(words), {"key": np.repeat([own for own, _ in counts], [len(c) for _, c in counts]), "word": words, "context": where, "k": times}, id_type)
-
-
-def _batch(n: int, columns: dict, id_type: pa.DataType) -> pa.RecordBatch:
-    """Rows with the columns that are given; the others are zero, or null where a zero would say something."""
-    types = {"key": pa.int64(), "id": id_type, "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(),
-             "score": pa.float64(), "word": pa.string(), "context": pa.int32(), "k": pa.int32()}
-    def column(name, kind):
-        if name in columns:
-            return columns[name] if isinstance(columns[name], pa.Array) else pa.array(columns[name], kind)
-        return pa.nulls(n, kind) if name in ("id", "held_out") else pa.array(np.zeros(n), pa.float64()).cast(kind)
-    return pa.RecordBatch.from_arrays([column(c, t) for c, t in types.items()], list(types))

@@ -18,7 +18,11 @@ Scoring: each distinct pair of the documents gets its log probability once, and
 the documents' pairs, counted per document, are joined to it.
 
 Words go by their 64-bit hash: among 200 million types, two share one with a
-probability of 0.1 %.  Other defined results are those of ``hpylm``.
+probability of 0.1 %.  A sweep's tables are deleted once the next ones stand.
+
+Defined results: null text counts as empty (its end token alone is scored);
+texts with a null id are learnt from and not held out; repeated rows stay; with
+nothing to learn from, every token is unknown; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from logloom.llm.common import ddl, staged, table
+from logloom.llm.common import ddl, discard, staged, table
 from logloom.llm.hpylm import BURN, END, KEPT, STRENGTH, Shape, _discount, draw_tables, held_out, log_stirling, tokens
 
 #: Tokens that a task sorts at a time, and words whose hash it remembers.
@@ -116,7 +120,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> Model:
     contexts = staged(side("u"), "lm-contexts")
     words = staged(side("w").withColumn("top", F.lit(1).cast("long")), "lm-words")
     n, v, once, top_once, top_twice, types = words.agg(F.sum("c"), F.count(F.lit(1)), times("c", 1), times("tables", 1), times("tables", 2), F.sum("tables")).first()
-    shape = Shape(n or 0, v, once / (once + v) if once else 1 / (v + 1), np.zeros(0), _discount(*pairs.agg(times("n", 1), times("n", 2)).first()),
+    shape = Shape(n or 0, v, once / (once + v) if once else 1 / (v + 1), _discount(*pairs.agg(times("n", 1), times("n", 2)).first()),
                   _discount(top_once, top_twice))
     d, top_d, known = shape.d, shape.top_d, shape.known
     stirling, top_stirling = log_stirling(d), log_stirling(top_d)
@@ -136,6 +140,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> Model:
         def seat_top(x, sweep=sweep, all_=top_tables):
             return draw_tables(x["tables"], np.maximum(0, all_ - x["top"]), np.full(len(x["w"]), known), top_d, top_stirling, x["w"].view(np.uint64), 2 * sweep + 1)
 
+        before = [contexts, words, *([multi] if sweep else [])]
         given = multi.join(contexts.select("u", "tables"), "u").join(words.select("w", in_parent().alias("parent")), "w")
         drawn = _replace(given, "t", seat).select("u", "w", "n", "t", (F.col("seated") + F.col("t") * int(sweep >= BURN)).alias("seated"))
         multi = staged(drawn, "lm-seating")
@@ -152,6 +157,8 @@ def learn(docs: DataFrame, text_col: str = "text") -> Model:
             words = words.withColumn(f"p{k}", in_parent())
             unknown.append((STRENGTH + top_d * top_tables) * shape.unknown / (STRENGTH + top_customers))
         contexts = staged(contexts, "lm-contexts")
+        for old in before:
+            discard(old)
     seats = multi.select("u", "w", "n", "seated").union(pairs.filter("n = 1").select("u", "w", "n", F.lit(KEPT).cast("long")))
     return Model(seats, contexts, words, shape, unknown)
 

@@ -111,32 +111,6 @@ def test_language_model_query(spark):
     assert ours > base
 
 
-def test_model_is_a_distribution_and_head_and_rest_agree(spark):
-    texts = [(k, t) for k, t in enumerate(["the cat sat on the mat", "the dog sat", "The cat, the dog. the cat", None, "a " * 400 + "b", "it is the cat " * 30])]
-    docs = spark.createDataFrame(texts, DOC)
-    model = hpylm.learn(docs)
-    words = model.words.collect()
-    c = Counter(w for _, t in texts for w in words_of(t))
-    assert {w["word"]: w["c"] for w in words} == c
-    probability = {}
-    for x in range(hpylm.CONTEXTS):
-        for w in words:
-            own = w["own"][w["contexts"].index(x)] if x in w["contexts"] else 0.0
-            assert own >= 0
-            probability[w["word"], x] = own + float(np.mean(model.back[:, x] * w["parents"]))
-        total = sum(probability[w["word"], x] for w in words) + 10 ** model.nothing_seen[x]
-        assert math.isclose(total, 1, rel_tol=1e-9)
-    asked = [*texts, (90, "a new word, the cat"), (None, "the cat"), (None, "the cat"), (91, "x" * 100_000)]
-    want = []
-    for i, t in asked:
-        ws = words_of(t)
-        score = sum(math.log10(probability[w, x]) if w in c else model.nothing_seen[x] for w, x in zip(ws, hpylm.contexts(ws)))
-        want.append((i, len(ws), round(score, 3)))
-    for head in (0, 3, 1000):
-        got = hpylm.score(spark.createDataFrame(asked, DOC), model, head=head).collect()
-        assert sorted(((r["id"], r["n_tokens"], round(r["score"], 3)) for r in got), key=str) == sorted(want, key=str)
-
-
 def test_tables_follow_the_conditional():
     """The blocked draw's frequencies against the conditional worked out by enumeration."""
     d, parent, others, n = 0.6, 0.05, 7.0, 4
@@ -150,14 +124,6 @@ def test_tables_follow_the_conditional():
     assert 1 <= many.min() and many.max() <= 100_000 and 1 < many.mean() < 1000
 
 
-def test_nothing_to_learn_from(spark):
-    empty = spark.createDataFrame([], DOC)
-    model = hpylm.learn(empty)
-    rows = hpylm.score(spark.createDataFrame([(1, "a b"), (2, None)], DOC), model).collect()
-    assert sorted((r["id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in rows) == [(1, 3, 0, 0, 0, 0), (2, 1, 0, 0, 0, 0)]
-    assert hpylm.score(empty, model).count() == 0
-
-
 def test_the_previous_word_is_the_context(spark):
     """Probabilities sum to one in every context, and contexts that end alike differ."""
     texts = [(k, t) for k, t in enumerate(["the cat sat on the mat", "one dog sat", "The cat, the dog. the cat", None, "a " * 400 + "b", "it is the cat " * 30])]

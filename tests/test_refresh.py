@@ -109,12 +109,12 @@ def test_state_log_and_held_pulls(spark, tmp_dir):
     for doc in (docs[0], docs[1][:-30]):
         spark.createDataFrame([(doc,)], "value string").write.mode("append").text(f"{landing}/events/run=2")
     held = _run(spark, tmp_dir, 2)
-    assert held["audit_records"] == 0 and [h["unreadable"] for h in held["held"]] == [1]
+    assert held["audit_records"] == 0 and [h["unreadable"] for h in held["open"]["first"]] == [1]
     assert read_state(spark, warehouse).ingest_batch == 0 and spark.read.parquet(f"{warehouse}/events").count() == 7
     # It lands again: all six events are exported although they are older than the watermark.
     spark.createDataFrame([(docs[1],)], "value string").write.mode("append").text(f"{landing}/events/run=2")
     s = _run(spark, tmp_dir, 2)
-    assert s["audit_records"] == 6 and "held" not in s and read_watermark(spark, warehouse) == base + 3
+    assert s["audit_records"] == 6 and "open" not in s and read_watermark(spark, warehouse) == base + 3
     # A run that is repeated writes its log row again, not a second one.
     _run(spark, tmp_dir, 2)
     log = {r.BATCH_ID: r.AUDIT_RECORDS_LOADED for r in spark.read.parquet(f"{warehouse}/refresh_log").collect()}
@@ -130,3 +130,52 @@ def test_state_log_and_held_pulls(spark, tmp_dir):
 def test_strict_run_without_events_saves_the_raised_watermark(spark, tmp_dir):
     s = _run(spark, tmp_dir, 1, strict=True)
     assert s["next_watermark"] == 1 and read_watermark(spark, f"{tmp_dir}/warehouse") == 1
+
+
+def test_a_short_pull_waits_alone_and_can_be_accepted(spark, tmp_dir):
+    from helpers import event
+    from logloom.sources import pages as PG
+
+    base, landing = 1_700_000_000_000, f"{tmp_dir}/landing"
+    _land(spark, [event(i, base + i) for i in range(6)], f"{tmp_dir}/whole", 1)
+    docs = [r["doc"] for r in PG.landed(spark, f"{tmp_dir}/whole/events/run=1").orderBy("doc").collect()]
+    put = lambda doc: spark.createDataFrame([(doc,)], "value string").write.mode("append").text(f"{landing}/events/run=1")
+    put(docs[0])
+    s1 = _run(spark, tmp_dir, 1)
+    assert s1["audit_records"] == 0 and s1["open"]["pulls"] == 1 and s1["open"]["first"][0]["received"] == 3
+    _land(spark, [event(i, base - i) for i in range(10, 14)], landing, 2)
+    s2 = _run(spark, tmp_dir, 2)                      # the later pull goes out, the short one waits
+    assert s2["audit_records"] == 4 and s2["open"]["pulls"] == 1
+    assert _run(spark, tmp_dir, 3)["audit_records"] == 0
+    s4 = _run(spark, tmp_dir, 4, accept_pulls=("1",))
+    assert s4["audit_records"] == 3 and "open" not in s4
+    s5 = _run(spark, tmp_dir, 5)                      # it stays accepted
+    assert s5["audit_records"] == 0 and "open" not in s5
+    put(docs[1])                                      # its page comes after all: exported once
+    assert _run(spark, tmp_dir, 6)["audit_records"] == 3
+    log = {r.BATCH_ID: r.AUDIT_RECORDS_LOADED for r in spark.read.parquet(f"{tmp_dir}/warehouse/refresh_log").collect()}
+    assert log == {1: 0, 2: 4, 3: 0, 4: 3, 5: 0, 6: 3}
+
+
+def test_states_from_before_pulls_had_one(spark, tmp_dir):
+    from helpers import event
+    base, landing, warehouse = 1_700_000_000_000, f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    _land(spark, [event(i, base + i) for i in range(4)], landing, 1)
+    _run(spark, tmp_dir, 1)
+    spark.createDataFrame([(1, base + 3, 0)], "batch_id bigint, last_run bigint, ingest_batch bigint").coalesce(1).write.mode("overwrite").parquet(f"{warehouse}/_state/watermark")
+    _land(spark, [event(i, base + i) for i in range(4, 6)], landing, 2)
+    assert _run(spark, tmp_dir, 2)["audit_records"] == 2
+
+
+def test_short_lists_hold_the_run_unless_accepted(spark, tmp_dir):
+    from helpers import event
+    landing = f"{tmp_dir}/landing"
+    _land(spark, [event(1, 1_700_000_000_000)], landing, 1)
+    models = '{"models": [{"id": "M1", "currentWorkspaceId": "W1"}], "meta": {"paging": {"totalSize": 5}}}'
+    spark.createDataFrame([(models,)], "value string").write.text(f"{landing}/models")
+    held = _run(spark, tmp_dir, 1)
+    assert held["held"][0]["short"] == 1 and held["audit_records"] == 0
+    assert [r.AUDIT_RECORDS_LOADED for r in spark.read.parquet(f"{tmp_dir}/warehouse/refresh_log").collect()] == [0]
+    done = _run(spark, tmp_dir, 2, accept_short_lists=True)
+    assert done["audit_records"] == 1 and done["missing_assets"]["lists"] == 5
+    assert {(r["model_id"], r["kind"]) for r in done["missing_assets"]["first"]} == {("M1", k) for k in schemas.ASSET_KINDS}

@@ -113,6 +113,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         no separator, so it meets none.  A row per other pre-token of it."""
         get, at = known.value.get, TaskContext.get().partitionId() << 40
         for b in batches:
+            kind = b.schema.field(0).type
             keys, ids, sizes, sums, segs, times = [], [], [], [], [], []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own, at, total = at, at + 1, 0
@@ -124,16 +125,15 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 keys.append(own), ids.append(doc), sizes.append(len((text or "").encode())), sums.append(total)
                 segs.append(str(own & 0xFFF)), times.append(0)
                 if len(keys) > 200_000:
-                    yield made(keys, ids, sizes, sums, segs, times)
+                    yield made(kind, keys, ids, sizes, sums, segs, times)
                     keys, ids, sizes, sums, segs, times = [], [], [], [], [], []
-            yield made(keys, ids, sizes, sums, segs, times)
+            yield made(kind, keys, ids, sizes, sums, segs, times)
 
     id_type = docs.schema[id_col].dataType
-    arrow_id = pa.int64() if id_type.typeName() == "long" else None
 
-    def made(keys, ids, sizes, sums, segs, times):
+    def made(kind, keys, ids, sizes, sums, segs, times):
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(ids, arrow_id), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()),
+            [pa.array(keys, pa.int64()), pa.array(ids, kind), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()),
              pa.array(segs, pa.string()), pa.array(times, pa.int32())], ["key", "id", "n_bytes", "sum", "seg", "k"])
 
     rows = docs.select(id_col, text_col).mapInArrow(

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logloom.llm import decontaminate, html_extract, packing, queries, token_counts
 from logloom.llm.common import table
@@ -104,6 +105,10 @@ def test_counts_equal_the_library(spark):
         n = len(model.encode(d["text"]))
         assert (got[d["doc_id"]]["n_tokens"], got[d["doc_id"]]["over_limit"]) == (n, n > 4096)
     assert token_counts.token_counts(spark.createDataFrame([], DOC), token_counts.model_path()).count() == 0
+    for kind in ("int", "string"):
+        got = token_counts.token_counts(spark.createDataFrame([(1, "a b"), (None, "c")], DOC).select(F.col("doc_id").cast(kind).alias("doc_id"), "text"),
+                                        token_counts.model_path())
+        assert dict(got.dtypes)["id"] == kind and sorted((str(r["id"]), r["n_bytes"]) for r in got.collect()) == [("1", 3), ("None", 1)]
 
 
 # --- packing -----------------------------------------------------------------

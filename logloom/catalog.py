@@ -1042,13 +1042,13 @@ def q_refresh_report(spark, sf_dir):
     R.land_all(spark, sf_dir, landing)
     RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(
         tenant_name=TENANT_NAME, batch_id=BATCH_ID, chunk_size=EXPORT_CHUNK))
-    out = HS.read_history_chunks(spark, f"{warehouse}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
+    out = HS.read_history_chunks(spark, RF.published(spark, warehouse, "exports", RF.REPORT_EXPORT), sep=",", sanitize=False)
     return out.withColumn("BATCH_ID", F.col("BATCH_ID").cast("bigint")) \
               .withColumn("SUCCESS", F.col("SUCCESS").cast("int")).select(*SC.REPORT_COLUMNS)
 
 
 def _exported(spark, warehouse):
-    out = HS.read_history_chunks(spark, f"{warehouse}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
+    out = HS.read_history_chunks(spark, RF.published(spark, warehouse, "exports", RF.REPORT_EXPORT), sep=",", sanitize=False)
     return out.select("AUDIT_ID", F.col("BATCH_ID").cast("bigint").alias("BATCH_ID"), "EVENT_DATE", "ACTION_NAME")
 
 
@@ -1070,6 +1070,34 @@ def q_refresh_late_events(spark, sf_dir):
     return found.groupBy("AUDIT_ID", "EVENT_DATE", "BATCH_ID").agg(F.count(F.lit(1)).cast("int").alias("n_exports"))
 
 
+@register("refresh_published_set", _ev_sql(
+    f"r.run_no, e.id AS AUDIT_ID, CASE WHEN r.run_no < 3 THEN 1 ELSE 3 END::bigint AS BATCH_ID, "
+    f"(SELECT count(*) FROM r_users u WHERE u.id = e.userId) AS known_user",
+    f"JOIN (VALUES (1), (2), (3)) r(run_no) ON (r.run_no < 3) = (e.eventDate < {LAST_RUN})", "r_users"))
+def q_refresh_published_set(spark, sf_dir):
+    """K01/K08 publication: what is published after run 1, after run 2, which writes its whole set and ends before
+    its commit, and after run 3, which takes the same events; each read through the pointer, report beside users."""
+    root = shared_dir(spark, "refresh-set")
+    landing, warehouse = f"{root}/landing", f"{root}/warehouse"
+    ev = R.r_events(spark, sf_dir).drop("index")
+    found = None
+    for run_no, part in ((1, ev.where(F.col("eventDate") < LAST_RUN)), (2, ev.where(F.col("eventDate") >= LAST_RUN)), (3, None)):
+        if part is not None:
+            PG.land_pages(part, f"{landing}/events/run={run_no}", "response", SC.AUDIT_BATCH_SIZE, ["eventDate", "id"], envelope="events")
+        if run_no == 1:
+            PG.land_pages(R.r_users(spark, sf_dir), f"{landing}/users", "Resources", SC.AUDIT_BATCH_SIZE, ["id"], envelope="scim")
+        RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=run_no, chunk_size=EXPORT_CHUNK, publish=run_no != 2))
+        home = RF.published(spark, warehouse)
+        users = spark.read.parquet(f"{home}/users").select(F.col("id").alias("USER_ID"), F.lit(1).cast("bigint").alias("known_user"))
+        report = HS.read_history_chunks(spark, f"{home}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
+        seen = report.join(users, "USER_ID", "left").select(F.lit(run_no).alias("run_no"), "AUDIT_ID", F.col("BATCH_ID").cast("bigint").alias("BATCH_ID"),
+                                                            F.coalesce("known_user", F.lit(0).cast("bigint")).alias("known_user"))
+        kept = shared_dir(spark, "published-set")      # a later run removes the set
+        seen.write.parquet(kept)
+        found = spark.read.parquet(kept) if found is None else found.unionAll(spark.read.parquet(kept))
+    return found
+
+
 REFRESH_TARGET = "M2"
 
 
@@ -1186,7 +1214,7 @@ def q_empty_lists_refresh(spark, sf_dir):
     for folder in ["events/run=2", "users", "workspaces", "models", "integrations", *kinds]:
         empty.write.mode("append").text(f"{landing}/{folder}")
     RF.run_refresh(spark, landing, warehouse, RF.RefreshSettings(tenant_name=TENANT_NAME, batch_id=BATCH_ID, chunk_size=EXPORT_CHUNK))
-    out = HS.read_history_chunks(spark, f"{warehouse}/exports/{RF.REPORT_EXPORT}", sep=",", sanitize=False)
+    out = HS.read_history_chunks(spark, RF.published(spark, warehouse, "exports", RF.REPORT_EXPORT), sep=",", sanitize=False)
     return out.withColumn("BATCH_ID", F.col("BATCH_ID").cast("bigint")).withColumn("SUCCESS", F.col("SUCCESS").cast("int")).select(*SC.REPORT_COLUMNS)
 
 

@@ -14,13 +14,22 @@ Landing folder (written by whatever pulls the source API)::
 Warehouse folder (shared storage)::
 
     events/          Parquet by event_day/ingest_batch, appended by the streaming ingest (deduplicated)
-    users/ workspaces/ models/ actions/ files/ integrations/ act_codes/   replaced each run
-    exports/<file>/chunk=<n>/   one CSV per chunk
+    versions/<version>/   what one run has made, beside what the runs before it made:
+        users/ workspaces/ models/ actions/ files/ integrations/ act_codes/
+        exports/<file>/chunk=<n>/   one CSV per chunk
+        samples/<file>/
     refresh_log/     one row per run, in run=<batch_id>/ (a retried run replaces its own)
     events_pages/ events_quarantine/   what each page announced and delivered; pages that can't be read
     _state/watermark one row appended per run, written LAST (a failed run is re-run from the one before)
     _checkpoints/    streaming checkpoints
 
+The state row also names the run's version: it is the one pointer that publishes
+tables, exports and watermark together.  ``published`` follows it.  A run that
+dies before it leaves the set before readable whole; its own folder is removed,
+like versions beyond ``keep_versions``, by the next run that ends.  A full
+refresh opens a new epoch of the state, and what was published stays until its
+own set stands.
+
 New events are those of micro-batches that no run has exported yet, however old
 their dates are.  Each pull has a state of its own: one that has delivered less
 than it announces is open, its events wait and are named in the summary
@@ -37,7 +46,8 @@ one-row results, counts and short pulls.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +83,8 @@ class RefreshSettings:
     max_files: int | None = None          # landed files per micro-batch
     accept_pulls: tuple[str, ...] = ()    # pulls that are short and taken as they are, from now on
     accept_short_lists: bool = False      # go on with lists that have delivered less than they announce
+    publish: bool = True                  # False: write the set to look at, commit nothing; the next run takes the same events
+    keep_versions: int = 2                # published sets kept, the newest included (readers may still be on the one before)
 
     def is_sample(self, target: str) -> bool:
         return "all" in self.samples or target in self.samples
@@ -103,18 +115,25 @@ def _p(root: str, *parts: str) -> str:
 
 @dataclass(frozen=True)
 class State:
-    """What the last run that ended has exported."""
+    """What the last run that ended has exported and published."""
     last_run: int = 0
     ingest_batch: int = -1
+    seq: int = 0                # number of the newest row
+    epoch: int = 0              # full refreshes before it
+    version: str | None = None  # the published set
 
 
-#: A run's row: the watermark, the newest micro-batch, and the pulls that it has exported, each up to a micro-batch.
-STATE = "batch_id bigint, last_run bigint, ingest_batch bigint, pulls array<struct<run:string,ingest_batch:bigint,accepted:boolean>>"
+#: A run's row: the watermark, the newest micro-batch, the pulls that it has exported, each up to a micro-batch, and the set it publishes.
+STATE = ("batch_id bigint, last_run bigint, ingest_batch bigint, pulls array<struct<run:string,ingest_batch:bigint,accepted:boolean>>, "
+         "seq bigint, epoch bigint, version string")
 
 
 def _state_rows(spark: SparkSession, warehouse: str) -> DataFrame | None:
+    """Rows from before there were versions are of epoch 0 and number 0."""
     path = _p(warehouse, "_state", "watermark")
-    return None if ST.read_if_there(spark, path) is None else spark.read.schema(STATE).parquet(path)
+    if ST.read_if_there(spark, path) is None:
+        return None
+    return spark.read.schema(STATE).parquet(path).withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("seq", "epoch")})
 
 
 def read_state(spark: SparkSession, warehouse: str) -> State:
@@ -122,19 +141,32 @@ def read_state(spark: SparkSession, warehouse: str) -> State:
     rows = _state_rows(spark, warehouse)
     if rows is None:
         return State()
-    newest = rows.agg(F.max(F.struct("ingest_batch", "last_run")).alias("s")).first()["s"]
-    if newest is None or newest["last_run"] is None:
+    newest = rows.agg(F.max(F.struct("epoch", "ingest_batch", "last_run")).alias("s"), F.max("seq").alias("seq"),
+                      F.max(F.when(F.col("version").isNotNull(), F.struct("seq", "version"))).alias("set")).first()
+    s = newest["s"]
+    if s is None or s["last_run"] is None:
         raise RuntimeError(f"no watermark can be read from {_p(warehouse, '_state', 'watermark')}")
-    return State(int(newest["last_run"]), int(newest["ingest_batch"]))
+    return State(int(s["last_run"]), int(s["ingest_batch"]), int(newest["seq"]), int(s["epoch"]), newest["set"] and newest["set"]["version"])
 
 
 def read_watermark(spark: SparkSession, warehouse: str) -> int:
     return read_state(spark, warehouse).last_run
 
 
-def save_state(spark: SparkSession, warehouse: str, batch_id: int, state: State, pulls: DataFrame | None = None) -> None:
-    """One row in one file, so watermark and pulls are committed together; ``pulls``: (run, newest_batch, state), one small struct a pull."""
-    row = spark.createDataFrame([(int(batch_id), state.last_run, state.ingest_batch)], "batch_id bigint, last_run bigint, ingest_batch bigint")
+def version_folder(warehouse: str, version: str | None, *parts: str) -> str:
+    """Sets from before there were versions lie in the warehouse folder itself."""
+    return _p(warehouse, *(["versions", version] if version else []), *parts)
+
+
+def published(spark: SparkSession, warehouse: str, *parts: str) -> str:
+    """The folder of a list's table, an export or a sample in the published set; read all of them by one call's version."""
+    return version_folder(warehouse, read_state(spark, warehouse).version, *parts)
+
+
+def save_state(spark: SparkSession, warehouse: str, batch_id: int, state: State, pulls: DataFrame | None = None, version: str | None = None) -> None:
+    """One row in one file, so watermark, pulls and published set are committed together; ``pulls``: (run, newest_batch, state), one small struct a pull."""
+    row = spark.createDataFrame([(int(batch_id), state.last_run, state.ingest_batch, state.seq + 1, state.epoch, version)],
+                                "batch_id bigint, last_run bigint, ingest_batch bigint, seq bigint, epoch bigint, version string")
     if pulls is None:
         done = spark.createDataFrame([([],)], "pulls array<struct<run:string,ingest_batch:bigint,accepted:boolean>>")
     else:
@@ -142,20 +174,30 @@ def save_state(spark: SparkSession, warehouse: str, batch_id: int, state: State,
     row.join(F.broadcast(done)).coalesce(1).write.mode("append").parquet(_p(warehouse, "_state", "watermark"))
 
 
-def exported_pulls(spark: SparkSession, warehouse: str) -> tuple[DataFrame | None, int]:
+def retire_versions(spark: SparkSession, warehouse: str, keep: int) -> None:
+    """Remove what runs that died have left, and published sets but the newest ``keep``."""
+    rows = _state_rows(spark, warehouse).filter("version IS NOT NULL").orderBy(F.desc("seq"))
+    kept = {r["version"] for r in rows.select("version").limit(max(1, keep)).collect()}
+    for name in TB.folder_names(spark, _p(warehouse, "versions")):
+        if name not in kept:
+            TB.delete_path(spark, _p(warehouse, "versions", name))
+
+
+def exported_pulls(spark: SparkSession, warehouse: str, epoch: int = 0) -> tuple[DataFrame | None, int]:
     """Per pull the newest micro-batch exported and whether it was accepted; and the batch up to which runs before pulls had states exported all."""
     rows = _state_rows(spark, warehouse)
     if rows is None:
         return None, -1
+    rows = rows.filter(F.col("epoch") == epoch)
     each = rows.select(F.explode("pulls").alias("p")).groupBy(F.col("p.run").alias("done_run")).agg(
         F.max("p.ingest_batch").alias("done"), F.max("p.accepted").alias("was_accepted"))
     before = rows.filter("pulls IS NULL").agg(F.max("ingest_batch")).first()[0]
     return each, -1 if before is None else int(before)
 
 
-def pulls_of_run(spark: SparkSession, warehouse: str, events_path: str, settings: "RefreshSettings") -> DataFrame | None:
+def pulls_of_run(spark: SparkSession, warehouse: str, events_path: str, settings: "RefreshSettings", epoch: int = 0) -> DataFrame | None:
     """The pulls with their states, staged, and ``done``, the newest micro-batch of each that a run has exported."""
-    exported, before = exported_pulls(spark, warehouse)
+    exported, before = exported_pulls(spark, warehouse, epoch)
     pulls = ST.pull_states(spark, events_path, list(settings.accept_pulls))
     if pulls is None:
         return None
@@ -188,9 +230,17 @@ def events_to_export(events: DataFrame, pulls: DataFrame | None, state: State) -
             .drop("__run", "__done"))
 
 
-def reset(spark: SparkSession, warehouse: str) -> None:
-    """A full refresh starts from no events, no stream checkpoint and no state."""
-    for name in ("events", "events_pages", "events_quarantine", "events_staging", "events_ids", "_checkpoints", "_state"):
+def reset(spark: SparkSession, warehouse: str, batch_id: int = 0) -> None:
+    """A full refresh starts from no events, no stream checkpoint and a state of none.
+
+    The state's new epoch is written first: a run that dies in between has
+    forgotten nothing but what the next one reads again.  A state that can't be
+    read is an error here too; with the folder ``_state`` removed, nothing is published.
+    """
+    if _state_rows(spark, warehouse) is not None:
+        state = read_state(spark, warehouse)
+        save_state(spark, warehouse, batch_id, State(seq=state.seq, epoch=state.epoch + 1))
+    for name in ("events", "events_pages", "events_quarantine", "events_staging", "events_ids", "_checkpoints"):
         TB.delete_path(spark, _p(warehouse, name))
 
 
@@ -279,7 +329,7 @@ def load_dimensions(spark: SparkSession, landing: str, settings: RefreshSettings
 def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: RefreshSettings) -> dict:
     """Entries 1-3 of one run; returns a small summary (counts and watermark)."""
     if settings.full_refresh:
-        reset(spark, warehouse)
+        reset(spark, warehouse, settings.batch_id)
     state = read_state(spark, warehouse)
     last_run = settings.last_run if settings.last_run is not None else state.last_run
     events_path = _p(warehouse, "events")
@@ -293,7 +343,7 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     events = ST.read_events(spark, events_path)
     if events is None:                      # nothing ever landed: an empty, typed table
         events = spark.createDataFrame([], schemas.EVENT).withColumn("ingest_batch", F.lit(None).cast("bigint"))
-    pulls = pulls_of_run(spark, warehouse, events_path, settings)
+    pulls = pulls_of_run(spark, warehouse, events_path, settings, state.epoch)
     if settings.strict or settings.last_run is not None:
         # By date: partition pruning lists and reads only day folders on or after the watermark's day.
         if "event_day" in events.columns:
@@ -315,7 +365,7 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
                                                    else [F.lit(0).alias("page"), F.lit(0).alias("pos")]))
         next_wm = int(INC.next_watermark_strict(arrived, last_run).first()["next_watermark"])
     summary = {"last_run": last_run, "next_watermark": next_wm, "audit_records": int(mark["n"])}
-    done = State(next_wm, max(state.ingest_batch, int(mark["batch"] if mark["batch"] is not None else -1)))
+    done = replace(state, last_run=next_wm, ingest_batch=max(state.ingest_batch, int(mark["batch"] if mark["batch"] is not None else -1)))
     new = new_stored.drop(*[c for c in ST.META_COLUMNS if c in new_stored.columns])
     counted = new.agg(F.count(F.lit(1)).alias("audit_records"))
 
@@ -339,11 +389,14 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
             save_state(spark, warehouse, settings.batch_id, done)
         return summary
 
-    # Entry 2: dimensions, replaced as whole tables.
+    # Everything the run makes goes to a folder of its own, beside the published set.
+    version = f"{settings.batch_id}-{uuid.uuid4().hex[:8]}"
+    home = version_folder(warehouse, version)
+    # Entry 2: dimensions, as whole tables.
     dims = load_dimensions(spark, landing, settings, lists)
     for name, df in dims.items():
-        TB.write_table(df, path=_p(warehouse, name), mode="overwrite")
-    stored = {name: spark.read.parquet(_p(warehouse, name)) for name in dims}
+        TB.write_table(df, path=_p(home, name), mode="overwrite")
+    stored = {name: spark.read.parquet(_p(home, name)) for name in dims}
 
     # Entry 3: report over the new events, numbered in arrival order, exported in chunks.
     # The batch's arrival index (LOAD_ID) is also the export order: one numbering.
@@ -353,15 +406,18 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     numbered = EX.export_report(indexed, dims_t, batch_id=settings.batch_id, tenant_name=settings.tenant_name,
                                 chunk_size=settings.chunk_size, strict=settings.strict,
                                 index_col=None if settings.strict else "index")
-    EX.write_chunks(numbered, _p(warehouse, "exports", REPORT_EXPORT))
+    EX.write_chunks(numbered, _p(home, "exports", REPORT_EXPORT))
     for name, (file_name, acronym) in EXPORTS.items():
         table, key = stored[name], EXPORT_KEYS[name]
         if settings.is_sample(name):
             EX.write_sample(EX.sample(table, key, chunk_size=settings.chunk_size, acronym=acronym),
-                            _p(warehouse, "samples", file_name))
+                            _p(home, "samples", file_name))
         else:
             EX.write_chunks(EX.number_for_export(table, key, settings.chunk_size, acronym, settings.strict),
-                            _p(warehouse, "exports", file_name))
+                            _p(home, "exports", file_name))
+    if not settings.publish:
+        return summary | {"unpublished": home}
     write_log(spark, warehouse, settings, counted)
-    save_state(spark, warehouse, settings.batch_id, done, closed)   # last: commit point
-    return summary
+    save_state(spark, warehouse, settings.batch_id, done, closed, version)   # last: commit point
+    retire_versions(spark, warehouse, settings.keep_versions)
+    return summary | {"version": version}

@@ -59,6 +59,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(conf).delete(where, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder of the shared file system; none where it is missing."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(conf)
+    return [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()] if fs.exists(where) else []
+
+
 def reset_if_full_refresh(spark: SparkSession, table: str, last_run: int, table_drop: bool = False) -> bool:
     """Drop the events table on a full refresh (``last_run == 0``) or on request."""
     if table_drop or last_run == 0:

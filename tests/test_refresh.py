@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from logloom import roles as R
 from logloom import schemas
-from logloom.plans.refresh import RefreshSettings, read_watermark, run_refresh
+from logloom.plans.refresh import RefreshSettings, published, read_watermark, run_refresh
 from logloom.sources import history as HS
 
 SF = "/root/testdata/sf0.001"
@@ -19,9 +19,9 @@ def test_full_then_incremental_refresh(spark, tmp_dir):
     n1 = ev.where(F.col("eventDate") <= split).count()
     assert s1["last_run"] == 0 and s1["audit_records"] == n1
     assert read_watermark(spark, warehouse) == split
-    exported = HS.read_history_chunks(spark, f"{warehouse}/exports/AUDIT_LOG.csv", sep=",", sanitize=False)
+    exported = HS.read_history_chunks(spark, published(spark, warehouse, "exports", "AUDIT_LOG.csv"), sep=",", sanitize=False)
     assert exported.columns == schemas.REPORT_COLUMNS and exported.count() == n1
-    users = HS.read_history_chunks(spark, f"{warehouse}/exports/USER_LIST.csv", sep=",", sanitize=False)
+    users = HS.read_history_chunks(spark, published(spark, warehouse, "exports", "USER_LIST.csv"), sep=",", sanitize=False)
     assert users.columns[0] == "USR_CT" and users.count() == R.r_users(spark, SF).count()
 
     # Second pull overlaps the first by its last page; only new events are reported.
@@ -46,9 +46,9 @@ def test_cli_scope_select_and_samples(spark, tmp_dir):
     summary = main(["--landing", landing, "--warehouse", warehouse, "--tenant", "T", "--batch-id", "7",
                     "--scope", "select", "--combo", f"{models['M2']}:M2", "--target-model", "M3", "--sample", "users"])
     assert summary["audit_records"] == R.r_events(spark, SF).count()
-    actions = spark.read.parquet(f"{warehouse}/actions")
+    actions = spark.read.parquet(published(spark, warehouse, "actions"))
     assert {r.model_id for r in actions.select("model_id").distinct().collect()} <= {"M2", "M3"}
-    sample = spark.read.option("header", True).csv(f"{warehouse}/samples/USER_LIST.csv")
+    sample = spark.read.option("header", True).csv(published(spark, warehouse, "samples", "USER_LIST.csv"))
     assert sample.columns[0] == "USR_CT" and sample.count() == R.r_users(spark, SF).count()
 
 
@@ -64,9 +64,9 @@ def test_refresh_with_missing_lists_and_no_events(spark, tmp_dir):
     PG.land_pages(R.r_users(spark, SF), f"{landing}/users", "Resources", 500, ["id"], envelope="scim")
     s1 = run_refresh(spark, landing, warehouse, RefreshSettings(tenant_name="T", batch_id=2, chunk_size=300))
     assert s1["audit_records"] == ev.count()
-    out = HS.read_history_chunks(spark, f"{warehouse}/exports/AUDIT_LOG.csv", sep=",", sanitize=False)
+    out = HS.read_history_chunks(spark, published(spark, warehouse, "exports", "AUDIT_LOG.csv"), sep=",", sanitize=False)
     assert out.count() == ev.count() and out.where("WORKSPACE_NAME IS NOT NULL").count() == 0
-    assert spark.read.parquet(f"{warehouse}/integrations").count() == 0
+    assert spark.read.parquet(published(spark, warehouse, "integrations")).count() == 0
 
 
 def test_strict_watermark_is_last_row_received_d2(spark, tmp_dir):
@@ -179,3 +179,70 @@ def test_short_lists_hold_the_run_unless_accepted(spark, tmp_dir):
     done = _run(spark, tmp_dir, 2, accept_short_lists=True)
     assert done["audit_records"] == 1 and done["missing_assets"]["lists"] == 5
     assert {(r["model_id"], r["kind"]) for r in done["missing_assets"]["first"]} == {("M1", k) for k in schemas.ASSET_KINDS}
+
+
+def _set(spark, home):
+    """What a published set holds: rows of each table and export, and who exported the report."""
+    report = HS.read_history_chunks(spark, f"{home}/exports/AUDIT_LOG.csv", sep=",", sanitize=False)
+    exports = {n: HS.read_history_chunks(spark, f"{home}/exports/{n}", sep=",", sanitize=False).count() for n in ("AUDIT_LOG.csv", "USER_LIST.csv")}
+    tables = {n: spark.read.parquet(f"{home}/{n}").count() for n in ("users", "models", "act_codes")}
+    return sorted(report.select("AUDIT_ID", "BATCH_ID").collect()), exports, tables
+
+
+def test_a_run_killed_between_two_exports_leaves_the_old_set_whole(spark, tmp_dir, monkeypatch):
+    import pytest
+    from helpers import event
+    from logloom.plans import export as EX
+    from logloom.sources import tables as TB
+
+    base, landing, warehouse = 1_700_000_000_000, f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    user = lambda n: '{"Resources": [%s], "totalResults": %d}' % (", ".join('{"id": "U%d"}' % i for i in range(n)), n)
+    put = lambda text: spark.createDataFrame([(text,)], "value string").write.mode("overwrite").text(f"{landing}/users")
+    _land(spark, [event(i, base + i) for i in range(4)], landing, 1)
+    put(user(2))
+    first = _run(spark, tmp_dir, 1)
+    before = _set(spark, published(spark, warehouse))
+    assert before[1] == {"AUDIT_LOG.csv": 4, "USER_LIST.csv": 2} and before[2]["users"] == 2
+
+    _land(spark, [event(i, base + i) for i in range(4, 9)], landing, 2)
+    put(user(3))
+    write, calls = EX.write_chunks, []
+
+    def dies(*a, **k):
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        calls.append(a)
+        write(*a, **k)
+
+    monkeypatch.setattr(EX, "write_chunks", dies)
+    with pytest.raises(RuntimeError):
+        _run(spark, tmp_dir, 2)
+    monkeypatch.setattr(EX, "write_chunks", write)
+    assert _set(spark, published(spark, warehouse)) == before and read_watermark(spark, warehouse) == base + 3
+    assert len(TB.folder_names(spark, f"{warehouse}/versions")) == 2      # the published one and the dead run's
+
+    second = _run(spark, tmp_dir, 2)
+    assert second["audit_records"] == 5
+    rows, exports, tables = _set(spark, published(spark, warehouse))
+    assert exports == {"AUDIT_LOG.csv": 5, "USER_LIST.csv": 3} and tables["users"] == 3 and {r.BATCH_ID for r in rows} == {"2"}
+    assert _set(spark, f"{warehouse}/versions/{first['version']}") == before      # readers of the old set can end
+    assert set(TB.folder_names(spark, f"{warehouse}/versions")) == {first["version"], second["version"]}
+
+    # A full refresh that dies leaves the set too, and the next run takes all events.
+    monkeypatch.setattr(EX, "write_chunks", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        _run(spark, tmp_dir, 3, full_refresh=True)
+    monkeypatch.setattr(EX, "write_chunks", write)
+    assert _set(spark, published(spark, warehouse))[1] == exports and read_watermark(spark, warehouse) == 0
+    third = _run(spark, tmp_dir, 4, keep_versions=1)
+    assert third["audit_records"] == 9 and TB.folder_names(spark, f"{warehouse}/versions") == [third["version"]]
+
+
+def test_an_unpublished_run_changes_nothing(spark, tmp_dir):
+    from helpers import event
+    base, warehouse = 1_700_000_000_000, f"{tmp_dir}/warehouse"
+    _land(spark, [event(i, base + i) for i in range(4)], f"{tmp_dir}/landing", 1)
+    looked = _run(spark, tmp_dir, 1, publish=False)
+    assert read_watermark(spark, warehouse) == 0 and _set(spark, looked["unpublished"])[1]["AUDIT_LOG.csv"] == 4
+    assert _run(spark, tmp_dir, 2)["audit_records"] == 4
+    assert {r.BATCH_ID for r in spark.read.parquet(f"{warehouse}/refresh_log").collect()} == {2}

@@ -35,6 +35,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--max-files", type=int, default=None, help="landed files per micro-batch")
     p.add_argument("--accept-pull", action="append", default=[], metavar="RUN", help="take this short pull as it is, repeatable")
     p.add_argument("--accept-short-lists", action="store_true", help="go on although a list has delivered less than it announces")
+    p.add_argument("--no-publish", action="store_true", help="write the run's set to look at, commit nothing")
+    p.add_argument("--keep-versions", type=int, default=2, help="published sets kept, the newest included")
     p.add_argument("--strict", action="store_true", help="reproduce the source's behaviour (SURVEY D-n)")
     p.add_argument("--master", default=None, help="only for local runs")
     return p.parse_args(argv)
@@ -49,6 +51,7 @@ def main(argv: list[str] | None = None) -> dict:
         scope_combos=[tuple(c.split(":", 1)) for c in a.combo], target_model=a.target_model,
         samples=tuple(a.sample), strict=a.strict, full_refresh=a.full_refresh, max_files=a.max_files,
         accept_pulls=tuple(a.accept_pull), accept_short_lists=a.accept_short_lists,
+        publish=not a.no_publish, keep_versions=a.keep_versions,
     )
     spark = get_session(a.master)
     summary = run_refresh(spark, a.landing, a.warehouse, settings)

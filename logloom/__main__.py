@@ -16,6 +16,7 @@ import time
 
 from logloom.plans.refresh import RefreshSettings, run_refresh
 from logloom.session import get_session
+from logloom.streaming import compact as CP
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -36,6 +37,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--accept-pull", action="append", default=[], metavar="RUN", help="take this short pull as it is, repeatable")
     p.add_argument("--accept-short-lists", action="store_true", help="go on although a list has delivered less than it announces")
     p.add_argument("--no-publish", action="store_true", help="write the run's set to look at, commit nothing")
+    p.add_argument("--retire-to", default=None, metavar="DIR", help="archive event pages that are done in this folder outside the landing")
+    p.add_argument("--compact-batches", type=int, default=CP.MIN_BATCHES,
+                   help="rewrite so many stored micro-batches to larger files together (0: never)")
     p.add_argument("--keep-versions", type=int, default=2, help="published sets kept, the newest included")
     p.add_argument("--strict", action="store_true", help="reproduce the source's behaviour (SURVEY D-n)")
     p.add_argument("--master", default=None, help="only for local runs")
@@ -52,6 +56,7 @@ def main(argv: list[str] | None = None) -> dict:
         samples=tuple(a.sample), strict=a.strict, full_refresh=a.full_refresh, max_files=a.max_files,
         accept_pulls=tuple(a.accept_pull), accept_short_lists=a.accept_short_lists,
         publish=not a.no_publish, keep_versions=a.keep_versions,
+        retire_to=a.retire_to, compact_batches=a.compact_batches,
     )
     spark = get_session(a.master)
     summary = run_refresh(spark, a.landing, a.warehouse, settings)

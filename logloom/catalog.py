@@ -958,6 +958,7 @@ def q_table_scan(spark, sf_dir):
 
 import datetime as _dt  # noqa: E402
 
+from logloom.streaming import compact as CP  # noqa: E402
 from logloom.streaming import ingest as ST  # noqa: E402
 
 # Two pulls over the event table: the first up to RUN1_END, the second from
@@ -992,6 +993,19 @@ def q_stream_ingest(spark, sf_dir):
     return FL.align_template(FL.flatten_struct(stored), SC.TEMPLATE)
 
 
+@register("stream_compaction", _ev_sql(O.TEMPLATE_SELECT))
+def q_stream_compaction(spark, sf_dir):
+    """ST1: a micro-batch per landed file, done files archived, stored files compacted after each pull; all events as they were."""
+    root, pulls = _land_two_pulls(spark, sf_dir)
+    sink, ckpt, done = shared_dir(spark, "events-table"), shared_dir(spark, "ckpt-ingest"), shared_dir(spark, "landing-done")
+    for path, df in pulls:
+        _pull(path, df)
+        ST.ingest_available(spark, root, sink, ckpt, context="run", max_files=1, retire_to=done)
+        CP.compact(spark, sink, min_batches=1)
+    stored = ST.read_events(spark, sink).drop(*ST.META_COLUMNS)
+    return FL.align_template(FL.flatten_struct(stored), SC.TEMPLATE)
+
+
 _STREAM_REPORT_SQL = O.with_roles(
     f"SELECT * EXCLUDE (__event_ms, BATCH_ID, LOAD_ID, b), {BATCH_ID} + b AS BATCH_ID, "
     "cast(__event_ms // 1000 AS varchar) || printf('%09d', "

@@ -14,6 +14,7 @@ Landing folder (written by whatever pulls the source API)::
 Warehouse folder (shared storage)::
 
     events/          Parquet by event_day/ingest_batch, appended by the streaming ingest (deduplicated)
+    events_segments/ events of many micro-batches, compacted
     versions/<version>/   what one run has made, beside what the runs before it made:
         users/ workspaces/ models/ actions/ files/ integrations/ act_codes/
         exports/<file>/chunk=<n>/   one CSV per chunk
@@ -65,6 +66,7 @@ from logloom.session import shared_dir
 from logloom.sources import codes as CO
 from logloom.sources import pages as PG
 from logloom.sources import tables as TB
+from logloom.streaming import compact as CP
 from logloom.streaming import ingest as ST
 
 
@@ -85,6 +87,8 @@ class RefreshSettings:
     accept_short_lists: bool = False      # go on with lists that have delivered less than they announce
     publish: bool = True                  # False: write the set to look at, commit nothing; the next run takes the same events
     keep_versions: int = 2                # published sets kept, the newest included (readers may still be on the one before)
+    retire_to: str | None = None          # folder outside the landing for event pages that are done; a full refresh puts them back
+    compact_batches: int = CP.MIN_BATCHES  # stored micro-batches that are rewritten to larger files together; 0: never
 
     def is_sample(self, target: str) -> bool:
         return "all" in self.samples or target in self.samples
@@ -213,23 +217,29 @@ def pulls_of_run(spark: SparkSession, warehouse: str, events_path: str, settings
     return spark.read.schema(pulls.schema).parquet(path)
 
 
-def events_to_export(events: DataFrame, pulls: DataFrame | None, state: State) -> DataFrame:
-    """Stored events of closed pulls that no run has exported, late ones too.
-
-    The oldest micro-batch that any of those pulls has new events in is a bound on the partitions read.
-    """
-    if pulls is None:
-        return events.where(F.col("ingest_batch") > state.ingest_batch)
-    ready = pulls.where((F.col("state") != ST.OPEN) & (F.col("newest_batch") > F.col("done")))
-    floor = ready.agg(F.min(F.greatest("done", F.col("first_batch") - 1))).first()[0]
+def events_to_export(events: DataFrame, pulls: DataFrame | None, floor: int | None) -> DataFrame:
+    """Stored events of closed pulls that no run has exported, late ones too."""
     if floor is None:
         return events.where(F.lit(False))
-    ready = ready.select(F.col("run").alias("__run"), F.col("done").alias("__done"))
-    return (events.where(F.col("ingest_batch") > int(floor))
-            .join(bounded_broadcast(ready), F.col("arrival.run").eqNullSafe(F.col("__run")) & (F.col("ingest_batch") > F.col("__done")))
+    new = events.where(F.col("ingest_batch") > int(floor))
+    if pulls is None:
+        return new
+    ready = _ready(pulls).select(F.col("run").alias("__run"), F.col("done").alias("__done"))
+    return (new.join(bounded_broadcast(ready), F.col("arrival.run").eqNullSafe(F.col("__run")) & (F.col("ingest_batch") > F.col("__done")))
             .drop("__run", "__done"))
 
 
+def _ready(pulls: DataFrame) -> DataFrame:
+    return pulls.where((F.col("state") != ST.OPEN) & (F.col("newest_batch") > F.col("done")))
+
+
+def export_floor(pulls: DataFrame | None, state: State) -> int | None:
+    """A bound on the files read: the oldest micro-batch that a pull has new events in comes after it; None if there is none."""
+    if pulls is None:
+        return state.ingest_batch
+    return _ready(pulls).agg(F.min(F.greatest("done", F.col("first_batch") - 1))).first()[0]
+
+
 def reset(spark: SparkSession, warehouse: str, batch_id: int = 0) -> None:
     """A full refresh starts from no events, no stream checkpoint and a state of none.
 
@@ -240,7 +250,7 @@ def reset(spark: SparkSession, warehouse: str, batch_id: int = 0) -> None:
     if _state_rows(spark, warehouse) is not None:
         state = read_state(spark, warehouse)
         save_state(spark, warehouse, batch_id, State(seq=state.seq, epoch=state.epoch + 1))
-    for name in ("events", "events_pages", "events_quarantine", "events_staging", "events_ids", "_checkpoints"):
+    for name in ("events", "events_pages", "events_quarantine", "events_staging", "events_ids", "events_segments", "_checkpoints"):
         TB.delete_path(spark, _p(warehouse, name))
 
 
@@ -330,21 +340,25 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     """Entries 1-3 of one run; returns a small summary (counts and watermark)."""
     if settings.full_refresh:
         reset(spark, warehouse, settings.batch_id)
+        if settings.retire_to:
+            ST.restore_retired(spark, _p(landing, "events"), settings.retire_to)
     state = read_state(spark, warehouse)
     last_run = settings.last_run if settings.last_run is not None else state.last_run
     events_path = _p(warehouse, "events")
     # Entry 1: ingest whatever pages arrived since the last committed batch.
     try:
         ST.ingest_available(spark, _p(landing, "events"), events_path, _p(warehouse, "_checkpoints", "events"),
-                            exact=not settings.strict, context="run", max_files=settings.max_files)
+                            exact=not settings.strict, context="run", max_files=settings.max_files, retire_to=settings.retire_to)
     except AnalysisException as err:        # no event page has ever landed
         if not PG.missing(err):
             raise
-    events = ST.read_events(spark, events_path)
+    pulls = pulls_of_run(spark, warehouse, events_path, settings, state.epoch)
+    by_date = settings.strict or settings.last_run is not None
+    floor = None if by_date else export_floor(pulls, state)
+    events = ST.read_events(spark, events_path, -1 if floor is None else int(floor))
     if events is None:                      # nothing ever landed: an empty, typed table
         events = spark.createDataFrame([], schemas.EVENT).withColumn("ingest_batch", F.lit(None).cast("bigint"))
-    pulls = pulls_of_run(spark, warehouse, events_path, settings, state.epoch)
-    if settings.strict or settings.last_run is not None:
+    if by_date:
         # By date: partition pruning lists and reads only day folders on or after the watermark's day.
         if "event_day" in events.columns:
             first_day = _dt.datetime.fromtimestamp(last_run / 1000, _dt.timezone.utc).date()
@@ -355,7 +369,7 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
             new_stored = new_stored.join(bounded_broadcast(waiting), F.col("arrival.run").eqNullSafe(F.col("__run")), "left_anti")
     else:
         # By arrival: whatever no run has exported of the pulls that are closed, late events too.
-        new_stored = events_to_export(events, pulls, state)
+        new_stored = events_to_export(events, pulls, floor)
     mark = new_stored.agg(F.max("eventDate").alias("newest"), F.count(F.lit(1)).alias("n"), F.max("ingest_batch").alias("batch")).first()
     next_wm = max(last_run, int(mark["newest"] or 0))
     if settings.strict:
@@ -420,4 +434,6 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str, settings: Ref
     write_log(spark, warehouse, settings, counted)
     save_state(spark, warehouse, settings.batch_id, done, closed, version)   # last: commit point
     retire_versions(spark, warehouse, settings.keep_versions)
+    if settings.compact_batches and CP.compact(spark, events_path, done.ingest_batch, settings.compact_batches) and not settings.strict:
+        ST.compact_ids(spark, events_path)
     return summary | {"version": version}

@@ -246,3 +246,18 @@ def test_an_unpublished_run_changes_nothing(spark, tmp_dir):
     assert read_watermark(spark, warehouse) == 0 and _set(spark, looked["unpublished"])[1]["AUDIT_LOG.csv"] == 4
     assert _run(spark, tmp_dir, 2)["audit_records"] == 4
     assert {r.BATCH_ID for r in spark.read.parquet(f"{warehouse}/refresh_log").collect()} == {2}
+
+
+def test_runs_over_compacted_events_and_retired_pages(spark, tmp_dir):
+    """Every run compacts and archives; each event is exported once, and a full refresh finds all pages again."""
+    from helpers import event
+    from logloom.streaming import compact as CP
+
+    how = {"compact_batches": 1, "retire_to": f"{tmp_dir}/done", "max_files": 1}
+    base = 1_700_000_000_000
+    for n in range(2):
+        _land(spark, [event(i, base + i) for i in range(n * 4, n * 4 + 6)], f"{tmp_dir}/landing", n + 1)
+        assert _run(spark, tmp_dir, n + 1, **how)["audit_records"] == (6 if n == 0 else 4)
+    assert CP.segments(spark, f"{tmp_dir}/warehouse/events") and spark.read.option("recursiveFileLookup", True).text(f"{tmp_dir}/done").count()
+    assert _run(spark, tmp_dir, 3, **how)["audit_records"] == 0
+    assert _run(spark, tmp_dir, 4, full_refresh=True, **how)["audit_records"] == 10

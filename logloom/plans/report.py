@@ -16,7 +16,7 @@ extra probe of the fact table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from logloom import schemas
 from logloom.functions.text import epoch_text, load_id
 from logloom.operators.dimensions import unique_on
-from logloom.operators.joins import (DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast,
+from logloom.operators.joins import (DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, hot_keys,
                                      bounded_broadcast_all, left_join, null_salted, prefixed)
 
 
@@ -76,6 +76,7 @@ class PreparedDims:
     broadcast: dict[str, bool]            # which passed the size check
     cw_model_name: Column
     strict: bool
+    hot: dict[tuple[str, ...], list[tuple]] = field(default_factory=dict)   # of shuffle joins: hot values of their keys
 
 
 # The dimensions by short name: table, key columns, further columns, prefix.
@@ -147,7 +148,21 @@ def integration_model_names(integrations: DataFrame, models: DataFrame, how: str
 # --- enrichment steps: each adds one dimension's columns to the flat events ---
 
 def _join(ev: DataFrame, d: PreparedDims, name: str, pairs: list[tuple[str, str]]) -> DataFrame:
-    return left_join(ev, d.frames[name], pairs, broadcast=d.broadcast[name], salt_col="id")
+    return left_join(ev, d.frames[name], pairs, broadcast=d.broadcast[name], salt_col="id", hot=d.hot.get(tuple(fc for fc, _ in pairs)))
+
+
+# The event columns that each dimension is joined on.
+_EVENT_KEYS = {"u": ("userId",), "u2": ("objectId",), "m2": ("objectId",), "cw": ("objectId",), "a": ("aa_actionId", "objectId"),
+               "w": ("aa_workspaceId",), "m": ("aa_modelId",), "ac": ("eventTypeId",)}
+
+
+def with_hot_keys(d: PreparedDims, ev: DataFrame) -> PreparedDims:
+    """The dimensions with the hot values of the keys of those that are too large to broadcast; nothing is read if there are none.
+
+    Strict dimensions may repeat a key, so that a hot value's rows have no bound: there AQE splits what is skewed.
+    """
+    keys = sorted({_EVENT_KEYS[n] for n, small in d.broadcast.items() if not small})
+    return d if d.strict or not keys else replace(d, hot=hot_keys(ev, keys))
 
 
 def join_actor(ev: DataFrame, d: PreparedDims) -> DataFrame:
@@ -269,6 +284,7 @@ def audit_report(events: DataFrame, dims: Dimensions, *, batch_id: int, tenant_n
     """
     d = prepare_dims(dims, strict, broadcast_max_rows)
     j = flat_events(events, last_run, strict, carry)
+    d = with_hot_keys(d, j)
     # Joins on the same key sit together (u2, m2, cw all on objectId).
     for step in (join_actor, join_object_user, join_object_model, join_integration,
                  join_action, join_workspace, join_model, join_activity_code):

@@ -31,7 +31,7 @@ RANGE_ROWS, LEAST_ROWS = 500_000, 1_000
 #: The bounds and counts that pass through the driver, and sampled keys a bound.
 MAX_RANGES, SAMPLE = 4_096, 32
 
-_RANGE = "__range"
+_RANGE, _KEY = "__range", "__key"
 
 
 def _col(name: str) -> Column:
@@ -55,9 +55,19 @@ class Ranges:
         return [0, *accumulate(self.counts)]
 
     def number(self) -> Column:
-        """The row's range: a binary search among the bounds."""
+        """The row's range as one expression, for a filter: a binary search among the bounds."""
         return _search([self._literal(b) for b in self.bounds], _key(self.order_cols))
 
+    def numbered(self, df: DataFrame) -> DataFrame:
+        """``df`` with its rows' ranges.  Each step of the search is a column of its own, so all of it is compiled, at any number of ranges."""
+        if not self.bounds:
+            return df.withColumn(_RANGE, F.lit(0))
+        every = F.array(*map(self._literal, self.bounds))
+        out = df.withColumns({_KEY: _key(self.order_cols), _RANGE: F.lit(0)})
+        for step in _steps(len(self.bounds)):
+            out = out.withColumn(_RANGE, F.col(_RANGE) + F.when(F.get(every, F.col(_RANGE) + (step - 1)) <= F.col(_KEY), step).otherwise(0))
+        return out.drop(_KEY)
+
     def start(self, number: Column) -> Column:
         return F.get(F.array(*[F.lit(s).cast("bigint") for s in self.starts]), number)
 
@@ -65,13 +75,16 @@ class Ranges:
         return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(bound, self.types))])
 
 
+def _steps(bounds: int) -> list[int]:
+    return [1 << k for k in range(bounds.bit_length() - 1, -1, -1)]
+
+
 def _search(bounds: list[Column], key: Column) -> Column:
     """How many of the ascending ``bounds`` are at most ``key``."""
     if not bounds:
         return F.lit(0)
-    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
     every = F.array(*bounds)
-    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0),
+    return F.aggregate(F.array(*map(F.lit, _steps(len(bounds)))), F.lit(0),
                        lambda at, step: F.when(F.get(every, at + step - 1) <= key, at + step).otherwise(at))
 
 
@@ -93,7 +106,7 @@ def key_ranges(df: DataFrame, order_cols: list[str], num_ranges: int | None = No
         if sample and (not bounds or sample[n * len(sample) // num_ranges] != bounds[-1]):
             bounds.append(sample[n * len(sample) // num_ranges])
     ranges = Ranges(order_cols, types, bounds, [])
-    found = {r[_RANGE]: r["count"] for r in keys.select(ranges.number().alias(_RANGE)).groupBy(_RANGE).count().collect()}
+    found = {r[_RANGE]: r["count"] for r in ranges.numbered(keys).groupBy(_RANGE).count().collect()}
     ranges.counts = [found.get(n, 0) for n in range(len(bounds) + 1)]
     return ranges
 
@@ -101,8 +114,8 @@ def key_ranges(df: DataFrame, order_cols: list[str], num_ranges: int | None = No
 def _indexed(df: DataFrame, ranges: Ranges, out_col: str) -> DataFrame:
     inside = Window.partitionBy(_RANGE).orderBy(*map(_col, ranges.order_cols))
     rank = F.row_number().over(inside) - 1
-    return df.withColumn(_RANGE, ranges.number()).select(*[F.col(f"`{c}`") for c in df.columns],
-                                                        (ranges.start(F.col(_RANGE)) + rank).alias(out_col))
+    return ranges.numbered(df).select(*[F.col(f"`{c}`") for c in df.columns],
+                                       (ranges.start(F.col(_RANGE)) + rank).alias(out_col))
 
 
 def row_index(df: DataFrame, order_cols: list[str], out_col: str = "index",

@@ -55,7 +55,8 @@ def read_history_chunks(spark: SparkSession, path: str, sep: str = "\t", sanitiz
     names = sanitize_column_names(names) if sanitize else names
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField("chunk", T.LongType())])
-    first = _csv(spark, sep).schema(schema).option("header", True).csv(path).where(F.col("chunk") == 0)
+    # chunk 0's folder is listed alone; all folders are listed once, for the others
+    first = _csv(spark, sep).schema(schema).option("header", True).option("basePath", path).csv(f"{path.rstrip('/')}/chunk=0")
     rest = _csv(spark, sep).schema(schema).option("header", False).csv(path).where(F.col("chunk") != 0)
     both = first.unionByName(rest)
     return both if keep_chunk else both.drop("chunk")

@@ -85,3 +85,14 @@ def test_chunk_files_round_trip_quoting(spark, tmp_dir):
     assert got == [(i + 1, rid, v) for i, (rid, v) in enumerate(rows)]
     first = open(glob.glob(os.path.join(tmp_dir.removeprefix("file:"), "chunk=0", "part-*"))[0]).read()
     assert '"a,""b"""' in first                               # RFC 4180: quotes doubled
+
+
+def test_range_search_is_compiled(spark):
+    """No lambda is interpreted row by row, in the counts or in the numbering, however many ranges there are."""
+    d = spark.range(0, 20000).select((F.col("id") % 971).alias("k"), F.col("id").alias("t"))
+    ranges = key_ranges(d, ["k", "t"], 200)
+    assert len(ranges.bounds) > 150 and sum(ranges.counts) == 20000
+    numbered = row_index(d, ["k", "t"], num_partitions=200)
+    assert "lambda" not in numbered._jdf.queryExecution().optimizedPlan().toString()
+    want = d.select("k", "t", (F.row_number().over(Window.orderBy("k", "t")) - 1).cast("long").alias("index"))
+    assert numbered.exceptAll(want).count() == 0 and numbered.count() == 20000

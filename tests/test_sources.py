@@ -35,6 +35,23 @@ def test_event_pages_round_trip_and_reconciliation(spark, tmp_dir):
     assert [r.page for r in last] == [2]
 
 
+def test_landed_pages_are_compressed_and_read_by_batch_and_stream(spark, tmp_dir):
+    from logloom.streaming import ingest as ST
+
+    evs = events_df(spark, [event(i, 1_700_000_000_000 + i, aa_modelId=f"M{i % 3}") for i in range(400)])
+    PG.land_pages(evs.drop("index"), f"{tmp_dir}/pages/run=1", "response", 10, ["eventDate", "id"], envelope="events")
+    files = [os.path.join(d, f) for d, _, names in os.walk(local(f"{tmp_dir}/pages")) for f in names if f.startswith("part-")]
+    text = sum(len(r.doc) for r in PG.landed(spark, f"{tmp_dir}/pages").collect())
+    assert len(files) == 5 and sum(map(os.path.getsize, files)) * 4 < text
+    # whole files and files read by line alike
+    by_line = PG.landed(spark, files, large=files, whole_file=0)
+    assert sorted(r.doc for r in by_line.collect()) == sorted(r.doc for r in PG.landed(spark, f"{tmp_dir}/pages").collect())
+    ST.ingest_available(spark, f"{tmp_dir}/pages", f"{tmp_dir}/events", f"{tmp_dir}/ckpt", context="run")
+    stored, scanned = spark.read.parquet(f"{tmp_dir}/events"), PG.read_event_pages(spark, f"{tmp_dir}/pages")
+    for rows in (stored, scanned):
+        assert rows.count() == 400 and rows.select("id").distinct().count() == 400
+
+
 def test_multiline_pretty_page_and_drift(spark, tmp_dir):
     path = local(tmp_dir)
     os.makedirs(os.path.join(path, "page=0"))

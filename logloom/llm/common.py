@@ -8,6 +8,7 @@ from logloom.session import shared_dir
 
 #: The white space that the contracts name, as a Java, Python and RE2 pattern.
 SPACE = r"[\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +19,18 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of Parquet files, never
-    the work that made them, and each reader sees the same rows.
+    the work that made them, and each reader sees the same rows.  The shuffle
+    files of that work go with the write; Spark else keeps them until the
+    driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from logloom.llm.common import staged
+from logloom.llm.common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,7 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
     stars = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = None
     while (now := _sum(stars)) != before:
-        before, stars = now, staged(_round(stars), "stars")
+        last = stars
+        before, stars = now, staged(_round(last), "stars")
+        discard(last)
     return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(stars.select("b", "b").distinct())
 
 

@@ -25,12 +25,14 @@ same result; an empty table gives no rows; all columns of the documents are kept
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from logloom.llm.common import free_name, quoted, staged, table, text_or_empty
+from logloom.llm.common import discard, free_name, quoted, staged, table, text_or_empty
 from logloom.llm.components import components
 from logloom.llm.decontaminate import codes, grams
 
@@ -82,9 +84,27 @@ def shingles(line: str) -> set[str]:
     return {line[i:i + Q] for i in range(len(line) - Q + 1)} or {line}
 
 
+@lru_cache(1024)
+def packed(line: str) -> np.ndarray | None:
+    """The line's distinct shingles, sorted, the eight characters of each as one number; None where they don't fit in 8 bits each."""
+    try:
+        data = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    if len(data) < Q:
+        return None
+    x = np.sort(np.ndarray(len(data) - Q + 1, "<u8", data, 0, (1,)))
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
 def jaccard(a: str, b: str) -> float:
-    x, y = shingles(a), shingles(b)
-    both = len(x & y)
+    x, y = packed(a), packed(b)
+    if x is None or y is None:
+        x, y = shingles(a), shingles(b)
+        both = len(x & y)
+    else:
+        z = np.sort(np.concatenate([x, y]))
+        both = int(np.count_nonzero(z[1:] == z[:-1]))
     return both / (len(x) + len(y) - both)
 
 
@@ -133,27 +153,73 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 class _Part:
-    """Lines as sets of bits over their own shingles."""
-
-    def __init__(self, rows: list[tuple], lines: list[set[str]]):
-        self.n, self.root, _ = zip(*rows)
-        self.number: dict[str, int] = {}
-        sets = [[self.number.setdefault(x, len(self.number)) for x in line] for line in lines]
+    """Lines as sets of bits over their shingles.
+
+    Among themselves only the shingles that several of them hold are needed;
+    over all of them the bits are laid out once lines of elsewhere come.
+    """
+
+    def __init__(self, rows: list[tuple], component: list[int]):
+        self.n, _, texts = zip(*rows)
+        self.component = np.array(component, np.int64)
+        sets = [packed(x) for x in texts]
+        self.fits = all(x is not None for x in sets)
+        if self.fits:
+            self.known, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        else:
+            self.known = {}
+            sets = [[self.known.setdefault(x, len(self.known)) for x in shingles(line)] for line in texts]
+            number = np.concatenate([np.array(x, np.int64) for x in sets])
+            times = np.bincount(number)
         self.size = np.array([len(x) for x in sets])
-        self.words = len(self.number) // 64 + 1
-        self.bits = np.stack([self._packed(x) for x in sets])
-
-    def _packed(self, numbers: list[int]) -> np.ndarray:
-        row = np.zeros(self.words * 64, bool)
-        row[numbers] = True
-        return np.packbits(row).view(np.uint64)
-
-    def near(self, line: set[str], upto: int | None = None) -> list[int]:
-        """The lines (before ``upto``) whose exact similarity to this one is LEAST or more."""
-        get = self.number.get
-        own = self._packed([k for x in line if (k := get(x)) is not None])
-        both = np.bitwise_count(self.bits[:upto] & own).sum(1, dtype=np.int64)
-        return np.flatnonzero(both >= LEAST * (self.size[:upto] + len(line) - both)).tolist()
+        self.sets = np.split(number, np.cumsum(self.size)[:-1])
+        several = times > 1
+        place = np.cumsum(several) - 1
+        self.own = _bits([place[x[several[x]]] for x in self.sets], int(several.sum()))
+        self.bits = None
+
+    def _numbers(self, line: str) -> tuple[list[int] | np.ndarray, int]:
+        """The numbers of the line's shingles that these lines hold, and how many it has."""
+        if not self.fits:
+            line = shingles(line)
+            return [k for x in line if (k := self.known.get(x)) is not None], len(line)
+        if (x := packed(line)) is None:
+            own = shingles(line)
+            size = len(own)  # a line that doesn't fit may hold shingles that do
+            x = np.array([int.from_bytes(b, "little") for y in own if len(y) == Q and (b := y.encode("latin-1", "ignore")) and len(b) == Q], np.uint64)
+        else:
+            size = len(x)
+        at = np.minimum(np.searchsorted(self.known, x), len(self.known) - 1)
+        return at[self.known[at] == x], size
+
+    def _near(self, bits: np.ndarray, own: np.ndarray, size: int, at: np.ndarray) -> list[int]:
+        both = np.bitwise_count(bits[at] & own).sum(1, dtype=np.int64)
+        return at[both >= LEAST * (self.size[at] + size - both)].tolist()
+
+    def near_before(self, i: int, component: int) -> list[int]:
+        """The lines before ``i``, of other components, whose exact similarity to it is LEAST or more."""
+        at = np.flatnonzero(self.component[:i] != component)
+        return self._near(self.own, self.own[i], self.size[i], at) if len(at) else []
+
+    def near(self, line: str, component: int) -> list[int]:
+        """The same for a line of elsewhere."""
+        at = np.flatnonzero(self.component != component)
+        if not len(at):
+            return []
+        if self.bits is None:
+            self.bits = _bits(self.sets, len(self.known))
+        numbers, size = self._numbers(line)
+        return self._near(self.bits, _bits([numbers], len(self.known))[0], size, at)
+
+
+def _bits(sets: list, count: int) -> np.ndarray:
+    out = np.zeros((len(sets), count // 64 + 1), np.uint64)
+    row = np.zeros(out.shape[1] * 64, bool)
+    for k, x in enumerate(sets):
+        row[x] = True
+        out[k] = np.packbits(row).view(np.uint64)
+        row[x] = False
+    return out
 
 
 class _Bucket:
@@ -169,13 +235,13 @@ class _Bucket:
             while upto < len(rows) and (upto == at or upto - at < BLOCK and chars + len(rows[upto][2]) <= PART_CHARS):
                 chars += len(rows[upto][2])
                 upto += 1
-            lines = [shingles(text) for _, _, text in rows[at:upto]]
-            part = _Part(rows[at:upto], lines)
-            for i, ((n, root, _), line) in enumerate(zip(rows[at:upto], lines)):
-                for before in self.parts:
-                    self._link(n, root, before, before.near(line))
-                self._link(n, root, part, part.near(line, i))
+            own, before = rows[at:upto], list(self.parts)
+            part = _Part(own, [self._find(root) for _, root, _ in own])
             self.parts.append(part)
+            for i, (n, root, text) in enumerate(own):
+                for other in before:
+                    self._link(n, root, other, other.near(text, self._find(root)))
+                self._link(n, root, part, part.near_before(i, self._find(root)))
             at = upto
 
     def _find(self, x: int) -> int:
@@ -185,16 +251,17 @@ class _Bucket:
 
     def _link(self, n: int, root: int, part: _Part, near: list[int]) -> None:
         for j in near:
-            a, b = self._find(root), self._find(part.root[j])
+            a, b = self._find(root), int(part.component[j])
             if a != b:
                 self.up[max(a, b)] = min(a, b)
                 self.links.append((n, part.n[j]))
+                for x in self.parts:
+                    x.component[x.component == max(a, b)] = min(a, b)
 
     def meet(self, rows: list[tuple]) -> None:
         for n, root, text in rows:
-            line = shingles(text)
             for part in self.parts:
-                self._link(n, root, part, part.near(line))
+                self._link(n, root, part, part.near(text, self._find(root)))
 
 
 def _look_again(batches):
@@ -229,7 +296,9 @@ def _look_again(batches):
 
 def _across(members: DataFrame, failed: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between components that meet in a bucket whose least line is not near to all of it."""
-    classes = staged(components(links).toDF("n", "root"), "line-components")
+    found = components(links).toDF("n", "root")
+    classes = staged(found, "line-components")
+    discard(found)
     # the least line has been held against all of its bucket; what is open are pairs of others
     again = members.join(members.join(failed, ["n", "least"]).select("h").distinct(), "h", "left_semi").filter("n <> least")
     again = again.join(classes, "n", "left").select("h", "n", F.coalesce("root", "n").alias("root"))
@@ -245,13 +314,14 @@ def _across(members: DataFrame, failed: DataFrame, links: DataFrame, texts: Data
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line that isn't blank: id, own (the text's hash), line, root (its class)."""
+    """One row per line that isn't blank: id, own (the text's hash), line, root (its class); staged."""
     kind, seed = docs.schema[id_col].dataType.simpleString(), 0
     while True:
         signed = staged(docs.select(id_col, text_col).mapInArrow(
             lambda bs, seed=seed: _sign(bs, seed), f"id {kind}, own long, line int, n long, proof long, bands array<long>, norm string"), "lines", compression="zstd")
         if signed.groupBy("n").agg(F.min("proof").alias("a"), F.max("proof").alias("b")).filter("a <> b").isEmpty():
             break
+        discard(signed)
         seed += 1
     bucket = Window.partitionBy("h")
     members = staged(signed.filter("bands is not null").select("n", F.explode("bands").alias("h"))
@@ -266,12 +336,16 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not failed.isEmpty():
         links = links.union(_across(members, failed, links, texts))
     classes = components(links).toDF("n", "root")
-    return signed.select("id", "own", "line", "n").join(classes, "n", "left").select("id", "own", "line", F.coalesce("root", "n").alias("root"))
+    rows = signed.select("id", "own", "line", "n").join(classes, "n", "left").select("id", "own", "line", F.coalesce("root", "n").alias("root"))
+    rows = staged(rows, "line-classes")
+    for used in (signed, members, texts, held, classes):
+        discard(used)
+    return rows
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs``, the text without its removed lines, and last the removed lines' positions."""
-    rows = staged(line_classes(docs, id_col, text_col), "line-classes")
+    rows = line_classes(docs, id_col, text_col)
     place = F.struct(F.col("id").isNull().alias("last"), "id", "own", "line")
     first = rows.groupBy("root").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
     gone = (rows.join(first, "root").filter(place != F.col("first"))
@@ -281,7 +355,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = gone.toDF(of_id, of_text, name)
     text = text_or_empty(text_col)
     joined = docs.join(gone, docs[id_col].eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_text)), "left")
-    lines = F.split(text, "\n", -1)
+    # a column of its own, else the text would be split again for each line taken
+    lines = free_name(joined.columns, "removed_from_lines")
+    joined = joined.withColumn(lines, F.when(F.col(name).isNotNull(), F.split(text, "\n", -1)))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(name))
     kept = F.when(F.col(name).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
     return joined.select(*(kept.alias(c) if c == text_col else F.col(quoted(c)) for c in docs.columns),

@@ -1,15 +1,19 @@
 """SimHash, components and line dedup against brute force."""
 
+import pathlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from logloom.llm import line_dedup, queries, simhash
+from logloom.llm import common, line_dedup, queries, simhash
 from logloom.llm.common import table
 from logloom.llm.components import components
+from logloom.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -217,3 +221,54 @@ def test_line_dedup_links_beyond_a_buckets_least_line(spark):
     twice = line_dedup.dedup_lines(spark.createDataFrame([(1, "a line\na line"), (1, "a line\na line"), (None, "a line")], DOC)).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in twice) == [(0, ""), (1, "a line"), (1, "a line")]
     assert line_dedup.dedup_lines(given.limit(0)).count() == 0
+
+
+def test_packed_shingles_give_the_similarity_of_their_sets():
+    """Lines of 8-bit characters, beyond them, short ones and ones with zeros: the packed form is the exact set."""
+    rng = random.Random(5)
+    lines = ["abc", "abcdefgh", "\0abcdefgh", "äöüß" * 5]
+    for k in range(40):
+        line = rng.choices("abäö\0" + "Ω日" * (k % 3 == 0), k=rng.randrange(4, 60))
+        lines += ["".join(line), "".join(line[:-1]) + "x"]
+    near = {}
+    for i, a in enumerate(lines):
+        for j, b in enumerate(lines):
+            x, y = line_dedup.shingles(a), line_dedup.shingles(b)
+            near[i, j] = len(x & y) >= 0.8 * len(x | y)
+            assert line_dedup.jaccard(a, b) == len(x & y) / len(x | y)
+    for some in ([k for k, x in enumerate(lines) if line_dedup.packed(x) is not None], range(len(lines))):
+        part = line_dedup._Part([(k, k, lines[k]) for k in some], list(some))
+        for i in range(len(lines)):
+            assert [part.n[j] for j in part.near(lines[i], -1)] == [j for j in some if near[i, j]]
+        for place, i in enumerate(some):
+            assert [part.n[j] for j in part.near_before(place, -1)] == [j for j in some if j < i and near[i, j]]
+
+
+def test_a_texts_lines_are_split_once(spark):
+    """The text is split in a column of its own, not again for each line that stays."""
+    out = line_dedup.dedup_lines(spark.createDataFrame([(1, "a\nb\na"), (2, "b\nc")], DOC))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and "lambda" in plan
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, "a\nb"), (2, "c")]
+
+
+def test_line_dedup_leaves_only_its_rows_on_disk(spark):
+    """Staged tables go once the rows of lines stand, and shuffle files with the write that used them."""
+    base = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "logloom"
+    had = set(base.iterdir()) if base.exists() else set()
+    docs = spark.createDataFrame([(k, f"a line of text that comes again and again {k % 3}\nb{k}") for k in range(30)], DOC)
+    rows = line_dedup.line_classes(docs)
+    left = [p.name.rsplit("-", 1)[0] for p in base.iterdir() if p not in had and any(p.rglob("*.parquet"))]
+    assert left == ["line-classes"] and rows.count() == 60
+
+
+def test_staging_clears_its_shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {p for d in folders for p in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
+    before = files()
+    made = common.staged(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "some")
+    assert made.count() == 7 and spark.conf.get(common.CLEANUP, "false") == "false"
+    deadline = time.time() + 20
+    while len(files() - before) > 2 and time.time() < deadline:  # made.count() has one shuffle of its own
+        time.sleep(0.2)
+    assert len(files() - before) <= 2

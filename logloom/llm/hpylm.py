@@ -19,7 +19,7 @@ from pyspark.sql import Column, functions as F
 
 FOLDS, HELD_OUT = 7, 2
 #: The end token; no word holds a newline.
-END = "\n"
+END = b"\n"
 BURN, KEPT = 1, 3
 STRENGTH = 1.0
 EXACT = 24
@@ -29,10 +29,9 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def tokens(text: str | None) -> list[str]:
+def tokens(text: str | None) -> list[bytes]:
     """bytes.lower() and bytes.split() work on A-Z and on the six ASCII spaces alone."""
-    words = b" ".join((text or "").encode().lower().split()).decode()
-    return [*words.split(" "), END] if words else [END]
+    return [*(text or "").encode().lower().split(), END]
 
 
 # --- seating -----------------------------------------------------------------

@@ -154,3 +154,30 @@ def test_held_out_text_gains_from_the_previous_word(spark):
     """The last character alone gives some -3.2 a token (log10)."""
     rows = [r for r in queries.QUERIES["op3_hpylm"](spark, LARGER).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows) > -3.0
+
+
+def some_texts():
+    rng = np.random.default_rng(3)
+    return [(int(k), " ".join(f"w{x}" for x in rng.zipf(1.3, 400) % 3000)) for k in range(100)] + [(None, None), (5, "w1 w2"), (5, "w1 w2"), (200, "new words")]
+
+
+def test_chunks_and_buckets_do_not_matter(spark, monkeypatch):
+    docs = spark.createDataFrame(some_texts(), DOC).repartition(3)
+    got = []
+    for chunk, bucket, turns in ((2_000_000, 500_000, 2), (900, 700, 3)):
+        for name, value in (("CHUNK", chunk), ("BUCKET", bucket), ("SLICES", turns)):
+            monkeypatch.setattr(hpylm_words, name, value)
+        out = hpylm_words.score(docs, hpylm_words.learn(docs.filter("doc_id % 7 < 5 or doc_id is null")))
+        got.append(sorted(([str(r["id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)] for r in out.collect())))
+    assert got[0] == got[1] and len(got[0]) == 104
+
+
+def test_no_row_for_each_pair_of_a_document(spark, monkeypatch):
+    """Rows are made by chunk and bucket; a row per pair and document took over four times the input of disk."""
+    docs = spark.createDataFrame(some_texts(), DOC).repartition(2)
+    tables = []
+    monkeypatch.setattr(hpylm_words, "discard", lambda df: None)
+    monkeypatch.setattr(hpylm_words, "staged", lambda *a, before=hpylm_words.staged: tables.append(before(*a)) or tables[-1])
+    out = hpylm_words.score(docs, hpylm_words.learn(docs))
+    assert sum(r["n_tokens"] for r in out.collect()) == 100 * 401 + 1 + 3 + 3 + 3
+    assert len(tables) > 3 and max(t.count() for t in tables) < 200

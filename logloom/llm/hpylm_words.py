@@ -257,9 +257,21 @@ def _distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code[first], of, n
 
 
-def _pairs(words: bytes, tokens_: bytes) -> Pairs:
-    (words,), (w_of, *given) = unpacked(words), unpacked(tokens_)
-    u_of = given[0] if given else np.concatenate([[np.searchsorted(words, np.uint64(xxhash.xxh64_intdigest(END)))], w_of[:-1]])  # texts end with END
+def _learnt(chunk) -> tuple[np.ndarray, np.ndarray]:
+    """The words and the tokens of the documents that are not held out."""
+    (words,), (tokens_,), (lengths,) = (unpacked(chunk[c]) for c in ("words", "tokens", "lengths"))
+    tokens_ = tokens_[np.repeat(~np.array(chunk["held"], bool), lengths)]
+    used = np.bincount(tokens_, minlength=len(words)) > 0
+    return words[used], (np.cumsum(used) - 1)[tokens_]
+
+
+def _asked(chunk) -> tuple[np.ndarray, ...]:
+    return unpacked(chunk["words"])[0], *unpacked(chunk["tokens"])
+
+
+def _pairs(words: np.ndarray, w_of: np.ndarray, u_of: np.ndarray | None = None) -> Pairs:
+    if u_of is None:  # texts end with END
+        u_of = np.concatenate([[np.searchsorted(words, np.uint64(xxhash.xxh64_intdigest(END)))], w_of[:-1]])[:len(w_of)]
     code, of, n = _distinct(u_of * len(words) + w_of)
     u, w = np.divmod(code, max(1, len(words)))
     key, check = _pair_keys(words[u], words[w])
@@ -317,7 +329,9 @@ def _count(bucket: int, got):
 def _shared_out(chunk, answers, buckets: int):
     """What a chunk knows of its words, and the pairs seen twice or more whose tables it is to draw."""
     number = chunk["chunk"]
-    p = _pairs(chunk["words"], chunk["tokens"])
+    p = _pairs(*_learnt(chunk))
+    if not answers:
+        return
     n, mine = _joined([a["data"] for a in sorted(answers, key=lambda a: a["origin"])])
     mine = mine > 0
     once, many = mine & (n == 1), mine & (n > 1)
@@ -353,21 +367,28 @@ def _told(bucket: int, got, state: list[np.ndarray]):
 
 def learn(docs: DataFrame, text_col: str = "text") -> Model:
     chunks = staged(_chunks(docs.select(F.lit(0).alias("id"), F.lit(False).alias("h"), text_col)), "lm-chunks", "zstd")
+    model = _learn(chunks)
+    discard(chunks)
+    return model
+
+
+def _learn(chunks: DataFrame) -> Model:
+    """From the documents of the chunks that are not held out."""
     size, entries = sizes = _sizes(chunks)
+    chunks = chunks.select("chunk", "held", "lengths", "words", "tokens")
     pair_buckets, buckets = _buckets(size), _buckets(entries)
 
     def asked(chunk):
-        p = _pairs(chunk["words"], chunk["tokens"])
+        p = _pairs(*_learnt(chunk))
         for b, data in _dealt(p.key, pair_buckets, p.key, p.check, p.n):
             yield b, ASKED, chunk["chunk"], data
 
-    pairs = staged(_by_key(_mapped(chunks.select("chunk", "words", "tokens"), asked), _count), "lm-pairs", "zstd")
+    pairs = staged(_by_key(_mapped(chunks, asked), _count), "lm-pairs", "zstd")
 
     def share(chunk, answers):
         return pa.Table.from_batches([_batch(list(_shared_out(chunk.to_pylist()[0], answers.to_pylist(), buckets)))])
 
-    shared = staged(chunks.select("chunk", "words", "tokens").groupBy("chunk").cogroup(_of(pairs, ANSWER).groupBy("key")).applyInArrow(share, ROW), "lm-shares", "zstd")
-    discard(chunks)
+    shared = staged(chunks.groupBy("chunk").cogroup(_of(pairs, ANSWER).groupBy("key")).applyInArrow(share, ROW), "lm-shares", "zstd")
     words = staged(_by_key(_of(shared, COUNTS, LINK), _first_words), "lm-words", "zstd")
     n, v, once, top_once, top_twice, types = (_stats(words).get(k, 0) for k in range(6))
     seen = _stats(pairs)
@@ -454,7 +475,7 @@ def _answers(chunks: DataFrame, model: Model) -> DataFrame:
     out = None
     for turn in range(SLICES):
         def asked(chunk, turn=turn):
-            p = _pairs(chunk["words"], chunk["tokens"])
+            p = _pairs(*_asked(chunk))
             for b, data in _dealt(p.key, pair_buckets, p.key, p.check):
                 if b % SLICES == turn:
                     yield b, ASKED, chunk["chunk"], data
@@ -497,7 +518,7 @@ def _finished(chunks: DataFrame, model: Model, of, schema: str) -> DataFrame:
     shared = model.shape, model.top
 
     def run(chunk, answers):
-        p = _pairs(chunk.column("words")[0].as_py(), chunk.column("tokens")[0].as_py())
+        p = _pairs(*_asked({c: chunk.column(c)[0].as_py() for c in ("words", "tokens")}))
         return pa.table(of(chunk, p, *_log_p(p, answers.to_pylist(), shared)))
 
     return chunks.groupBy("chunk").cogroup(_answers(chunks, model).groupBy("key")).applyInArrow(run, schema)
@@ -522,6 +543,14 @@ def log_probabilities(wanted: DataFrame, model: Model) -> DataFrame:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    return _score(staged(_chunked(docs, id_col, text_col), "lm-chunks", "zstd"), model)
+
+
+def _chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return _chunks(docs.select(id_col, held_out(id_col).alias("h"), text_col))
+
+
+def _score(chunks: DataFrame, model: Model) -> DataFrame:
     n, v = model.shape.tokens, model.shape.types
 
     def out(chunk, p, c, log_p):
@@ -530,15 +559,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return {"id": chunk.column("ids")[0].values, "held_out": chunk.column("held")[0].values, "n_tokens": lengths, "n_known": add((c[p.w_of] > 0).astype(np.int64)),
                 "train_tokens": np.full(len(lengths), n), "base_score": add(np.log10(c + 1.0)[p.w_of]) - lengths * float(np.log10(n + v + 1)), "score": add(log_p[p.of])}
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    chunks = staged(_chunks(docs.select(id_col, held_out(id_col).alias("h"), text_col)), "lm-chunks", "zstd")
+    kind = chunks.schema["ids"].dataType.elementType.simpleString()
     return _finished(chunks, model, out, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op3_hpylm(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = learn(docs.filter(~held_out("doc_id")))
-    out = score(docs, model).withColumnRenamed("id", "doc_id")
+    chunks = staged(_chunked(table(spark, sf_dir, "documents"), "doc_id", "text"), "lm-chunks", "zstd")
+    model = _learn(chunks)
+    out = _score(chunks, model).withColumnRenamed("id", "doc_id")
     for t in (model.pairs, model.seats, model.words):  # the answers are staged
         discard(t)
     return out

@@ -63,7 +63,7 @@ def word_id(word: str) -> int:
 # --- packed numbers ----------------------------------------------------------
 
 def packed(*columns: np.ndarray) -> bytes:
-    """Columns of one length, of numbers from 0 up, byte by byte (which compresses well); uint64 columns ascend and are stored by their steps."""
+    """Columns of one length, of numbers from 0 up, byte by byte, compressed; uint64 columns ascend and are stored by their steps."""
     out = [struct.pack("<q", len(columns[0]))]
     for c in columns:
         steps, base = c.dtype == np.uint64, 0
@@ -71,10 +71,12 @@ def packed(*columns: np.ndarray) -> bytes:
             base, c = int(c[0]) if len(c) else 0, np.diff(c, prepend=c[:1])
         width = (int(c.max(initial=0)).bit_length() + 7) // 8
         out += [struct.pack("<QBB", base, width, steps), c.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
-    return b"".join(out)
+    out = b"".join(out)
+    return struct.pack("<q", len(out)) + pa.compress(out, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
+    data = pa.decompress(memoryview(data)[8:], struct.unpack_from("<q", data)[0], "zstd", asbytes=True)
     (n,), at, out = struct.unpack_from("<q", data), 8, []
     while at < len(data):
         base, width, steps = struct.unpack_from("<QBB", data, at)
